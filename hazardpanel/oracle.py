@@ -194,7 +194,10 @@ def _order(names: list[str]) -> list[str]:
 def sql(body: str, *views: str) -> str:
     """``WITH <views and their dependencies> <body>``."""
     names = _order(list(views))
+    body = body.strip()
     if not names:
-        return body.strip()
+        return body
     ctes = ",\n".join(f"{n} AS ({VIEWS[n][0].strip()})" for n in names)
-    return f"WITH {ctes}\n{body.strip()}"
+    if body[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{body[5:]}"
+    return f"WITH {ctes}\n{body}"
