@@ -26,14 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Point detections: every event once with priority 0 (science feed);
-    some again with priority 1 (near-real-time copy without ``type``).
-    Users divisible by 5 sit on fixed spots (recurring sources)."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    copies = ev.filter((F.col("event_id") % 7 == 0)
-                       | ((F.col("event_type") == "error") & (F.col("event_id") % 3 == 0)))
-    both = ev.withColumn("pri", F.lit(0)).unionByName(copies.withColumn("pri", F.lit(1)))
+def detections_from_events(ev: DataFrame) -> DataFrame:
+    """Map event rows (with a ``pri`` column) onto the detection layout."""
     fixed = F.col("user_id") % 5 == 0
     lat = F.when(fixed, (F.lit(2000500) + (F.col("user_id") % 20) * 50000).cast("double") / F.lit(100000)) \
            .otherwise((F.lit(1896000) + (F.col("event_id") * 7919) % 1816000).cast("double") / F.lit(100000))
@@ -44,7 +38,7 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     typ = (F.when(F.col("pri") == 1, F.lit(None))
             .when(F.col("event_type") == "error", 2)
             .when(F.col("event_type") == "signup", 3).otherwise(0)).cast("int")
-    return both.select(
+    return ev.select(
         "event_id", "pri",
         lat.alias("latitude"), lon.alias("longitude"),
         F.to_date("ts").alias("acq_date"),
@@ -54,6 +48,17 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Point detections: every event once with priority 0 (science feed);
+    some again with priority 1 (near-real-time copy without ``type``).
+    Users divisible by 5 sit on fixed spots (recurring sources)."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    copies = ev.filter((F.col("event_id") % 7 == 0)
+                       | ((F.col("event_type") == "error") & (F.col("event_id") % 3 == 0)))
+    both = ev.withColumn("pri", F.lit(0)).unionByName(copies.withColumn("pri", F.lit(1)))
+    return detections_from_events(both)
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One overlapping box per nation, 4 edges each; ``pos`` = region id."""
     nat = table(spark, sf_dir, "nation")

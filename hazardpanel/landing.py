@@ -105,3 +105,24 @@ def land_features(spark: SparkSession, sf: str) -> str:
     root = scratch_path(spark, "features")
     write_features(edges_to_features(fx.edges(spark, sf)), root)
     return root
+
+
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def stream_slice_writers(spark: SparkSession, sf: str, root: str, n_slices: int = 4,
+                         resend: int = 250):
+    """Writers landing ``events`` in ``n_slices`` id slices; slice k also
+    re-sends the ids within ``resend`` below its start (duplicates)."""
+    ev = fx.table(spark, sf, "events").select(*EVENT_COLUMNS)
+    lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
+    span = hi - lo + 1
+    starts = [lo + (k * span + n_slices - 1) // n_slices for k in range(n_slices)] + [hi + 1]
+
+    def writer(k):
+        def land():
+            part = ev.filter((F.col("event_id") >= starts[k] - (resend if k else 0))
+                             & (F.col("event_id") < starts[k + 1]))
+            part.write.mode("append").parquet(root)
+        return land
+    return [writer(k) for k in range(n_slices)], ev.schema

@@ -1 +1,84 @@
-"""Streaming queries (registered later)."""
+"""Registered streaming queries: a four-slice arrival with re-sent rows,
+processed by ``availableNow`` runs of one checkpointed query."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hazardpanel import fixtures as fx
+from hazardpanel import landing
+from hazardpanel.oracle import VIEWS, rd, sql
+from hazardpanel.queries import DET_COLS, register
+from hazardpanel.queries_io import _stored_spots
+from hazardpanel.session import scratch_path
+from hazardpanel.streaming.detections import (DayUpsert, DetectionBatchWriter, daily_event_counts_stream,
+                                              detection_stream, read_daily, run_available_now)
+
+VIEWS["stream_ded"] = ("""
+SELECT event_id, pri, latitude, longitude, acq_date, acq_time, satellite, type, frp FROM (
+  SELECT *, row_number() OVER (PARTITION BY latitude, longitude, acq_date, acq_time, satellite
+                               ORDER BY event_id) AS rn FROM detections WHERE pri = 0) t WHERE rn = 1""",
+                       ["detections"])
+VIEWS["stream_enriched"] = (f"""
+SELECT d.*, a.wilaya_id, {rd('d.latitude')} AS lat_grid, {rd('d.longitude')} AS lon_grid
+FROM stream_ded d JOIN pt_assigned a ON a.latitude = d.latitude AND a.longitude = d.longitude
+WHERE (d.type = 0 OR d.type IS NULL)
+  AND NOT EXISTS (SELECT 1 FROM spots_static s WHERE s.lat_grid = {rd('d.latitude')}
+                                                AND s.lon_grid = {rd('d.longitude')})""",
+                            ["stream_ded", "pt_assigned", "spots_static"])
+
+
+def _to_detections(df):
+    return fx.detections_from_events(df.withColumn("pri", F.lit(0)))
+
+
+def _run_detection_stream(spark, sf):
+    root = scratch_path(spark, "stream")
+    writers, schema = landing.stream_slice_writers(spark, sf, f"{root}/landing")
+    sink = DetectionBatchWriter(f"{root}/sinks", fx.edges(spark, sf), fx.region_dim(spark, sf),
+                                _stored_spots(spark, sf))
+    for land in writers:
+        land()
+        stream = detection_stream(spark, f"{root}/landing", schema, _to_detections)
+        run_available_now(stream, sink, f"{root}/checkpoint")
+    return sink
+
+
+@register("stream_dedup", sql(f"SELECT {DET_COLS} FROM stream_ded", "stream_ded"))
+def q_stream_dedup(spark, sf):
+    sink = _run_detection_stream(spark, sf)
+    return spark.read.parquet(sink.dedup_path).select(*DET_COLS.split(", "))
+
+
+@register("stream_enrich", sql(f"SELECT {DET_COLS}, wilaya_id, lat_grid, lon_grid FROM stream_enriched",
+                               "stream_enriched"))
+def q_stream_enrich(spark, sf):
+    sink = _run_detection_stream(spark, sf)
+    return spark.read.parquet(sink.enriched_path).select(*DET_COLS.split(", "), "wilaya_id",
+                                                         "lat_grid", "lon_grid")
+
+
+@register("stream_daily_agg", sql("""
+SELECT k.wilaya_id, r.wilaya_code, k.acq_date AS date, count(k.frp) AS nb_detections,
+       CAST(sum(CAST(k.frp AS DECIMAL(18,4))) AS DOUBLE) AS frp_total, max(k.frp) AS frp_max, 1 AS fire_detected
+FROM stream_enriched k LEFT JOIN region_dim r ON r.wilaya_id = k.wilaya_id
+GROUP BY k.wilaya_id, r.wilaya_code, k.acq_date""", "stream_enriched", "region_dim"))
+def q_stream_daily_agg(spark, sf):
+    sink = _run_detection_stream(spark, sf)
+    return read_daily(spark, sink.daily_path).select(
+        "wilaya_id", "wilaya_code", "date", "nb_detections", "frp_total", "frp_max", "fire_detected")
+
+
+@register("stream_late_data", """
+SELECT CAST(ts AS DATE) AS day, count(*) AS n_events FROM events GROUP BY 1""")
+def q_stream_late_data(spark, sf):
+    root = scratch_path(spark, "stream-late")
+    writers, schema = landing.stream_slice_writers(spark, sf, f"{root}/landing")
+    sink = DayUpsert(f"{root}/daily", "day")
+    for land in writers:
+        land()
+        counts = daily_event_counts_stream(spark, f"{root}/landing", schema)
+        q = (counts.writeStream.outputMode("update").foreachBatch(sink)
+                   .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(sink.path).select("day", "n_events")
