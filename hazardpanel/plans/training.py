@@ -38,3 +38,60 @@ def metric_delta(metrics: DataFrame, baseline_variant: str,
     base = longf.filter(F.col("variant") == baseline_variant).select("metric", F.col("value").alias("baseline"))
     return (longf.join(F.broadcast(base), "metric")
                  .select("variant", "metric", "value", "baseline", (F.col("value") - F.col("baseline")).alias("delta")))
+
+
+# --------------------------------------------------------------------------
+# Model table and the variant grid (weekday features x class weights)
+# --------------------------------------------------------------------------
+
+from hazardpanel.operators import model as ML  # noqa: E402
+from hazardpanel.operators.features import (temporal_split, with_month_cyclic,  # noqa: E402
+                                            with_weekday_cyclic)
+from hazardpanel.operators.windows import dryness_features  # noqa: E402
+
+DOW_FEATURES = ["dow_sin", "dow_cos", "is_weekend"]
+SEASON_FEATURES = ["month_sin", "month_cos"]
+DRYNESS = ["precip_sum_7d", "precip_sum_30d", "temp_max_mean_7d", "et0_sum_30d", "days_since_rain"]
+
+
+def model_table(panel: DataFrame, precip: str, temp: str, et0: str, era_start: str, train_end: str,
+                coverage_col: str | None = None) -> DataFrame:
+    """Dryness windows on the full history first, then era filter and split."""
+    feats = dryness_features(panel, precip=precip, temp=temp, et0=et0)
+    feats = with_weekday_cyclic(with_month_cyclic(feats))
+    return temporal_split(feats, era_start, train_end, coverage_col)
+
+
+def evaluate(scored: DataFrame, label: str = "label", proba: str = "proba", day: str = "date",
+             k: int = 8, tiebreak: str = "wilaya_id", digits: int = 4) -> DataFrame:
+    """ROC-AUC, PR-AUC, Brier and the daily alert budget, one row."""
+    s = scored.select(F.col(label).alias("y"), F.col(proba).alias("p"), day, tiebreak)
+    roc = M.roc_auc(s, "p", "y", digits=digits)
+    ap = M.average_precision(s, "p", "y", digits=digits, out="pr_auc")
+    br = M.brier(s, "p", "y", digits=digits)
+    bud = M.alert_budget(s, day, "y", "p", k, tiebreak, digits=digits)
+    out = None
+    for df in (roc, ap, br, bud):
+        keyed = df.withColumn("_k", F.lit(1))
+        out = keyed if out is None else out.join(keyed, "_k")
+    return out.drop("_k")
+
+
+def variant_grid(train: DataFrame, test: DataFrame, base_features, label: str = "label",
+                 max_iter: int = 400, k: int = 8, digits: int = 4):
+    """Fit the four variants (± weekday features, ± balanced weights) with the
+    same settings; return (metrics rows, fitted models by name)."""
+    weighted = M.balanced_weights(train, label, "weight")
+    specs = {
+        "A_ref": (list(base_features), None),
+        "B_dow": (list(base_features) + DOW_FEATURES, None),
+        "C_balanced": (list(base_features), "weight"),
+        "D_dow_balanced": (list(base_features) + DOW_FEATURES, "weight"),
+    }
+    rows, models = None, {}
+    for name, (feats, wcol) in specs.items():
+        model = ML.fit(weighted if wcol else train, feats, label=label, max_iter=max_iter, weight_col=wcol)
+        models[name] = model
+        m = evaluate(ML.score(model, test), label, k=k, digits=digits).withColumn("variant", F.lit(name))
+        rows = m if rows is None else rows.unionByName(m)
+    return rows, models

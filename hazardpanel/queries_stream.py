@@ -82,3 +82,4 @@ def q_stream_late_data(spark, sf):
                    .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
         q.awaitTermination()
     return spark.read.parquet(sink.path).select("day", "n_events")
+from hazardpanel import queries_model  # noqa: E402,F401
