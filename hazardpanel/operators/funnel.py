@@ -20,21 +20,25 @@ def stage_funnel(detections: DataFrame, edges: DataFrame, order=("pri", "event_i
                  threshold: int = PERSISTENCE_THRESHOLD_DAYS, region_col: str = "wilaya_id") -> DataFrame:
     """Counts after dedup, polygon matching, type filter and persistence.
 
-    The per-point counts come from one conditional aggregation over the
-    assigned points; spots and kept rows need their own (small) aggregates.
+    The assigned points are reduced once to a (cell, region, day, type ok)
+    summary with row and overlap counts; that small table is checkpointed and
+    every stage count comes from it.
     """
     raw = detections.agg(F.count(F.lit(1)).alias("n"))
     deduped = dedup_keep_first(detections, DETECTION_KEY, list(order))
-    assigned = assign_region(deduped, edges, region_col=region_col)
+    assigned = with_grid(assign_region(deduped, edges, region_col=region_col))
+    type_ok = ((F.col("type") == 0) | F.col("type").isNull()).alias("type_ok")
+    summary = (assigned.groupBy("lat_grid", "lon_grid", region_col, "acq_date", type_ok)
+               .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_matches").alias("pairs"))
+               .checkpoint(eager=True))
     has_region = F.col(region_col).isNotNull()
-    type_ok = (F.col("type") == 0) | F.col("type").isNull()
-    point_counts = assigned.agg(
-        F.count(F.lit(1)).alias("dedup"),
-        F.sum("n_matches").alias("pairs"),
-        F.count_if(has_region).alias("matched"),
-        F.count_if(has_region & type_ok).alias("typed"),
+    point_counts = summary.agg(
+        F.sum("n_rows").alias("dedup"),
+        F.sum("pairs").alias("pairs"),
+        F.coalesce(F.sum(F.when(has_region, F.col("n_rows"))), F.lit(0)).alias("matched"),
+        F.coalesce(F.sum(F.when(has_region & F.col("type_ok"), F.col("n_rows"))), F.lit(0)).alias("typed"),
     )
-    matched = with_grid(assigned.filter(has_region & type_ok))
+    matched = summary.filter(has_region & F.col("type_ok"))
     spots = persistent_cells(matched, threshold)
     kept = drop_recurring(matched, spots)
     return (_row(raw, "raw", 0, "n")
@@ -43,4 +47,5 @@ def stage_funnel(detections: DataFrame, edges: DataFrame, order=("pri", "event_i
             .unionByName(_row(point_counts, "matched", 3, "matched"))
             .unionByName(_row(point_counts, "type_kept", 4, "typed"))
             .unionByName(_row(spots.agg(F.count(F.lit(1)).alias("n")), "recurring_spots", 5, "n"))
-            .unionByName(_row(kept.agg(F.count(F.lit(1)).alias("n")), "persistence_kept", 6, "n")))
+            .unionByName(_row(kept.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n")),
+                              "persistence_kept", 6, "n")))

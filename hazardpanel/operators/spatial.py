@@ -38,7 +38,14 @@ MAX_BROADCAST_EDGE_ENTRIES = 2_000_000
 
 def polygon_cells(edges: DataFrame, region_col: str = "wilaya_id",
                   cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
-    """Cell index: ``cx, cy, cands`` with ``cands = array<struct<pos, region, edges>>``."""
+    """Cell index: ``cx, cy, cands`` with ``cands = array<struct<pos, region, edges>>``.
+
+    Each cell keeps, per candidate polygon, only the edges that can matter to
+    a point inside the cell: the eastward ray of such a point stays inside the
+    cell's latitude band, so edges outside that band (or entirely west of the
+    cell) can neither be crossed nor contain the point.  A candidate whose
+    clipped list is empty cannot contain any point of the cell and is dropped.
+    """
     c = F.lit(float(cell_deg))
     poly = edges.groupBy(region_col, "pos").agg(
         F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"),
@@ -48,6 +55,15 @@ def polygon_cells(edges: DataFrame, region_col: str = "wilaya_id",
     cells = (poly
              .withColumn("cx", F.explode(F.sequence(F.floor(F.col("xmin") / c), F.floor(F.col("xmax") / c))))
              .withColumn("cy", F.explode(F.sequence(F.floor(F.col("ymin") / c), F.floor(F.col("ymax") / c)))))
+    # cell bounds widened by one cell-width fraction to stay safe under rounding
+    lo_x = F.col("cx") * c
+    lo_y = F.col("cy") * c
+    hi_y = (F.col("cy") + 1) * c
+    eps = c * F.lit(1e-9)
+    clipped = F.filter("edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= lo_y - eps)
+                       & (F.least(e["y1"], e["y2"]) <= hi_y + eps)
+                       & (F.greatest(e["x1"], e["x2"]) >= lo_x - eps))
+    cells = cells.withColumn("edges", clipped).filter(F.size("edges") > 0)
     return cells.groupBy("cx", "cy").agg(
         F.collect_list(F.struct(F.col("pos"), F.col(region_col).alias("region"), F.col("edges"))).alias("cands"),
         F.sum(F.size("edges")).alias("n_entries"),

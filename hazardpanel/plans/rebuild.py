@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from hazardpanel.constants import COVERAGE_START, DETECTION_KEY, PERSISTENCE_THRESHOLD_DAYS
 from hazardpanel.operators.dedup import dedup_keep_first
 from hazardpanel.operators.joins import dimension
-from hazardpanel.operators.panel import daily_region_agg, dense_grid, fixed_layout, fuse_panel
+from hazardpanel.operators.panel import dense_grid, fixed_layout, fuse_panel
 from hazardpanel.operators.persistence import drop_recurring, persistent_cells, with_grid
 from hazardpanel.operators.spatial import assign_region
 
@@ -41,28 +41,55 @@ def vegetation_strict(df: DataFrame) -> DataFrame:
 @dataclass
 class Chain:
     deduped: DataFrame
-    matched: DataFrame
+    matched: DataFrame      # row level: in a polygon, type kept, with grid cell
+    summary: DataFrame      # (cell, region, day) partial aggregate of ``matched``
     spots: DataFrame
-    kept: DataFrame
+    kept: DataFrame         # row level, recurring cells removed
     daily: DataFrame
 
 
+def cell_day_summary(matched: DataFrame, region_col: str = "wilaya_id") -> DataFrame:
+    """Rows per (grid cell, region, day) with the partial sums the daily
+    aggregate needs.  Everything downstream (spot list, anti join, daily
+    totals) reads this summary instead of the row-level points, so the raw
+    detections are deduplicated and placed exactly once."""
+    return matched.groupBy("lat_grid", "lon_grid", region_col, "acq_date").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("frp").alias("n_frp"),
+        F.sum(F.col("frp").cast("decimal(18,4)")).alias("frp_sum"),
+        F.max("frp").alias("frp_max"))
+
+
 def detection_chain(detections: DataFrame, edges: DataFrame, dim: DataFrame,
                     order=("pri", "event_id"), strict_type: bool = False,
                     threshold: int = PERSISTENCE_THRESHOLD_DAYS,
-                    region_col: str = "wilaya_id") -> Chain:
-    """Dedup → type → polygon (first match) → persistence → daily aggregate."""
+                    region_col: str = "wilaya_id", materialize: bool = True) -> Chain:
+    """Dedup → type → polygon (first match) → persistence → daily aggregate.
+
+    With ``materialize`` the (cell, region, day) summary is checkpointed to
+    the shared checkpoint folder: it is orders of magnitude smaller than the
+    raw rows, and both the spot list and the daily totals read it, so the
+    shuffle of the raw detections runs once and survives executor loss.
+    """
     deduped = dedup_keep_first(detections, DETECTION_KEY, list(order))
     typed = vegetation_strict(deduped) if strict_type else vegetation_or_unknown(deduped)
     assigned = assign_region(typed, edges, region_col=region_col).drop("n_matches")
     matched = with_grid(assigned.filter(F.col(region_col).isNotNull()))
-    spots = persistent_cells(matched, threshold)
-    kept = drop_recurring(matched, spots)
-    daily = daily_region_agg(kept, (region_col,), "acq_date")
+    summary = cell_day_summary(matched, region_col)
+    if materialize:
+        summary = summary.checkpoint(eager=True)
+    spots = persistent_cells(summary, threshold)
+    kept_cells = drop_recurring(summary, spots)
+    daily = (kept_cells.groupBy(region_col, F.col("acq_date").alias("date"))
+             .agg(F.sum("n_frp").alias("nb_detections"),
+                  F.sum("frp_sum").cast("double").alias("frp_total"),
+                  F.max("frp_max").alias("frp_max"))
+             .withColumn("fire_detected", F.lit(1)))
     codes = dimension(dim.select(region_col, "wilaya_code"))
     daily = daily.join(codes, region_col, "left").select(
         region_col, "wilaya_code", "date", "nb_detections", "frp_total", "frp_max", "fire_detected")
-    return Chain(deduped, matched, spots, kept, daily)
+    kept = drop_recurring(matched, spots)
+    return Chain(deduped, matched, summary, spots, kept, daily)
 
 
 def build_panel(detections: DataFrame, edges: DataFrame, base: DataFrame | None, dim: DataFrame,
