@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardpanel.operators.joins import dimension
@@ -33,19 +33,26 @@ def flag_not_in(df: DataFrame, col: str, names: Sequence[str], out: str = "is_fo
     return df.withColumn(out, F.coalesce(~F.col(col).isin(*list(names)), F.lit(False)))
 
 
+MAX_WINDOW_KEYS = 1_000_000
+
+
 def surrogate_id(df: DataFrame, order_col: str, out: str = "surrogate_id") -> DataFrame:
     """1..n in ``order_col`` order (order values must be unique).
 
-    String keys are ordered through a numeric rank computed by the bucketed
-    running count, never through a single-partition window.
+    Numeric keys use the bucketed running count (no single-partition window).
+    String keys of a dimension are numbered with a window over the distinct
+    keys once their count is checked against ``MAX_WINDOW_KEYS``; beyond it,
+    a range-partitioned sort with per-partition offsets (``zipWithIndex``).
     """
     if dict(df.dtypes)[order_col] in ("int", "bigint", "smallint", "tinyint", "double", "float"):
         return row_numbers(df, order_col, out).withColumn(out, F.col(out).cast("int"))
-    # strings: order lexicographically via their distinct rank
-    # range-partitioned sort, then per-partition offsets (zipWithIndex runs one
-    # small job to count partitions): the distributed way to number a sorted set
-    keys = df.select(order_col).distinct().orderBy(order_col)
-    ordered = keys.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1] + 1)).toDF([order_col, out])
+    keys = df.select(order_col).distinct()
+    if keys.count() <= MAX_WINDOW_KEYS:
+        ordered = keys.withColumn(out, F.row_number().over(Window.orderBy(order_col)))
+        return df.join(F.broadcast(ordered), order_col).withColumn(out, F.col(out).cast("int"))
+    zipped = keys.orderBy(order_col).rdd.zipWithIndex()
+    ordered = zipped.toDF(["_k", "_i"]).select(F.col(f"_k.{order_col}").alias(order_col),
+                                               (F.col("_i") + 1).alias(out))
     return df.join(ordered, order_col).withColumn(out, F.col(out).cast("int"))
 
 
