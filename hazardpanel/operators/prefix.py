@@ -27,13 +27,18 @@ def _bucket_bounds(df: DataFrame, key: str, n_buckets: int) -> list:
 
 def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
                    descending: bool = False, n_buckets: int | None = None,
-                   prefix: str = "cum_") -> DataFrame:
+                   prefix: str = "cum_", materialize: bool = True) -> DataFrame:
     """Add ``cum_<v>`` = sum of ``v`` over all rows up to and including this one.
 
     ``order_col`` must be numeric and unique (pre-aggregate ties first).
-    ``descending`` accumulates from the largest key down.
+    ``descending`` accumulates from the largest key down.  With
+    ``materialize`` the input (typically an aggregate) is checkpointed once,
+    so the bound sampling, the bucket totals and the bucket-local sums scan
+    the stored result instead of each re-running the aggregation.
     """
     spark = df.sparkSession
+    if materialize:
+        df = df.checkpoint(eager=True)
     if n_buckets is None:
         n_buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     key = F.col(order_col).cast("double")

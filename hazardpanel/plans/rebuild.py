@@ -111,3 +111,20 @@ def build_panel(detections: DataFrame, edges: DataFrame, base: DataFrame | None,
 def forest_panel(panel: DataFrame) -> DataFrame:
     """Rows of regions with forest cover."""
     return panel.filter(F.col("is_forest_zone"))
+
+
+def refresh_spot_list(spark, feeds_glob: str, out_path: str | None = None,
+                      threshold: int = PERSISTENCE_THRESHOLD_DAYS, schema=None,
+                      source_regex: str = r"feed=([^/]+)/") -> DataFrame:
+    """Stored spot list from every landed feed (glob scan, no dedup, no polygon
+    match): cells seen on more than ``threshold`` distinct days among rows of
+    type 0 or without type.  Written to ``out_path`` when given."""
+    from hazardpanel.operators.persistence import recurring_spot_table
+    from hazardpanel.schemas import DETECTION_CSV
+    from hazardpanel.sources.detections import scan_glob
+    raw = scan_glob(spark, feeds_glob, schema or DETECTION_CSV, source_regex=source_regex)
+    spots = recurring_spot_table(raw.select("latitude", "longitude", "acq_date", "type"), threshold)
+    if out_path:
+        spots.write.mode("overwrite").parquet(out_path)
+        return spark.read.parquet(out_path)
+    return spots

@@ -207,7 +207,9 @@ def _stored_spots(spark, sf):
 
 @register("recurring_spot_table", sql("SELECT * FROM spots_static", "spots_static"))
 def q_recurring_spot_table(spark, sf):
-    return recurring_spot_table(fx.detections(spark, sf))
+    from hazardpanel.plans.rebuild import refresh_spot_list
+    root, _ = landing.land_detection_feeds(spark, sf)
+    return refresh_spot_list(spark, f"{root}/*/feed=*", scratch_path(spark, "spot-list"), schema=FEED_SCHEMA)
 
 
 @register("spot_anti_join_static", sql(f"""
