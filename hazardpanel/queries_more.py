@@ -217,9 +217,9 @@ def q_coverage_flag(spark, sf):
 
 
 @register("uncovered_days", sql(f"""
-SELECT count_if(NOT (date >= DATE '{FIX_COVERAGE_START}')) AS uncovered_rows,
+SELECT CAST(count_if(NOT (date >= DATE '{FIX_COVERAGE_START}')) AS BIGINT) AS uncovered_rows,
        count(DISTINCT wilaya_id) AS n_regions,
-       count_if(NOT (date >= DATE '{FIX_COVERAGE_START}')) // count(DISTINCT wilaya_id) AS uncovered_days
+       CAST(count_if(NOT (date >= DATE '{FIX_COVERAGE_START}')) // count(DISTINCT wilaya_id) AS BIGINT) AS uncovered_days
 FROM weather_panel""", "weather_panel"))
 def q_uncovered_days(spark, sf):
     wp = fx.weather_panel(spark, sf).withColumn("fire_data_coverage", coverage_flag("date", FIX_COVERAGE_START))
