@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardpanel import fixtures as fx
+from hazardpanel.operators.joins import collect_bounded, dimension
 from hazardpanel.session import scratch_path
 from hazardpanel.sources.geojson import edges_to_features, write_features
 
@@ -49,7 +50,7 @@ def land_bodies(spark: SparkSession, sf: str, step_days: int = 5) -> str:
     det = fx.detections(spark, sf).withColumn("feed", feed_name())
     lo = det.groupBy("feed").agg(F.min("acq_date").alias("lo"), F.max("acq_date").alias("hi"))
     idx = F.floor(F.datediff("acq_date", "lo") / F.lit(step_days))
-    bodies = det.join(F.broadcast(lo), "feed").withColumn(
+    bodies = det.join(dimension(lo, 10_000), "feed").withColumn(
         "window", F.date_format(F.date_add("lo", (idx * step_days).cast("int")), "yyyy-MM-dd"))
     (bodies.select(*FEED_COLUMNS, F.col("feed").alias("source"), "window")
            .write.mode("overwrite").option("header", True).partitionBy("source", "window").csv(root))
@@ -83,7 +84,8 @@ def land_payloads(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     arrays = ev.groupBy("wilaya_id", "block").agg(
         F.sort_array(F.collect_list(F.struct("event_id", "time", "value"))).alias("items"))
     blocks = ev.select("block").distinct()
-    req_list = sorted((r["wilaya_id"], r["batch"], r["pos"]) for r in req.collect())
+    req_list = sorted((r["wilaya_id"], r["batch"], r["pos"])
+                      for r in collect_bounded(req, 100_000, "payload requests"))
     req_arr = F.array(*[F.struct(F.lit(w).alias("wilaya_id"), F.lit(b).alias("batch"), F.lit(p).alias("pos"))
                         for w, b, p in req_list])
     grid = blocks.select("block", F.explode(req_arr).alias("r")).select("block", "r.*")

@@ -30,3 +30,11 @@ def dimension(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast a dimension table after checking it has at most ``max_rows``."""
     out, _ = broadcast_if_bounded(df, max_rows)
     return out
+
+
+def collect_bounded(df: DataFrame, max_rows: int, what: str = "rows") -> list:
+    """Collect a small derived table (dimension ids, bounds) after a size check."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"{what}: more than {max_rows} rows, refusing to collect to the driver")
+    return rows

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardpanel.functions.scalar import round_half_even
+from hazardpanel.operators.joins import dimension
 from hazardpanel.operators.prefix import running_totals
 from hazardpanel.operators.windows import topk_per_group
 
@@ -138,7 +139,7 @@ def balanced_weights(df: DataFrame, label: str = "y", out: str = "weight") -> Da
     # one row per class: a window over this tiny table is bounded
     w = counts.select(label, (F.sum("_nc").over(Window.partitionBy()).cast("double")
                               / (F.lit(2.0) * F.col("_nc"))).alias(out))
-    return df.join(F.broadcast(w), label)
+    return df.join(dimension(w, 1_000), label)
 
 
 def best_by(metrics: DataFrame, name_col: str, metric_col: str, tolerance: float = 0.0,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hazardpanel.constants import COVERAGE_START, PANEL_COLUMNS
 from hazardpanel.functions.scalar import coverage_flag, exact_sum, round_half_even, zero_fill
-from hazardpanel.operators.joins import dimension
+from hazardpanel.operators.joins import collect_bounded, dimension
 
 MAX_GRID_ENTITIES = 1_000_000
 
@@ -34,10 +34,7 @@ def dense_grid(entities: DataFrame, entity_col: str, dates: DataFrame,
     is an ``explode`` of that bounded array, so the day side is never shuffled.
     """
     ids = entities.select(entity_col).distinct()
-    n = ids.count()
-    if n > max_entities:
-        raise ValueError(f"dense_grid: {n} entities exceed the bound {max_entities}")
-    values = sorted(r[0] for r in ids.collect())
+    values = sorted(r[0] for r in collect_bounded(ids, max_entities, "dense_grid entities"))
     field = entities.schema[entity_col].dataType.simpleString()
     arr = F.array(*[F.lit(v).cast(field) for v in values])
     return dates.select(F.col(date_col).alias("date")).distinct().withColumn(entity_col, F.explode(arr))

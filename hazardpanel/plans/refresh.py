@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from hazardpanel.constants import FORECAST_RETENTION_DAYS
 from hazardpanel.operators.dedup import dedup_keep_last
+from hazardpanel.operators.joins import collect_bounded
 from hazardpanel.operators.panel import fixed_layout, fuse_panel
 
 
@@ -62,8 +63,10 @@ def write_window_replace(spark: SparkSession, path: str, new: DataFrame,
             return path
     (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_col).parquet(path))
-    stored_dates = {r[0] for r in spark.read.parquet(path).select(date_col).distinct().collect()}
-    new_dates = {r[0] for r in new.select(date_col).distinct().collect()}
+    # partition lists: one value per stored day (bounded by the calendar)
+    stored_dates = {r[0] for r in collect_bounded(spark.read.parquet(path).select(date_col).distinct(),
+                                                  1_000_000, "stored partitions")}
+    new_dates = {r[0] for r in collect_bounded(new.select(date_col).distinct(), 1_000_000, "new partitions")}
     stale = sorted(d for d in stored_dates if d >= window_start and d not in new_dates)
     if stale:
         jvm = spark.sparkContext._jvm

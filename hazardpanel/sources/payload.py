@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hazardpanel.operators.joins import dimension
+
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Landed bodies: ``value`` (JSON text) and ``batch`` (from the folder name)."""
@@ -39,7 +41,7 @@ def payload_to_rows(bodies: DataFrame, requests: DataFrame, element: T.StructTyp
     as_obj = F.from_json(F.col("value"), element)
     items = F.when(F.trim(F.col("value")).startswith("["), as_list).otherwise(F.array(as_obj))
     exploded = bodies.select("batch", F.posexplode(items).alias("pos", "item"))
-    matched = exploded.join(F.broadcast(requests), ["batch", "pos"], "inner")
+    matched = exploded.join(dimension(requests), ["batch", "pos"], "inner")
     zipped = F.arrays_zip(*[F.col(f"item.daily.{f}").alias(f) for f in [time_field, *array_fields]])
     rows = matched.select(*[c for c in requests.columns if c not in ("batch", "pos")],
                           F.inline(zipped))

@@ -31,7 +31,7 @@ from pyspark.sql.utils import AnalysisException
 
 from hazardpanel.constants import DETECTION_KEY, LOOKBACK_DAYS
 from hazardpanel.operators.dedup import dedup_keep_first
-from hazardpanel.operators.joins import dimension
+from hazardpanel.operators.joins import collect_bounded, dimension
 from hazardpanel.operators.panel import daily_region_agg
 from hazardpanel.operators.persistence import drop_recurring, with_grid
 from hazardpanel.operators.spatial import assign_region
@@ -103,7 +103,7 @@ class DetectionBatchWriter:
         enriched = drop_recurring(with_grid(placed.filter(F.col(self.region_col).isNotNull())), self.spots)
         _overwrite(enriched, self.enriched_path, "acq_date", "batch_id")
 
-        touched = sorted({r[0] for r in fresh.select("acq_date").distinct().collect()})
+        touched = sorted({r[0] for r in collect_bounded(fresh.select("acq_date").distinct(), 100_000, "touched days")})
         if not touched:
             return
         rows = spark.read.parquet(self.enriched_path).filter(F.col("acq_date").isin(touched))
