@@ -78,8 +78,6 @@ def q_stream_late_data(spark, sf):
     for land in writers:
         land()
         counts = daily_event_counts_stream(spark, f"{root}/landing", schema)
-        q = (counts.writeStream.outputMode("update").foreachBatch(sink)
-                   .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
-        q.awaitTermination()
+        run_available_now(counts, sink, f"{root}/checkpoint", output_mode="update")
     return spark.read.parquet(sink.path).select("day", "n_events")
 from hazardpanel import queries_model  # noqa: E402,F401

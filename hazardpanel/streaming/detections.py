@@ -24,6 +24,7 @@ partitions: the sinks stay exactly-once under the streaming checkpoint.
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,13 +123,34 @@ def detection_stream(spark: SparkSession, source_dir: str, event_schema, to_dete
     return to_detections(deduped)
 
 
-def run_available_now(stream: DataFrame, writer, checkpoint: str, name: str | None = None) -> None:
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Number of state-store partitions for queries started inside the block.
+
+    Stateful operators keep one state partition per shuffle partition, fixed
+    in the checkpoint when the query first starts, and every micro-batch
+    touches all of them.  Size them to the cluster (default parallelism)
+    rather than inheriting whatever batch setting the session carries.
+    """
+    n = n or spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def run_available_now(stream: DataFrame, writer, checkpoint: str, name: str | None = None,
+                      output_mode: str = "append", partitions: int | None = None) -> None:
     """Process everything landed so far, then stop (``availableNow`` trigger)."""
-    q = (stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
-               .trigger(availableNow=True))
+    q = (stream.writeStream.outputMode(output_mode).foreachBatch(writer)
+               .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if name:
         q = q.queryName(name)
-    q.start().awaitTermination()
+    with state_partitions(stream.sparkSession, partitions):
+        handle = q.start()
+    handle.awaitTermination()
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
