@@ -68,12 +68,7 @@ def write_window_replace(spark: SparkSession, path: str, new: DataFrame,
                                                   1_000_000, "stored partitions")}
     new_dates = {r[0] for r in collect_bounded(new.select(date_col).distinct(), 1_000_000, "new partitions")}
     stale = sorted(d for d in stored_dates if d >= window_start and d not in new_dates)
-    if stale:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for d in stale:
-            p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{date_col}={d.isoformat()}")
-            p.getFileSystem(conf).delete(p, True)
+    _drop_partitions(spark, path, date_col, stale)
     return path
 
 
@@ -91,3 +86,36 @@ def rolling_archive(existing: DataFrame, new: DataFrame | None, as_of: dt.date,
     combined = existing if new is None else existing.unionByName(new)
     kept = dedup_keep_last(combined, list(key), [arrival])
     return kept.filter(F.col("issued_date") >= F.date_sub(F.lit(as_of).cast("date"), retention_days))
+
+
+def _drop_partitions(spark: SparkSession, path: str, col: str, values) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for v in values:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{col}={v.isoformat()}")
+        p.getFileSystem(conf).delete(p, True)
+
+
+def write_rolling_archive(spark: SparkSession, path: str, new: DataFrame, as_of: dt.date,
+                          retention_days: int = FORECAST_RETENTION_DAYS,
+                          key=("issued_date", "target_date", "wilaya_id"), arrival: str = "arrival") -> str:
+    """Archive partitioned by ``issued_date``: the issue dates present in
+    ``new`` are merged keep-last with what is stored for them and rewritten
+    (dynamic overwrite); partitions older than the retention are dropped.
+    Only touched and expired partitions are ever written or removed."""
+    touched = [r[0] for r in collect_bounded(new.select("issued_date").distinct(), 100_000, "issue dates")]
+    merged = new
+    try:
+        stored = spark.read.parquet(path).filter(F.col("issued_date").isin(touched))
+        merged = stored.unionByName(new.select(*stored.columns))
+    except Exception:  # nothing stored yet
+        pass
+    # reliable checkpoint: the merge reads partitions that are rewritten below
+    kept = dedup_keep_last(merged, list(key), [arrival]).checkpoint(eager=True)
+    (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("issued_date").parquet(path))
+    cutoff = as_of - dt.timedelta(days=retention_days)
+    stored_dates = [r[0] for r in collect_bounded(spark.read.parquet(path).select("issued_date").distinct(),
+                                                  1_000_000, "archive partitions")]
+    _drop_partitions(spark, path, "issued_date", [d for d in stored_dates if d < cutoff])
+    return path

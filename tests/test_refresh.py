@@ -48,3 +48,20 @@ def test_rolling_archive_keeps_last_and_retention(spark):
         "issued_date date, target_date date, wilaya_id int, temperature_2m_max double, arrival long")
     out = rolling_archive(log, None, D(2024, 3, 1), 60).collect()
     assert [(r.temperature_2m_max, r.arrival) for r in out] == [(11.0, 2)]
+
+
+def test_partitioned_rolling_archive(spark):
+    from hazardpanel.plans.refresh import write_rolling_archive
+    schema = "issued_date date, target_date date, wilaya_id int, temperature_2m_max double, arrival long"
+    path = scratch_path(spark, "test-archive")
+    day1 = spark.createDataFrame([(D(2024, 1, 1), D(2024, 1, 2), 1, 10.0, 1)], schema)
+    write_rolling_archive(spark, path, day1, D(2024, 1, 1), 60)
+    reissue = spark.createDataFrame([(D(2024, 1, 1), D(2024, 1, 2), 1, 12.0, 2),
+                                     (D(2024, 3, 5), D(2024, 3, 6), 1, 20.0, 3)], schema)
+    for _ in range(2):  # idempotent
+        write_rolling_archive(spark, path, reissue, D(2024, 3, 5), 60)
+        got = sorted((r.issued_date, r.temperature_2m_max) for r in spark.read.parquet(path).collect())
+        assert got == [(D(2024, 3, 5), 20.0)]          # Jan 1 expired after the 60-day retention
+    write_rolling_archive(spark, path, reissue.filter("arrival = 2"), D(2024, 1, 10), 60)
+    got = sorted((r.issued_date, r.temperature_2m_max) for r in spark.read.parquet(path).collect())
+    assert got == [(D(2024, 1, 1), 12.0), (D(2024, 3, 5), 20.0)]
