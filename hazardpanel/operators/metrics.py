@@ -98,6 +98,8 @@ def quantile_bins(df: DataFrame, col: str, q: int = 10, out: str = "bin") -> Dat
     """``qcut(x, q, labels=False, duplicates='drop')``: right-closed bins on
     exact quantile edges, duplicate edges dropped, lowest value in bin 0."""
     edges = sorted(set(exact_quantiles(df, col, [i / q for i in range(q + 1)])))
+    if len(edges) < 2:  # one distinct value: no interval, every bin is missing (as in pandas)
+        return df.withColumn(out, F.lit(None).cast("int"))
     interior = edges[1:-1]
     if not interior:
         return df.withColumn(out, F.lit(0).cast("int"))

@@ -88,10 +88,21 @@ def _inside(p: Column, px: Column, py: Column) -> Column:
     return ((crossings % 2) == 1) & ~F.exists(p["edges"], lambda e: _on_edge(e, px, py))
 
 
-def _with_candidates(points: DataFrame, edges: DataFrame, lon: str, lat: str,
-                     region_col: str, cell_deg: float) -> DataFrame:
+def cell_index(edges: DataFrame, region_col: str = "wilaya_id",
+               cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
+    """The cell table, broadcast-hinted when its edge entries are within the bound.
+
+    Build it once and pass it as ``cells=`` when placing many batches.
+    """
     cells = polygon_cells(edges, region_col, cell_deg)
     cells, _ = broadcast_if_bounded(cells, MAX_BROADCAST_EDGE_ENTRIES, weight_col="n_entries")
+    return cells
+
+
+def _with_candidates(points: DataFrame, edges: DataFrame | None, lon: str, lat: str,
+                     region_col: str, cell_deg: float, cells: DataFrame | None = None) -> DataFrame:
+    if cells is None:
+        cells = cell_index(edges, region_col, cell_deg)
     c = F.lit(float(cell_deg))
     keyed = (points.withColumn("_cx", F.floor(F.col(lon) / c))
                    .withColumn("_cy", F.floor(F.col(lat) / c)))
@@ -113,15 +124,15 @@ def assign_all_regions(points: DataFrame, edges: DataFrame, lon: str = "longitud
                .drop("_m", "_matched"))
 
 
-def assign_region(points: DataFrame, edges: DataFrame, lon: str = "longitude",
+def assign_region(points: DataFrame, edges: DataFrame | None, lon: str = "longitude",
                   lat: str = "latitude", region_col: str = "wilaya_id",
-                  cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
+                  cell_deg: float = DEFAULT_CELL_DEG, cells: DataFrame | None = None) -> DataFrame:
     """Left spatial join keeping the first match in file order.
 
     Every input row comes out exactly once; ``region_col`` is null when the
     point lies in no polygon (or on a boundary only).
     """
-    cand = _with_candidates(points, edges, lon, lat, region_col, cell_deg)
+    cand = _with_candidates(points, edges, lon, lat, region_col, cell_deg, cells)
     first = F.array_min(F.transform("_matched", lambda p: F.struct(p["pos"].alias("pos"),
                                                                    p["region"].alias("region"))))
     return (cand.withColumn("_first", first)

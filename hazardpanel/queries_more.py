@@ -326,7 +326,8 @@ def _qbins(col):
     return f"""
 WITH e AS (SELECT list_distinct(quantile_cont({col}, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0])) AS edges
            FROM scored)
-SELECT s.*, CAST(greatest(len(list_filter(e.edges, lambda x: x < s.{col})) - 1, 0) AS INTEGER) AS bin
+SELECT s.*, CASE WHEN len(e.edges) < 2 THEN NULL
+                 ELSE CAST(greatest(len(list_filter(e.edges, lambda x: x < s.{col})) - 1, 0) AS INTEGER) END AS bin
 FROM scored s, e"""
 
 

@@ -35,7 +35,7 @@ from hazardpanel.operators.dedup import dedup_keep_first
 from hazardpanel.operators.joins import collect_bounded, dimension
 from hazardpanel.operators.panel import daily_region_agg
 from hazardpanel.operators.persistence import drop_recurring, with_grid
-from hazardpanel.operators.spatial import assign_region
+from hazardpanel.operators.spatial import assign_region, cell_index
 
 
 def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -57,8 +57,8 @@ class DetectionBatchWriter:
                  order=("pri", "event_id"), horizon_days: int = LOOKBACK_DAYS,
                  region_col: str = "wilaya_id"):
         self.root = root.rstrip("/")
-        self.edges = edges
-        self.codes = dim.select(region_col, "wilaya_code")
+        self.cells = cell_index(edges, region_col)   # built and size-checked once per query
+        self.codes = dimension(dim.select(region_col, "wilaya_code"))
         self.spots = spots
         self.order = list(order)
         self.horizon = horizon_days
@@ -100,7 +100,7 @@ class DetectionBatchWriter:
         _overwrite(fresh, self.dedup_path, "acq_date", "batch_id")
 
         typed = fresh.filter((F.col("type") == 0) | F.col("type").isNull())
-        placed = assign_region(typed, self.edges, region_col=self.region_col).drop("n_matches")
+        placed = assign_region(typed, None, region_col=self.region_col, cells=self.cells).drop("n_matches")
         enriched = drop_recurring(with_grid(placed.filter(F.col(self.region_col).isNotNull())), self.spots)
         _overwrite(enriched, self.enriched_path, "acq_date", "batch_id")
 
@@ -109,7 +109,7 @@ class DetectionBatchWriter:
             return
         rows = spark.read.parquet(self.enriched_path).filter(F.col("acq_date").isin(touched))
         daily = daily_region_agg(rows, (self.region_col,), "acq_date")
-        daily = daily.join(dimension(self.codes), self.region_col, "left")
+        daily = daily.join(self.codes, self.region_col, "left")
         _overwrite(daily.withColumn("acq_date", F.col("date")).drop("date"), self.daily_path, "acq_date")
 
 
