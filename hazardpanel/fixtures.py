@@ -53,9 +53,10 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     some again with priority 1 (near-real-time copy without ``type``).
     Users divisible by 5 sit on fixed spots (recurring sources)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    copies = ev.filter((F.col("event_id") % 7 == 0)
-                       | ((F.col("event_type") == "error") & (F.col("event_id") % 3 == 0)))
-    both = ev.withColumn("pri", F.lit(0)).unionByName(copies.withColumn("pri", F.lit(1)))
+    has_copy = (F.col("event_id") % 7 == 0) | ((F.col("event_type") == "error") & (F.col("event_id") % 3 == 0))
+    # one scan: each event emits priority 0, and priority 1 as well when it has a copy
+    both = ev.withColumn("pri", F.explode(F.when(has_copy, F.array(F.lit(0), F.lit(1)))
+                                           .otherwise(F.array(F.lit(0)))))
     return detections_from_events(both)
 
 

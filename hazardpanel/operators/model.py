@@ -149,3 +149,15 @@ def permutation_importance(model: PipelineModel, sample: DataFrame, label: str =
     return (per.groupBy("_f").agg(F.avg(F.lit(base) - F.col("roc_auc")).alias("importance"))
                .join(F.broadcast(names_df), "_f").select("feature", "importance")
                .orderBy(F.desc("importance"), "feature"))
+
+
+def save(model: PipelineModel, path: str, metrics: DataFrame | None = None) -> str:
+    """Persist the fitted pipeline and (optionally) its metrics table as JSON."""
+    model.write().overwrite().save(f"{path.rstrip('/')}/pipeline")
+    if metrics is not None:
+        metrics.write.mode("overwrite").json(f"{path.rstrip('/')}/metrics")
+    return path
+
+
+def load(path: str) -> PipelineModel:
+    return PipelineModel.load(f"{path.rstrip('/')}/pipeline")

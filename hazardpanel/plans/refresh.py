@@ -119,3 +119,43 @@ def write_rolling_archive(spark: SparkSession, path: str, new: DataFrame, as_of:
                                                   1_000_000, "archive partitions")]
     _drop_partitions(spark, path, "issued_date", [d for d in stored_dates if d < cutoff])
     return path
+
+
+def lookback_daily(points: DataFrame, edges: DataFrame, dim: DataFrame, spots: DataFrame,
+                   order=("pri", "event_id"), region_col: str = "wilaya_id") -> DataFrame:
+    """Daily aggregate of re-read detections: priority dedup, type filter,
+    polygon (first match), stored spot list, (region, day) totals."""
+    from hazardpanel.constants import DETECTION_KEY
+    from hazardpanel.operators.dedup import dedup_keep_first
+    from hazardpanel.operators.joins import dimension
+    from hazardpanel.operators.panel import daily_region_agg
+    from hazardpanel.operators.persistence import drop_recurring, with_grid
+    from hazardpanel.operators.spatial import assign_region
+    d = dedup_keep_first(points, DETECTION_KEY, list(order))
+    d = d.filter((F.col("type") == 0) | F.col("type").isNull())
+    placed = assign_region(d, edges, region_col=region_col).filter(F.col(region_col).isNotNull())
+    kept = drop_recurring(with_grid(placed), spots)
+    daily = daily_region_agg(kept, (region_col,), "acq_date")
+    return daily.join(dimension(dim.select(region_col, "wilaya_code")), region_col, "left").select(
+        region_col, "wilaya_code", "date", "nb_detections", "frp_total", "frp_max", "fire_detected")
+
+
+class RefreshResult:
+    def __init__(self, period_start, daily: DataFrame, panel: DataFrame):
+        self.period_start = period_start
+        self.daily = daily
+        self.panel = panel
+
+
+def daily_refresh(frozen: DataFrame, stored_daily: DataFrame, lookback_points: DataFrame,
+                  weather_current: DataFrame, edges: DataFrame, dim: DataFrame, spots: DataFrame,
+                  order=("pri", "event_id"), region_col: str = "wilaya_id") -> RefreshResult:
+    """The daily job: period boundary from the frozen table (H6), look-back
+    detections through polygon, type and stored-spot filters (H4, D1),
+    window replace of the stored daily table (H1) and the current-period
+    panel on the period's weather (H7)."""
+    period_start = next_period_start(frozen).first()[0]
+    new = lookback_daily(lookback_points, edges, dim, spots, order, region_col)
+    daily = window_replace(stored_daily, new, period_start=period_start)
+    base = weather_current.filter(F.col("date") >= F.lit(period_start))
+    return RefreshResult(period_start, daily, current_panel(base, daily, dim, region_col))

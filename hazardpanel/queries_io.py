@@ -231,35 +231,23 @@ def _refresh_inputs(spark, sf):
     return det, edges, dim, as_of
 
 
-def refresh_daily(points, edges, dim, spots, order):
-    """Look-back chain of the daily job: dedup, type, polygon, stored spots, daily."""
-    d = vegetation_or_unknown(dedup_keep_first(points, DETECTION_KEY, order))
-    a = assign_region(d, edges).filter(F.col("wilaya_id").isNotNull())
-    kept = drop_recurring(with_grid(a), spots)
-    from hazardpanel.operators.panel import daily_region_agg
-    from hazardpanel.operators.joins import dimension
-    daily = daily_region_agg(kept, ("wilaya_id",), "acq_date")
-    return daily.join(dimension(dim.select("wilaya_id", "wilaya_code")), "wilaya_id", "left").select(
-        "wilaya_id", "wilaya_code", "date", "nb_detections", "frp_total", "frp_max", "fire_detected")
-
-
 def _replaced(spark, sf):
     import datetime as dt
+    from hazardpanel.plans.refresh import daily_refresh, lookback_daily
     from hazardpanel.queries import q_fused_panel
     det, edges, dim, as_of = _refresh_inputs(spark, sf)
     frozen = q_fused_panel(spark, sf).filter(F.col("date") < F.lit(as_of - dt.timedelta(days=20)))
-    period_start = next_period_start(frozen).first()[0]
     spots = _stored_spots(spark, sf)
-    stored = refresh_daily(det.filter(F.col("pri") == 1), edges, dim, spots, ["event_id"]) \
-        .filter(F.col("date") >= F.lit(period_start))
-    new = refresh_daily(det.filter(F.col("acq_date") >= F.lit(as_of - dt.timedelta(days=14))),
-                        edges, dim, spots, ["pri", "event_id"])
-    return window_replace(stored, new, period_start=period_start), period_start, det, dim
+    # the stored current-year table of an earlier run: near-real-time copies only
+    stored = lookback_daily(det.filter(F.col("pri") == 1), edges, dim, spots, ["event_id"])
+    lookback = det.filter(F.col("acq_date") >= F.lit(as_of - dt.timedelta(days=14)))
+    weather = dense_grid(dim, "wilaya_id", det.select(F.col("acq_date").alias("date")))
+    return daily_refresh(frozen, stored, lookback, weather, edges, dim, spots)
 
 
 @register("window_replace", sql("SELECT * FROM replaced", "replaced"))
 def q_window_replace(spark, sf):
-    return _replaced(spark, sf)[0]
+    return _replaced(spark, sf).daily
 
 
 @register("daily_refresh", sql(f"""
@@ -271,10 +259,7 @@ FROM event_grid g LEFT JOIN replaced d ON d.wilaya_id = g.wilaya_id AND d.date =
 LEFT JOIN region_dim r ON r.wilaya_id = g.wilaya_id
 WHERE g.date >= (SELECT period_start FROM params)""", "event_grid", "replaced", "region_dim", "params"))
 def q_daily_refresh(spark, sf):
-    replaced, period_start, det, dim = _replaced(spark, sf)
-    days = det.select(F.col("acq_date").alias("date")).filter(F.col("date") >= F.lit(period_start))
-    base = dense_grid(dim, "wilaya_id", days)
-    return current_panel(base, replaced, dim)
+    return _replaced(spark, sf).panel
 
 
 @register("current_panel", sql("""

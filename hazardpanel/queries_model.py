@@ -3,7 +3,7 @@ metric, not by row)."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -59,10 +59,8 @@ def q_model_roundtrip(spark, sf):
     train, test = _split(spark, sf)
     model = ML.fit(train, V1, max_iter=MAX_ITER)
     root = scratch_path(spark, "model")
-    model.write().overwrite().save(f"{root}/pipeline")
-    scored = ML.score(model, test)
-    evaluate(scored, k=BUDGET).write.mode("overwrite").json(f"{root}/metrics")
-    loaded = PipelineModel.load(f"{root}/pipeline")
+    ML.save(model, root, evaluate(ML.score(model, test), k=BUDGET).withColumn("version", F.lit("v1")))
+    loaded = ML.load(root)
     return ML.score(loaded, test).select("wilaya_id", "date", "label", "proba")
 
 

@@ -42,3 +42,15 @@ def test_permutation_importance_ranks_signal_first(spark):
     imp = ML.permutation_importance(model, ML.seeded_sample(df, 800, ["wilaya_id", "date"]), repeats=2)
     top = imp.first()
     assert top.feature == "temp" and top.importance > 0.2
+
+
+def test_save_load_roundtrip(spark):
+    from hazardpanel.session import scratch_path
+    df = _toy(spark, 400)
+    model = ML.fit(df, ["temp", "noise"], max_iter=3)
+    path = scratch_path(spark, "test-model")
+    ML.save(model, path, spark.createDataFrame([("roc_auc", 1.0)], "metric string, value double"))
+    a = [r.proba for r in ML.score(model, df).orderBy("date", "wilaya_id").collect()]
+    b = [r.proba for r in ML.score(ML.load(path), df).orderBy("date", "wilaya_id").collect()]
+    assert a == b
+    assert spark.read.json(f"{path}/metrics").count() == 1

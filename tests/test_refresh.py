@@ -65,3 +65,17 @@ def test_partitioned_rolling_archive(spark):
     write_rolling_archive(spark, path, reissue.filter("arrival = 2"), D(2024, 1, 10), 60)
     got = sorted((r.issued_date, r.temperature_2m_max) for r in spark.read.parquet(path).collect())
     assert got == [(D(2024, 1, 1), 12.0), (D(2024, 3, 5), 20.0)]
+
+
+def test_year_partition_pruning_on_split(spark):
+    """Era filter / temporal split on a year-partitioned panel prunes partitions."""
+    from hazardpanel.operators.features import temporal_split
+    from hazardpanel.sources import sinks
+    rows = [(1, D(2010 + y, 6, 1), float(y)) for y in range(12)]
+    path = scratch_path(spark, "test-pruning")
+    sinks.write_parquet_by_year(spark.createDataFrame(rows, "wilaya_id int, date date, v double"), path)
+    panel = spark.read.parquet(path)
+    split = temporal_split(panel.filter(F.col("year") >= 2015), "2015-01-01", "2019-12-31", None)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
+    assert sorted(r.split for r in split.collect()).count("train") == 5
