@@ -156,3 +156,43 @@ def best_by(metrics: DataFrame, name_col: str, metric_col: str, tolerance: float
                    .filter(F.col(metric_col) >= F.col("_m") - F.lit(tolerance)))
     return near.agg(F.min_by(name_col, F.struct(simplicity_col, -F.col(metric_col))).alias(f"best_{name_col}"),
                     F.max(metric_col).alias(f"best_{metric_col}"))
+
+
+def rank_metrics(df: DataFrame, proba: str = "proba", label: str = "y", digits: int | None = None,
+                 pr_name: str = "pr_auc") -> DataFrame:
+    """ROC-AUC, average precision and Brier in one pass over the score groups.
+
+    With the probability as score, a group of ``p`` positives and ``n``
+    negatives at score ``s`` contributes ``p·(s-1)² + n·s²`` to the Brier sum.
+    """
+    r = _ranked(df, proba, label)
+    prec = F.col("cum_p").cast("double") / (F.col("cum_p") + F.col("cum_n")).cast("double")
+    s = F.col("_s").cast("double")
+    agg = r.agg(F.sum("p").alias("P"), F.sum("n").alias("N"),
+                F.sum(F.col("p") * (2 * F.col("cum_n") - F.col("n"))).alias("S"),
+                F.sum(F.col("p") * prec).alias("AP"),
+                F.sum(F.col("p") * F.pow(s - 1.0, 2) + F.col("n") * F.pow(s, 2)).alias("SQ"))
+    roc = ((2 * F.col("N") * F.col("P") - F.col("S")).cast("double")
+           / (2 * F.col("P") * F.col("N")).cast("double"))
+    ap = F.col("AP") / F.col("P").cast("double")
+    br = F.col("SQ") / (F.col("P") + F.col("N")).cast("double")
+    if digits is not None:
+        ap, br = round_half_even(ap, digits), round_half_even(br, digits)
+    return agg.select(roc.alias("roc_auc"), ap.alias(pr_name), br.alias("brier"))
+
+
+def side_by_side(*frames: DataFrame) -> DataFrame:
+    """Place one-row metric frames next to each other without a join.
+
+    Each frame is unpivoted to (metric, value), the pieces are unioned, and one
+    conditional aggregate turns them back into a single row (all doubles).
+    """
+    names: list[str] = []
+    longs = None
+    for df in frames:
+        cols = df.columns
+        names += cols
+        piece = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
+                  .unpivot([], cols, "metric", "value")
+        longs = piece if longs is None else longs.unionByName(piece)
+    return longs.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])

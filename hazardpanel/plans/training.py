@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazardpanel.functions.scalar import round_half_even
 from hazardpanel.operators import metrics as M
 
 
@@ -13,23 +14,11 @@ def score_variants(variants: dict[str, DataFrame], score: str = "s", label: str
     """One metrics row per scored variant: ROC-AUC, PR-AUC (AP), Brier."""
     rows = None
     for name, df in variants.items():
-        roc = M.roc_auc(df, score, label)
-        ap = M.average_precision(df, score, label, digits=digits, out="pr_auc")
-        br = M.brier(df, score, label, digits=digits)
-        one = _one_row(name, roc, ap, br)
+        one = M.rank_metrics(df, score, label, digits=digits).select(F.lit(name).alias("variant"), "*")
         rows = one if rows is None else rows.unionByName(one)
     return rows
 
 
-def _one_row(name: str, *single_rows: DataFrame) -> DataFrame:
-    """Glue one-row metric frames side by side on a constant key (1 x 1 joins)."""
-    out = None
-    for df in single_rows:
-        keyed = df.withColumn("variant", F.lit(name))
-        out = keyed if out is None else out.join(keyed, "variant")
-    return out
-
-
 def metric_delta(metrics: DataFrame, baseline_variant: str,
                  metric_cols=("roc_auc", "pr_auc", "brier")) -> DataFrame:
     """Long table of ``value - baseline`` per (variant, metric)."""
@@ -66,15 +55,11 @@ def evaluate(scored: DataFrame, label: str = "label", proba: str = "proba", day:
              k: int = 8, tiebreak: str = "wilaya_id", digits: int = 4) -> DataFrame:
     """ROC-AUC, PR-AUC, Brier and the daily alert budget, one row."""
     s = scored.select(F.col(label).alias("y"), F.col(proba).alias("p"), day, tiebreak)
-    roc = M.roc_auc(s, "p", "y", digits=digits)
-    ap = M.average_precision(s, "p", "y", digits=digits, out="pr_auc")
-    br = M.brier(s, "p", "y", digits=digits)
+    ranked = M.rank_metrics(s, "p", "y", digits=digits)
+    if digits is not None:
+        ranked = ranked.withColumn("roc_auc", round_half_even("roc_auc", digits))
     bud = M.alert_budget(s, day, "y", "p", k, tiebreak, digits=digits)
-    out = None
-    for df in (roc, ap, br, bud):
-        keyed = df.withColumn("_k", F.lit(1))
-        out = keyed if out is None else out.join(keyed, "_k")
-    return out.drop("_k")
+    return M.side_by_side(ranked, bud)
 
 
 def variant_grid(train: DataFrame, test: DataFrame, base_features, label: str = "label",
