@@ -85,9 +85,12 @@ class DetectionBatchWriter:
             batch.unpersist()
 
     def _process(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        lo = batch.agg(F.min("acq_date")).first()[0]
-        if lo is None:
+        # the batch's days: lower bound of the key check and the days to re-total
+        touched = sorted({r[0] for r in collect_bounded(batch.select("acq_date").distinct(), 100_000,
+                                                        "days in batch")})
+        if not touched:
             return
+        lo = touched[0]
         fresh = dedup_keep_first(batch, DETECTION_KEY, self.order)
         seen = _try_read(spark, self.dedup_path)
         if seen is not None:
@@ -104,9 +107,6 @@ class DetectionBatchWriter:
         enriched = drop_recurring(with_grid(placed.filter(F.col(self.region_col).isNotNull())), self.spots)
         _overwrite(enriched, self.enriched_path, "acq_date", "batch_id")
 
-        touched = sorted({r[0] for r in collect_bounded(fresh.select("acq_date").distinct(), 100_000, "touched days")})
-        if not touched:
-            return
         rows = spark.read.parquet(self.enriched_path).filter(F.col("acq_date").isin(touched))
         daily = daily_region_agg(rows, (self.region_col,), "acq_date")
         daily = daily.join(self.codes, self.region_col, "left")
