@@ -60,3 +60,24 @@ def test_bodies_rejected_and_layouts_by_header(spark):
     assert [(r.source, r.latitude, r.longitude, r.type) for r in rows] == [("a", 36.1, 3.2, 0), ("b", 36.4, 3.3, None)]
     audit = body_audit(bodies).first()
     assert (audit.accepted, audit.rejected) == (2, 2)
+
+
+def test_read_detections_by_header_name(spark):
+    from hazardpanel.sources.detections import read_detections
+    root = _local(scratch_path(spark, "test-feeds"))
+    os.makedirs(f"{root}/viirs", exist_ok=True)
+    os.makedirs(f"{root}/nrt", exist_ok=True)
+    with open(f"{root}/viirs/part.csv", "w") as f:
+        f.write("latitude,longitude,bright_ti4,scan,track,acq_date,acq_time,satellite,instrument,"
+                "confidence,version,bright_ti5,frp,daynight,type\n"
+                "36.5,4.1,330.2,0.4,0.4,2024-07-01,112,N,VIIRS,n,2.0NRT,290.1,7.5,D,0\n")
+    with open(f"{root}/nrt/part.csv", "w") as f:   # no `type`, columns in another order
+        f.write("acq_date,latitude,longitude,frp,satellite,acq_time,confidence\n"
+                "2024-07-02,36.6,4.2,3.25,N21,1301,h\n")
+    df = read_detections(spark, [(f"{root}/viirs", {"data_quality": "SP"}),
+                                 (f"{root}/nrt", {"data_quality": "NRT"}),
+                                 (f"{root}/missing", {"data_quality": "SP"})])
+    rows = sorted(df.collect(), key=lambda r: r.acq_date)
+    assert [(r.latitude, r.acq_time, r.confidence, r.type, r.frp, r.data_quality) for r in rows] == [
+        (36.5, 112, "n", 0, 7.5, "SP"), (36.6, 1301, "h", None, 3.25, "NRT")]
+    assert dict(df.dtypes)["acq_date"] == "date" and dict(df.dtypes)["type"] == "int"
