@@ -64,3 +64,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/hazardpanel/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(total_cores: int, input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized for a cluster run over ``input_bytes`` of raw feeds.
+
+    * scan splits of ``target_partition_bytes`` so a task's input fits easily
+      in executor memory;
+    * an initial shuffle width of max(4 x cores, input / target) so the first
+      exchange of the raw detections does not spill, which AQE then coalesces
+      towards the advisory size for the much smaller downstream stages;
+    * skew splitting above 4 x the advisory size (a hot cell, day or key);
+    * runtime broadcast of materialised join sides up to 64 MB.
+    """
+    width = max(4 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }

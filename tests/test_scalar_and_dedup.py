@@ -35,3 +35,10 @@ def test_map_or_fail_raises_on_unmapped(spark):
     with pytest.raises(Exception) as e:
         map_or_fail(names, "name", mapping, "name", "code").collect()
     assert "unmapped name: Z" in str(e.value)
+
+
+def test_scale_conf_widths():
+    from hazardpanel.session import scale_conf
+    c = scale_conf(8000, 100 << 40)          # 1000 executors x 8 cores, 100 TB
+    assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert int(scale_conf(8, 1 << 20)["spark.sql.shuffle.partitions"]) == 32
