@@ -2,10 +2,10 @@
 
 A window with ``orderBy`` but no ``partitionBy`` moves every row into one
 task.  Instead the ordered key is cut into buckets at approximate
-quantiles (computed once; a handful of doubles on the driver), each bucket
-sums its values (tiny table of bucket totals), bucket offsets come from a
-window over those few rows, and every bucket computes its local running
-sum in its own task.  Buckets are a pure function of the key, so the result
+quantiles (one bound per bucket reaches the driver), each bucket sums its
+values (a table of one row per bucket), bucket offsets come from a window
+over those rows, and every bucket computes its local running sum in its own
+task.  Buckets are a pure function of the key, so the result
 is exact and deterministic; the quantiles only balance the work.
 """
 
@@ -17,38 +17,56 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 100_000
+
+
 def _bucket_bounds(df: DataFrame, key: str, n_buckets: int) -> list:
     if n_buckets <= 1:
         return []
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.approxQuantile(key, probs, 0.001)
+    # rank error well below a bucket's share keeps every bucket near its target size
+    rel_err = min(0.001, 0.25 / n_buckets)
+    bounds = df.approxQuantile(key, probs, rel_err)
     return sorted(set(b for b in bounds if b is not None))
 
 
 def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
                    descending: bool = False, n_buckets: int | None = None,
-                   prefix: str = "cum_", materialize: bool = True) -> DataFrame:
+                   prefix: str = "cum_", materialize: bool = True,
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``cum_<v>`` = sum of ``v`` over all rows up to and including this one.
 
     ``order_col`` must be numeric and unique (pre-aggregate ties first).
     ``descending`` accumulates from the largest key down.  With
     ``materialize`` the input (typically an aggregate) is checkpointed once,
-    so the bound sampling, the bucket totals and the bucket-local sums scan
-    the stored result instead of each re-running the aggregation.
+    so counting, bound sampling, bucket totals and bucket-local sums scan the
+    stored result instead of each re-running the aggregation.
+
+    Buckets hold about ``rows_per_bucket`` rows each (the bound on what one
+    task sorts); keys are mapped to buckets by binary search (``Bucketizer``).
     """
-    spark = df.sparkSession
+    from pyspark.ml.feature import Bucketizer
+
     if materialize:
         df = df.checkpoint(eager=True)
     if n_buckets is None:
-        n_buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        rows = df.count()
+        n_buckets = max(1, min(MAX_BUCKETS, -(-rows // rows_per_bucket)))
     key = F.col(order_col).cast("double")
     keyed = df.withColumn("_k", -key if descending else key)
     bounds = _bucket_bounds(keyed, "_k", n_buckets)
     if bounds:
-        arr = F.array(*[F.lit(float(b)) for b in bounds])
-        keyed = keyed.withColumn("_b", F.size(F.filter(arr, lambda b: b < F.col("_k"))))
+        splits = [float("-inf")] + [float(b) for b in bounds] + [float("inf")]
+        keyed = Bucketizer(splits=splits, inputCol="_k", outputCol="_bf").transform(keyed) \
+            .withColumn("_b", F.col("_bf").cast("int")).drop("_bf")
     else:
-        keyed = keyed.withColumn("_b", F.lit(0))
+        # one bucket (at most ``rows_per_bucket`` rows): no offsets to add
+        local = Window.partitionBy(F.lit(0)).orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
+        out = keyed
+        for v in value_cols:
+            out = out.withColumn(f"{prefix}{v}", F.sum(v).over(local))
+        return out.drop("_k")
     totals = keyed.groupBy("_b").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_b", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}")
