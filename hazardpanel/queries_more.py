@@ -261,9 +261,9 @@ def q_window_plan(spark, sf):
 
 @register("sorted_panel", sql("SELECT * FROM weather_panel ORDER BY wilaya_id, date", "weather_panel"))
 def q_sorted_panel(spark, sf):
-    wp = fx.weather_panel(spark, sf)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return wp.repartitionByRange(n, "wilaya_id", "date").sortWithinPartitions("wilaya_id", "date")
+    # no explicit partition count: AQE coalesces the range partitions to the advisory size
+    return fx.weather_panel(spark, sf).repartitionByRange("wilaya_id", "date") \
+        .sortWithinPartitions("wilaya_id", "date")
 
 
 # ---------------------------------------------------------------- forecast archive
