@@ -223,6 +223,10 @@ def q_spot_anti_join_static(spark, sf):
 
 
 # ---------------------------------------------------------------- refresh
+def _calendar(det, dim):
+    return dense_grid(dim, "wilaya_id", det.select(F.col("acq_date").alias("date")))
+
+
 def _refresh_inputs(spark, sf):
     det = fx.detections(spark, sf)
     edges = fx.edges(spark, sf)
@@ -234,15 +238,14 @@ def _refresh_inputs(spark, sf):
 def _replaced(spark, sf):
     import datetime as dt
     from hazardpanel.plans.refresh import daily_refresh, lookback_daily
-    from hazardpanel.queries import q_fused_panel
     det, edges, dim, as_of = _refresh_inputs(spark, sf)
-    frozen = q_fused_panel(spark, sf).filter(F.col("date") < F.lit(as_of - dt.timedelta(days=20)))
+    # the frozen history: panel rows (region x day) before the cut
+    frozen = _calendar(det, dim).filter(F.col("date") < F.lit(as_of - dt.timedelta(days=20)))
     spots = _stored_spots(spark, sf)
     # the stored current-year table of an earlier run: near-real-time copies only
     stored = lookback_daily(det.filter(F.col("pri") == 1), edges, dim, spots, ["event_id"])
     lookback = det.filter(F.col("acq_date") >= F.lit(as_of - dt.timedelta(days=14)))
-    weather = dense_grid(dim, "wilaya_id", det.select(F.col("acq_date").alias("date")))
-    return daily_refresh(frozen, stored, lookback, weather, edges, dim, spots)
+    return daily_refresh(frozen, stored, lookback, _calendar(det, dim), edges, dim, spots)
 
 
 @register("window_replace", sql("SELECT * FROM replaced", "replaced"))
@@ -266,9 +269,8 @@ def q_daily_refresh(spark, sf):
 SELECT * FROM panel WHERE date >= (SELECT period_start FROM params)""", "panel", "params"))
 def q_current_panel(spark, sf):
     import datetime as dt
-    from hazardpanel.queries import q_fused_panel
     det, edges, dim, as_of = _refresh_inputs(spark, sf)
-    frozen = q_fused_panel(spark, sf).filter(F.col("date") < F.lit(as_of - dt.timedelta(days=20)))
+    frozen = _calendar(det, dim).filter(F.col("date") < F.lit(as_of - dt.timedelta(days=20)))
     period_start = next_period_start(frozen).first()[0]
     ch = detection_chain(det, edges, dim)
     days = det.select(F.col("acq_date").alias("date")).filter(F.col("date") >= F.lit(period_start))
