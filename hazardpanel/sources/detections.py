@@ -68,8 +68,9 @@ def read_detections(spark: SparkSession, sources: Iterable[tuple[str, dict]],
 
 
 def scan_glob(spark: SparkSession, pattern: str, schema: T.StructType = DETECTION_CSV,
-              source_regex: str = r"firms_([^/]+)/", file_glob: str = "*.csv") -> DataFrame:
-    """All feeds matching a directory glob; the source name comes from the file path."""
+              source_regex: str = r"([^/]+)/[^/]+$", file_glob: str = "*.csv") -> DataFrame:
+    """All feeds matching a directory glob; the source name comes from the file
+    path (by default the name of the folder holding the file)."""
     raw = (spark.read.option("header", True).option("inferSchema", False)
            .option("pathGlobFilter", file_glob).csv(pattern))
     src = F.lower(F.regexp_extract(F.col("_metadata.file_path"), source_regex, 1))
