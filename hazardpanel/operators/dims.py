@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazardpanel.constants import NON_FOREST_REGIONS, OFFICIAL_REGION_CODES
 from hazardpanel.operators.joins import dimension
 from hazardpanel.operators.prefix import row_numbers
 
@@ -28,7 +29,13 @@ def map_or_fail(df: DataFrame, name_col: str, mapping: DataFrame, key_col: str,
     return j.withColumn(out, checked).drop("_key", "_val")
 
 
-def flag_not_in(df: DataFrame, col: str, names: Sequence[str], out: str = "is_forest_zone") -> DataFrame:
+def official_code_mapping(spark) -> DataFrame:
+    """The published name → two-digit code table (58 rows) as a DataFrame."""
+    return spark.createDataFrame(OFFICIAL_REGION_CODES, "name string, code string")
+
+
+def flag_not_in(df: DataFrame, col: str, names: Sequence[str] = tuple(NON_FOREST_REGIONS),
+                out: str = "is_forest_zone") -> DataFrame:
     """Negative membership flag (a null name is flagged false)."""
     return df.withColumn(out, F.coalesce(~F.col(col).isin(*list(names)), F.lit(False)))
 

@@ -42,3 +42,14 @@ def test_scale_conf_widths():
     c = scale_conf(8000, 100 << 40)          # 1000 executors x 8 cores, 100 TB
     assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert int(scale_conf(8, 1 << 20)["spark.sql.shuffle.partitions"]) == 32
+
+
+def test_official_mapping_and_default_flag(spark):
+    from hazardpanel.operators.dims import flag_not_in, official_code_mapping
+    mapping = official_code_mapping(spark)
+    assert mapping.count() == 58 and mapping.select("code").distinct().count() == 58
+    names = mapping.select(F.col("name").alias("wilaya_name"))
+    flagged = flag_not_in(names, "wilaya_name")
+    assert flagged.filter("is_forest_zone").count() == 36
+    coded = map_or_fail(names, "wilaya_name", mapping, "name", "code", "wilaya_code")
+    assert coded.filter(F.length("wilaya_code") == 2).count() == 58
