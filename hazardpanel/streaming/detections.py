@@ -8,9 +8,9 @@ Source: a file stream of landed detection batches.  Event time is cast to
 
 1. priority dedup on the natural key inside the micro-batch
    (``min_by`` on (priority, id): deterministic, unlike arrival order);
-2. anti join against keys already stored within the watermark horizon
-   (the dedup sink is partitioned by date, so only recent partitions are
-   read);
+2. anti join against keys stored by earlier batches on the batch's days
+   (the dedup sink is partitioned by date: a broadcast semi join on the
+   batch's days prunes the read to those partitions);
 3. enrichment with the static polygon cells and the stored spot list
    (stream–static joins), type filter;
 4. recompute of the daily aggregate for the touched days only, from the
@@ -19,6 +19,8 @@ Source: a file stream of landed detection batches.  Event time is cast to
 Every write replaces partitions keyed by ``batch_id`` or by date, so a
 retried micro-batch (executor lost, driver restart) rewrites the same
 partitions: the sinks stay exactly-once under the streaming checkpoint.
+Intermediate results are only ``persist``ed: recomputing them after a lost
+executor reads partitions that no write of this batch touches.
 """
 
 from __future__ import annotations
@@ -85,29 +87,30 @@ class DetectionBatchWriter:
             batch.unpersist()
 
     def _process(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        # the batch's days: lower bound of the key check and the days to re-total
-        touched = sorted({r[0] for r in collect_bounded(batch.select("acq_date").distinct(), 100_000,
-                                                        "days in batch")})
-        if not touched:
+        if batch.isEmpty():
             return
-        lo = touched[0]
+        # the batch's days (few rows): prune every sink read to them by a
+        # broadcast semi join, which Spark turns into partition pruning
+        days = dimension(batch.select("acq_date").distinct(), 100_000)
         fresh = dedup_keep_first(batch, DETECTION_KEY, self.order)
         seen = _try_read(spark, self.dedup_path)
         if seen is not None:
-            recent = seen.filter((F.col("acq_date") >= F.lit(lo - dt.timedelta(days=self.horizon)))
-                                 & (F.col("batch_id") != batch_id))
+            # keys of earlier batches on the same days (the key contains the day);
+            # this batch's own partitions are excluded, so a retried batch is
+            # checked against exactly the same set
+            recent = seen.filter(F.col("batch_id") != batch_id).join(days, "acq_date", "left_semi")
             fresh = fresh.join(recent.select(*DETECTION_KEY), DETECTION_KEY, "left_anti")
-        # reliable checkpoint: cuts the read of the dedup sink out of the plan
-        # (it is overwritten below) and survives executor loss
-        fresh = fresh.withColumn("batch_id", F.lit(batch_id)).checkpoint(eager=True)
-        _overwrite(fresh, self.dedup_path, "acq_date", "batch_id")
-
-        typed = fresh.filter((F.col("type") == 0) | F.col("type").isNull())
-        placed = assign_region(typed, None, region_col=self.region_col, cells=self.cells).drop("n_matches")
-        enriched = drop_recurring(with_grid(placed.filter(F.col(self.region_col).isNotNull())), self.spots)
-        _overwrite(enriched, self.enriched_path, "acq_date", "batch_id")
-
-        rows = spark.read.parquet(self.enriched_path).filter(F.col("acq_date").isin(touched))
+        # dynamic overwrite replaces only this batch's partitions, never the ones read above
+        fresh = fresh.withColumn("batch_id", F.lit(batch_id)).persist()
+        try:
+            _overwrite(fresh, self.dedup_path, "acq_date", "batch_id")
+            typed = fresh.filter((F.col("type") == 0) | F.col("type").isNull())
+            placed = assign_region(typed, None, region_col=self.region_col, cells=self.cells).drop("n_matches")
+            enriched = drop_recurring(with_grid(placed.filter(F.col(self.region_col).isNotNull())), self.spots)
+            _overwrite(enriched, self.enriched_path, "acq_date", "batch_id")
+        finally:
+            fresh.unpersist()
+        rows = spark.read.parquet(self.enriched_path).join(days, "acq_date", "left_semi")
         daily = daily_region_agg(rows, (self.region_col,), "acq_date")
         daily = daily.join(self.codes, self.region_col, "left")
         _overwrite(daily.withColumn("acq_date", F.col("date")).drop("date"), self.daily_path, "acq_date")

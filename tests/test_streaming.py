@@ -26,3 +26,35 @@ def test_late_rows_beyond_watermark_are_dropped(spark):
         run_available_now(stream, sink, f"{root}/checkpoint", output_mode="update")
     got = sorted((r.day.day, r.n_events) for r in spark.read.parquet(sink.path).collect())
     assert got == [(18, 1), (20, 1), (25, 1), (30, 1)]
+
+
+def test_retried_batch_is_idempotent(spark):
+    from pyspark.sql import functions as F
+
+    from hazardpanel import fixtures as fx
+    from hazardpanel.operators.persistence import recurring_spot_table
+    from hazardpanel.streaming.detections import DetectionBatchWriter, read_daily
+    from tests.conftest import SF_SMALL
+
+    det = fx.detections(spark, SF_SMALL).filter(F.col("pri") == 0)
+    spots = recurring_spot_table(fx.detections(spark, SF_SMALL))
+    sink = DetectionBatchWriter(scratch_path(spark, "test-retry"), fx.edges(spark, SF_SMALL),
+                                fx.region_dim(spark, SF_SMALL), spots)
+    first = det.filter(F.col("event_id") < 600)
+    second = det.filter(F.col("event_id") >= 500)        # re-sends ids 500..599
+
+    def snapshot():
+        d = spark.read.parquet(sink.dedup_path).count()
+        e = spark.read.parquet(sink.enriched_path).count()
+        a = sorted(tuple(r) for r in read_daily(spark, sink.daily_path)
+                   .select("wilaya_id", "date", "nb_detections", "frp_total").collect())
+        return d, e, a
+
+    sink(first, 0)
+    once = snapshot()
+    sink(first, 0)                                       # retry of batch 0
+    assert snapshot() == once
+    sink(second, 1)
+    sink(second, 1)                                      # retry of batch 1
+    final = snapshot()
+    assert final[0] == det.dropDuplicates(["latitude", "longitude", "acq_date", "acq_time", "satellite"]).count()
