@@ -10,9 +10,6 @@ from hazardpanel.fixtures import FIXTURE_NON_FOREST
 
 _NON_FOREST = ", ".join(f"'{n}'" for n in FIXTURE_NON_FOREST)
 
-RD = "round_even({x}*100, 0)/100"
-
-
 def rd(x: str, digits: int = 2) -> str:
     scale = f"1e{digits}"
     return f"round_even(({x})*{scale}, 0)/{scale}"

@@ -17,9 +17,8 @@ from hazardpanel import fixtures as fx
 from hazardpanel.constants import DETECTION_KEY
 from hazardpanel.oracle import rd, sql
 from hazardpanel.operators.dedup import dedup_keep_first
-from hazardpanel.operators.panel import (daily_region_agg, dense_grid, fixed_layout, fuse_panel,
-                                         panel_summary, top_regions)
-from hazardpanel.operators.persistence import drop_recurring, persistent_cells, with_grid
+from hazardpanel.operators.panel import dense_grid, fuse_panel, panel_summary, top_regions
+from hazardpanel.operators.persistence import drop_recurring, with_grid
 from hazardpanel.operators.spatial import assign_all_regions, assign_region
 from hazardpanel.plans.rebuild import (build_panel, detection_chain, forest_panel,
                                        vegetation_or_unknown, vegetation_strict)

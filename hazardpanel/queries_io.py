@@ -7,14 +7,12 @@ from pyspark.sql import types as T
 
 from hazardpanel import fixtures as fx
 from hazardpanel import landing
-from hazardpanel.constants import DETECTION_KEY
-from hazardpanel.operators.dedup import dedup_keep_first
-from hazardpanel.operators.panel import dense_grid, fixed_layout, fuse_panel
-from hazardpanel.operators.persistence import drop_recurring, recurring_spot_table, with_grid
-from hazardpanel.operators.spatial import assign_region, polygon_measures
+from hazardpanel.operators.panel import dense_grid
+from hazardpanel.operators.persistence import drop_recurring, recurring_spot_table
+from hazardpanel.operators.spatial import polygon_measures
 from hazardpanel.oracle import VIEWS, rd, sql
-from hazardpanel.plans.rebuild import detection_chain, vegetation_or_unknown
-from hazardpanel.plans.refresh import current_panel, next_period_start, window_replace
+from hazardpanel.plans.rebuild import detection_chain
+from hazardpanel.plans.refresh import current_panel, next_period_start
 from hazardpanel.queries import DET_COLS, register
 from hazardpanel.queries_more import FIX_FROZEN_END
 from hazardpanel.schemas import DETECTION_CSV, RECURRING_SPOTS

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hazardpanel.schemas import FEATURE_COLLECTION, POLYGON_FEATURE
 
@@ -83,6 +82,3 @@ def write_features(features_json: DataFrame, path: str) -> str:
     features_json.orderBy("pos").select("json").write.mode("overwrite").text(path)
     return path
 
-
-def schema_of_polygon() -> T.StructType:
-    return POLYGON_FEATURE
