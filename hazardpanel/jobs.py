@@ -1,6 +1,7 @@
 """Job entry points (``spark-submit -m``-style): one per panel workflow.
 
     python -m hazardpanel.jobs regions  --polygons P.geojson --out DIR
+    python -m hazardpanel.jobs weather  --payloads DIR ... --regions DIR --out DIR
     python -m hazardpanel.jobs rebuild  --feed PATH=QUALITY ... --regions DIR --weather DIR --out DIR
     python -m hazardpanel.jobs spots    --feeds-glob GLOB --out DIR
     python -m hazardpanel.jobs refresh  --frozen DIR --stored-daily DIR --feed PATH=QUALITY ...
@@ -39,6 +40,18 @@ def _feeds(spark: SparkSession, specs) -> DataFrame:
     return det.withColumn("event_id", F.monotonically_increasing_id())
 
 
+def job_weather(spark: SparkSession, payloads, regions: str, out: str, batch_size: int = 29) -> DataFrame:
+    """Weather table from landed payload folders (priority order), with the
+    per-year coverage report (regions present / regions in the dimension)."""
+    from hazardpanel.sources.payload import coverage, weather_table
+    dim = spark.read.parquet(f"{regions}/regions")
+    table = weather_table(payloads, dim, spark, batch_size)
+    sinks.write_parquet_by_year(table, f"{out}/weather")
+    landed = spark.read.parquet(f"{out}/weather")
+    coverage(landed, dim, "wilaya_id", ["year"]).write.mode("overwrite").parquet(f"{out}/coverage")
+    return table
+
+
 def job_regions(spark: SparkSession, polygons: str, out: str) -> DataFrame:
     dim, edges = build_region_dim(read_features(spark, polygons), official_code_mapping(spark))
     dim.write.mode("overwrite").parquet(f"{out}/regions")
@@ -97,6 +110,9 @@ def main(argv=None) -> None:
     b = sub.add_parser("rebuild"); b.add_argument("--feed", action="append", required=True)
     b.add_argument("--regions", required=True); b.add_argument("--weather", required=True)
     b.add_argument("--out", required=True); b.add_argument("--threshold", type=int, default=PERSISTENCE_THRESHOLD_DAYS)
+    w = sub.add_parser("weather"); w.add_argument("--payloads", action="append", required=True)
+    w.add_argument("--regions", required=True); w.add_argument("--out", required=True)
+    w.add_argument("--batch-size", type=int, default=29)
     c = sub.add_parser("spots"); c.add_argument("--feeds-glob", required=True); c.add_argument("--out", required=True)
     d = sub.add_parser("refresh")
     for k in ("frozen", "stored-daily", "weather", "regions", "spots", "out"):
@@ -112,6 +128,8 @@ def main(argv=None) -> None:
         job_regions(spark, args.polygons, args.out)
     elif args.job == "rebuild":
         job_rebuild(spark, args.feed, args.regions, args.weather, args.out, args.threshold)
+    elif args.job == "weather":
+        job_weather(spark, args.payloads, args.regions, args.out, args.batch_size)
     elif args.job == "spots":
         job_spots(spark, args.feeds_glob, args.out)
     elif args.job == "refresh":

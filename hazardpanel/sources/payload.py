@@ -54,3 +54,46 @@ def coverage(landed: DataFrame, dim: DataFrame, key: str, by: Sequence[str] = ()
     agg = landed.groupBy(*by).agg(F.countDistinct(key).alias("n_covered")) if by else \
         landed.agg(F.countDistinct(key).alias("n_covered"))
     return agg.withColumn("n_total", F.lit(total).cast("long"))
+
+
+def requests_from_dim(dim: DataFrame, batch_size: int = 29, id_col: str = "wilaya_id") -> DataFrame:
+    """Request layout: regions in id order, ``batch_size`` per request; a
+    response list answers its batch by position.  The dimension is bounded
+    (checked), so numbering it with one window is safe."""
+    from pyspark.sql import Window
+
+    from hazardpanel.operators.joins import collect_bounded
+    collect_bounded(dim.select(id_col), 1_000_000, "regions")
+    rn = F.row_number().over(Window.orderBy(id_col)) - 1
+    return dim.select(id_col).withColumn("_rn", rn).select(
+        id_col, (F.col("_rn") / batch_size).cast("int").alias("batch"),
+        (F.col("_rn") % batch_size).cast("int").alias("pos"))
+
+
+def weather_table(sources, dim: DataFrame, spark, batch_size: int = 29,
+                  variables=None, id_col: str = "wilaya_id") -> DataFrame:
+    """Weather rows (region, date, variables) from several landed payload sets.
+
+    ``sources`` lists payload folders in priority order; every folder holds
+    bodies under ``batch=<k>/`` answering ``requests_from_dim``.  Periods may
+    overlap: rows are unioned and deduplicated on (region, date), first
+    source wins (map-side combined ``min_by``).
+    """
+    from hazardpanel.constants import WEATHER_VARS
+    from hazardpanel.operators.dedup import dedup_keep_first
+    from hazardpanel.schemas import weather_payload_schema
+
+    variables = list(variables or WEATHER_VARS)
+    element = weather_payload_schema(variables)
+    req = requests_from_dim(dim, batch_size, id_col)
+    frames = []
+    for prio, path in enumerate(sources):
+        rows = payload_to_rows(read_payloads(spark, path), req, element, variables)
+        frames.append(rows.select(id_col, F.to_date("time").alias("date"), *variables)
+                      .withColumn("_src", F.lit(prio)))
+    union = frames[0]
+    for f in frames[1:]:
+        union = union.unionByName(f)
+    out = dedup_keep_first(union, [id_col, "date"], ["_src"]).drop("_src")
+    return out.join(dimension(dim.select(id_col, "wilaya_code")), id_col, "left") \
+        if "wilaya_code" in dim.columns else out

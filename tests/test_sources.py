@@ -81,3 +81,30 @@ def test_read_detections_by_header_name(spark):
     assert [(r.latitude, r.acq_time, r.confidence, r.type, r.frp, r.data_quality) for r in rows] == [
         (36.5, 112, "n", 0, 7.5, "SP"), (36.6, 1301, "h", None, 3.25, "NRT")]
     assert dict(df.dtypes)["acq_date"] == "date" and dict(df.dtypes)["type"] == "int"
+
+
+def test_weather_table_priority_and_batches(spark):
+    from hazardpanel.sources.payload import requests_from_dim, weather_table
+    root = _local(scratch_path(spark, "test-weather"))
+    dim = spark.createDataFrame([(i, f"{i:02d}") for i in range(1, 6)], "wilaya_id int, wilaya_code string")
+    req = {(r.batch, r.pos): r.wilaya_id for r in requests_from_dim(dim, 2).collect()}
+    assert req == {(0, 0): 1, (0, 1): 2, (1, 0): 3, (1, 1): 4, (2, 0): 5}
+
+    def body(ids, days, base):
+        objs = []
+        for i in ids:
+            daily = {"time": days}
+            daily.update({v: [base + i] * len(days) for v in WEATHER_VARS})
+            objs.append({"daily": daily})
+        return json.dumps(objs if len(objs) > 1 else objs[0])
+
+    for name, days, base in (("hist", ["2024-01-01", "2024-01-02"], 100.0), ("cur", ["2024-01-02", "2024-01-03"], 200.0)):
+        for batch, ids in ((0, [1, 2]), (1, [3, 4]), (2, [5])):
+            os.makedirs(f"{root}/{name}/batch={batch}", exist_ok=True)
+            with open(f"{root}/{name}/batch={batch}/part.txt", "w") as f:
+                f.write(body(ids, days, base) + "\n")
+    t = weather_table([f"{root}/hist", f"{root}/cur"], dim, spark, batch_size=2)
+    got = {(r.wilaya_id, r.date.isoformat()): r.rain_sum for r in t.collect()}
+    assert len(got) == 15
+    assert got[(3, "2024-01-02")] == 103.0       # overlap: the first source wins
+    assert got[(5, "2024-01-03")] == 205.0
