@@ -6,7 +6,8 @@
     python -m hazardpanel.jobs spots    --feeds-glob GLOB --out DIR
     python -m hazardpanel.jobs refresh  --frozen DIR --stored-daily DIR --feed PATH=QUALITY ...
                                         --weather DIR --regions DIR --spots DIR --out DIR
-    python -m hazardpanel.jobs train    --panel DIR --out DIR [--max-iter N]
+    python -m hazardpanel.jobs train    --panel DIR --out DIR [--max-iter N] [--dryness]
+    python -m hazardpanel.jobs archive  --forecasts DIR --regions DIR --archive DIR --as-of YYYY-MM-DD
 
 Every job reads declared schemas, writes Parquet below ``--out`` and keeps
 all heavy work on the cluster; the session settings come from
@@ -20,7 +21,8 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardpanel.constants import ERA_START, PERSISTENCE_THRESHOLD_DAYS, STATIC_FEATURES, TRAIN_END, WEATHER_VARS
+from hazardpanel.constants import (COVERAGE_START, ERA_START, FORECAST_RETENTION_DAYS, PERSISTENCE_THRESHOLD_DAYS,
+                                   STATIC_FEATURES, TRAIN_END, WEATHER_VARS)
 from hazardpanel.operators.dims import official_code_mapping
 from hazardpanel.plans.rebuild import build_panel, forest_panel, refresh_spot_list
 from hazardpanel.plans.refresh import daily_refresh
@@ -60,12 +62,18 @@ def job_regions(spark: SparkSession, polygons: str, out: str) -> DataFrame:
 
 
 def job_rebuild(spark: SparkSession, feeds, regions: str, weather: str, out: str,
-                threshold: int = PERSISTENCE_THRESHOLD_DAYS) -> DataFrame:
+                threshold: int = PERSISTENCE_THRESHOLD_DAYS, strict: bool = False,
+                coverage: bool = True) -> DataFrame:
+    """Full panel (``strict``: type 0 only, the first-generation rule;
+    ``coverage=False``: no coverage flag column)."""
     det = _feeds(spark, feeds)
     dim = spark.read.parquet(f"{regions}/regions")
     edges = spark.read.parquet(f"{regions}/edges")
     base = spark.read.parquet(weather)
-    panel = build_panel(det, edges, base, dim, threshold=threshold)
+    if "year" in base.columns:
+        base = base.drop("year")
+    panel = build_panel(det, edges, base, dim, threshold=threshold, strict_type=strict,
+                        coverage_start=COVERAGE_START if coverage else None)
     sinks.write_parquet_by_year(panel, f"{out}/panel")
     sinks.write_parquet_by_year(forest_panel(spark.read.parquet(f"{out}/panel").drop("year")),
                                 f"{out}/forest_panel")
@@ -89,20 +97,49 @@ def job_refresh(spark: SparkSession, frozen: str, stored_daily: str, feeds, weat
 
 
 def job_train(spark: SparkSession, panel: str, out: str, max_iter: int = 400,
-              era_start: str = ERA_START, train_end: str = TRAIN_END):
+              era_start: str = ERA_START, train_end: str = TRAIN_END, dryness: bool = False,
+              importance_rows: int = 8000, repeats: int = 5):
+    """Variant grid (± weekday, ± balanced weights) on the v1 features (or v2
+    with ``dryness``), best variant by PR-AUC, its calibration table and
+    permutation importance on a seeded test sample, all written below ``out``."""
+    from hazardpanel.operators import metrics as M
     from hazardpanel.operators import model as ML
-    from hazardpanel.plans.training import SEASON_FEATURES, model_table, variant_grid
+    from hazardpanel.plans.training import DRYNESS, SEASON_FEATURES, model_table, variant_grid
     p = spark.read.parquet(panel).withColumnRenamed("fire_detected", "label")
+    if "year" in p.columns:
+        p = p.drop("year")
     table = model_table(p, "precipitation_sum", "temperature_2m_max", "et0_fao_evapotranspiration",
                         era_start, train_end, coverage_col="fire_data_coverage")
     train, test = table.filter(F.col("split") == "train"), table.filter(F.col("split") == "test")
-    feats = WEATHER_VARS + STATIC_FEATURES + SEASON_FEATURES
+    feats = WEATHER_VARS + (DRYNESS if dryness else []) + STATIC_FEATURES + SEASON_FEATURES
     metrics, models = variant_grid(train, test, feats, max_iter=max_iter)
     metrics.write.mode("overwrite").json(f"{out}/variant_metrics")
-    ML.save(models["A_ref"], f"{out}/model_v1")
+    best = M.best_by(spark.read.json(f"{out}/variant_metrics"), "variant", "pr_auc").first()["best_variant"]
+    model = models[best]
+    ML.save(model, f"{out}/model", spark.createDataFrame([(best,)], "variant string"))
+    scored = ML.score(model, test)
+    M.calibration_table(scored.withColumnRenamed("label", "y"), "proba", "y").write.mode("overwrite") \
+        .json(f"{out}/calibration")
+    sample = ML.seeded_sample(test, importance_rows, ["wilaya_id", "date"])
+    ML.permutation_importance(model, sample, repeats=repeats).write.mode("overwrite").json(f"{out}/importance")
     return metrics
 
 
+def job_archive(spark: SparkSession, forecasts: str, regions: str, archive: str, as_of: str,
+                batch_size: int = 29, retention_days: int = FORECAST_RETENTION_DAYS) -> str:
+    """Append today's 7-day forecast payloads to the rolling archive (keep the
+    last issue per key, drop issues older than the retention)."""
+    import datetime as dt
+
+    from hazardpanel.plans.refresh import write_rolling_archive
+    from hazardpanel.sources.payload import weather_table
+    issued = dt.date.fromisoformat(as_of)
+    dim = spark.read.parquet(f"{regions}/regions").select("wilaya_id")
+    rows = weather_table([forecasts], dim, spark, batch_size).withColumnRenamed("date", "target_date")
+    new = rows.withColumn("issued_date", F.lit(issued)).withColumn("arrival", F.unix_micros(F.current_timestamp()))
+    return write_rolling_archive(spark, archive, new, issued, retention_days)
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="hazardpanel.jobs")
     sub = ap.add_subparsers(dest="job", required=True)
@@ -110,6 +147,7 @@ def main(argv=None) -> None:
     b = sub.add_parser("rebuild"); b.add_argument("--feed", action="append", required=True)
     b.add_argument("--regions", required=True); b.add_argument("--weather", required=True)
     b.add_argument("--out", required=True); b.add_argument("--threshold", type=int, default=PERSISTENCE_THRESHOLD_DAYS)
+    b.add_argument("--strict", action="store_true"); b.add_argument("--no-coverage", action="store_true")
     w = sub.add_parser("weather"); w.add_argument("--payloads", action="append", required=True)
     w.add_argument("--regions", required=True); w.add_argument("--out", required=True)
     w.add_argument("--batch-size", type=int, default=29)
@@ -119,7 +157,10 @@ def main(argv=None) -> None:
         d.add_argument(f"--{k}", required=True)
     d.add_argument("--feed", action="append", required=True)
     e = sub.add_parser("train"); e.add_argument("--panel", required=True); e.add_argument("--out", required=True)
-    e.add_argument("--max-iter", type=int, default=400)
+    e.add_argument("--max-iter", type=int, default=400); e.add_argument("--dryness", action="store_true")
+    h = sub.add_parser("archive"); h.add_argument("--forecasts", required=True)
+    h.add_argument("--regions", required=True); h.add_argument("--archive", required=True)
+    h.add_argument("--as-of", required=True)
     args = ap.parse_args(argv)
 
     from hazardpanel.session import get_session
@@ -127,7 +168,8 @@ def main(argv=None) -> None:
     if args.job == "regions":
         job_regions(spark, args.polygons, args.out)
     elif args.job == "rebuild":
-        job_rebuild(spark, args.feed, args.regions, args.weather, args.out, args.threshold)
+        job_rebuild(spark, args.feed, args.regions, args.weather, args.out, args.threshold,
+                    strict=args.strict, coverage=not args.no_coverage)
     elif args.job == "weather":
         job_weather(spark, args.payloads, args.regions, args.out, args.batch_size)
     elif args.job == "spots":
@@ -136,7 +178,9 @@ def main(argv=None) -> None:
         job_refresh(spark, args.frozen, args.stored_daily, args.feed, args.weather, args.regions,
                     args.spots, args.out)
     elif args.job == "train":
-        job_train(spark, args.panel, args.out, args.max_iter)
+        job_train(spark, args.panel, args.out, args.max_iter, dryness=args.dryness)
+    elif args.job == "archive":
+        job_archive(spark, args.forecasts, args.regions, args.archive, args.as_of)
 
 
 if __name__ == "__main__":

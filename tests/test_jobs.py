@@ -73,6 +73,39 @@ def test_jobs_end_to_end(spark):
     assert cur.filter(~F.col("fire_data_coverage")).count() == 0
 
     metrics = jobs.job_train(spark, f"{root}/out/panel", f"{root}/model", max_iter=3,
-                             era_start="2024-01-01", train_end="2024-01-20")
+                             era_start="2024-01-01", train_end="2024-01-20", dryness=True,
+                             importance_rows=500, repeats=2)
     assert sorted(r.variant for r in metrics.collect()) == ["A_ref", "B_dow", "C_balanced", "D_dow_balanced"]
-    assert os.path.isdir(f"{root}/model/model_v1/pipeline")
+    assert os.path.isdir(f"{root}/model/model/pipeline")
+    assert spark.read.json(f"{root}/model/importance").count() > 0
+    assert spark.read.json(f"{root}/model/calibration").count() > 0
+
+    strict = jobs.job_rebuild(spark, feeds, f"{root}/dim", f"{root}/weather", f"{root}/strict",
+                              strict=True, coverage=False)
+    assert "fire_data_coverage" not in strict.columns
+
+
+def test_archive_job(spark):
+    root = _local(scratch_path(spark, "test-archive-job"))
+    dim = spark.createDataFrame([(1, "01"), (2, "02")], "wilaya_id int, wilaya_code string")
+    dim.write.parquet(f"{root}/dim/regions")
+
+    def land(name, issued, value):
+        days = [(issued + __import__("datetime").timedelta(days=d)).isoformat() for d in range(7)]
+        objs = []
+        for _ in (1, 2):
+            daily = {"time": days}
+            daily.update({v: [value] * 7 for v in WEATHER_VARS})
+            objs.append({"daily": daily})
+        os.makedirs(f"{root}/{name}/batch=0", exist_ok=True)
+        with open(f"{root}/{name}/batch=0/part.txt", "w") as f:
+            f.write(json.dumps(objs) + "\n")
+
+    import datetime as dt
+    land("f1", dt.date(2024, 1, 1), 10.0)
+    jobs.job_archive(spark, f"{root}/f1", f"{root}/dim", f"{root}/archive", "2024-01-01")
+    land("f2", dt.date(2024, 3, 5), 20.0)
+    jobs.job_archive(spark, f"{root}/f2", f"{root}/dim", f"{root}/archive", "2024-03-05")
+    arch = spark.read.parquet(f"{root}/archive")
+    assert arch.count() == 14                               # Jan issue expired, 2 regions x 7 days
+    assert {r.temperature_2m_max for r in arch.collect()} == {20.0}
