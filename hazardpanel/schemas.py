@@ -37,13 +37,16 @@ RECURRING_SPOTS = T.StructType([
     T.StructField("n_days_detected", T.LongType()),
 ])
 
-# GeoJSON FeatureCollection / feature-per-line with Polygon geometry.
+# GeoJSON FeatureCollection / feature-per-line.  Coordinates are kept as raw
+# JSON text and parsed per geometry type (Polygon or MultiPolygon).
+POLYGON_RINGS = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
+MULTI_POLYGON_RINGS = T.ArrayType(POLYGON_RINGS)
 POLYGON_FEATURE = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
     T.StructField("geometry", T.StructType([
         T.StructField("type", T.StringType()),
-        T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))),
+        T.StructField("coordinates", T.StringType()),
     ])),
 ])
 FEATURE_COLLECTION = T.StructType([

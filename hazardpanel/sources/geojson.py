@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardpanel.schemas import FEATURE_COLLECTION, POLYGON_FEATURE
+from hazardpanel.schemas import FEATURE_COLLECTION, MULTI_POLYGON_RINGS, POLYGON_FEATURE, POLYGON_RINGS
 
 
 def read_features(spark: SparkSession, path: str, collection: bool = True) -> DataFrame:
@@ -26,17 +26,31 @@ def read_features(spark: SparkSession, path: str, collection: bool = True) -> Da
     return lines.select((F.row_number().over(w) - 1).alias("pos"), "f.*")
 
 
+def _parts(geometry):
+    """Polygon or MultiPolygon coordinates (raw JSON text) as an array of
+    parts, each part a list of rings."""
+    coords = geometry["coordinates"]
+    return F.when(geometry["type"] == "MultiPolygon", F.from_json(coords, MULTI_POLYGON_RINGS)) \
+            .otherwise(F.array(F.from_json(coords, POLYGON_RINGS)))
+
+
 def features_to_edges(features: DataFrame, id_prop: str = "wilaya_id",
                       id_type: str = "int") -> DataFrame:
-    """``region_id, pos, part, ring, edge_no, x1, y1, x2, y2`` from Polygon features.
+    """``region_id, pos, part, ring, edge_no, x1, y1, x2, y2`` from Polygon or
+    MultiPolygon features (ring 0 of every part is its outer ring).
 
     Rings are closed in GeoJSON (first vertex repeated), so consecutive
     vertex pairs are the edges.
     """
-    rings = features.select(
+    geometry = F.col("geometry")
+    if dict(features.select("geometry.coordinates").dtypes)["coordinates"] == "string":
+        parts = _parts(geometry)
+    else:  # already parsed polygon rings
+        parts = F.array(geometry["coordinates"])
+    by_part = features.select(
         F.col("properties")[id_prop].cast(id_type).alias(id_prop), "pos",
-        F.lit(0).alias("part"),
-        F.posexplode(F.col("geometry.coordinates")).alias("ring", "coords"))
+        F.posexplode(parts).alias("part", "rings"))
+    rings = by_part.select(id_prop, "pos", "part", F.posexplode("rings").alias("ring", "coords"))
     n = F.size("coords")
     pairs = F.arrays_zip(F.slice("coords", 1, n - 1).alias("a"), F.slice("coords", 2, n - 1).alias("b"))
     edges = rings.select(id_prop, "pos", "part", "ring", F.posexplode(pairs).alias("edge_no", "e"))

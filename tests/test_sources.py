@@ -108,3 +108,25 @@ def test_weather_table_priority_and_batches(spark):
     assert len(got) == 15
     assert got[(3, "2024-01-02")] == 103.0       # overlap: the first source wins
     assert got[(5, "2024-01-03")] == 205.0
+
+
+def test_multipolygon_feature(spark):
+    from hazardpanel.operators.spatial import assign_region, polygon_measures
+    root = _local(scratch_path(spark, "test-multipolygon"))
+    os.makedirs(root, exist_ok=True)
+    a = [[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]]
+    b = [[5, 5], [6, 5], [6, 6], [5, 6], [5, 5]]
+    fc = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"wilaya_id": "1"},
+         "geometry": {"type": "MultiPolygon", "coordinates": [[a], [b]]}},
+        {"type": "Feature", "properties": {"wilaya_id": "2"},
+         "geometry": {"type": "Polygon", "coordinates": [b]}}]}
+    with open(f"{root}/mp.geojson", "w") as f:
+        json.dump(fc, f)
+    edges = read_edges(spark, f"{root}/mp.geojson")
+    assert sorted({(r.wilaya_id, r.part) for r in edges.collect()}) == [(1, 0), (1, 1), (2, 0)]
+    pts = spark.createDataFrame([(0, 0.5, 0.5), (1, 5.5, 5.5), (2, 3.0, 3.0)], "pid int, longitude double, latitude double")
+    got = {r.pid: r.wilaya_id for r in assign_region(pts, edges).collect()}
+    assert got == {0: 1, 1: 1, 2: None}                     # region 1 comes first in the file
+    area = {r.wilaya_id: r.area_km2 for r in polygon_measures(edges).collect()}
+    assert area[1] > area[2] > 0
