@@ -35,8 +35,9 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "y", digits: int |
     r = _ranked(df, score, label)
     agg = r.agg(F.sum("p").alias("P"), F.sum("n").alias("N"),
                 F.sum(F.col("p") * (2 * F.col("cum_n") - F.col("n"))).alias("S"))
-    val = ((2 * F.col("N") * F.col("P") - F.col("S")).cast("double")
-           / (2 * F.col("P") * F.col("N")).cast("double"))
+    # undefined (null) when only one class is present
+    val = F.try_divide((2 * F.col("N") * F.col("P") - F.col("S")).cast("double"),
+                       (2 * F.col("P") * F.col("N")).cast("double"))
     if digits is not None:
         val = round_half_even(val, digits)
     return agg.select(val.alias(out))
@@ -47,7 +48,7 @@ def average_precision(df: DataFrame, score: str = "score", label: str = "y",
     """Step-wise AP over distinct scores: Σ (p/P) · tp/(tp+fp)."""
     r = _ranked(df, score, label)
     prec = F.col("cum_p").cast("double") / (F.col("cum_p") + F.col("cum_n")).cast("double")
-    agg = r.agg((F.sum(F.col("p") * prec) / F.sum("p").cast("double")).alias("ap"))
+    agg = r.agg(F.try_divide(F.sum(F.col("p") * prec), F.sum("p").cast("double")).alias("ap"))
     val = F.col("ap") if digits is None else round_half_even(F.col("ap"), digits)
     return agg.select(val.alias(out))
 
@@ -172,10 +173,10 @@ def rank_metrics(df: DataFrame, proba: str = "proba", label: str = "y", digits:
                 F.sum(F.col("p") * (2 * F.col("cum_n") - F.col("n"))).alias("S"),
                 F.sum(F.col("p") * prec).alias("AP"),
                 F.sum(F.col("p") * F.pow(s - 1.0, 2) + F.col("n") * F.pow(s, 2)).alias("SQ"))
-    roc = ((2 * F.col("N") * F.col("P") - F.col("S")).cast("double")
-           / (2 * F.col("P") * F.col("N")).cast("double"))
-    ap = F.col("AP") / F.col("P").cast("double")
-    br = F.col("SQ") / (F.col("P") + F.col("N")).cast("double")
+    roc = F.try_divide((2 * F.col("N") * F.col("P") - F.col("S")).cast("double"),
+                       (2 * F.col("P") * F.col("N")).cast("double"))
+    ap = F.try_divide(F.col("AP"), F.col("P").cast("double"))
+    br = F.try_divide(F.col("SQ"), (F.col("P") + F.col("N")).cast("double"))
     if digits is not None:
         ap, br = round_half_even(ap, digits), round_half_even(br, digits)
     return agg.select(roc.alias("roc_auc"), ap.alias(pr_name), br.alias("brier"))

@@ -105,8 +105,8 @@ def grouped_roc_auc(df: DataFrame, group: Sequence[str], score: str, label: str,
     r = g.withColumn("cum_n", F.sum("n").over(w))
     agg = r.groupBy(*group).agg(F.sum("p").alias("P"), F.sum("n").alias("N"),
                                 F.sum(F.col("p") * (2 * F.col("cum_n") - F.col("n"))).alias("S"))
-    return agg.select(*group, ((2 * F.col("N") * F.col("P") - F.col("S")).cast("double")
-                               / (2 * F.col("P") * F.col("N")).cast("double")).alias(out))
+    return agg.select(*group, F.try_divide((2 * F.col("N") * F.col("P") - F.col("S")).cast("double"),
+                                           (2 * F.col("P") * F.col("N")).cast("double")).alias(out))
 
 
 def permutation_importance(model: PipelineModel, sample: DataFrame, label: str = "label",
