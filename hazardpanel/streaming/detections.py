@@ -14,7 +14,9 @@ Source: a file stream of landed detection batches.  Event time is cast to
 3. enrichment with the static polygon cells and the stored spot list
    (stream–static joins), type filter;
 4. recompute of the daily aggregate for the touched days only, from the
-   enriched sink, written by dynamic partition overwrite.
+   enriched sink, written by dynamic partition overwrite;
+5. with a weather base, the current-period panel rows of those days (left
+   join, zero-fill, dimension, coverage true), overwritten by date.
 
 Every write replaces partitions keyed by ``batch_id`` or by date, so a
 retried micro-batch (executor lost, driver restart) rewrites the same
@@ -37,6 +39,7 @@ from hazardpanel.operators.joins import dimension
 from hazardpanel.operators.panel import daily_region_agg
 from hazardpanel.operators.persistence import drop_recurring, with_grid
 from hazardpanel.operators.spatial import assign_region, cell_index
+from hazardpanel.plans.refresh import current_panel
 
 
 def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -56,10 +59,12 @@ class DetectionBatchWriter:
 
     def __init__(self, root: str, edges: DataFrame, dim: DataFrame, spots: DataFrame,
                  order=("pri", "event_id"), horizon_days: int = LOOKBACK_DAYS,
-                 region_col: str = "wilaya_id"):
+                 region_col: str = "wilaya_id", weather: DataFrame | None = None):
         self.root = root.rstrip("/")
         self.cells = cell_index(edges, region_col)   # built and size-checked once per query
         self.codes = dimension(dim.select(region_col, "wilaya_code"))
+        self.dim = dim
+        self.weather = weather          # dense (region, date) base: enables the panel sink
         self.spots = spots
         self.order = list(order)
         self.horizon = horizon_days
@@ -77,6 +82,10 @@ class DetectionBatchWriter:
     def daily_path(self) -> str:
         return f"{self.root}/daily"
 
+    @property
+    def panel_path(self) -> str:
+        return f"{self.root}/panel"
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
@@ -113,6 +122,13 @@ class DetectionBatchWriter:
         daily = daily_region_agg(rows, (self.region_col,), "acq_date")
         daily = daily.join(self.codes, self.region_col, "left")
         _overwrite(daily.withColumn("acq_date", F.col("date")).drop("date"), self.daily_path, "acq_date")
+        if self.weather is not None:
+            # current-period panel rows of the batch's days, rebuilt from the day totals
+            touched = days.select(F.col("acq_date").alias("date"))
+            base = self.weather.join(touched, "date", "left_semi")
+            totals = read_daily(spark, self.daily_path).join(touched, "date", "left_semi")
+            panel = current_panel(base, totals, self.dim, self.region_col)
+            _overwrite(panel, self.panel_path, "date")
 
 
 def detection_stream(spark: SparkSession, source_dir: str, event_schema, to_detections,

@@ -58,3 +58,34 @@ def test_retried_batch_is_idempotent(spark):
     sink(second, 1)                                      # retry of batch 1
     final = snapshot()
     assert final[0] == det.dropDuplicates(["latitude", "longitude", "acq_date", "acq_time", "satellite"]).count()
+
+
+def test_stream_maintains_current_panel(spark):
+    from pyspark.sql import functions as F
+
+    from hazardpanel import fixtures as fx
+    from hazardpanel import landing
+    from hazardpanel.operators.panel import dense_grid
+    from hazardpanel.operators.persistence import recurring_spot_table
+    from hazardpanel.plans.refresh import current_panel, lookback_daily
+    from hazardpanel.queries_stream import _to_detections
+    from hazardpanel.streaming.detections import DetectionBatchWriter, detection_stream
+    from tests.conftest import SF_SMALL
+
+    dim, edges = fx.region_dim(spark, SF_SMALL), fx.edges(spark, SF_SMALL)
+    det = fx.detections(spark, SF_SMALL)
+    spots = recurring_spot_table(det)
+    weather = dense_grid(dim, "wilaya_id", det.select(F.col("acq_date").alias("date")))
+    root = scratch_path(spark, "test-stream-panel")
+    writers, schema = landing.stream_slice_writers(spark, SF_SMALL, f"{root}/landing")
+    sink = DetectionBatchWriter(f"{root}/sinks", edges, dim, spots, weather=weather)
+    for land in writers:
+        land()
+        run_available_now(detection_stream(spark, f"{root}/landing", schema, _to_detections), sink,
+                          f"{root}/checkpoint")
+    got = spark.read.parquet(sink.panel_path)
+    want = current_panel(weather, lookback_daily(det.filter(F.col("pri") == 0), edges, dim, spots,
+                                                 ["event_id"]), dim)
+    cols = ["date", "wilaya_id", "nb_detections", "frp_total", "frp_max", "fire_detected"]
+    assert sorted(tuple(r) for r in got.select(*cols).collect()) == \
+        sorted(tuple(r) for r in want.select(*cols).collect())
