@@ -9,6 +9,7 @@ from hazardpanel.constants import DETECTION_KEY, PERSISTENCE_THRESHOLD_DAYS
 from hazardpanel.operators.dedup import dedup_keep_first
 from hazardpanel.operators.persistence import drop_recurring, persistent_cells, with_grid
 from hazardpanel.operators.spatial import assign_region
+from hazardpanel.session import materialize
 
 
 def _row(df: DataFrame, stage: str, step: int, count_col: str) -> DataFrame:
@@ -21,16 +22,16 @@ def stage_funnel(detections: DataFrame, edges: DataFrame, order=("pri", "event_i
     """Counts after dedup, polygon matching, type filter and persistence.
 
     The assigned points are reduced once to a (cell, region, day, type ok)
-    summary with row and overlap counts; that small table is checkpointed and
-    every stage count comes from it.
+    summary with row and overlap counts; that small table is written once
+    (Parquet in the shared checkpoint folder) and every stage count comes from it.
     """
     raw = detections.agg(F.count(F.lit(1)).alias("n"))
     deduped = dedup_keep_first(detections, DETECTION_KEY, list(order))
     assigned = with_grid(assign_region(deduped, edges, region_col=region_col))
     type_ok = ((F.col("type") == 0) | F.col("type").isNull()).alias("type_ok")
     summary = (assigned.groupBy("lat_grid", "lon_grid", region_col, "acq_date", type_ok)
-               .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_matches").alias("pairs"))
-               .checkpoint(eager=True))
+               .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_matches").alias("pairs")))
+    summary = materialize(summary, "funnel-summary")
     has_region = F.col(region_col).isNotNull()
     point_counts = summary.agg(
         F.sum("n_rows").alias("dedup"),

@@ -39,7 +39,7 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
 
     ``order_col`` must be numeric and unique (pre-aggregate ties first).
     ``descending`` accumulates from the largest key down.  With
-    ``materialize`` the input (typically an aggregate) is checkpointed once,
+    ``materialize`` the input (typically an aggregate) is written once,
     so counting, bound sampling, bucket totals and bucket-local sums scan the
     stored result instead of each re-running the aggregation.
 
@@ -49,7 +49,8 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
     from pyspark.ml.feature import Bucketizer
 
     if materialize:
-        df = df.checkpoint(eager=True)
+        from hazardpanel.session import materialize as write_table
+        df = write_table(df, "running-totals-input")
     if n_buckets is None:
         rows = df.count()
         n_buckets = max(1, min(MAX_BUCKETS, -(-rows // rows_per_bucket)))

@@ -26,6 +26,7 @@ from hazardpanel.operators.joins import dimension
 from hazardpanel.operators.panel import dense_grid, fixed_layout, fuse_panel
 from hazardpanel.operators.persistence import drop_recurring, persistent_cells, with_grid
 from hazardpanel.operators.spatial import assign_region
+from hazardpanel.session import materialize as materialize_table
 
 
 def vegetation_or_unknown(df: DataFrame) -> DataFrame:
@@ -66,10 +67,11 @@ def detection_chain(detections: DataFrame, edges: DataFrame, dim: DataFrame,
                     region_col: str = "wilaya_id", materialize: bool = True) -> Chain:
     """Dedup → type → polygon (first match) → persistence → daily aggregate.
 
-    With ``materialize`` the (cell, region, day) summary is checkpointed to
-    the shared checkpoint folder: it is orders of magnitude smaller than the
-    raw rows, and both the spot list and the daily totals read it, so the
-    shuffle of the raw detections runs once and survives executor loss.
+    With ``materialize`` the (cell, region, day) summary is written as a
+    Parquet table in the shared checkpoint folder: it is orders of magnitude
+    smaller than the raw rows, and both the spot list and the daily totals
+    read it, so the shuffle of the raw detections runs once, survives
+    executor loss, and downstream joins are sized from real file statistics.
     """
     deduped = dedup_keep_first(detections, DETECTION_KEY, list(order))
     typed = vegetation_strict(deduped) if strict_type else vegetation_or_unknown(deduped)
@@ -77,7 +79,7 @@ def detection_chain(detections: DataFrame, edges: DataFrame, dim: DataFrame,
     matched = with_grid(assigned.filter(F.col(region_col).isNotNull()))
     summary = cell_day_summary(matched, region_col)
     if materialize:
-        summary = summary.checkpoint(eager=True)
+        summary = materialize_table(summary, "cell-day-summary")
     spots = persistent_cells(summary, threshold)
     kept_cells = drop_recurring(summary, spots)
     daily = (kept_cells.groupBy(region_col, F.col("acq_date").alias("date"))

@@ -66,6 +66,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/hazardpanel/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as a Parquet table in the shared scratch
+    folder and reading it back: columnar, compressed, and with file statistics
+    the optimizer and AQE can size joins from (a ``checkpoint()`` scan has none)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def scale_conf(total_cores: int, input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings sized for a cluster run over ``input_bytes`` of raw feeds.
 
