@@ -131,12 +131,31 @@ class DetectionBatchWriter:
             _overwrite(panel, self.panel_path, "date")
 
 
+def event_time(col: str):
+    """Event-time instant of a ``timestamp_ntz`` wall clock, read as UTC.
+
+    Watermarks need ``timestamp``; a plain cast would read the wall clock in
+    the session zone, and day windows (aligned to UTC epoch days) would then
+    straddle calendar days.  Building the instant in UTC keeps windows on
+    calendar days whatever the session zone.
+    """
+    c = F.col(col)
+    secs = F.second(c).cast("decimal(8,6)")
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), secs,
+                            F.lit("UTC"))
+
+
+def epoch_day(ts_col):
+    """Calendar day of a UTC-aligned window bound, independent of the session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts_col) / F.lit(86400)).cast("int"))
+
+
 def detection_stream(spark: SparkSession, source_dir: str, event_schema, to_detections,
                      watermark: str = f"{LOOKBACK_DAYS} days", id_col: str = "event_id",
                      ts_col: str = "ts") -> DataFrame:
     """Streaming detections: watermark on event time, resent rows dropped by id."""
     raw = spark.readStream.schema(event_schema).parquet(source_dir)
-    timed = raw.withColumn("_event_ts", F.col(ts_col).cast("timestamp"))
+    timed = raw.withColumn("_event_ts", event_time(ts_col))
     deduped = timed.withWatermark("_event_ts", watermark).dropDuplicatesWithinWatermark([id_col])
     return to_detections(deduped)
 
@@ -182,11 +201,11 @@ def daily_event_counts_stream(spark: SparkSession, source_dir: str, event_schema
     """Native stateful stream: late rows beyond the watermark dropped, resent
     rows dropped by id, event counts per tumbling day window (update mode)."""
     raw = spark.readStream.schema(event_schema).parquet(source_dir)
-    timed = raw.withColumn("_event_ts", F.col(ts_col).cast("timestamp"))
+    timed = raw.withColumn("_event_ts", event_time(ts_col))
     deduped = timed.withWatermark("_event_ts", watermark).dropDuplicatesWithinWatermark([id_col])
     return (deduped.groupBy(F.window("_event_ts", "1 day").alias("w"))
                    .agg(F.count(F.lit(1)).alias("n_events"))
-                   .select(F.to_date(F.col("w.start")).alias("day"), "n_events"))
+                   .select(epoch_day(F.col("w.start")).alias("day"), "n_events"))
 
 
 class DayUpsert:

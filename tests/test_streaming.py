@@ -89,3 +89,21 @@ def test_stream_maintains_current_panel(spark):
     cols = ["date", "wilaya_id", "nb_detections", "frp_total", "frp_max", "fire_detected"]
     assert sorted(tuple(r) for r in got.select(*cols).collect()) == \
         sorted(tuple(r) for r in want.select(*cols).collect())
+
+
+def test_day_windows_ignore_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        root = scratch_path(spark, "test-tz")
+        sink = DayUpsert(f"{root}/daily", "day")
+        rows = [(1, dt.datetime(2024, 1, 5, 0, 30)), (2, dt.datetime(2024, 1, 5, 23, 30)),
+                (3, dt.datetime(2024, 1, 6, 1, 0))]
+        spark.createDataFrame([(i, t, 1, "view", 1.0, None) for i, t in rows], SCHEMA) \
+            .write.parquet(f"{root}/landing")
+        stream = daily_event_counts_stream(spark, f"{root}/landing", _events(spark, []).schema)
+        run_available_now(stream, sink, f"{root}/checkpoint", output_mode="update")
+        got = sorted((r.day.isoformat(), r.n_events) for r in spark.read.parquet(sink.path).collect())
+        assert got == [("2024-01-05", 2), ("2024-01-06", 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
