@@ -49,7 +49,7 @@ def surrogate_id(df: DataFrame, order_col: str, out: str = "surrogate_id") -> Da
     Numeric keys use the bucketed running count (no single-partition window).
     String keys of a dimension are numbered with a window over the distinct
     keys once their count is checked against ``MAX_WINDOW_KEYS``; beyond it,
-    a range-partitioned sort with per-partition offsets (``zipWithIndex``).
+    range partitions numbered locally and offset by the partitions before them.
     """
     if dict(df.dtypes)[order_col] in ("int", "bigint", "smallint", "tinyint", "double", "float"):
         return row_numbers(df, order_col, out).withColumn(out, F.col(out).cast("int"))
@@ -57,9 +57,16 @@ def surrogate_id(df: DataFrame, order_col: str, out: str = "surrogate_id") -> Da
     if keys.count() <= MAX_WINDOW_KEYS:
         ordered = keys.withColumn(out, F.row_number().over(Window.orderBy(order_col)))
         return df.join(F.broadcast(ordered), order_col).withColumn(out, F.col(out).cast("int"))
-    zipped = keys.orderBy(order_col).rdd.zipWithIndex()
-    ordered = zipped.toDF(["_k", "_i"]).select(F.col(f"_k.{order_col}").alias(order_col),
-                                               (F.col("_i") + 1).alias(out))
+    # many keys: range-partition, freeze the partition ids in a written table,
+    # offset each partition by the counts of the partitions before it
+    from hazardpanel.session import materialize
+    ranged = materialize(keys.repartitionByRange(order_col).withColumn("_pid", F.spark_partition_id()),
+                         "surrogate-keys")
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))   # one row per partition
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
+    local = F.row_number().over(Window.partitionBy("_pid").orderBy(order_col))
+    ordered = ranged.join(F.broadcast(offsets), "_pid").select(order_col, (F.col("_o") + local).alias(out))
     return df.join(ordered, order_col).withColumn(out, F.col(out).cast("int"))
 
 

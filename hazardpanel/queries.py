@@ -208,6 +208,3 @@ def entry_query(spark: SparkSession, sf: str) -> DataFrame:
 def sorted_keys() -> list[str]:
     return sorted(QUERIES)
 
-
-# modules that register further queries
-from hazardpanel import queries_more  # noqa: E402,F401

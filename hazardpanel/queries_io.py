@@ -274,5 +274,3 @@ def q_current_panel(spark, sf):
     days = det.select(F.col("acq_date").alias("date")).filter(F.col("date") >= F.lit(period_start))
     return current_panel(dense_grid(dim, "wilaya_id", days), ch.daily, dim)
 
-
-from hazardpanel import queries_stream  # noqa: E402,F401

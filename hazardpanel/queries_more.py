@@ -417,5 +417,3 @@ FROM d""", "daily_scored"))
 def q_metric_at_budget(spark, sf):
     return M.alert_budget(fx.daily_scored(spark, sf), "day", "y", "score", 8, "event_id", digits=DIGITS)
 
-
-from hazardpanel import queries_io  # noqa: E402,F401

@@ -80,4 +80,3 @@ def q_stream_late_data(spark, sf):
         counts = daily_event_counts_stream(spark, f"{root}/landing", schema)
         run_available_now(counts, sink, f"{root}/checkpoint", output_mode="update")
     return spark.read.parquet(sink.path).select("day", "n_events")
-from hazardpanel import queries_model  # noqa: E402,F401

@@ -53,3 +53,11 @@ def test_official_mapping_and_default_flag(spark):
     assert flagged.filter("is_forest_zone").count() == 36
     coded = map_or_fail(names, "wilaya_name", mapping, "name", "code", "wilaya_code")
     assert coded.filter(F.length("wilaya_code") == 2).count() == 58
+
+
+def test_surrogate_id_many_string_keys_path(spark, monkeypatch):
+    from hazardpanel.operators import dims
+    monkeypatch.setattr(dims, "MAX_WINDOW_KEYS", 10)   # force the partitioned path
+    keys = spark.createDataFrame([(f"k{i:04d}",) for i in range(500)], "code string").repartition(7)
+    got = dict((r.code, r.surrogate_id) for r in dims.surrogate_id(keys, "code").collect())
+    assert got == {f"k{i:04d}": i + 1 for i in range(500)}
