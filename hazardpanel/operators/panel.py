@@ -18,10 +18,11 @@ DIM_COLUMNS = ["wilaya_code", "wilaya_name", "area_km2", "centroid_lat", "centro
 
 def daily_region_agg(df: DataFrame, group_cols: Sequence[str] = ("wilaya_id", "wilaya_code"),
                      date_col: str = "acq_date") -> DataFrame:
-    """Per (region, day): count of non-null frp, exact frp sum, frp max."""
+    """Per (region, day): count of non-null frp, exact frp sum (0.0 when every
+    frp is missing, as a pandas grouped sum), frp max."""
     return (df.groupBy(*group_cols, F.col(date_col).alias("date"))
               .agg(F.count("frp").alias("nb_detections"),
-                   exact_sum("frp").alias("frp_total"),
+                   F.coalesce(exact_sum("frp"), F.lit(0.0)).alias("frp_total"),
                    F.max("frp").alias("frp_max"))
               .withColumn("fire_detected", F.lit(1)))
 

@@ -111,7 +111,7 @@ WHERE NOT EXISTS (SELECT 1 FROM spots s WHERE s.lat_grid = m.lat_grid AND s.lon_
 """, ["matched", "spots"]),
     "daily": ("""
 SELECT k.wilaya_id, r.wilaya_code, k.acq_date AS date, count(k.frp) AS nb_detections,
-       CAST(sum(CAST(k.frp AS DECIMAL(18,4))) AS DOUBLE) AS frp_total, max(k.frp) AS frp_max,
+       coalesce(CAST(sum(CAST(k.frp AS DECIMAL(18,4))) AS DOUBLE), 0e0) AS frp_total, max(k.frp) AS frp_max,
        1 AS fire_detected
 FROM kept k LEFT JOIN region_dim r ON r.wilaya_id = k.wilaya_id
 GROUP BY k.wilaya_id, r.wilaya_code, k.acq_date
@@ -122,7 +122,7 @@ FROM matched_strict GROUP BY lat_grid, lon_grid HAVING count(DISTINCT acq_date)
 """, ["matched_strict"]),
     "daily_strict": ("""
 SELECT k.wilaya_id, r.wilaya_code, k.acq_date AS date, count(k.frp) AS nb_detections,
-       CAST(sum(CAST(k.frp AS DECIMAL(18,4))) AS DOUBLE) AS frp_total, max(k.frp) AS frp_max,
+       coalesce(CAST(sum(CAST(k.frp AS DECIMAL(18,4))) AS DOUBLE), 0e0) AS frp_total, max(k.frp) AS frp_max,
        1 AS fire_detected
 FROM matched_strict k LEFT JOIN region_dim r ON r.wilaya_id = k.wilaya_id
 WHERE NOT EXISTS (SELECT 1 FROM spots_strict s WHERE s.lat_grid = k.lat_grid AND s.lon_grid = k.lon_grid)

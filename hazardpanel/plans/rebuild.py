@@ -84,7 +84,7 @@ def detection_chain(detections: DataFrame, edges: DataFrame, dim: DataFrame,
     kept_cells = drop_recurring(summary, spots)
     daily = (kept_cells.groupBy(region_col, F.col("acq_date").alias("date"))
              .agg(F.sum("n_frp").alias("nb_detections"),
-                  F.sum("frp_sum").cast("double").alias("frp_total"),
+                  F.coalesce(F.sum("frp_sum").cast("double"), F.lit(0.0)).alias("frp_total"),
                   F.max("frp_max").alias("frp_max"))
              .withColumn("fire_detected", F.lit(1)))
     codes = dimension(dim.select(region_col, "wilaya_code"))

@@ -61,3 +61,13 @@ def test_surrogate_id_many_string_keys_path(spark, monkeypatch):
     keys = spark.createDataFrame([(f"k{i:04d}",) for i in range(500)], "code string").repartition(7)
     got = dict((r.code, r.surrogate_id) for r in dims.surrogate_id(keys, "code").collect())
     assert got == {f"k{i:04d}": i + 1 for i in range(500)}
+
+
+def test_daily_agg_all_missing_frp_is_zero_like_pandas(spark):
+    import datetime as dt
+    from hazardpanel.operators.panel import daily_region_agg
+    rows = [(1, dt.date(2024, 1, 1), None), (1, dt.date(2024, 1, 1), None), (2, dt.date(2024, 1, 1), 2.5)]
+    df = spark.createDataFrame(rows, "wilaya_id int, acq_date date, frp double")
+    got = {r.wilaya_id: (r.nb_detections, r.frp_total, r.frp_max)
+           for r in daily_region_agg(df, ("wilaya_id",)).collect()}
+    assert got == {1: (0, 0.0, None), 2: (1, 2.5, 2.5)}
