@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from hazardpanel.constants import (COVERAGE_START, ERA_START, FORECAST_RETENTION_DAYS, PERSISTENCE_THRESHOLD_DAYS,
                                    STATIC_FEATURES, TRAIN_END, WEATHER_VARS)
 from hazardpanel.operators.dims import official_code_mapping
-from hazardpanel.plans.rebuild import build_panel, forest_panel, refresh_spot_list
+from hazardpanel.plans.rebuild import forest_panel, refresh_spot_list
 from hazardpanel.plans.refresh import daily_refresh
 from hazardpanel.plans.regions import build_region_dim
 from hazardpanel.sources import sinks
@@ -63,20 +63,34 @@ def job_regions(spark: SparkSession, polygons: str, out: str) -> DataFrame:
 
 def job_rebuild(spark: SparkSession, feeds, regions: str, weather: str, out: str,
                 threshold: int = PERSISTENCE_THRESHOLD_DAYS, strict: bool = False,
-                coverage: bool = True) -> DataFrame:
-    """Full panel (``strict``: type 0 only, the first-generation rule;
-    ``coverage=False``: no coverage flag column)."""
+                coverage: bool = True, write_points: bool = False) -> DataFrame:
+    """Daily detections, dense panel, forest panel and their reports
+    (``strict``: type 0 only, the first-generation rule; ``coverage=False``:
+    no coverage flag column; ``write_points``: also every deduplicated
+    detection with its region, a full extra pass over the feeds)."""
+    from hazardpanel.operators.panel import fixed_layout, fuse_panel, panel_summary, top_regions
+    from hazardpanel.operators.spatial import assign_region
+    from hazardpanel.plans.rebuild import detection_chain
     det = _feeds(spark, feeds)
     dim = spark.read.parquet(f"{regions}/regions")
     edges = spark.read.parquet(f"{regions}/edges")
     base = spark.read.parquet(weather)
     if "year" in base.columns:
         base = base.drop("year")
-    panel = build_panel(det, edges, base, dim, threshold=threshold, strict_type=strict,
-                        coverage_start=COVERAGE_START if coverage else None)
+    chain = detection_chain(det, edges, dim, strict_type=strict, threshold=threshold)
+    chain.daily.write.mode("overwrite").parquet(f"{out}/daily")
+    daily = spark.read.parquet(f"{out}/daily")
+    panel = fixed_layout(fuse_panel(base, daily, dim,
+                                    coverage_start=COVERAGE_START if coverage else None))
     sinks.write_parquet_by_year(panel, f"{out}/panel")
-    sinks.write_parquet_by_year(forest_panel(spark.read.parquet(f"{out}/panel").drop("year")),
-                                f"{out}/forest_panel")
+    written = spark.read.parquet(f"{out}/panel").drop("year")
+    forest = forest_panel(written)
+    sinks.write_parquet_by_year(forest, f"{out}/forest_panel")
+    covered = forest.filter(F.col("fire_data_coverage")) if coverage else forest
+    panel_summary(written).write.mode("overwrite").json(f"{out}/reports/summary")
+    top_regions(covered, 15).write.mode("overwrite").json(f"{out}/reports/top_regions")
+    if write_points:
+        assign_region(chain.deduped, edges).write.mode("overwrite").parquet(f"{out}/detections_with_region")
     return panel
 
 
@@ -148,6 +162,7 @@ def main(argv=None) -> None:
     b.add_argument("--regions", required=True); b.add_argument("--weather", required=True)
     b.add_argument("--out", required=True); b.add_argument("--threshold", type=int, default=PERSISTENCE_THRESHOLD_DAYS)
     b.add_argument("--strict", action="store_true"); b.add_argument("--no-coverage", action="store_true")
+    b.add_argument("--write-points", action="store_true")
     w = sub.add_parser("weather"); w.add_argument("--payloads", action="append", required=True)
     w.add_argument("--regions", required=True); w.add_argument("--out", required=True)
     w.add_argument("--batch-size", type=int, default=29)
@@ -169,7 +184,7 @@ def main(argv=None) -> None:
         job_regions(spark, args.polygons, args.out)
     elif args.job == "rebuild":
         job_rebuild(spark, args.feed, args.regions, args.weather, args.out, args.threshold,
-                    strict=args.strict, coverage=not args.no_coverage)
+                    strict=args.strict, coverage=not args.no_coverage, write_points=args.write_points)
     elif args.job == "weather":
         job_weather(spark, args.payloads, args.regions, args.out, args.batch_size)
     elif args.job == "spots":

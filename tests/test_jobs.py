@@ -81,8 +81,12 @@ def test_jobs_end_to_end(spark):
     assert spark.read.json(f"{root}/model/calibration").count() > 0
 
     strict = jobs.job_rebuild(spark, feeds, f"{root}/dim", f"{root}/weather", f"{root}/strict",
-                              strict=True, coverage=False)
+                              strict=True, coverage=False, write_points=True)
     assert "fire_data_coverage" not in strict.columns
+    assert spark.read.parquet(f"{root}/strict/detections_with_region").count() == \
+        fx.detections(spark, SF_SMALL).dropDuplicates(["latitude", "longitude", "acq_date", "acq_time",
+                                                        "satellite"]).count()
+    assert spark.read.json(f"{root}/out/reports/summary").first()["n_rows"] == 25 * days.count()
 
 
 def test_archive_job(spark):
