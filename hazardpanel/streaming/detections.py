@@ -58,8 +58,8 @@ class DetectionBatchWriter:
     """``foreachBatch`` sink: dedup → enrich → daily upsert (see module doc)."""
 
     def __init__(self, root: str, edges: DataFrame, dim: DataFrame, spots: DataFrame,
-                 order=("pri", "event_id"), horizon_days: int = LOOKBACK_DAYS,
-                 region_col: str = "wilaya_id", weather: DataFrame | None = None):
+                 order=("pri", "event_id"), region_col: str = "wilaya_id",
+                 weather: DataFrame | None = None):
         self.root = root.rstrip("/")
         self.cells = cell_index(edges, region_col)   # built and size-checked once per query
         self.codes = dimension(dim.select(region_col, "wilaya_code"))
@@ -67,7 +67,6 @@ class DetectionBatchWriter:
         self.weather = weather          # dense (region, date) base: enables the panel sink
         self.spots = spots
         self.order = list(order)
-        self.horizon = horizon_days
         self.region_col = region_col
 
     @property
@@ -118,7 +117,10 @@ class DetectionBatchWriter:
             _overwrite(enriched, self.enriched_path, "acq_date", "batch_id")
         finally:
             fresh.unpersist()
-        rows = spark.read.parquet(self.enriched_path).join(days, "acq_date", "left_semi")
+        stored = _try_read(spark, self.enriched_path)
+        if stored is None:          # nothing enriched yet (every row filtered so far)
+            return
+        rows = stored.join(days, "acq_date", "left_semi")
         daily = daily_region_agg(rows, (self.region_col,), "acq_date")
         daily = daily.join(self.codes, self.region_col, "left")
         _overwrite(daily.withColumn("acq_date", F.col("date")).drop("date"), self.daily_path, "acq_date")

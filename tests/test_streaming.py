@@ -107,3 +107,19 @@ def test_day_windows_ignore_session_time_zone(spark):
         assert got == [("2024-01-05", 2), ("2024-01-06", 1)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_first_batch_with_nothing_enriched(spark):
+    from pyspark.sql import functions as F
+
+    from hazardpanel import fixtures as fx
+    from hazardpanel.streaming.detections import DetectionBatchWriter
+    from tests.conftest import SF_SMALL
+
+    det = fx.detections(spark, SF_SMALL).filter(F.col("pri") == 0)
+    spots = spark.createDataFrame([], "lat_grid double, lon_grid double, n_days_detected long")
+    sink = DetectionBatchWriter(scratch_path(spark, "test-empty-enriched"), fx.edges(spark, SF_SMALL),
+                                fx.region_dim(spark, SF_SMALL), spots)
+    sink(det.filter(F.col("type") == 2), 0)             # industrial only: nothing survives the type filter
+    sink(det.filter(F.col("type") == 0).limit(50), 1)
+    assert spark.read.parquet(sink.daily_path).count() > 0
