@@ -128,5 +128,5 @@ def refresh_spot_list(spark, feeds_glob: str, out_path: str | None = None,
     spots = recurring_spot_table(raw.select("latitude", "longitude", "acq_date", "type"), threshold)
     if out_path:
         spots.write.mode("overwrite").parquet(out_path)
-        return spark.read.parquet(out_path)
+        return spark.read.schema(spots.schema).parquet(out_path)
     return spots

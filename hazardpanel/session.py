@@ -73,7 +73,7 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)   # schema given: empty tables read back too
 
 
 def scale_conf(total_cores: int, input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:

@@ -71,3 +71,12 @@ def test_daily_agg_all_missing_frp_is_zero_like_pandas(spark):
     got = {r.wilaya_id: (r.nb_detections, r.frp_total, r.frp_max)
            for r in daily_region_agg(df, ("wilaya_id",)).collect()}
     assert got == {1: (0, 0.0, None), 2: (1, 2.5, 2.5)}
+
+
+def test_empty_inputs_flow_through(spark):
+    from hazardpanel import fixtures as fx
+    from hazardpanel.plans.rebuild import build_panel
+    from tests.conftest import SF_SMALL
+    det = fx.detections(spark, SF_SMALL).filter("false")
+    panel = build_panel(det, fx.edges(spark, SF_SMALL), None, fx.region_dim(spark, SF_SMALL))
+    assert panel.count() == 0
