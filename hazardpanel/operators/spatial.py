@@ -30,7 +30,7 @@ from hazardpanel.constants import MERCATOR_RADIUS_M
 from hazardpanel.functions.scalar import round_half_even
 from hazardpanel.operators.joins import broadcast_if_bounded
 
-DEFAULT_CELL_DEG = 0.5
+DEFAULT_CELL_DEG = 0.25
 # A cell-table entry is one polygon edge copied into one cell (~40 bytes);
 # two million entries stay well below the broadcast limits.
 MAX_BROADCAST_EDGE_ENTRIES = 2_000_000
@@ -45,6 +45,9 @@ def polygon_cells(edges: DataFrame, region_col: str = "wilaya_id",
     cell's latitude band, so edges outside that band (or entirely west of the
     cell) can neither be crossed nor contain the point.  A candidate whose
     clipped list is empty cannot contain any point of the cell and is dropped.
+    A candidate that no edge comes near and whose cell centre is inside
+    covers the whole cell: it is marked ``full`` and keeps no edges, so points
+    in the interior of a region are placed without any edge test.
     """
     c = F.lit(float(cell_deg))
     poly = edges.groupBy(region_col, "pos").agg(
@@ -64,9 +67,19 @@ def polygon_cells(edges: DataFrame, region_col: str = "wilaya_id",
                        & (F.least(e["y1"], e["y2"]) <= hi_y + eps)
                        & (F.greatest(e["x1"], e["x2"]) >= lo_x - eps))
     cells = cells.withColumn("edges", clipped).filter(F.size("edges") > 0)
+    # interior cells: no edge comes near the cell and its centre is inside, so
+    # every point of the cell is inside; such candidates carry no edges at all
+    hi_x = (F.col("cx") + 1) * c
+    touches = F.exists("edges", lambda e: F.least(e["x1"], e["x2"]) <= hi_x + eps)
+    centre_x, centre_y = (F.col("cx") + 0.5) * c, (F.col("cy") + 0.5) * c
+    centre_in = (F.size(F.filter("edges", lambda e: _crosses(e, centre_x, centre_y))) % 2) == 1
+    cells = (cells.withColumn("full", ~touches & centre_in)
+                  .withColumn("edges", F.when(F.col("full"), F.array().cast(cells.schema["edges"].dataType))
+                                        .otherwise(F.col("edges"))))
     return cells.groupBy("cx", "cy").agg(
-        F.collect_list(F.struct(F.col("pos"), F.col(region_col).alias("region"), F.col("edges"))).alias("cands"),
-        F.sum(F.size("edges")).alias("n_entries"),
+        F.collect_list(F.struct(F.col("pos"), F.col(region_col).alias("region"), F.col("full"),
+                                F.col("edges"))).alias("cands"),
+        F.sum(F.size("edges") + 1).alias("n_entries"),
     )
 
 
@@ -85,7 +98,7 @@ def _on_edge(e: Column, px: Column, py: Column) -> Column:
 
 def _inside(p: Column, px: Column, py: Column) -> Column:
     crossings = F.size(F.filter(p["edges"], lambda e: _crosses(e, px, py)))
-    return ((crossings % 2) == 1) & ~F.exists(p["edges"], lambda e: _on_edge(e, px, py))
+    return p["full"] | (((crossings % 2) == 1) & ~F.exists(p["edges"], lambda e: _on_edge(e, px, py)))
 
 
 def cell_index(edges: DataFrame, region_col: str = "wilaya_id",

@@ -94,3 +94,24 @@ def test_area_with_hole(spark):
     m = {r.wilaya_id: r.area_km2 for r in polygon_measures(edges, area_digits=6).collect()}
     assert m[1] < m[2]
     assert m[1] == pytest.approx(m[2] * 0.75, rel=2e-3)  # hole is a quarter (Mercator near equator)
+
+
+def test_interior_cells_agree_with_brute_force(spark):
+    from hazardpanel.operators.spatial import polygon_cells
+    rng = np.random.default_rng(21)
+    polys = []
+    for rid in range(4):
+        cx, cy = rng.uniform(2, 8, 2)
+        angles = np.sort(rng.uniform(0, 2 * np.pi, 12))
+        radii = rng.uniform(1.5, 3.5, 12)
+        ring = [(float(cx + r * np.cos(a)), float(cy + r * np.sin(a))) for a, r in zip(angles, radii)]
+        polys.append((rid, rid, [ring + [ring[0]]]))
+    edges = _edges(spark, polys)
+    cells = polygon_cells(edges, cell_deg=0.1)
+    n_full = cells.selectExpr("explode(cands) AS c").filter("c.full").count()
+    assert n_full > 100                                   # most of each polygon is interior
+    pts = [tuple(p) for p in rng.uniform(-1, 11, (4000, 2))]
+    got = {r.pid: r.wilaya_id for r in assign_region(_points(spark, pts), edges, cell_deg=0.1).collect()}
+    for i, (x, y) in enumerate(pts):
+        hits = [(pos, rid) for rid, pos, rings in polys if _brute(x, y, rings)]
+        assert got[i] == (min(hits)[1] if hits else None), (i, x, y)
