@@ -1,7 +1,7 @@
 """Job entry points (``spark-submit -m``-style): one per panel workflow.
 
     python -m hazardpanel.jobs regions  --polygons P.geojson --out DIR
-    python -m hazardpanel.jobs weather  --payloads DIR ... --regions DIR --out DIR
+    python -m hazardpanel.jobs weather  (--payloads DIR ... | --region-files DIR ...) --regions DIR --out DIR
     python -m hazardpanel.jobs rebuild  --feed PATH=QUALITY ... --regions DIR --weather DIR --out DIR
     python -m hazardpanel.jobs spots    --feeds-glob GLOB --out DIR
     python -m hazardpanel.jobs refresh  --frozen DIR --stored-daily DIR --feed PATH=QUALITY ...
@@ -42,12 +42,17 @@ def _feeds(spark: SparkSession, specs) -> DataFrame:
     return det.withColumn("event_id", F.monotonically_increasing_id())
 
 
-def job_weather(spark: SparkSession, payloads, regions: str, out: str, batch_size: int = 29) -> DataFrame:
-    """Weather table from landed payload folders (priority order), with the
-    per-year coverage report (regions present / regions in the dimension)."""
-    from hazardpanel.sources.payload import coverage, weather_table
+def job_weather(spark: SparkSession, payloads, regions: str, out: str, batch_size: int = 29,
+                region_files=None) -> DataFrame:
+    """Weather table from landed payload folders or per-region CSV folders
+    (priority order), with the per-year coverage report (regions present /
+    regions in the dimension)."""
+    from hazardpanel.sources.payload import coverage, weather_from_region_files, weather_table
     dim = spark.read.parquet(f"{regions}/regions")
-    table = weather_table(payloads, dim, spark, batch_size)
+    if region_files:
+        table = weather_from_region_files(spark, region_files)
+    else:
+        table = weather_table(payloads, dim, spark, batch_size)
     sinks.write_parquet_by_year(table, f"{out}/weather")
     landed = spark.read.parquet(f"{out}/weather")
     coverage(landed, dim, "wilaya_id", ["year"]).write.mode("overwrite").parquet(f"{out}/coverage")
@@ -163,7 +168,8 @@ def main(argv=None) -> None:
     b.add_argument("--out", required=True); b.add_argument("--threshold", type=int, default=PERSISTENCE_THRESHOLD_DAYS)
     b.add_argument("--strict", action="store_true"); b.add_argument("--no-coverage", action="store_true")
     b.add_argument("--write-points", action="store_true")
-    w = sub.add_parser("weather"); w.add_argument("--payloads", action="append", required=True)
+    w = sub.add_parser("weather"); w.add_argument("--payloads", action="append")
+    w.add_argument("--region-files", action="append")
     w.add_argument("--regions", required=True); w.add_argument("--out", required=True)
     w.add_argument("--batch-size", type=int, default=29)
     c = sub.add_parser("spots"); c.add_argument("--feeds-glob", required=True); c.add_argument("--out", required=True)
@@ -186,7 +192,7 @@ def main(argv=None) -> None:
         job_rebuild(spark, args.feed, args.regions, args.weather, args.out, args.threshold,
                     strict=args.strict, coverage=not args.no_coverage, write_points=args.write_points)
     elif args.job == "weather":
-        job_weather(spark, args.payloads, args.regions, args.out, args.batch_size)
+        job_weather(spark, args.payloads, args.regions, args.out, args.batch_size, args.region_files)
     elif args.job == "spots":
         job_spots(spark, args.feeds_glob, args.out)
     elif args.job == "refresh":

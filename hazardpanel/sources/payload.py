@@ -97,3 +97,27 @@ def weather_table(sources, dim: DataFrame, spark, batch_size: int = 29,
     out = dedup_keep_first(union, [id_col, "date"], ["_src"]).drop("_src")
     return out.join(dimension(dim.select(id_col, "wilaya_code")), id_col, "left") \
         if "wilaya_code" in dim.columns else out
+
+
+def weather_from_region_files(spark, paths, variables=None, id_col: str = "wilaya_id") -> DataFrame:
+    """Weather rows from per-region CSV files (``time``, variables, region id
+    and code), several folders in priority order; missing regions are simply
+    absent (see ``coverage``), overlapping days keep the first folder's row."""
+    from pyspark.sql import types as T
+
+    from hazardpanel.constants import WEATHER_VARS
+    from hazardpanel.operators.dedup import dedup_keep_first
+    from hazardpanel.sources.detections import read_csv_by_header
+
+    variables = list(variables or WEATHER_VARS)
+    schema = T.StructType([T.StructField("time", T.DateType()), T.StructField(id_col, T.IntegerType()),
+                           T.StructField("wilaya_code", T.StringType())]
+                          + [T.StructField(v, T.DoubleType()) for v in variables])
+    frames = []
+    for prio, path in enumerate([paths] if isinstance(paths, str) else paths):
+        rows = read_csv_by_header(spark, path, schema).withColumnRenamed("time", "date")
+        frames.append(rows.withColumn("_src", F.lit(prio)))
+    union = frames[0]
+    for f in frames[1:]:
+        union = union.unionByName(f)
+    return dedup_keep_first(union, [id_col, "date"], ["_src"]).drop("_src")

@@ -130,3 +130,23 @@ def test_multipolygon_feature(spark):
     assert got == {0: 1, 1: 1, 2: None}                     # region 1 comes first in the file
     area = {r.wilaya_id: r.area_km2 for r in polygon_measures(edges).collect()}
     assert area[1] > area[2] > 0
+
+
+def test_weather_from_region_files(spark):
+    from hazardpanel.sources.payload import coverage, weather_from_region_files
+    root = _local(scratch_path(spark, "test-region-files"))
+    header = "time," + ",".join(WEATHER_VARS) + ",wilaya_id,wilaya_code\n"
+    for folder, regions, value in (("old", (1, 2), 1.0), ("new", (2, 3), 2.0)):
+        os.makedirs(f"{root}/{folder}", exist_ok=True)
+        for rid in regions:
+            with open(f"{root}/{folder}/wilaya_{rid:02d}.csv", "w") as f:
+                f.write(header)
+                for day in ("2024-01-01", "2024-01-02"):
+                    f.write(day + "," + ",".join(str(value) for _ in WEATHER_VARS) + f",{rid},{rid:02d}\n")
+    t = weather_from_region_files(spark, [f"{root}/old", f"{root}/new"])
+    got = {(r.wilaya_id, r.date.isoformat()): r.rain_sum for r in t.collect()}
+    assert got == {(1, "2024-01-01"): 1.0, (1, "2024-01-02"): 1.0, (2, "2024-01-01"): 1.0,
+                   (2, "2024-01-02"): 1.0, (3, "2024-01-01"): 2.0, (3, "2024-01-02"): 2.0}
+    dim = spark.createDataFrame([(i,) for i in range(1, 5)], "wilaya_id int")
+    cov = coverage(t, dim, "wilaya_id").first()
+    assert (cov.n_covered, cov.n_total) == (3, 4)
