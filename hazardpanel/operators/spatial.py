@@ -102,12 +102,16 @@ def _inside(p: Column, px: Column, py: Column) -> Column:
 
 
 def cell_index(edges: DataFrame, region_col: str = "wilaya_id",
-               cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
+               cell_deg: float = DEFAULT_CELL_DEG, materialized: bool = False) -> DataFrame:
     """The cell table, broadcast-hinted when its edge entries are within the bound.
 
-    Build it once and pass it as ``cells=`` when placing many batches.
+    Build it once (``materialized=True`` writes it to the shared folder) and
+    pass it as ``cells=`` when placing many batches.
     """
     cells = polygon_cells(edges, region_col, cell_deg)
+    if materialized:
+        from hazardpanel.session import materialize
+        cells = materialize(cells, "cell-index")
     cells, _ = broadcast_if_bounded(cells, MAX_BROADCAST_EDGE_ENTRIES, weight_col="n_entries")
     return cells
 

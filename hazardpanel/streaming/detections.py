@@ -35,7 +35,7 @@ from pyspark.sql.utils import AnalysisException
 
 from hazardpanel.constants import DETECTION_KEY, LOOKBACK_DAYS
 from hazardpanel.operators.dedup import dedup_keep_first
-from hazardpanel.operators.joins import dimension
+from hazardpanel.operators.joins import collect_bounded, dimension
 from hazardpanel.operators.panel import daily_region_agg
 from hazardpanel.operators.persistence import drop_recurring, with_grid
 from hazardpanel.operators.spatial import assign_region, cell_index
@@ -61,7 +61,8 @@ class DetectionBatchWriter:
                  order=("pri", "event_id"), region_col: str = "wilaya_id",
                  weather: DataFrame | None = None):
         self.root = root.rstrip("/")
-        self.cells = cell_index(edges, region_col)   # built and size-checked once per query
+        # built, stored and size-checked once per query, reused by every micro-batch
+        self.cells = cell_index(edges, region_col, materialized=True)
         self.codes = dimension(dim.select(region_col, "wilaya_code"))
         self.dim = dim
         self.weather = weather          # dense (region, date) base: enables the panel sink
@@ -94,11 +95,12 @@ class DetectionBatchWriter:
             batch.unpersist()
 
     def _process(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        # the batch's days (one job, a few values): empty batches stop here, and
+        # every sink read below is pruned to these days by a broadcast semi join
+        day_list = [r[0] for r in collect_bounded(batch.select("acq_date").distinct(), 100_000, "batch days")]
+        if not day_list:
             return
-        # the batch's days (few rows): prune every sink read to them by a
-        # broadcast semi join, which Spark turns into partition pruning
-        days = dimension(batch.select("acq_date").distinct(), 100_000)
+        days = F.broadcast(spark.createDataFrame([(d,) for d in day_list], "acq_date date"))
         fresh = dedup_keep_first(batch, DETECTION_KEY, self.order)
         seen = _try_read(spark, self.dedup_path)
         if seen is not None:
