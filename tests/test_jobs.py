@@ -113,3 +113,14 @@ def test_archive_job(spark):
     arch = spark.read.parquet(f"{root}/archive")
     assert arch.count() == 14                               # Jan issue expired, 2 regions x 7 days
     assert {r.temperature_2m_max for r in arch.collect()} == {20.0}
+
+
+def test_cli_entry_points(spark):
+    root = _local(scratch_path(spark, "test-cli"))
+    os.makedirs(root, exist_ok=True)
+    _feature_collection(spark, f"{root}/regions.geojson")
+    jobs.main(["regions", "--polygons", f"{root}/regions.geojson", "--out", f"{root}/dim"])
+    assert spark.read.parquet(f"{root}/dim/regions").count() == 25
+    feeds_root, _ = landing.land_detection_feeds(spark, SF_SMALL)
+    jobs.main(["spots", "--feeds-glob", f"{feeds_root}/*/feed=*", "--out", f"{root}/spots"])
+    assert spark.read.parquet(f"{root}/spots").count() >= 1
