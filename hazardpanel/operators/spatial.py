@@ -8,12 +8,14 @@ y = latitude in degrees; ``pos`` is the feature order in the source file
 Assignment plan (no shuffle of the points):
 
 1. Each polygon's bounding box is cut into ``cell_deg`` cells; every cell
-   keeps the candidate polygons (with their edge arrays) that touch it.
-   This table depends on the geometry only, never on the number of points.
+   keeps its candidate polygons with only the edges that matter inside the
+   cell, and a candidate that covers the whole cell is marked interior and
+   keeps no edges.  This table depends on the geometry only, never on the
+   number of points.
 2. Points compute their cell and look it up with a broadcast hash join
    (size of the cell table is checked first; beyond the bound the same
    join runs as a shuffle join with AQE skew splitting).
-3. A higher-order even-odd ray test runs per candidate inside the row:
+3. A higher-order even-odd ray test runs per non-interior candidate inside the row:
    crossings are counted with ``filter`` and a point lying on an edge is
    excluded (``within`` semantics: the boundary is not inside).  Holes and
    multi-part polygons fall out of the parity rule.
