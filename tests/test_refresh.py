@@ -79,3 +79,10 @@ def test_year_partition_pruning_on_split(spark):
     plan = split._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
     assert sorted(r.split for r in split.collect()).count("train") == 5
+
+
+def test_lookback_request_starts(spark):
+    from hazardpanel.functions.dates import lookback_starts
+    df = spark.createDataFrame([(D(2024, 7, 20),)], "today date")
+    got = df.select(lookback_starts(F.col("today")).alias("s")).first().s
+    assert got == [D(2024, 7, 6), D(2024, 7, 11), D(2024, 7, 16)]
