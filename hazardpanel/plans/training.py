@@ -44,11 +44,20 @@ DRYNESS = ["precip_sum_7d", "precip_sum_30d", "temp_max_mean_7d", "et0_sum_30d",
 
 
 def model_table(panel: DataFrame, precip: str, temp: str, et0: str, era_start: str, train_end: str,
-                coverage_col: str | None = None) -> DataFrame:
-    """Dryness windows on the full history first, then era filter and split."""
+                coverage_col: str | None = None, materialize: bool = True) -> DataFrame:
+    """Dryness windows on the full history first, then era filter and split.
+
+    With ``materialize`` the table is written once (Parquet in the shared
+    folder): every fit and every scoring pass then reads it instead of
+    re-running the window computation.
+    """
     feats = dryness_features(panel, precip=precip, temp=temp, et0=et0)
     feats = with_weekday_cyclic(with_month_cyclic(feats))
-    return temporal_split(feats, era_start, train_end, coverage_col)
+    table = temporal_split(feats, era_start, train_end, coverage_col)
+    if materialize:
+        from hazardpanel.session import materialize as write_table
+        table = write_table(table, "model-table")
+    return table
 
 
 def evaluate(scored: DataFrame, label: str = "label", proba: str = "proba", day: str = "date",
