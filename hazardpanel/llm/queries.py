@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardpanel.llm import simhash
-from hazardpanel.llm.common import table
+from hazardpanel.llm import langid, pieces, simhash
+from hazardpanel.llm.common import id_remainder, table
 
+TOKENIZERS = "public_tokenizers"     # module that names the vocabulary files
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    return import_module(TOKENIZERS).path(name)
+
+
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[f.__name__] = f
     return f
@@ -24,3 +31,18 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; fitted on ids whose remainder is not 2."""
+    docs, held_out = table(spark, sf_dir, "documents"), id_remainder("doc_id", 4) == 2
+    model = langid.fit(docs.filter(~held_out))
+    return langid.predict(docs, model).withColumnRenamed("id", "doc_id").select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "entropy")
+
+
+@query
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids, spans and decoding of every document, as digests."""
+    return pieces.digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")).withColumnRenamed("id", "doc_id")
