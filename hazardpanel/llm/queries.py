@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardpanel.llm import langid, pieces, simhash
+from hazardpanel.llm import decontaminate, langid, pieces, pii, simhash
 from hazardpanel.llm.common import id_remainder, table
 
 TOKENIZERS = "public_tokenizers"     # module that names the vocabulary files
@@ -26,6 +26,36 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with pseudonyms in its text and the number of values replaced."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and its containment."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "n_shingles", "n_shared", "containment")
+
+
+ORACLE["op4_decontaminate"] = r"""
+WITH words AS (
+  SELECT doc_id, NULL AS item_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS w FROM documents
+  UNION ALL
+  SELECT NULL, item_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') FROM benchmark),
+places AS (SELECT doc_id, item_id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5),
+shingles AS (SELECT DISTINCT doc_id, item_id, array_to_string(w[i:i + 4], ' ') AS s FROM places),
+items AS (SELECT item_id, s, count(*) OVER (PARTITION BY item_id) AS n_shingles FROM shingles WHERE doc_id IS NULL),
+shared AS (
+  SELECT d.doc_id, i.item_id, i.n_shingles, count(*) AS n_shared
+  FROM shingles d JOIN items i ON d.s = i.s WHERE d.doc_id IS NOT NULL GROUP BY ALL)
+SELECT doc_id, item_id, CAST(n_shingles AS INTEGER) AS n_shingles, CAST(n_shared AS INTEGER) AS n_shared,
+       CAST(n_shared AS DOUBLE) / n_shingles AS containment
+FROM shared WHERE CAST(n_shared AS DOUBLE) / n_shingles >= 0.8
+"""
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
