@@ -8,8 +8,9 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardpanel.llm import decontaminate, langid, pieces, pii, simhash
+from hazardpanel.llm import dac, decontaminate, langid, pieces, pii, simhash
 from hazardpanel.llm.common import id_remainder, table
+from hazardpanel.session import scratch_path
 
 TOKENIZERS = "public_tokenizers"     # module that names the vocabulary files
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +27,14 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to shard files and read back."""
+    path = scratch_path(spark, "token-ids")
+    dac.write_tokens(table(spark, sf_dir, "documents"), dac.byte_level_encoder(vocabulary("byte_bpe_50k.json")), path)
+    return dac.read_tokens(spark, path)
+
+
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms in its text and the number of values replaced."""
