@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardpanel.llm import dac, decontaminate, langid, pieces, pii, simhash
+from hazardpanel.llm import dac, decontaminate, langid, pieces, pii, simhash, warc
 from hazardpanel.llm.common import id_remainder, table
 from hazardpanel.session import scratch_path
 
@@ -81,6 +81,27 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "entropy")
 
 
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A WARC record of every page, normalised to a member per record and read back by the index."""
+    path = scratch_path(spark, "warc")
+    warc.write_monolithic(table(spark, sf_dir, "pages"), f"{path}/monolithic")
+    warc.normalise(spark, f"{path}/monolithic", f"{path}/normal")
+    return warc.read_records(spark, f"{path}/normal").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op9_warc"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS p, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY p) END AS f FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN f IS NOT NULL AND f IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f IS NOT NULL AND f IS DISTINCT FROM page_id THEN f END AS refers_to
+FROM firsts
+"""
+
+
 @query
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids, spans and decoding of every document, as digests."""
