@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardpanel.llm import dac, decontaminate, langid, pieces, pii, simhash, warc
+from hazardpanel.llm import dac, decontaminate, langid, pieces, pii, quality, simhash, warc
 from hazardpanel.llm.common import id_remainder, table
 from hazardpanel.session import scratch_path
 
@@ -65,6 +65,16 @@ FROM shared WHERE CAST(n_shared AS DOUBLE) / n_shingles >= 0.8
 """
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; ids with remainder 0 are held out, those
+    with remainder 4 calibrate."""
+    docs, labels, rem = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), id_remainder("id", 5)
+    return quality.classify(docs, labels, "quality", rem.isin(1, 2, 3), rem == 4).select(
+        F.col("id").alias("doc_id"), F.coalesce(rem == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= quality.PREDICT_AT).cast("int").alias("predicted"))
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
