@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardpanel.llm import dac, decontaminate, langid, pieces, pii, quality, simhash, warc
+from hazardpanel.llm import dac, decontaminate, langid, neighbours, pieces, pii, quality, simhash, warc
 from hazardpanel.llm.common import id_remainder, table
 from hazardpanel.session import scratch_path
 
@@ -82,6 +82,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vec_id divisible by 20."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; fitted on ids whose remainder is not 2."""
