@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardpanel.llm import dac, decontaminate, langid, neighbours, pieces, pii, quality, simhash, warc
+from hazardpanel.llm import dac, decontaminate, langid, neighbours, pieces, pii, quality, repeats, simhash, warc
 from hazardpanel.llm.common import id_remainder, table
 from hazardpanel.session import scratch_path
 
@@ -35,6 +35,12 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_tokens(spark, path)
 
 
+@query
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 100-byte strings that start earlier."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms in its text and the number of values replaced."""
