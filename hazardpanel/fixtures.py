@@ -105,7 +105,7 @@ def weather_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = li.select(F.to_date("l_shipdate").alias("date"))
     grid = dense_grid(reg, "wilaya_id", dates)
     obs = (li.groupBy((F.col("l_suppkey") % 5).alias("wilaya_id"), F.to_date("l_shipdate").alias("date"))
-             .agg((F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("decimal(18,4)"))
+             .agg((F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("decimal(28,8)"))
                        .otherwise(F.lit(0))).cast("double") / F.lit(10)).alias("precipitation"),
                   F.max("l_quantity").alias("temp_max"),
                   (F.min("l_quantity") / F.lit(10)).alias("et0")))

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hazardpanel.constants import COVERAGE_START, DAYS_SINCE_CAP, WEEKEND_DAYS
+from hazardpanel.constants import COVERAGE_START, WEEKEND_DAYS
 
 
 def _c(col) -> Column:
@@ -25,14 +25,15 @@ def round_half_even(col, digits: int = 2) -> Column:
     return F.rint(_c(col) * F.lit(scale)) / F.lit(scale)
 
 
-def exact_sum(col, scale: int = 4) -> Column:
-    """Sum as DECIMAL(18, scale), returned as double: order-independent."""
-    return F.sum(_c(col).cast(f"decimal(18,{scale})")).cast("double")
+#: Measurements are added as decimals of eight places (20 before the point), so a
+#: sum does not depend on the order in which tasks deliver its parts.  The feeds
+#: carry at most five places; a ninth place would be rounded.
+EXACT = "decimal(28,8)"
 
 
-def exact_avg(col, scale: int = 4) -> Column:
-    """Average with an exact (decimal) numerator, divided once in double."""
-    return exact_sum(col, scale) / F.count(_c(col))
+def exact_sum(col) -> Column:
+    """Order-independent sum (see ``EXACT``), returned as double."""
+    return F.sum(_c(col).cast(EXACT)).cast("double")
 
 
 def zero_fill(col, dtype: str = "int") -> Column:
@@ -59,10 +60,6 @@ def coverage_flag(date_col, start: str = COVERAGE_START) -> Column:
     return _c(date_col) >= F.to_date(F.lit(start))
 
 
-def clip_upper(col, bound=DAYS_SINCE_CAP) -> Column:
-    return F.least(_c(col), F.lit(bound))
-
-
 def zero_pad(col, width: int = 2) -> Column:
     """Region codes keep their leading zero whatever type they arrive in."""
     return F.lpad(F.trim(_c(col).cast("string")), width, "0")

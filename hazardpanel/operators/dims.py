@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardpanel.constants import NON_FOREST_REGIONS, OFFICIAL_REGION_CODES
@@ -40,34 +40,11 @@ def flag_not_in(df: DataFrame, col: str, names: Sequence[str] = tuple(NON_FOREST
     return df.withColumn(out, F.coalesce(~F.col(col).isin(*list(names)), F.lit(False)))
 
 
-MAX_WINDOW_KEYS = 1_000_000
-
-
 def surrogate_id(df: DataFrame, order_col: str, out: str = "surrogate_id") -> DataFrame:
-    """1..n in ``order_col`` order (order values must be unique).
-
-    Numeric keys use the bucketed running count (no single-partition window).
-    String keys of a dimension are numbered with a window over the distinct
-    keys once their count is checked against ``MAX_WINDOW_KEYS``; beyond it,
-    range partitions numbered locally and offset by the partitions before them.
-    """
-    if dict(df.dtypes)[order_col] in ("int", "bigint", "smallint", "tinyint", "double", "float"):
-        return row_numbers(df, order_col, out).withColumn(out, F.col(out).cast("int"))
-    keys = df.select(order_col).distinct()
-    if keys.count() <= MAX_WINDOW_KEYS:
-        ordered = keys.withColumn(out, F.row_number().over(Window.orderBy(order_col)))
-        return df.join(F.broadcast(ordered), order_col).withColumn(out, F.col(out).cast("int"))
-    # many keys: range-partition, freeze the partition ids in a written table,
-    # offset each partition by the counts of the partitions before it
-    from hazardpanel.session import materialize
-    ranged = materialize(keys.repartitionByRange(order_col).withColumn("_pid", F.spark_partition_id()),
-                         "surrogate-keys")
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))   # one row per partition
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy(order_col))
-    ordered = ranged.join(F.broadcast(offsets), "_pid").select(order_col, (F.col("_o") + local).alias(out))
-    return df.join(ordered, order_col).withColumn(out, F.col(out).cast("int"))
+    """1..n (long) in ``order_col`` order; order values must be unique, a null
+    one comes first.  Numbers and strings alike are ordered by their own type,
+    range by range (``row_numbers``)."""
+    return row_numbers(df, order_col, out)
 
 
 def semi_by_flag(facts: DataFrame, dim: DataFrame, key: str, flag_col: str) -> DataFrame:

@@ -21,8 +21,11 @@ from hazardpanel.operators.windows import topk_per_group
 
 
 def _score_groups(df: DataFrame, score: str, label: str) -> DataFrame:
-    y = F.col(label).cast("long")
-    return df.groupBy(F.col(score).alias("_s")).agg(F.sum(y).alias("p"), F.sum(1 - y).alias("n"))
+    """Positives and negatives per distinct score.  Rows whose score is null or
+    NaN, or whose label is null, take no part in a rank metric."""
+    s, y = F.col(score), F.col(label).cast("long")
+    known = df.filter(s.isNotNull() & ~F.isnan(s.cast("double")) & y.isNotNull())
+    return known.groupBy(s.alias("_s")).agg(F.sum(y).alias("p"), F.sum(1 - y).alias("n"))
 
 
 def _ranked(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -73,7 +76,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[flo
     Distinct values with counts are accumulated in order (distributed), and
     only the few rows holding the needed order statistics reach the driver.
     """
-    g = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("_v")) \
+    g = df.filter(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).groupBy(F.col(col).cast("double").alias("_v")) \
           .agg(F.count(F.lit(1)).alias("c"))
     n = g.agg(F.sum("c")).first()[0]
     if not n:
@@ -147,15 +150,16 @@ def balanced_weights(df: DataFrame, label: str = "y", out: str = "weight") -> Da
 
 def best_by(metrics: DataFrame, name_col: str, metric_col: str, tolerance: float = 0.0,
             simplicity_col: str | None = None) -> DataFrame:
-    """Pick the best row by ``metric_col``; with ``tolerance`` > 0, the simplest
+    """Pick the best row by ``metric_col`` (of equal ones the first name, which is
+    the listing order of the variants); with ``tolerance`` > 0, the simplest
     (smallest ``simplicity_col``) among those within ``tolerance`` of the best."""
     if tolerance <= 0 or simplicity_col is None:
-        return metrics.agg(F.max_by(name_col, metric_col).alias(f"best_{name_col}"),
+        return metrics.agg(F.min_by(name_col, F.when(F.col(metric_col).isNotNull(), F.struct(-F.col(metric_col), F.col(name_col)))).alias(f"best_{name_col}"),
                            F.max(metric_col).alias(f"best_{metric_col}"))
     # metrics tables hold one row per variant: a window over them is bounded
     near = (metrics.withColumn("_m", F.max(metric_col).over(Window.partitionBy()))
                    .filter(F.col(metric_col) >= F.col("_m") - F.lit(tolerance)))
-    return near.agg(F.min_by(name_col, F.struct(simplicity_col, -F.col(metric_col))).alias(f"best_{name_col}"),
+    return near.agg(F.min_by(name_col, F.struct(F.col(simplicity_col), -F.col(metric_col), F.col(name_col))).alias(f"best_{name_col}"),
                     F.max(metric_col).alias(f"best_{metric_col}"))
 
 

@@ -1,12 +1,15 @@
 """Running totals over a global order without a single-partition window.
 
-A window with ``orderBy`` but no ``partitionBy`` moves every row into one
-task.  Instead the ordered key is cut into buckets at approximate
-quantiles (one bound per bucket reaches the driver), each bucket sums its
-values (a table of one row per bucket), bucket offsets come from a window
-over those rows, and every bucket computes its local running sum in its own
-task.  Buckets are a pure function of the key, so the result
-is exact and deterministic; the quantiles only balance the work.
+A window with ``orderBy`` but no ``partitionBy`` moves every row into one task.
+Instead rows are dealt by ranges of the order column and written once with the
+number of their range; each range sums its values (a table of one row per
+range), offsets come from a window over those few rows, and every range computes
+its local running sum in its own task.  Range bounds only balance the work: the
+result is exact for any of them, the same at every size, and keeps the order
+column's own type (long integers are never compared as doubles).
+
+Order: Spark's own.  Nulls come first (last when descending) and form one place
+like any other value; NaN is larger than every number.
 """
 
 from __future__ import annotations
@@ -16,72 +19,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 100_000
-
-
-def _bucket_bounds(df: DataFrame, key: str, n_buckets: int) -> list:
-    if n_buckets <= 1:
-        return []
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    # rank error well below a bucket's share keeps every bucket near its target size
-    rel_err = min(0.001, 0.25 / n_buckets)
-    bounds = df.approxQuantile(key, probs, rel_err)
-    return sorted(set(b for b in bounds if b is not None))
+from hazardpanel.session import materialize
 
 
 def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
-                   descending: bool = False, n_buckets: int | None = None,
-                   prefix: str = "cum_", materialize: bool = True,
-                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                   descending: bool = False, n_ranges: int | None = None,
+                   prefix: str = "cum_") -> DataFrame:
     """Add ``cum_<v>`` = sum of ``v`` over all rows up to and including this one.
 
-    ``order_col`` must be numeric and unique (pre-aggregate ties first).
-    ``descending`` accumulates from the largest key down.  With
-    ``materialize`` the input (typically an aggregate) is written once,
-    so counting, bound sampling, bucket totals and bucket-local sums scan the
-    stored result instead of each re-running the aggregation.
-
-    Buckets hold about ``rows_per_bucket`` rows each (the bound on what one
-    task sorts); keys are mapped to buckets by binary search (``Bucketizer``).
+    ``order_col`` is of any orderable type and unique (pre-aggregate ties
+    first).  ``descending`` accumulates from the largest key down.  ``n_ranges``
+    defaults to the session's shuffle width, which AQE reduces for small inputs.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    if materialize:
-        from hazardpanel.session import materialize as write_table
-        df = write_table(df, "running-totals-input")
-    if n_buckets is None:
-        rows = df.count()
-        n_buckets = max(1, min(MAX_BUCKETS, -(-rows // rows_per_bucket)))
-    key = F.col(order_col).cast("double")
-    keyed = df.withColumn("_k", -key if descending else key)
-    bounds = _bucket_bounds(keyed, "_k", n_buckets)
-    if bounds:
-        splits = [float("-inf")] + [float(b) for b in bounds] + [float("inf")]
-        keyed = Bucketizer(splits=splits, inputCol="_k", outputCol="_bf").transform(keyed) \
-            .withColumn("_b", F.col("_bf").cast("int")).drop("_bf")
-    else:
-        # one bucket (at most ``rows_per_bucket`` rows): no offsets to add
-        local = Window.partitionBy(F.lit(0)).orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
-        out = keyed
-        for v in value_cols:
-            out = out.withColumn(f"{prefix}{v}", F.sum(v).over(local))
-        return out.drop("_k")
-    totals = keyed.groupBy("_b").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_b", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}")
-                                    for v in value_cols])
-    local = Window.partitionBy("_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
-    out = keyed.join(F.broadcast(offsets), "_b")
+    order = F.desc(order_col) if descending else F.asc(order_col)
+    dealt = df.repartitionByRange(n_ranges, order) if n_ranges else df.repartitionByRange(order)
+    ranged = materialize(dealt.withColumn("_range", F.spark_partition_id()), "running-totals")
+    totals = ranged.groupBy("_range").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_range", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}")
+                                        for v in value_cols])
+    local = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.join(offsets, "_range")
     for v in value_cols:
         out = out.withColumn(f"{prefix}{v}", F.col(f"_o_{v}") + F.sum(v).over(local))
-    return out.drop("_k", "_b", *[f"_o_{v}" for v in value_cols])
+    return out.drop("_range", *[f"_o_{v}" for v in value_cols])
 
 
-def row_numbers(df: DataFrame, order_col: str, out_col: str = "rn",
-                n_buckets: int | None = None) -> DataFrame:
-    """1-based global row number by a unique numeric ``order_col``."""
+def row_numbers(df: DataFrame, order_col: str, out_col: str = "rn", n_ranges: int | None = None) -> DataFrame:
+    """1-based global row number (long) by a unique ``order_col``."""
     counted = df.withColumn("_one", F.lit(1))
-    return running_totals(counted, order_col, ["_one"], n_buckets=n_buckets) \
+    return running_totals(counted, order_col, ["_one"], n_ranges=n_ranges) \
         .withColumnRenamed("cum__one", out_col).drop("_one")

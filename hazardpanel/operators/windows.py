@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardpanel.constants import DAYS_SINCE_CAP, RAIN_THRESHOLD_MM
+from hazardpanel.functions.scalar import EXACT
 
 
 def _spec(by: str, order: str):
@@ -28,7 +29,7 @@ def prior_sum(col: str, rows: int, min_count: int, by: str, order: str):
     """Sum of the ``rows`` previous rows (not the current one), null below ``min_count``."""
     w = _spec(by, order).rowsBetween(-rows, -1)
     c = F.col(col)
-    exact = F.sum(c.cast("decimal(18,4)")).over(w).cast("double")
+    exact = F.sum(c.cast(EXACT)).over(w).cast("double")
     return F.when(F.count(c).over(w) >= min_count, exact)
 
 
@@ -36,7 +37,7 @@ def prior_mean(col: str, rows: int, min_count: int, by: str, order: str):
     w = _spec(by, order).rowsBetween(-rows, -1)
     c = F.col(col)
     n = F.count(c).over(w)
-    exact = F.sum(c.cast("decimal(18,4)")).over(w).cast("double")
+    exact = F.sum(c.cast(EXACT)).over(w).cast("double")
     return F.when(n >= min_count, exact / n)
 
 

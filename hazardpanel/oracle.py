@@ -111,7 +111,7 @@ WHERE NOT EXISTS (SELECT 1 FROM spots s WHERE s.lat_grid = m.lat_grid AND s.lon_
 """, ["matched", "spots"]),
     "daily": ("""
 SELECT k.wilaya_id, r.wilaya_code, k.acq_date AS date, count(k.frp) AS nb_detections,
-       coalesce(CAST(sum(CAST(k.frp AS DECIMAL(18,4))) AS DOUBLE), 0e0) AS frp_total, max(k.frp) AS frp_max,
+       coalesce(round(sum(k.frp), 6), 0e0) AS frp_total, max(k.frp) AS frp_max,
        1 AS fire_detected
 FROM kept k LEFT JOIN region_dim r ON r.wilaya_id = k.wilaya_id
 GROUP BY k.wilaya_id, r.wilaya_code, k.acq_date
@@ -122,7 +122,7 @@ FROM matched_strict GROUP BY lat_grid, lon_grid HAVING count(DISTINCT acq_date)
 """, ["matched_strict"]),
     "daily_strict": ("""
 SELECT k.wilaya_id, r.wilaya_code, k.acq_date AS date, count(k.frp) AS nb_detections,
-       coalesce(CAST(sum(CAST(k.frp AS DECIMAL(18,4))) AS DOUBLE), 0e0) AS frp_total, max(k.frp) AS frp_max,
+       coalesce(round(sum(k.frp), 6), 0e0) AS frp_total, max(k.frp) AS frp_max,
        1 AS fire_detected
 FROM matched_strict k LEFT JOIN region_dim r ON r.wilaya_id = k.wilaya_id
 WHERE NOT EXISTS (SELECT 1 FROM spots_strict s WHERE s.lat_grid = k.lat_grid AND s.lon_grid = k.lon_grid)
@@ -149,7 +149,7 @@ SELECT c.wilaya_id, c.date, o.precipitation, o.temp_max, o.et0
 FROM (SELECT r_regionkey AS wilaya_id, d.date FROM region
       CROSS JOIN (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem) d) c
 LEFT JOIN (SELECT l_suppkey%5 AS wilaya_id, CAST(l_shipdate AS DATE) AS date,
-   CAST(sum(CASE WHEN l_returnflag='R' THEN CAST(l_quantity AS DECIMAL(18,4)) ELSE 0 END) AS DOUBLE)/10 AS precipitation,
+   round(sum(CASE WHEN l_returnflag='R' THEN l_quantity ELSE 0 END), 6)/10 AS precipitation,
    max(l_quantity) AS temp_max, min(l_quantity)/10 AS et0
    FROM lineitem GROUP BY l_suppkey%5, CAST(l_shipdate AS DATE)) o
 ON c.wilaya_id = o.wilaya_id AND c.date = o.date

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardpanel.constants import COVERAGE_START, DETECTION_KEY, PERSISTENCE_THRESHOLD_DAYS
+from hazardpanel.functions.scalar import EXACT
 from hazardpanel.operators.dedup import dedup_keep_first
 from hazardpanel.operators.joins import dimension
 from hazardpanel.operators.panel import dense_grid, fixed_layout, fuse_panel
@@ -57,7 +58,7 @@ def cell_day_summary(matched: DataFrame, region_col: str = "wilaya_id") -> DataF
     return matched.groupBy("lat_grid", "lon_grid", region_col, "acq_date").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("frp").alias("n_frp"),
-        F.sum(F.col("frp").cast("decimal(18,4)")).alias("frp_sum"),
+        F.sum(F.col("frp").cast(EXACT)).alias("frp_sum"),
         F.max("frp").alias("frp_max"))
 
 

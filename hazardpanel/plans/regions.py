@@ -28,7 +28,7 @@ def build_region_dim(features: DataFrame, mapping: DataFrame, name_prop: str = "
     props = features.select("pos", F.col("properties")[name_prop].alias("wilaya_name"),
                             *[F.col("properties")[p].alias(p) for p in extra_props])
     coded = map_or_fail(props, "wilaya_name", mapping, "name", "code", "wilaya_code")
-    ided = surrogate_id(coded, "wilaya_code", "wilaya_id")
+    ided = surrogate_id(coded, "wilaya_code", "wilaya_id").withColumn("wilaya_id", F.col("wilaya_id").cast("int"))
     keyed = features.join(ided.select("pos", "wilaya_id"), "pos").withColumn(
         "properties", F.create_map(F.lit("wilaya_id"), F.col("wilaya_id").cast("string")))
     edges = features_to_edges(keyed, "wilaya_id")

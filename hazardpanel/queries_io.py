@@ -58,7 +58,7 @@ FROM (SELECT max(acq_date) + 1 AS as_of FROM detections) p""", ["detections", "p
 def _refresh_daily_sql(where: str, order: str) -> str:
     return f"""
 SELECT k.wilaya_id, r.wilaya_code, k.acq_date AS date, count(k.frp) AS nb_detections,
-       coalesce(CAST(sum(CAST(k.frp AS DECIMAL(18,4))) AS DOUBLE), 0e0) AS frp_total, max(k.frp) AS frp_max, 1 AS fire_detected
+       coalesce(round(sum(k.frp), 6), 0e0) AS frp_total, max(k.frp) AS frp_max, 1 AS fire_detected
 FROM (SELECT d.*, a.wilaya_id FROM (
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY latitude, longitude, acq_date, acq_time, satellite
                                                     ORDER BY {order}) AS rn

@@ -35,12 +35,12 @@ W30 = "(PARTITION BY wilaya_id ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRE
 
 def _psum(col, w, m):
     return (f"CASE WHEN count({col}) OVER {w} >= {m} "
-            f"THEN CAST(sum(CAST({col} AS DECIMAL(18,4))) OVER {w} AS DOUBLE) END")
+            f"THEN round(sum({col}) OVER {w}, 6) END")
 
 
 def _pmean(col, w, m):
     return (f"CASE WHEN count({col}) OVER {w} >= {m} "
-            f"THEN CAST(sum(CAST({col} AS DECIMAL(18,4))) OVER {w} AS DOUBLE) / count({col}) OVER {w} END")
+            f"THEN round(sum({col}) OVER {w}, 6) / count({col}) OVER {w} END")
 
 
 DRYNESS_SQL = f"""
@@ -114,7 +114,7 @@ def q_inner_code_join(spark, sf):
 
 
 @register("surrogate_id", sql("""
-SELECT wilaya_code, wilaya_name, CAST(row_number() OVER (ORDER BY wilaya_code) AS INTEGER) AS surrogate_id
+SELECT wilaya_code, wilaya_name, row_number() OVER (ORDER BY wilaya_code) AS surrogate_id
 FROM region_dim""", "region_dim"))
 def q_surrogate_id(spark, sf):
     return surrogate_id(fx.region_dim(spark, sf).select("wilaya_code", "wilaya_name"), "wilaya_code")

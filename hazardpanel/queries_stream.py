@@ -60,7 +60,7 @@ def q_stream_enrich(spark, sf):
 
 @register("stream_daily_agg", sql("""
 SELECT k.wilaya_id, r.wilaya_code, k.acq_date AS date, count(k.frp) AS nb_detections,
-       coalesce(CAST(sum(CAST(k.frp AS DECIMAL(18,4))) AS DOUBLE), 0e0) AS frp_total, max(k.frp) AS frp_max, 1 AS fire_detected
+       coalesce(round(sum(k.frp), 6), 0e0) AS frp_total, max(k.frp) AS frp_max, 1 AS fire_detected
 FROM stream_enriched k LEFT JOIN region_dim r ON r.wilaya_id = k.wilaya_id
 GROUP BY k.wilaya_id, r.wilaya_code, k.acq_date""", "stream_enriched", "region_dim"))
 def q_stream_daily_agg(spark, sf):

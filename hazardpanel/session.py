@@ -8,12 +8,17 @@ it is unset (local runs, tests) do we create one ourselves.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+#: Shuffle width of a local session that sets none (a cluster's comes from its submission).
+LOCAL_SHUFFLE_PARTITIONS = 8
+
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -21,33 +26,57 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+#: Settings that must be known when the driver's JVM starts; under ``spark-submit`` it already runs.
+LAUNCH_CONF = {
+    "spark.driver.memory": os.environ.get("HAZARDPANEL_DRIVER_MEMORY", "16g"),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "hazardpanel", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings the library assumes."""
+    """Build (or reuse) a session; the library's defaults apply only where
+    neither the submission, ``spark-defaults`` nor a running session set a value.
+
+    ``shuffle_partitions`` and ``extra`` are explicit wishes of the caller and do
+    override; leave them out under ``spark-submit``.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("HAZARDPANEL_DRIVER_MEMORY", "16g")
-    conf.update(extra or {})
-    for k, v in conf.items():
+    submitted = os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    if "PYSPARK_GATEWAY_PORT" not in os.environ:        # this process starts the JVM
+        for k, v in LAUNCH_CONF.items():
+            if k not in submitted:
+                builder = builder.config(k, v)
+    for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    defaults = dict(DEFAULT_CONF)
+    if _one_machine(spark.sparkContext.master):
+        defaults["spark.sql.shuffle.partitions"] = str(LOCAL_SHUFFLE_PARTITIONS)
+    for k, v in defaults.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+    if shuffle_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     checkpoint_root(spark)
     return spark
 
 
+def _one_machine(master: str) -> bool:
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; set a local one only where it is unset.
+    Read from the session; only a local master (one machine) gets a temporary
+    one where it is unset, and that one is removed when the process ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,7 +84,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not _one_machine(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="hazardpanel-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)      # ours alone, ends with this process
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -52,8 +52,8 @@ def test_points_are_not_shuffled_for_placement(spark):
 
 def test_running_totals_do_not_use_a_single_partition_window(spark):
     df = spark.range(0, 5000).select(F.col("id").cast("double").alias("k"), F.lit(1).alias("v"))
-    out = running_totals(df, "k", ["v"], n_buckets=8, materialize=False)
+    out = running_totals(df, "k", ["v"], n_ranges=8)
     plan = _final_plan(out)
     windows = re.findall(r"Window \[[^\n]*", plan)
-    data_windows = [w for w in windows if "_k" in w]
-    assert data_windows and all("_b" in w for w in data_windows)   # partitioned by bucket
+    data_windows = [w for w in windows if "k#" in w.partition("sum(")[2]]
+    assert data_windows and all("_range" in w.rpartition("], [")[0] for w in data_windows)   # partitioned by range

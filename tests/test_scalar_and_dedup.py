@@ -55,12 +55,45 @@ def test_official_mapping_and_default_flag(spark):
     assert coded.filter(F.length("wilaya_code") == 2).count() == 58
 
 
-def test_surrogate_id_many_string_keys_path(spark, monkeypatch):
-    from hazardpanel.operators import dims
-    monkeypatch.setattr(dims, "MAX_WINDOW_KEYS", 10)   # force the partitioned path
-    keys = spark.createDataFrame([(f"k{i:04d}",) for i in range(500)], "code string").repartition(7)
-    got = dict((r.code, r.surrogate_id) for r in dims.surrogate_id(keys, "code").collect())
-    assert got == {f"k{i:04d}": i + 1 for i in range(500)}
+def test_surrogate_id_orders_by_the_keys_own_type_and_keeps_null(spark):
+    from hazardpanel.operators.dims import surrogate_id
+    codes = [None] + [f"k{i:04d}" for i in range(500)]
+    keys = spark.createDataFrame([(c,) for c in codes], "code string").repartition(7)
+    assert {r.code: r.surrogate_id for r in surrogate_id(keys, "code").collect()} == {c: i + 1 for i, c in enumerate(codes)}
+    big = [None, -5] + [2**53 + i for i in range(40)] + [2**63 - 1]        # neighbours that doubles cannot tell apart
+    ids = spark.createDataFrame([(v,) for v in reversed(big)], "k long").repartition(5)
+    assert {r.k: r.surrogate_id for r in surrogate_id(ids, "k").collect()} == {v: i + 1 for i, v in enumerate(big)}
+
+
+def test_exact_sum_keeps_five_places_and_any_order(spark):
+    from hazardpanel.functions.scalar import exact_sum
+    df = spark.range(100_000).select(F.lit(0.00004).alias("x"))
+    assert df.agg(exact_sum("x").alias("s")).first().s == 4.0
+    mixed = spark.createDataFrame([(0.1,), (1e9,), (0.2,), (-1e9,), (None,)], "x double")
+    assert {mixed.repartition(n).agg(exact_sum("x").alias("s")).first().s for n in (1, 2, 5)} == {0.3}
+
+
+def test_submitted_settings_win():
+    """In a session of its own process: 4000 partitions submitted stay 4000."""
+    import subprocess
+    import sys
+    code = ("from hazardpanel.session import get_session; s = get_session('local[1]');"
+            "print('width', s.conf.get('spark.sql.shuffle.partitions'), s.conf.get('spark.sql.adaptive.enabled'))")
+    env = {"PYSPARK_SUBMIT_ARGS": "--conf spark.sql.shuffle.partitions=4000 --conf spark.sql.adaptive.enabled=false --conf spark.ui.enabled=false pyspark-shell"}
+    import os
+    done = subprocess.run([sys.executable, "-c", code], env=os.environ | env, capture_output=True, text=True, timeout=120)
+    assert "width 4000 false" in done.stdout, done.stderr[-2000:]
+
+
+def test_no_local_scratch_on_a_cluster():
+    from types import SimpleNamespace
+
+    from hazardpanel.session import checkpoint_root
+    conf = SimpleNamespace(get=lambda *a: None)
+    context = lambda master: SimpleNamespace(master=master, getCheckpointDir=lambda: None, getConf=lambda: conf)
+    for master in ("yarn", "spark://h:7077", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            checkpoint_root(SimpleNamespace(sparkContext=context(master), conf=conf))
 
 
 def test_daily_agg_all_missing_frp_is_zero_like_pandas(spark):
