@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazardpanel.constants import WEATHER_VARS
 from hazardpanel.functions.scalar import zero_pad
 from hazardpanel.operators.panel import dense_grid
 from hazardpanel.operators.spatial import polygon_measures
@@ -48,14 +49,18 @@ def detections_from_events(ev: DataFrame) -> DataFrame:
     )
 
 
+def has_copy():
+    """Events that the near-real-time feed has, too."""
+    return (F.col("event_id") % 7 == 0) | ((F.col("event_type") == "error") & (F.col("event_id") % 3 == 0))
+
+
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Point detections: every event once with priority 0 (science feed);
     some again with priority 1 (near-real-time copy without ``type``).
     Users divisible by 5 sit on fixed spots (recurring sources)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    has_copy = (F.col("event_id") % 7 == 0) | ((F.col("event_type") == "error") & (F.col("event_id") % 3 == 0))
     # one scan: each event emits priority 0, and priority 1 as well when it has a copy
-    both = ev.withColumn("pri", F.explode(F.when(has_copy, F.array(F.lit(0), F.lit(1)))
+    both = ev.withColumn("pri", F.explode(F.when(has_copy(), F.array(F.lit(0), F.lit(1)))
                                            .otherwise(F.array(F.lit(0)))))
     return detections_from_events(both)
 
@@ -98,6 +103,27 @@ def region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.join(measures, "wilaya_id", "left")
 
 
+def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense weather table: every region on every day from the first to the last
+    detection, all 13 variables; days without an event of the region have gaps."""
+    ev = table(spark, sf_dir, "events")
+    day = F.to_date("ts")
+    bounds = ev.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
+    calendar = F.sequence(F.lit(bounds["lo"]).cast("date"), F.lit(bounds["hi"]).cast("date"))
+    grid = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("wilaya_id"), F.explode(calendar).alias("date"))
+    obs = ev.groupBy((F.col("user_id") % 25).alias("wilaya_id"), day.alias("date")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "view").alias("v"), F.max("value").alias("hi"), F.min("value").alias("lo"))
+    n, v, hi, lo = (F.col(c) for c in ("n", "v", "hi", "lo"))
+    variables = {
+        "temperature_2m_max": hi / 10, "temperature_2m_min": lo / 10, "temperature_2m_mean": (hi + lo) / 20,
+        "relative_humidity_2m_mean": n * 7 % 101, "wind_speed_10m_max": n * 3 % 40, "wind_gusts_10m_max": n * 5 % 60,
+        "wind_direction_10m_dominant": n * 37 % 360, "precipitation_sum": v / 2, "rain_sum": v / 4, "sunshine_duration": n * 600 % 43200,
+        "shortwave_radiation_sum": hi / 20, "et0_fao_evapotranspiration": lo / 5, "surface_pressure_mean": n % 100 + 900,
+    }
+    return grid.join(obs, ["wilaya_id", "date"], "left").select(
+        "wilaya_id", "date", *[variables[c].cast("double").alias(c) for c in WEATHER_VARS])
+
+
 def weather_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5 regions x all ship dates, with real gaps (nulls) in the measures."""
     li = table(spark, sf_dir, "lineitem")

@@ -39,7 +39,8 @@ def _feeds(spark: SparkSession, specs) -> DataFrame:
         path, _, quality = spec.rpartition("=")
         sources.append((path, {"data_quality": quality or "SP", "pri": i}))
     det = read_detections(spark, sources)
-    return det.withColumn("event_id", F.monotonically_increasing_id())
+    # which of several rows with one key is kept depends on their content only
+    return det.withColumn("event_id", F.xxhash64(*[F.col(c) for c in det.columns]))
 
 
 def job_weather(spark: SparkSession, payloads, regions: str, out: str, batch_size: int = 29,
@@ -75,7 +76,7 @@ def job_rebuild(spark: SparkSession, feeds, regions: str, weather: str, out: str
     detection with its region, a full extra pass over the feeds)."""
     from hazardpanel.operators.panel import fixed_layout, fuse_panel, panel_summary, top_regions
     from hazardpanel.operators.spatial import assign_region
-    from hazardpanel.plans.rebuild import detection_chain
+    from hazardpanel.plans.rebuild import detection_chain, panel_layout
     det = _feeds(spark, feeds)
     dim = spark.read.parquet(f"{regions}/regions")
     edges = spark.read.parquet(f"{regions}/edges")
@@ -85,8 +86,8 @@ def job_rebuild(spark: SparkSession, feeds, regions: str, weather: str, out: str
     chain = detection_chain(det, edges, dim, strict_type=strict, threshold=threshold)
     chain.daily.write.mode("overwrite").parquet(f"{out}/daily")
     daily = spark.read.parquet(f"{out}/daily")
-    panel = fixed_layout(fuse_panel(base, daily, dim,
-                                    coverage_start=COVERAGE_START if coverage else None))
+    panel = fixed_layout(fuse_panel(base, daily, dim, coverage_start=COVERAGE_START if coverage else None),
+                         panel_layout(base.columns, coverage))
     sinks.write_parquet_by_year(panel, f"{out}/panel")
     written = spark.read.parquet(f"{out}/panel").drop("year")
     forest = forest_panel(written)

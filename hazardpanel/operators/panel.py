@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from hazardpanel.constants import COVERAGE_START, PANEL_COLUMNS
 from hazardpanel.functions.scalar import coverage_flag, exact_sum, round_half_even, zero_fill
-from hazardpanel.operators.joins import collect_bounded, dimension
-
-MAX_GRID_ENTITIES = 1_000_000
+from hazardpanel.operators.joins import dimension
 
 DIM_COLUMNS = ["wilaya_code", "wilaya_name", "area_km2", "centroid_lat", "centroid_lon", "is_forest_zone"]
 
@@ -27,18 +25,18 @@ def daily_region_agg(df: DataFrame, group_cols: Sequence[str] = ("wilaya_id", "w
               .withColumn("fire_detected", F.lit(1)))
 
 
-def dense_grid(entities: DataFrame, entity_col: str, dates: DataFrame,
-               date_col: str = "date", max_entities: int = MAX_GRID_ENTITIES) -> DataFrame:
-    """Every entity on every date: ``dates`` rows each fan out to all entities.
+def dense_grid(entities: DataFrame, entity_col: str, dates: DataFrame, date_col: str = "date") -> DataFrame:
+    """Every entity on every date that ``dates`` has.
 
-    The entity list is a dimension (regions), bounded and checked; the fan-out
-    is an ``explode`` of that bounded array, so the day side is never shuffled.
+    Each entity fans out over the calendar between the first and the last date
+    (two values reach the driver), and days that ``dates`` lacks are dropped by
+    a semi join with its few distinct days.
     """
-    ids = entities.select(entity_col).distinct()
-    values = sorted(r[0] for r in collect_bounded(ids, max_entities, "dense_grid entities"))
-    field = entities.schema[entity_col].dataType.simpleString()
-    arr = F.array(*[F.lit(v).cast(field) for v in values])
-    return dates.select(F.col(date_col).alias("date")).distinct().withColumn(entity_col, F.explode(arr))
+    days = dates.select(F.col(date_col).cast("date").alias("date")).distinct()
+    lo, hi = days.agg(F.min("date"), F.max("date")).first()
+    calendar = F.sequence(F.lit(lo).cast("date"), F.lit(hi).cast("date"))
+    grid = entities.select(entity_col).distinct().select(F.explode(calendar).alias("date"), entity_col)
+    return grid.join(days, "date", "left_semi")
 
 
 def fuse_panel(base: DataFrame, daily: DataFrame, dim: DataFrame | None = None,
@@ -66,8 +64,11 @@ def fuse_panel(base: DataFrame, daily: DataFrame, dim: DataFrame | None = None,
 
 
 def fixed_layout(df: DataFrame, columns: Sequence[str] = PANEL_COLUMNS) -> DataFrame:
-    """Project to the published column order (columns the frame lacks are skipped)."""
-    return df.select(*[c for c in columns if c in df.columns])
+    """Project to the published column order; a missing column is an error."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing from the published layout: {missing}")
+    return df.select(*columns)
 
 
 def panel_summary(panel: DataFrame, region_col: str = "wilaya_id",

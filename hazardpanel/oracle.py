@@ -6,6 +6,7 @@ transitively).  ``RD(x)`` of the fixtures is ``round_even(x*100,0)/100``.
 
 from __future__ import annotations
 
+from hazardpanel.constants import WEATHER_VARS
 from hazardpanel.fixtures import FIXTURE_NON_FOREST
 
 _NON_FOREST = ", ".join(f"'{n}'" for n in FIXTURE_NON_FOREST)
@@ -15,6 +16,21 @@ def rd(x: str, digits: int = 2) -> str:
     return f"round_even(({x})*{scale}, 0)/{scale}"
 
 
+def panel_sql(daily: str, coverage: str | None = "w.date >= DATE '2000-11-01'", where: str = "") -> str:
+    """The published panel layout over the ``weather`` view and a daily view."""
+    flag = f",\n       {coverage} AS fire_data_coverage" if coverage else ""
+    return f"""
+SELECT w.date, w.wilaya_id, r.wilaya_code, r.wilaya_name, {", ".join("w." + v for v in WEATHER_VARS)},
+       r.area_km2, r.centroid_lat, r.centroid_lon, r.is_forest_zone,
+       CAST(coalesce(d.nb_detections, 0) AS INTEGER) AS nb_detections,
+       {rd('coalesce(d.frp_total, 0.0)')} AS frp_total,
+       {rd('coalesce(d.frp_max, 0.0)')} AS frp_max,
+       CAST(coalesce(d.fire_detected, 0) AS INTEGER) AS fire_detected{flag}
+FROM weather w
+LEFT JOIN {daily} d ON d.wilaya_id = w.wilaya_id AND d.date = w.date
+LEFT JOIN region_dim r ON r.wilaya_id = w.wilaya_id {where}"""
+
+
 _CROSS = ("((e.y1 > d.latitude) <> (e.y2 > d.latitude) AND "
           "d.longitude < (e.x2-e.x1)*(d.latitude-e.y1)/(e.y2-e.y1)+e.x1)")
 _ONSEG = ("((e.x2-e.x1)*(d.latitude-e.y1) - (e.y2-e.y1)*(d.longitude-e.x1) = 0 "
@@ -132,18 +148,18 @@ GROUP BY k.wilaya_id, r.wilaya_code, k.acq_date
 SELECT d.date, r.wilaya_id FROM (SELECT DISTINCT acq_date AS date FROM detections) d
 CROSS JOIN (SELECT wilaya_id FROM region_dim) r
 """, ["detections", "region_dim"]),
-    "panel": (f"""
-SELECT g.date, g.wilaya_id, r.wilaya_code, r.wilaya_name, r.area_km2, r.centroid_lat, r.centroid_lon,
-       r.is_forest_zone,
-       CAST(coalesce(d.nb_detections, 0) AS INTEGER) AS nb_detections,
-       {rd('coalesce(d.frp_total, 0.0)')} AS frp_total,
-       {rd('coalesce(d.frp_max, 0.0)')} AS frp_max,
-       CAST(coalesce(d.fire_detected, 0) AS INTEGER) AS fire_detected,
-       g.date >= DATE '2000-11-01' AS fire_data_coverage
-FROM event_grid g
-LEFT JOIN daily d ON d.wilaya_id = g.wilaya_id AND d.date = g.date
-LEFT JOIN region_dim r ON r.wilaya_id = g.wilaya_id
-""", ["event_grid", "daily", "region_dim"]),
+    "weather": ("""
+SELECT g.wilaya_id, g.date, hi/10 AS temperature_2m_max, lo/10 AS temperature_2m_min, (hi+lo)/20 AS temperature_2m_mean,
+  CAST(n*7%101 AS DOUBLE) AS relative_humidity_2m_mean, CAST(n*3%40 AS DOUBLE) AS wind_speed_10m_max,
+  CAST(n*5%60 AS DOUBLE) AS wind_gusts_10m_max, CAST(n*37%360 AS DOUBLE) AS wind_direction_10m_dominant,
+  CAST(v AS DOUBLE)/2 AS precipitation_sum, CAST(v AS DOUBLE)/4 AS rain_sum, CAST(n*600%43200 AS DOUBLE) AS sunshine_duration,
+  hi/20 AS shortwave_radiation_sum, lo/5 AS et0_fao_evapotranspiration, CAST(n%100+900 AS DOUBLE) AS surface_pressure_mean
+FROM (SELECT n_nationkey AS wilaya_id, CAST(d.d AS DATE) AS date FROM nation CROSS JOIN (
+        SELECT unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS d FROM events) d) g
+LEFT JOIN (SELECT user_id%25 AS wilaya_id, CAST(ts AS DATE) AS date, count(*) AS n, count(*) FILTER (event_type = 'view') AS v,
+                  max(value) AS hi, min(value) AS lo FROM events GROUP BY 1, 2) o ON o.wilaya_id = g.wilaya_id AND o.date = g.date
+""", []),
+    "panel": (panel_sql("daily"), ["weather", "daily", "region_dim"]),
     "weather_panel": ("""
 SELECT c.wilaya_id, c.date, o.precipitation, o.temp_max, o.et0
 FROM (SELECT r_regionkey AS wilaya_id, d.date FROM region

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardpanel.constants import COVERAGE_START, DETECTION_KEY, PERSISTENCE_THRESHOLD_DAYS
+from hazardpanel.constants import COVERAGE_START, DETECTION_KEY, PANEL_COLUMNS, PERSISTENCE_THRESHOLD_DAYS, WEATHER_VARS
 from hazardpanel.functions.scalar import EXACT
 from hazardpanel.operators.dedup import dedup_keep_first
 from hazardpanel.operators.joins import dimension
@@ -95,6 +95,13 @@ def detection_chain(detections: DataFrame, edges: DataFrame, dim: DataFrame,
     return Chain(deduped, matched, summary, spots, kept, daily)
 
 
+def panel_layout(base_columns, coverage: bool = True) -> list[str]:
+    """The published columns; a base without any weather variable (a bare calendar)
+    leaves all of them out, one that has some must have every one."""
+    weather = [c for c in WEATHER_VARS if c in base_columns]
+    return [c for c in PANEL_COLUMNS if (weather or c not in WEATHER_VARS) and (coverage or c != "fire_data_coverage")]
+
+
 def build_panel(detections: DataFrame, edges: DataFrame, base: DataFrame | None, dim: DataFrame,
                 threshold: int = PERSISTENCE_THRESHOLD_DAYS, strict_type: bool = False,
                 coverage_start: str | None = COVERAGE_START, order=("pri", "event_id"),
@@ -108,7 +115,7 @@ def build_panel(detections: DataFrame, edges: DataFrame, base: DataFrame | None,
     if base is None:
         base = dense_grid(dim, region_col, detections.select(F.col("acq_date").alias("date")))
     panel = fuse_panel(base, chain.daily, dim, region_col, coverage_start=coverage_start)
-    return fixed_layout(panel)
+    return fixed_layout(panel, panel_layout(base.columns, coverage_start is not None))
 
 
 def forest_panel(panel: DataFrame) -> DataFrame:

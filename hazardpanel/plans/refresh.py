@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from hazardpanel.constants import FORECAST_RETENTION_DAYS
 from hazardpanel.operators.dedup import dedup_keep_last
-from hazardpanel.operators.joins import collect_bounded
 from hazardpanel.operators.panel import fixed_layout, fuse_panel
+from hazardpanel.session import materialize
 
 
 def next_period_start(frozen: DataFrame, date_col: str = "date") -> DataFrame:
@@ -57,25 +57,25 @@ def write_window_replace(spark: SparkSession, path: str, new: DataFrame,
     deleted (partition directories, via the session's Hadoop file system).
     Older partitions are never touched, so re-running is idempotent.
     """
+    new = materialize(new, "window-replace")       # computed once, read by the minimum and the write
     if window_start is None:
         window_start = _scalar_min(new, date_col)
         if window_start is None:
             return path
     (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_col).parquet(path))
-    # partition lists: one value per stored day (bounded by the calendar)
-    stored_dates = {r[0] for r in collect_bounded(spark.read.parquet(path).select(date_col).distinct(),
-                                                  1_000_000, "stored partitions")}
-    new_dates = {r[0] for r in collect_bounded(new.select(date_col).distinct(), 1_000_000, "new partitions")}
-    stale = sorted(d for d in stored_dates if d >= window_start and d not in new_dates)
-    _drop_partitions(spark, path, date_col, stale)
+    # days of the window that are stored but no longer in ``new``: folder names, not rows
+    kept = {r[0] for r in new.select(date_col).distinct().collect()}       # days of one window
+    stale = [d for d in partition_days(spark, path, date_col) if d >= window_start and d not in kept]
+    drop_partitions(spark, path, date_col, stale)
     return path
 
 
 def current_panel(weather: DataFrame, daily: DataFrame, dim: DataFrame,
                   region_col: str = "wilaya_id") -> DataFrame:
     """Current-period panel: left join, zero-fill, dimension, coverage true."""
-    return fixed_layout(fuse_panel(weather, daily, dim, region_col, constant_coverage=True))
+    from hazardpanel.plans.rebuild import panel_layout
+    return fixed_layout(fuse_panel(weather, daily, dim, region_col, constant_coverage=True), panel_layout(weather.columns))
 
 
 def rolling_archive(existing: DataFrame, new: DataFrame | None, as_of: dt.date,
@@ -88,7 +88,19 @@ def rolling_archive(existing: DataFrame, new: DataFrame | None, as_of: dt.date,
     return kept.filter(F.col("issued_date") >= F.date_sub(F.lit(as_of).cast("date"), retention_days))
 
 
-def _drop_partitions(spark: SparkSession, path: str, col: str, values) -> None:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def partition_days(spark: SparkSession, path: str, col: str = "date") -> list[dt.date]:
+    """Days that a table partitioned by ``col`` has folders for (a listing, no scan)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p) if s.isDirectory()]
+    return sorted(dt.date.fromisoformat(n.partition("=")[2]) for n in names if n.startswith(f"{col}=") and not n.endswith("__HIVE_DEFAULT_PARTITION__"))
+
+
+def drop_partitions(spark: SparkSession, path: str, col: str, values) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for v in values:
@@ -96,6 +108,15 @@ def _drop_partitions(spark: SparkSession, path: str, col: str, values) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def remove_folders(spark: SparkSession, path: str, which) -> None:
+    """Remove the folders below ``path`` whose name ``which`` accepts."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for s in fs.listStatus(p):
+        if s.isDirectory() and which(s.getPath().getName()):
+            fs.delete(s.getPath(), True)
+
+
 def write_rolling_archive(spark: SparkSession, path: str, new: DataFrame, as_of: dt.date,
                           retention_days: int = FORECAST_RETENTION_DAYS,
                           key=("issued_date", "target_date", "wilaya_id"), arrival: str = "arrival") -> str:
@@ -103,21 +124,21 @@ def write_rolling_archive(spark: SparkSession, path: str, new: DataFrame, as_of:
     ``new`` are merged keep-last with what is stored for them and rewritten
     (dynamic overwrite); partitions older than the retention are dropped.
     Only touched and expired partitions are ever written or removed."""
-    touched = [r[0] for r in collect_bounded(new.select("issued_date").distinct(), 100_000, "issue dates")]
+    new = materialize(new, "archive-new")
     merged = new
-    try:
-        stored = spark.read.parquet(path).filter(F.col("issued_date").isin(touched))
-        merged = stored.unionByName(new.select(*stored.columns))
-    except Exception:  # nothing stored yet
-        pass
-    # reliable checkpoint: the merge reads partitions that are rewritten below
-    kept = dedup_keep_last(merged, list(key), [arrival]).checkpoint(eager=True)
+    if path_exists(spark, path) and partition_days(spark, path, "issued_date"):
+        # any error of reading what is stored stops the job: a merge without it would delete it
+        archive = spark.read.parquet(path)
+        if set(archive.columns) != set(new.columns):
+            raise ValueError(f"archive columns {sorted(archive.columns)} differ from the new rows' {sorted(new.columns)}")
+        stored = archive.join(new.select("issued_date").distinct(), "issued_date", "left_semi")
+        merged = stored.unionByName(new)
+    # written first: the merge reads partitions that are rewritten below
+    kept = materialize(dedup_keep_last(merged, list(key), [arrival]), "archive-merged")
     (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("issued_date").parquet(path))
     cutoff = as_of - dt.timedelta(days=retention_days)
-    stored_dates = [r[0] for r in collect_bounded(spark.read.parquet(path).select("issued_date").distinct(),
-                                                  1_000_000, "archive partitions")]
-    _drop_partitions(spark, path, "issued_date", [d for d in stored_dates if d < cutoff])
+    drop_partitions(spark, path, "issued_date", [d for d in partition_days(spark, path, "issued_date") if d < cutoff])
     return path
 
 
@@ -155,7 +176,8 @@ def daily_refresh(frozen: DataFrame, stored_daily: DataFrame, lookback_points: D
     window replace of the stored daily table (H1) and the current-period
     panel on the period's weather (H7)."""
     period_start = next_period_start(frozen).first()[0]
-    new = lookback_daily(lookback_points, edges, dim, spots, order, region_col)
+    # the look-back chain runs once; its first day and the replaced table read the result
+    new = materialize(lookback_daily(lookback_points, edges, dim, spots, order, region_col), "refresh-daily")
     daily = window_replace(stored_daily, new, period_start=period_start)
     base = weather_current.filter(F.col("date") >= F.lit(period_start))
     return RefreshResult(period_start, daily, current_panel(base, daily, dim, region_col))

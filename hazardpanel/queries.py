@@ -14,14 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardpanel import fixtures as fx
+from hazardpanel import landing
 from hazardpanel.constants import DETECTION_KEY
-from hazardpanel.oracle import rd, sql
+from hazardpanel.oracle import panel_sql, rd, sql
 from hazardpanel.operators.dedup import dedup_keep_first
 from hazardpanel.operators.panel import dense_grid, fuse_panel, panel_summary, top_regions
 from hazardpanel.operators.persistence import drop_recurring, with_grid
 from hazardpanel.operators.spatial import assign_all_regions, assign_region
 from hazardpanel.plans.rebuild import (build_panel, detection_chain, forest_panel,
                                        vegetation_or_unknown, vegetation_strict)
+from hazardpanel.schemas import FEED_SCHEMA
+from hazardpanel.sources import detections as src
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,20 +52,13 @@ def _chain(spark, sf, strict=False):
 # ---------------------------------------------------------------- flagship
 @register("fused_panel", sql("SELECT * FROM panel", "panel"))
 def q_fused_panel(spark, sf):
-    return build_panel(fx.detections(spark, sf), fx.edges(spark, sf), None, fx.region_dim(spark, sf))
+    return build_panel(fx.detections(spark, sf), fx.edges(spark, sf), fx.weather(spark, sf), fx.region_dim(spark, sf))
 
 
-@register("fused_panel_strict", sql("""
-SELECT g.date, g.wilaya_id, r.wilaya_code, r.wilaya_name, r.area_km2, r.centroid_lat, r.centroid_lon,
-       r.is_forest_zone, CAST(coalesce(d.nb_detections, 0) AS INTEGER) AS nb_detections,
-       {} AS frp_total, {} AS frp_max, CAST(coalesce(d.fire_detected, 0) AS INTEGER) AS fire_detected
-FROM event_grid g LEFT JOIN daily_strict d ON d.wilaya_id = g.wilaya_id AND d.date = g.date
-LEFT JOIN region_dim r ON r.wilaya_id = g.wilaya_id
-""".format(rd("coalesce(d.frp_total, 0.0)"), rd("coalesce(d.frp_max, 0.0)")),
-    "event_grid", "daily_strict", "region_dim"))
+@register("fused_panel_strict", sql(panel_sql("daily_strict", coverage=None), "weather", "daily_strict", "region_dim"))
 def q_fused_panel_strict(spark, sf):
     # first-generation job: strict type filter, no coverage flag
-    return build_panel(fx.detections(spark, sf), fx.edges(spark, sf), None, fx.region_dim(spark, sf),
+    return build_panel(fx.detections(spark, sf), fx.edges(spark, sf), fx.weather(spark, sf), fx.region_dim(spark, sf),
                        strict_type=True, coverage_start=None)
 
 
@@ -191,10 +187,8 @@ def q_zero_fill(spark, sf):
 
 @register("union_sources", sql(f"SELECT {DET_COLS} FROM detections", "detections"))
 def q_union_sources(spark, sf):
-    d = fx.detections(spark, sf)
-    # one frame per (priority, satellite) feed, unioned back by column name
-    feeds = [d.filter((F.col("pri") == p) & (F.col("satellite") == s))
-             for p in (0, 1) for s in ("N", "N20", "N21")]
+    _, sources = landing.land_detection_feeds(spark, sf)       # one landed feed per (satellite, quality)
+    feeds = [src.read_csv_by_header(spark, path, FEED_SCHEMA) for path, _ in sources if "absent" not in path]
     out = feeds[0]
     for f in feeds[1:]:
         out = out.unionByName(f)
@@ -203,8 +197,3 @@ def q_union_sources(spark, sf):
 
 def entry_query(spark: SparkSession, sf: str) -> DataFrame:
     return q_fused_panel(spark, sf)
-
-
-def sorted_keys() -> list[str]:
-    return sorted(QUERIES)
-

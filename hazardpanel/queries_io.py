@@ -9,22 +9,20 @@ from pyspark.sql import types as T
 
 from hazardpanel import fixtures as fx
 from hazardpanel import landing
-from hazardpanel.operators.panel import dense_grid
 from hazardpanel.operators.persistence import drop_recurring, recurring_spot_table
 from hazardpanel.operators.spatial import polygon_measures
-from hazardpanel.oracle import VIEWS, rd, sql
+from hazardpanel.oracle import VIEWS, panel_sql, rd, sql
 from hazardpanel.plans.rebuild import detection_chain
 from hazardpanel.plans.refresh import current_panel, next_period_start
 from hazardpanel.queries import DET_COLS, register
 from hazardpanel.queries_more import FIX_FROZEN_END
-from hazardpanel.schemas import DETECTION_CSV, RECURRING_SPOTS
+from hazardpanel.schemas import FEED_SCHEMA, RECURRING_SPOTS
 from hazardpanel.session import scratch_path
 from hazardpanel.sources import detections as src
 from hazardpanel.sources import sinks
 from hazardpanel.sources.geojson import edges_to_features, read_edges
 from hazardpanel.sources.payload import coverage, payload_to_rows, read_payloads
 
-FEED_SCHEMA = src.with_extra(DETECTION_CSV, [("event_id", T.LongType()), ("pri", T.IntegerType())])
 TAGGED = DET_COLS + ", data_quality, source_satellite"
 
 WEATHER_SCHEMA = T.StructType([
@@ -94,13 +92,9 @@ def q_scan_tagged(spark, sf):
 
 @register("union_missing_col", sql("SELECT event_id, pri, type FROM detections", "detections"))
 def q_union_missing_col(spark, sf):
-    root, _ = landing.land_detection_feeds(spark, sf)
-    # science feeds carry `type`, near-real-time feeds do not: union by name
-    sp = spark.read.option("header", True).csv(f"{root}/sp").drop("feed")
-    nrt = spark.read.option("header", True).csv(f"{root}/nrt").drop("feed")
-    u = sp.unionByName(nrt, allowMissingColumns=True)
-    return u.select(F.col("event_id").try_cast("bigint").alias("event_id"),
-                    F.col("pri").try_cast("int").alias("pri"), F.col("type").try_cast("int").alias("type"))
+    _, sources = landing.land_detection_feeds(spark, sf)
+    # science feeds carry `type`, near-real-time feeds do not: read by their own headers, united by name
+    return src.read_detections(spark, sources, FEED_SCHEMA).select("event_id", "pri", "type")
 
 
 @register("project_common", sql("SELECT latitude, longitude, acq_date, type FROM detections", "detections"))
@@ -112,12 +106,12 @@ def q_project_common(spark, sf):
 
 
 @register("scan_glob", sql("""
-SELECT lower(satellite) || '_' || CASE WHEN pri = 0 THEN 'sp' ELSE 'nrt' END AS source, event_id, pri, type
+SELECT lower(satellite) || '_' || CASE WHEN pri = 0 THEN 'sp' ELSE 'nrt' END AS source, event_id, pri, type, frp
 FROM detections""", "detections"))
 def q_scan_glob(spark, sf):
     root, _ = landing.land_detection_feeds(spark, sf)
     df = src.scan_glob(spark, f"{root}/*/feed=*", FEED_SCHEMA, source_regex=r"feed=([^/]+)/")
-    return df.select("source", "event_id", "pri", "type")
+    return df.select("source", "event_id", "pri", "type", "frp")
 
 
 @register("reject_bodies", sql(f"SELECT {DET_COLS} FROM detections", "detections"))
@@ -135,7 +129,7 @@ def q_payload_to_rows(spark, sf):
         T.StructField("time", T.ArrayType(T.StringType())),
         T.StructField("event_id", T.ArrayType(T.LongType())),
         T.StructField("value", T.ArrayType(T.DoubleType()))]))])
-    rows = payload_to_rows(read_payloads(spark, root), req, element, ["event_id", "value"])
+    rows = payload_to_rows(read_payloads(spark, root), req, element, ["event_id", "value"], skip_unreadable=True)
     return rows.select("wilaya_id", "event_id", F.to_date("time").alias("date"), "value")
 
 
@@ -223,10 +217,6 @@ def q_spot_anti_join_static(spark, sf):
 
 
 # ---------------------------------------------------------------- refresh
-def _calendar(det, dim):
-    return dense_grid(dim, "wilaya_id", det.select(F.col("acq_date").alias("date")))
-
-
 def _refresh_inputs(spark, sf):
     det = fx.detections(spark, sf)
     edges = fx.edges(spark, sf)
@@ -239,12 +229,13 @@ def _replaced(spark, sf):
     from hazardpanel.plans.refresh import daily_refresh, lookback_daily
     det, edges, dim, as_of = _refresh_inputs(spark, sf)
     # the frozen history: panel rows (region x day) before the cut
-    frozen = _calendar(det, dim).filter(F.col("date") < F.lit(as_of - dt.timedelta(days=20)))
+    weather = fx.weather(spark, sf)
+    frozen = weather.filter(F.col("date") < F.lit(as_of - dt.timedelta(days=20)))
     spots = _stored_spots(spark, sf)
     # the stored current-year table of an earlier run: near-real-time copies only
     stored = lookback_daily(det.filter(F.col("pri") == 1), edges, dim, spots, ["event_id"])
     lookback = det.filter(F.col("acq_date") >= F.lit(as_of - dt.timedelta(days=14)))
-    return daily_refresh(frozen, stored, lookback, _calendar(det, dim), edges, dim, spots)
+    return daily_refresh(frozen, stored, lookback, weather, edges, dim, spots)
 
 
 @register("window_replace", sql("SELECT * FROM replaced", "replaced"))
@@ -252,14 +243,8 @@ def q_window_replace(spark, sf):
     return _replaced(spark, sf).daily
 
 
-@register("daily_refresh", sql(f"""
-SELECT g.date, g.wilaya_id, r.wilaya_code, r.wilaya_name, r.area_km2, r.centroid_lat, r.centroid_lon,
-       r.is_forest_zone, CAST(coalesce(d.nb_detections, 0) AS INTEGER) AS nb_detections,
-       {rd('coalesce(d.frp_total, 0.0)')} AS frp_total, {rd('coalesce(d.frp_max, 0.0)')} AS frp_max,
-       CAST(coalesce(d.fire_detected, 0) AS INTEGER) AS fire_detected, true AS fire_data_coverage
-FROM event_grid g LEFT JOIN replaced d ON d.wilaya_id = g.wilaya_id AND d.date = g.date
-LEFT JOIN region_dim r ON r.wilaya_id = g.wilaya_id
-WHERE g.date >= (SELECT period_start FROM params)""", "event_grid", "replaced", "region_dim", "params"))
+@register("daily_refresh", sql(panel_sql("replaced", "true", "WHERE w.date >= (SELECT period_start FROM params)"),
+                               "weather", "replaced", "region_dim", "params"))
 def q_daily_refresh(spark, sf):
     return _replaced(spark, sf).panel
 
@@ -268,9 +253,8 @@ def q_daily_refresh(spark, sf):
 SELECT * FROM panel WHERE date >= (SELECT period_start FROM params)""", "panel", "params"))
 def q_current_panel(spark, sf):
     det, edges, dim, as_of = _refresh_inputs(spark, sf)
-    frozen = _calendar(det, dim).filter(F.col("date") < F.lit(as_of - dt.timedelta(days=20)))
+    weather = fx.weather(spark, sf)
+    frozen = weather.filter(F.col("date") < F.lit(as_of - dt.timedelta(days=20)))
     period_start = next_period_start(frozen).first()[0]
     ch = detection_chain(det, edges, dim)
-    days = det.select(F.col("acq_date").alias("date")).filter(F.col("date") >= F.lit(period_start))
-    return current_panel(dense_grid(dim, "wilaya_id", days), ch.daily, dim)
-
+    return current_panel(weather.filter(F.col("date") >= F.lit(period_start)), ch.daily, dim)

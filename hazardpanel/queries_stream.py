@@ -1,5 +1,6 @@
-"""Registered streaming queries: a four-slice arrival with re-sent rows,
-processed by ``availableNow`` runs of one checkpointed query."""
+"""Registered streaming queries: near-real-time rows arrive before the science
+rows they give way to, some rows a second time; ``availableNow`` runs of one
+checkpointed query process what has landed."""
 
 from __future__ import annotations
 
@@ -14,48 +15,46 @@ from hazardpanel.session import scratch_path
 from hazardpanel.streaming.detections import (DayUpsert, DetectionBatchWriter, daily_event_counts_stream,
                                               detection_stream, read_daily, run_available_now)
 
-VIEWS["stream_ded"] = ("""
-SELECT event_id, pri, latitude, longitude, acq_date, acq_time, satellite, type, frp FROM (
-  SELECT *, row_number() OVER (PARTITION BY latitude, longitude, acq_date, acq_time, satellite
-                               ORDER BY event_id) AS rn FROM detections WHERE pri = 0) t WHERE rn = 1""",
-                       ["detections"])
 VIEWS["stream_enriched"] = (f"""
 SELECT d.*, a.wilaya_id, {rd('d.latitude')} AS lat_grid, {rd('d.longitude')} AS lon_grid
-FROM stream_ded d JOIN pt_assigned a ON a.latitude = d.latitude AND a.longitude = d.longitude
+FROM ded d JOIN pt_assigned a ON a.latitude = d.latitude AND a.longitude = d.longitude
 WHERE (d.type = 0 OR d.type IS NULL)
   AND NOT EXISTS (SELECT 1 FROM spots_static s WHERE s.lat_grid = {rd('d.latitude')}
                                                 AND s.lon_grid = {rd('d.longitude')})""",
-                            ["stream_ded", "pt_assigned", "spots_static"])
+                            ["ded", "pt_assigned", "spots_static"])
 
 
-def _to_detections(df):
-    return fx.detections_from_events(df.withColumn("pri", F.lit(0)))
+_SINKS: dict[tuple[str, str], DetectionBatchWriter] = {}
 
 
 def _run_detection_stream(spark, sf):
-    root = scratch_path(spark, "stream")
-    writers, schema = landing.stream_slice_writers(spark, sf, f"{root}/landing")
-    sink = DetectionBatchWriter(f"{root}/sinks", fx.edges(spark, sf), fx.region_dim(spark, sf),
-                                _stored_spots(spark, sf))
-    for land in writers:
-        land()
-        stream = detection_stream(spark, f"{root}/landing", schema, _to_detections)
-        run_available_now(stream, sink, f"{root}/checkpoint")
-    return sink
-
-
-@register("stream_dedup", sql(f"SELECT {DET_COLS} FROM stream_ded", "stream_ded"))
+    """The stream over all landed slices; three queries read its sinks, so it runs
+    once per application and input."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SINKS:
+        root = scratch_path(spark, "stream")
+        writers, schema = landing.stream_feed_writers(spark, sf, f"{root}/landing")
+        sink = DetectionBatchWriter(f"{root}/sinks", fx.edges(spark, sf), fx.region_dim(spark, sf),
+                                    _stored_spots(spark, sf))
+        for land in writers:
+            land()
+            stream = detection_stream(spark, f"{root}/landing", schema, fx.detections_from_events)
+            run_available_now(stream, sink, f"{root}/checkpoint")
+        _SINKS[key] = sink
+    return _SINKS[key]
+
+
+@register("stream_dedup", sql(f"SELECT {DET_COLS} FROM ded", "ded"))
 def q_stream_dedup(spark, sf):
     sink = _run_detection_stream(spark, sf)
-    return spark.read.parquet(sink.dedup_path).select(*DET_COLS.split(", "))
+    return sink.deduplicated(spark).select(*DET_COLS.split(", "))
 
 
 @register("stream_enrich", sql(f"SELECT {DET_COLS}, wilaya_id, lat_grid, lon_grid FROM stream_enriched",
                                "stream_enriched"))
 def q_stream_enrich(spark, sf):
     sink = _run_detection_stream(spark, sf)
-    return spark.read.parquet(sink.enriched_path).select(*DET_COLS.split(", "), "wilaya_id",
-                                                         "lat_grid", "lon_grid")
+    return sink.enriched(spark).select(*DET_COLS.split(", "), "wilaya_id", "lat_grid", "lon_grid")
 
 
 @register("stream_daily_agg", sql("""
@@ -69,11 +68,17 @@ def q_stream_daily_agg(spark, sf):
         "wilaya_id", "wilaya_code", "date", "nb_detections", "frp_total", "frp_max", "fire_detected")
 
 
-@register("stream_late_data", """
-SELECT CAST(ts AS DATE) AS day, count(*) AS n_events FROM events GROUP BY 1""")
+# copies that arrive with the last slice count only inside the 14 days before what came earlier
+@register("stream_late_data", f"""
+WITH b AS (SELECT min(event_id) AS lo, max(event_id) - min(event_id) + 1 AS span FROM events),
+earlier AS (SELECT max(ts) AS hi FROM events, b WHERE event_id < lo + (3 * span + 3) // 4),
+seen AS (SELECT ts FROM events
+         UNION ALL
+         SELECT ts FROM events, earlier WHERE event_id % {landing.LATE_EVERY} = 0 AND ts > hi - INTERVAL 14 DAY)
+SELECT CAST(ts AS DATE) AS day, count(*) AS n_events FROM seen GROUP BY 1""")
 def q_stream_late_data(spark, sf):
     root = scratch_path(spark, "stream-late")
-    writers, schema = landing.stream_slice_writers(spark, sf, f"{root}/landing")
+    writers, schema = landing.stream_late_writers(spark, sf, f"{root}/landing")
     sink = DayUpsert(f"{root}/daily", "day")
     for land in writers:
         land()

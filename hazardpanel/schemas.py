@@ -21,6 +21,7 @@ DETECTION_CSV = T.StructType([
     T.StructField("type", T.IntegerType()),
 ])
 
+# Detections per region and day.
 DAILY_DETECTIONS = T.StructType([
     T.StructField("wilaya_id", T.IntegerType()),
     T.StructField("wilaya_code", T.StringType()),
@@ -31,6 +32,9 @@ DAILY_DETECTIONS = T.StructType([
     T.StructField("fire_detected", T.IntegerType()),
 ])
 
+# Landed feeds of the registered queries: a row id and the feed's priority as well.
+FEED_SCHEMA = T.StructType([*DETECTION_CSV.fields, T.StructField("event_id", T.LongType()), T.StructField("pri", T.IntegerType())])
+
 RECURRING_SPOTS = T.StructType([
     T.StructField("lat_grid", T.DoubleType()),
     T.StructField("lon_grid", T.DoubleType()),

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazardpanel.operators.prefix import row_numbers
 from hazardpanel.schemas import FEATURE_COLLECTION, MULTI_POLYGON_RINGS, POLYGON_FEATURE, POLYGON_RINGS
+from hazardpanel.session import materialize
 
 
 def read_features(spark: SparkSession, path: str, collection: bool = True) -> DataFrame:
@@ -17,13 +19,11 @@ def read_features(spark: SparkSession, path: str, collection: bool = True) -> Da
     if collection:
         doc = spark.read.schema(FEATURE_COLLECTION).option("multiLine", True).json(path)
         return doc.select(F.posexplode("features").alias("pos", "f")).select("pos", "f.*")
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_line"),
-        F.from_json("value", POLYGON_FEATURE).alias("f"))
-    # file-wise line order: monotonically increasing within a file split
-    from pyspark.sql import Window
-    w = Window.orderBy("_file", "_line")
-    return lines.select((F.row_number().over(w) - 1).alias("pos"), "f.*")
+    # file-wise line order (increasing within a file split), frozen before it is numbered
+    lines = materialize(spark.read.text(path).select(
+        F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line")).alias("_at"), "value"), "features")
+    numbered = row_numbers(lines, "_at", "pos").select((F.col("pos") - 1).cast("int").alias("pos"), F.from_json("value", POLYGON_FEATURE).alias("f"))
+    return numbered.select("pos", "f.*")
 
 
 def _parts(geometry):
@@ -68,24 +68,27 @@ def edges_to_features(edges: DataFrame, id_col: str = "wilaya_id",
                       props: DataFrame | None = None) -> DataFrame:
     """One GeoJSON feature per region, as JSON text (feature per line).
 
-    Ring vertices are rebuilt from ordered edges (each ring closed).  One
-    group holds one polygon's edges: bounded by geometry, not by data.
+    Ring vertices are rebuilt from ordered edges (each ring closed), rings are
+    kept apart by part: one part is a ``Polygon``, several are a
+    ``MultiPolygon``.  Properties keep their types.  One group holds one
+    region's edges: bounded by geometry, not by data.
     """
-    ring = (edges.groupBy(id_col, "pos", "ring")
+    ring = (edges.groupBy(id_col, "pos", "part", "ring")
                  .agg(F.array_sort(F.collect_list(F.struct("edge_no", "x1", "y1", "x2", "y2"))).alias("es")))
-    ring = ring.select(id_col, "pos", "ring", F.concat(
+    ring = ring.select(id_col, "pos", "part", "ring", F.concat(
         F.transform("es", lambda e: F.array(e["x1"], e["y1"])),
         F.array(F.array(F.element_at("es", -1)["x2"], F.element_at("es", -1)["y2"]))).alias("coords"))
-    poly = ring.groupBy(id_col, "pos").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ring", "coords"))), lambda r: r["coords"]).alias("coordinates"))
+    ordered = lambda name, value: F.transform(F.array_sort(F.collect_list(F.struct(name, value))), lambda r: r[value])
+    part = ring.groupBy(id_col, "pos", "part").agg(ordered("ring", "coords").alias("rings"))
+    poly = part.groupBy(id_col, "pos").agg(ordered("part", "rings").alias("parts"))
     if props is not None:
         poly = poly.join(props, id_col, "left")
-    prop_cols = [c for c in poly.columns if c not in ("pos", "coordinates")]
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        F.create_map(*[x for c in prop_cols for x in (F.lit(c), F.col(c).cast("string"))]).alias("properties"),
-        F.struct(F.lit("Polygon").alias("type"), F.col("coordinates")).alias("geometry"))
-    return poly.select(id_col, "pos", F.to_json(feature).alias("json"))
+    prop_cols = [c for c in poly.columns if c not in ("pos", "parts")]
+    head = lambda kind, value: F.to_json(F.struct(
+        F.lit("Feature").alias("type"), F.struct(*prop_cols).alias("properties"),
+        F.struct(F.lit(kind).alias("type"), value.alias("coordinates")).alias("geometry")))
+    several = F.size("parts") > 1
+    return poly.select(id_col, "pos", F.when(several, head("MultiPolygon", F.col("parts"))).otherwise(head("Polygon", F.col("parts")[0])).alias("json"))
 
 
 def write_features(features_json: DataFrame, path: str) -> str:

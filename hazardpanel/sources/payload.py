@@ -29,18 +29,42 @@ def _read_with_batch(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.col("value"), batch.alias("batch"))
 
 
+def _items(element: T.StructType):
+    """A body's objects; null where the body is no JSON of that form."""
+    as_list = F.from_json(F.col("value"), T.ArrayType(element), {"mode": "PERMISSIVE"})
+    as_obj = F.from_json(F.col("value"), element)
+    return F.when(F.trim(F.col("value")).startswith("["), as_list).otherwise(F.array(as_obj))
+
+
+def _unreadable(items):
+    """Truncated bodies and error answers: nothing parsed, or an object without its day arrays."""
+    return F.coalesce((F.size(items) < 1) | F.exists(items, lambda i: i.isNull() | i["daily"].isNull()), F.lit(True))
+
+
+def payload_audit(bodies: DataFrame, element: T.StructType) -> DataFrame:
+    """One row: bodies that can and that cannot be read."""
+    bad = _unreadable(_items(element))
+    return bodies.agg(F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected"))
+
+
 def payload_to_rows(bodies: DataFrame, requests: DataFrame, element: T.StructType,
-                    array_fields: Sequence[str], time_field: str = "time") -> DataFrame:
+                    array_fields: Sequence[str], time_field: str = "time", skip_unreadable: bool = False) -> DataFrame:
     """Rows per (region, day) from payload bodies.
 
+    A body that cannot be read stops the job with its text's beginning; with
+    ``skip_unreadable`` it is left out (``payload_audit`` counts those).
+
     ``requests`` maps ``(batch, pos)`` to the region asked for at that list
     position.  ``element`` is the schema of one payload object; its ``daily``
     struct holds ``time_field`` and ``array_fields`` as parallel arrays.
     """
-    as_list = F.from_json(F.col("value"), T.ArrayType(element))
-    as_obj = F.from_json(F.col("value"), element)
-    items = F.when(F.trim(F.col("value")).startswith("["), as_list).otherwise(F.array(as_obj))
-    exploded = bodies.select("batch", F.posexplode(items).alias("pos", "item"))
+    parsed = bodies.select("batch", "value", _items(element).alias("items"))
+    if skip_unreadable:
+        items = F.when(~_unreadable(F.col("items")), F.col("items"))
+    else:
+        told = F.raise_error(F.concat(F.lit("payload body cannot be read: "), F.substring(F.coalesce("value", F.lit("NULL")), 1, 200)))
+        items = F.when(_unreadable(F.col("items")), told).otherwise(F.col("items"))
+    exploded = parsed.select("batch", F.posexplode(items).alias("pos", "item"))
     matched = exploded.join(dimension(requests), ["batch", "pos"], "inner")
     zipped = F.arrays_zip(*[F.col(f"item.daily.{f}").alias(f) for f in [time_field, *array_fields]])
     rows = matched.select(*[c for c in requests.columns if c not in ("batch", "pos")],
@@ -58,14 +82,9 @@ def coverage(landed: DataFrame, dim: DataFrame, key: str, by: Sequence[str] = ()
 
 def requests_from_dim(dim: DataFrame, batch_size: int = 29, id_col: str = "wilaya_id") -> DataFrame:
     """Request layout: regions in id order, ``batch_size`` per request; a
-    response list answers its batch by position.  The dimension is bounded
-    (checked), so numbering it with one window is safe."""
-    from pyspark.sql import Window
-
-    from hazardpanel.operators.joins import collect_bounded
-    collect_bounded(dim.select(id_col), 1_000_000, "regions")
-    rn = F.row_number().over(Window.orderBy(id_col)) - 1
-    return dim.select(id_col).withColumn("_rn", rn).select(
+    response list answers its batch by position."""
+    from hazardpanel.operators.prefix import row_numbers
+    return row_numbers(dim.select(id_col), id_col, "_rn").withColumn("_rn", F.col("_rn") - 1).select(
         id_col, (F.col("_rn") / batch_size).cast("int").alias("batch"),
         (F.col("_rn") % batch_size).cast("int").alias("pos"))
 

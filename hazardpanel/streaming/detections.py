@@ -6,23 +6,21 @@ Source: a file stream of landed detection batches.  Event time is cast to
 
 ``DetectionBatchWriter`` is the ``foreachBatch`` body:
 
-1. priority dedup on the natural key inside the micro-batch
-   (``min_by`` on (priority, id): deterministic, unlike arrival order);
-2. anti join against keys stored by earlier batches on the batch's days
-   (the dedup sink is partitioned by date: a broadcast semi join on the
-   batch's days prunes the read to those partitions);
-3. enrichment with the static polygon cells and the stored spot list
-   (stream–static joins), type filter;
-4. recompute of the daily aggregate for the touched days only, from the
-   enriched sink, written by dynamic partition overwrite;
-5. with a weather base, the current-period panel rows of those days (left
-   join, zero-fill, dimension, coverage true), overwritten by date.
-
-Every write replaces partitions keyed by ``batch_id`` or by date, so a
-retried micro-batch (executor lost, driver restart) rewrites the same
-partitions: the sinks stay exactly-once under the streaming checkpoint.
-Intermediate results are only ``persist``ed: recomputing them after a lost
-executor reads partitions that no write of this batch touches.
+1. the batch's rows are placed (polygon, stored spot list, type filter), which
+   depends on a row alone, so stored rows are never placed again;
+2. they are merged with the stored rows of the batch's days by priority dedup on
+   the natural key (``min_by`` on (priority, id)): whichever copy arrives first,
+   the one of better priority ends up stored, as in the batch job;
+3. the merged days replace their partitions; the daily aggregate of those days is
+   recomputed from them; a day that has nothing left loses its partition;
+4. with a weather base, the current-period panel rows of those days (left join,
+   zero-fill, dimension, coverage true) are replaced as well.
+
+The merge is first written below ``staging/batch=N`` (all of it, or nothing is
+committed) and the sinks are rewritten from there.  A retried micro-batch finds
+its finished staging table and rewrites the same partitions from it, so the sinks
+stay exactly-once under the streaming checkpoint, even if the first try stopped
+between two partitions.  Staging folders of earlier batches are removed.
 """
 
 from __future__ import annotations
@@ -31,22 +29,16 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from hazardpanel.constants import DETECTION_KEY, LOOKBACK_DAYS
 from hazardpanel.operators.dedup import dedup_keep_first
-from hazardpanel.operators.joins import collect_bounded, dimension
+from hazardpanel.operators.joins import dimension
 from hazardpanel.operators.panel import daily_region_agg
-from hazardpanel.operators.persistence import drop_recurring, with_grid
+from hazardpanel.operators.persistence import with_grid
 from hazardpanel.operators.spatial import assign_region, cell_index
-from hazardpanel.plans.refresh import current_panel
+from hazardpanel.plans.refresh import current_panel, drop_partitions, partition_days, path_exists, remove_folders
 
-
-def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+from hazardpanel.schemas import DAILY_DETECTIONS
 
 
 def _overwrite(df: DataFrame, path: str, *partition_cols: str) -> None:
@@ -55,28 +47,25 @@ def _overwrite(df: DataFrame, path: str, *partition_cols: str) -> None:
 
 
 class DetectionBatchWriter:
-    """``foreachBatch`` sink: dedup → enrich → daily upsert (see module doc)."""
+    """``foreachBatch`` sink: place → merge by priority → daily upsert (see module doc)."""
 
     def __init__(self, root: str, edges: DataFrame, dim: DataFrame, spots: DataFrame,
                  order=("pri", "event_id"), region_col: str = "wilaya_id",
                  weather: DataFrame | None = None):
         self.root = root.rstrip("/")
-        # built, stored and size-checked once per query, reused by every micro-batch
+        # built and stored once per query, reused by every micro-batch
         self.cells = cell_index(edges, region_col, materialized=True)
         self.codes = dimension(dim.select(region_col, "wilaya_code"))
         self.dim = dim
         self.weather = weather          # dense (region, date) base: enables the panel sink
-        self.spots = spots
+        self.spots = spots.select("lat_grid", "lon_grid", F.lit(True).alias("_spot"))
         self.order = list(order)
         self.region_col = region_col
 
     @property
-    def dedup_path(self) -> str:
-        return f"{self.root}/dedup"
-
-    @property
-    def enriched_path(self) -> str:
-        return f"{self.root}/enriched"
+    def placed_path(self) -> str:
+        """Deduplicated rows with ``wilaya_id``, grid cell and ``kept``."""
+        return f"{self.root}/placed"
 
     @property
     def daily_path(self) -> str:
@@ -86,53 +75,49 @@ class DetectionBatchWriter:
     def panel_path(self) -> str:
         return f"{self.root}/panel"
 
+    def deduplicated(self, spark: SparkSession) -> DataFrame:
+        """All rows stored so far, one per natural key."""
+        return spark.read.parquet(self.placed_path).drop(self.region_col, "lat_grid", "lon_grid", "kept")
+
+    def enriched(self, spark: SparkSession) -> DataFrame:
+        """Rows in a region, of a kept type, off the recurring spots."""
+        return spark.read.parquet(self.placed_path).filter("kept").drop("kept")
+
+    def _place(self, rows: DataFrame) -> DataFrame:
+        placed = with_grid(assign_region(rows, None, region_col=self.region_col, cells=self.cells).drop("n_matches"))
+        marked = placed.join(self.spots, ["lat_grid", "lon_grid"], "left")
+        typed = (F.col("type") == 0) | F.col("type").isNull()
+        return marked.withColumn("kept", typed & F.col(self.region_col).isNotNull() & F.col("_spot").isNull()).drop("_spot")
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            self._process(spark, batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    def _process(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        # the batch's days (one job, a few values): empty batches stop here, and
-        # every sink read below is pruned to these days by a broadcast semi join
-        day_list = [r[0] for r in collect_bounded(batch.select("acq_date").distinct(), 100_000, "batch days")]
-        if not day_list:
-            return
-        days = F.broadcast(spark.createDataFrame([(d,) for d in day_list], "acq_date date"))
-        fresh = dedup_keep_first(batch, DETECTION_KEY, self.order)
-        seen = _try_read(spark, self.dedup_path)
-        if seen is not None:
-            # keys of earlier batches on the same days (the key contains the day);
-            # this batch's own partitions are excluded, so a retried batch is
-            # checked against exactly the same set
-            recent = seen.filter(F.col("batch_id") != batch_id).join(days, "acq_date", "left_semi")
-            fresh = fresh.join(recent.select(*DETECTION_KEY), DETECTION_KEY, "left_anti")
-        # dynamic overwrite replaces only this batch's partitions, never the ones read above
-        fresh = fresh.withColumn("batch_id", F.lit(batch_id)).persist()
-        try:
-            _overwrite(fresh, self.dedup_path, "acq_date", "batch_id")
-            typed = fresh.filter((F.col("type") == 0) | F.col("type").isNull())
-            placed = assign_region(typed, None, region_col=self.region_col, cells=self.cells).drop("n_matches")
-            enriched = drop_recurring(with_grid(placed.filter(F.col(self.region_col).isNotNull())), self.spots)
-            _overwrite(enriched, self.enriched_path, "acq_date", "batch_id")
-        finally:
-            fresh.unpersist()
-        stored = _try_read(spark, self.enriched_path)
-        if stored is None:          # nothing enriched yet (every row filtered so far)
-            return
-        rows = stored.join(days, "acq_date", "left_semi")
-        daily = daily_region_agg(rows, (self.region_col,), "acq_date")
+        staging = f"{self.root}/staging/batch={batch_id}"
+        if not path_exists(spark, f"{staging}/_SUCCESS"):
+            fresh = self._place(dedup_keep_first(batch, DETECTION_KEY, self.order))
+            if path_exists(spark, self.placed_path):
+                # a late copy may change any stored row of its day (the key holds the day)
+                days = batch.select("acq_date").distinct()
+                stored = spark.read.parquet(self.placed_path).join(days, "acq_date", "left_semi")
+                fresh = dedup_keep_first(stored.unionByName(fresh), DETECTION_KEY, self.order)
+            fresh.write.mode("overwrite").parquet(staging)
+        merged = spark.read.parquet(staging)
+        day_list = sorted(r[0] for r in merged.select("acq_date").distinct().collect())     # the batch's days
+        if day_list:
+            self._publish(spark, merged, day_list)
+        remove_folders(spark, f"{self.root}/staging", lambda name: name != f"batch={batch_id}")
+
+    def _publish(self, spark: SparkSession, merged: DataFrame, days: list) -> None:
+        _overwrite(merged, self.placed_path, "acq_date")
+        daily = daily_region_agg(merged.filter("kept"), (self.region_col,), "acq_date")
         daily = daily.join(self.codes, self.region_col, "left")
         _overwrite(daily.withColumn("acq_date", F.col("date")).drop("date"), self.daily_path, "acq_date")
+        left = {r[0] for r in merged.filter("kept").select("acq_date").distinct().collect()}
+        drop_partitions(spark, self.daily_path, "acq_date", [d for d in days if d not in left])
         if self.weather is not None:
             # current-period panel rows of the batch's days, rebuilt from the day totals
-            touched = days.select(F.col("acq_date").alias("date"))
+            touched = spark.createDataFrame([(d,) for d in days], "date date")
             base = self.weather.join(touched, "date", "left_semi")
-            totals = read_daily(spark, self.daily_path).join(touched, "date", "left_semi")
-            panel = current_panel(base, totals, self.dim, self.region_col)
-            _overwrite(panel, self.panel_path, "date")
+            _overwrite(current_panel(base, daily, self.dim, self.region_col), self.panel_path, "date")
 
 
 def event_time(col: str):
@@ -156,11 +141,12 @@ def epoch_day(ts_col):
 
 def detection_stream(spark: SparkSession, source_dir: str, event_schema, to_detections,
                      watermark: str = f"{LOOKBACK_DAYS} days", id_col: str = "event_id",
-                     ts_col: str = "ts") -> DataFrame:
-    """Streaming detections: watermark on event time, resent rows dropped by id."""
+                     ts_col: str = "ts", feed_col: str = "pri") -> DataFrame:
+    """Streaming detections: watermark on event time, rows re-sent by one feed
+    dropped by (id, feed); copies of other feeds are the writer's to rank."""
     raw = spark.readStream.schema(event_schema).parquet(source_dir)
     timed = raw.withColumn("_event_ts", event_time(ts_col))
-    deduped = timed.withWatermark("_event_ts", watermark).dropDuplicatesWithinWatermark([id_col])
+    deduped = timed.withWatermark("_event_ts", watermark).dropDuplicatesWithinWatermark([id_col, feed_col])
     return to_detections(deduped)
 
 
@@ -195,8 +181,10 @@ def run_available_now(stream: DataFrame, writer, checkpoint: str, name: str | No
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
-    d = spark.read.parquet(path)
-    return d.withColumnRenamed("acq_date", "date")
+    """The daily table of the stream (empty once no stored day has a kept row)."""
+    if not path_exists(spark, path) or not partition_days(spark, path, "acq_date"):
+        return spark.createDataFrame([], DAILY_DETECTIONS)
+    return spark.read.parquet(path).withColumnRenamed("acq_date", "date")
 
 
 def daily_event_counts_stream(spark: SparkSession, source_dir: str, event_schema,
