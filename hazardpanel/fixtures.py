@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from hazardpanel.constants import WEATHER_VARS
 from hazardpanel.functions.scalar import zero_pad
+from hazardpanel.operators.joins import dimension
 from hazardpanel.operators.panel import dense_grid
 from hazardpanel.operators.spatial import polygon_measures
 
@@ -21,6 +22,8 @@ FIXTURE_NON_FOREST = ["NATION_2", "NATION_3", "NATION_7", "NATION_11",
                       "NATION_13", "NATION_17", "NATION_19", "NATION_23"]
 BOX_WIDTH_DEG = 4.5
 BOX_HEIGHT_DEG = 3.9
+# (part, ring, region id modulo 5 or -1 for all, box in fractions of the region's box)
+FIXTURE_RINGS = [(0, 0, -1, (0.0, 0.0, 1.0, 1.0)), (0, 1, 1, (0.25, 0.25, 0.5, 0.75)), (1, 0, 2, (0.25, 1.125, 0.75, 1.25))]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,7 +69,8 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One overlapping box per nation, 4 edges each; ``pos`` = region id."""
+    """One overlapping box per nation, 4 edges each; ``pos`` = region id.  Some
+    boxes have a hole, some regions a second part."""
     nat = table(spark, sf_dir, "nation")
     k = F.col("n_nationkey")
     boxes = nat.select(
@@ -74,21 +78,33 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(-8.7) + (k % 5) * F.lit(4.2)).alias("x0"),
         (F.lit(18.9) + (k - k % 5).cast("double") / F.lit(5) * F.lit(3.7)).alias("y0"),
     )
+    rings = F.array(*[F.struct(F.lit(part).alias("part"), F.lit(ring).alias("ring"), F.lit(rest).alias("rest"), *[F.lit(v).alias(n) for n, v in zip(("ax", "ay", "bx", "by"), box)])
+                      for part, ring, rest, box in FIXTURE_RINGS])
+    boxes = boxes.withColumn("r", F.explode(F.filter(rings, lambda r: (r["rest"] < 0) | (r["rest"] == F.col("wilaya_id") % 5))))
     corners = F.array(*[F.struct(F.lit(i).alias("edge_no"), F.lit(a).alias("dx1"), F.lit(b).alias("dy1"),
                                  F.lit(c).alias("dx2"), F.lit(d).alias("dy2"))
                         for i, (a, b, c, d) in enumerate([(0, 0, 1, 0), (1, 0, 1, 1), (1, 1, 0, 1), (0, 1, 0, 0)])])
     e = boxes.withColumn("c", F.explode(corners))
     return e.select(
-        "wilaya_id", F.col("wilaya_id").alias("pos"), F.lit(0).alias("part"), F.lit(0).alias("ring"),
+        "wilaya_id", F.col("wilaya_id").alias("pos"), F.col("r.part").alias("part"), F.col("r.ring").alias("ring"),
         F.col("c.edge_no").alias("edge_no"),
-        (F.col("x0") + F.col("c.dx1") * F.lit(BOX_WIDTH_DEG)).alias("x1"),
-        (F.col("y0") + F.col("c.dy1") * F.lit(BOX_HEIGHT_DEG)).alias("y1"),
-        (F.col("x0") + F.col("c.dx2") * F.lit(BOX_WIDTH_DEG)).alias("x2"),
-        (F.col("y0") + F.col("c.dy2") * F.lit(BOX_HEIGHT_DEG)).alias("y2"),
+        *[(F.col(f"{axis}0") + (F.col(f"r.a{axis}") + F.col(f"c.d{axis}{end}") * (F.col(f"r.b{axis}") - F.col(f"r.a{axis}"))) * F.lit(size)).alias(f"{axis}{end}")
+          for end in (1, 2) for axis, size in (("x", BOX_WIDTH_DEG), ("y", BOX_HEIGHT_DEG))],
     )
 
 
+_DIMS: dict[tuple[str, str], DataFrame] = {}
+
+
 def region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The region dimension as the jobs have it: a stored table, made once."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DIMS:
+        _DIMS[key] = dimension(_region_dim(spark, sf_dir))
+    return _DIMS[key]
+
+
+def _region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region dimension: nation x region, code, forest flag, area, centroid."""
     nat = table(spark, sf_dir, "nation")
     reg = table(spark, sf_dir, "region")

@@ -53,7 +53,7 @@ def land_bodies(spark: SparkSession, sf: str, step_days: int = 5) -> str:
     det = fx.detections(spark, sf).withColumn("feed", feed_name())
     lo = det.groupBy("feed").agg(F.min("acq_date").alias("lo"), F.max("acq_date").alias("hi"))
     idx = F.floor(F.datediff("acq_date", "lo") / F.lit(step_days))
-    bodies = det.join(dimension(lo, 10_000), "feed").withColumn(
+    bodies = det.join(dimension(lo), "feed").withColumn(
         "window", F.date_format(F.date_add("lo", (idx * step_days).cast("int")), "yyyy-MM-dd"))
     # a column of remarks, quoted because of its commas
     (bodies.select(*FEED_COLUMNS, F.lit("placed, checked").alias("remark"), F.col("feed").alias("source"), "window")

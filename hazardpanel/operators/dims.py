@@ -8,19 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardpanel.constants import NON_FOREST_REGIONS, OFFICIAL_REGION_CODES
-from hazardpanel.operators.joins import dimension
 from hazardpanel.operators.prefix import row_numbers
 
 
 def map_or_fail(df: DataFrame, name_col: str, mapping: DataFrame, key_col: str,
                 value_col: str, out: str | None = None) -> DataFrame:
-    """Look ``name_col`` up in ``mapping`` (broadcast after a size check).
+    """Look ``name_col`` up in ``mapping`` (a small table, broadcast by its size).
 
     An unmapped name fails the job with ``raise_error`` when the row is
     evaluated: no extra pass over the data is needed for the check.
     """
     out = out or value_col
-    m = dimension(mapping.select(F.col(key_col).alias("_key"), F.col(value_col).alias("_val")))
+    m = mapping.select(F.col(key_col).alias("_key"), F.col(value_col).alias("_val"))
     j = df.join(m, df[name_col] == m["_key"], "left")
     checked = F.when(F.col("_val").isNull(),
                      F.raise_error(F.concat(F.lit("unmapped name: "), F.coalesce(F.col(name_col).cast("string"),
@@ -49,4 +48,4 @@ def surrogate_id(df: DataFrame, order_col: str, out: str = "surrogate_id") -> Da
 
 def semi_by_flag(facts: DataFrame, dim: DataFrame, key: str, flag_col: str) -> DataFrame:
     """Fact rows whose key is flagged in the dimension (``left_semi``)."""
-    return facts.join(dimension(dim.filter(F.col(flag_col)).select(key)), key, "left_semi")
+    return facts.join(dim.filter(F.col(flag_col)).select(key), key, "left_semi")

@@ -1,40 +1,19 @@
-"""Join helpers: broadcast only behind a checked size bound."""
+"""Small join sides with a known size."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from hazardpanel.session import materialize
 
-def broadcast_if_bounded(df: DataFrame, max_weight: int, weight_col: str | None = None
-                         ) -> tuple[DataFrame, int]:
-    """Return ``(broadcast(df), weight)`` when ``df`` is within ``max_weight``.
 
-    ``weight`` is the row count, or the sum of ``weight_col`` (e.g. array
-    sizes) when given.  Above the bound the frame is returned unhinted, so
-    the join runs as a shuffle join (and AQE may still broadcast it if the
-    runtime size turns out small).  Use for geometry/dimension tables whose
-    size does not grow with the fact data; data-derived sides are left to
-    AQE's runtime statistics instead.
-    """
-    if weight_col is None:
-        weight = df.count()
-    else:
-        weight = df.agg(F.coalesce(F.sum(weight_col), F.lit(0))).first()[0]
-    if weight <= max_weight:
-        return F.broadcast(df), int(weight)
-    return df, int(weight)
-
-
-def dimension(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast a dimension table after checking it has at most ``max_rows``."""
-    out, _ = broadcast_if_bounded(df, max_rows)
-    return out
+def dimension(df: DataFrame, name: str = "dimension") -> DataFrame:
+    """A derived small table, stored once.
 
-
-def collect_bounded(df: DataFrame, max_rows: int, what: str = "rows") -> list:
-    """Collect a small derived table (dimension ids, bounds) after a size check."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"{what}: more than {max_rows} rows, refusing to collect to the driver")
-    return rows
+    The optimizer cannot tell the size of an aggregate or a join, but it knows the
+    bytes of a stored table: it broadcasts the side below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both above, and nothing
+    is counted or computed twice to find out.  Tables that already are stored (the
+    region dimension of the jobs) join as they are.
+    """
+    return materialize(df, name)

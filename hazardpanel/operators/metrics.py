@@ -145,7 +145,7 @@ def balanced_weights(df: DataFrame, label: str = "y", out: str = "weight") -> Da
     # one row per class: a window over this tiny table is bounded
     w = counts.select(label, (F.sum("_nc").over(Window.partitionBy()).cast("double")
                               / (F.lit(2.0) * F.col("_nc"))).alias(out))
-    return df.join(dimension(w, 1_000), label)
+    return df.join(dimension(w), label)
 
 
 def best_by(metrics: DataFrame, name_col: str, metric_col: str, tolerance: float = 0.0,

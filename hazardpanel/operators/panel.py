@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from hazardpanel.constants import COVERAGE_START, PANEL_COLUMNS
 from hazardpanel.functions.scalar import coverage_flag, exact_sum, round_half_even, zero_fill
-from hazardpanel.operators.joins import dimension
 
 DIM_COLUMNS = ["wilaya_code", "wilaya_name", "area_km2", "centroid_lat", "centroid_lon", "is_forest_zone"]
 
@@ -55,7 +54,7 @@ def fuse_panel(base: DataFrame, daily: DataFrame, dim: DataFrame | None = None,
               .withColumn("fire_detected", zero_fill("fire_detected", "int")))
     if dim is not None:
         cols = [c for c in DIM_COLUMNS if c in dim.columns and c not in merged.columns]
-        merged = merged.join(dimension(dim.select(region_col, *cols)), on=region_col, how="left")
+        merged = merged.join(dim.select(region_col, *cols), on=region_col, how="left")
     if constant_coverage is not None:
         merged = merged.withColumn("fire_data_coverage", F.lit(bool(constant_coverage)))
     elif coverage_start is not None:

@@ -12,9 +12,9 @@ Assignment plan (no shuffle of the points):
    cell, and a candidate that covers the whole cell is marked interior and
    keeps no edges.  This table depends on the geometry only, never on the
    number of points.
-2. Points compute their cell and look it up with a broadcast hash join
-   (size of the cell table is checked first; beyond the bound the same
-   join runs as a shuffle join with AQE skew splitting).
+2. Points compute their cell and look it up; the cell table is stored, so its
+   bytes decide between a broadcast (no shuffle of the points) and, for very
+   detailed geometry, a shuffle join with AQE skew splitting.
 3. A higher-order even-odd ray test runs per non-interior candidate inside the row:
    crossings are counted with ``filter`` and a point lying on an edge is
    excluded (``within`` semantics: the boundary is not inside).  Holes and
@@ -30,12 +30,9 @@ from pyspark.sql import functions as F
 
 from hazardpanel.constants import MERCATOR_RADIUS_M
 from hazardpanel.functions.scalar import round_half_even
-from hazardpanel.operators.joins import broadcast_if_bounded
+from hazardpanel.operators.joins import dimension
 
 DEFAULT_CELL_DEG = 0.25
-# A cell-table entry is one polygon edge copied into one cell (~40 bytes);
-# two million entries stay well below the broadcast limits.
-MAX_BROADCAST_EDGE_ENTRIES = 2_000_000
 
 
 def polygon_cells(edges: DataFrame, region_col: str = "wilaya_id",
@@ -80,9 +77,7 @@ def polygon_cells(edges: DataFrame, region_col: str = "wilaya_id",
                                         .otherwise(F.col("edges"))))
     return cells.groupBy("cx", "cy").agg(
         F.collect_list(F.struct(F.col("pos"), F.col(region_col).alias("region"), F.col("full"),
-                                F.col("edges"))).alias("cands"),
-        F.sum(F.size("edges") + 1).alias("n_entries"),
-    )
+                                F.col("edges"))).alias("cands"))
 
 
 def _crosses(e: Column, px: Column, py: Column) -> Column:
@@ -104,18 +99,9 @@ def _inside(p: Column, px: Column, py: Column) -> Column:
 
 
 def cell_index(edges: DataFrame, region_col: str = "wilaya_id",
-               cell_deg: float = DEFAULT_CELL_DEG, materialized: bool = False) -> DataFrame:
-    """The cell table, broadcast-hinted when its edge entries are within the bound.
-
-    Build it once (``materialized=True`` writes it to the shared folder) and
-    pass it as ``cells=`` when placing many batches.
-    """
-    cells = polygon_cells(edges, region_col, cell_deg)
-    if materialized:
-        from hazardpanel.session import materialize
-        cells = materialize(cells, "cell-index")
-    cells, _ = broadcast_if_bounded(cells, MAX_BROADCAST_EDGE_ENTRIES, weight_col="n_entries")
-    return cells
+               cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
+    """The cell table, stored; pass it as ``cells=`` when placing many batches."""
+    return dimension(polygon_cells(edges, region_col, cell_deg), "cell-index")
 
 
 def _with_candidates(points: DataFrame, edges: DataFrame | None, lon: str, lat: str,

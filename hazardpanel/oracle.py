@@ -54,12 +54,15 @@ FROM (SELECT *, 0 AS pri FROM events
       SELECT *, 1 AS pri FROM events WHERE event_id%7=0 OR (event_type='error' AND event_id%3=0)) ev
 """, []),
     "edges": ("""
-SELECT region_id AS wilaya_id, region_id AS pos, 0 AS part, 0 AS ring, edge_no,
-       x0+dx1*4.5e0 AS x1, y0+dy1*3.9e0 AS y1, x0+dx2*4.5e0 AS x2, y0+dy2*3.9e0 AS y2
+SELECT region_id AS wilaya_id, region_id AS pos, part, ring, edge_no,
+       x0+(ax+dx1*(bx-ax))*4.5e0 AS x1, y0+(ay+dy1*(by_-ay))*3.9e0 AS y1, x0+(ax+dx2*(bx-ax))*4.5e0 AS x2, y0+(ay+dy2*(by_-ay))*3.9e0 AS y2
 FROM (SELECT n_nationkey AS region_id, -8.7e0+(n_nationkey%5)*4.2e0 AS x0,
              18.9e0+CAST(n_nationkey-n_nationkey%5 AS DOUBLE)/5*3.7e0 AS y0 FROM nation) b
 CROSS JOIN (SELECT 0 AS edge_no, 0 AS dx1, 0 AS dy1, 1 AS dx2, 0 AS dy2
             UNION ALL SELECT 1,1,0,1,1 UNION ALL SELECT 2,1,1,0,1 UNION ALL SELECT 3,0,1,0,0) c
+CROSS JOIN (SELECT 0 AS part, 0 AS ring, -1 AS rest, 0e0 AS ax, 0e0 AS ay, 1e0 AS bx, 1e0 AS by_
+            UNION ALL SELECT 0, 1, 1, 0.25e0, 0.25e0, 0.5e0, 0.75e0 UNION ALL SELECT 1, 0, 2, 0.25e0, 1.125e0, 0.75e0, 1.25e0) f
+WHERE rest < 0 OR rest = region_id % 5
 """, []),
     "measures": (f"""
 SELECT wilaya_id,

@@ -10,7 +10,7 @@ Plan shape (what Catalyst/AQE end up running):
 * persistence: distinct-days count per 0.01° cell (two partial
   aggregations), then an anti join planned at runtime by AQE;
 * daily: one aggregation on (region, day); the base grid is joined on
-  (region, date) and the region dimension is broadcast after a size check.
+  (region, date); the region dimension is a stored table, broadcast by its size.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from hazardpanel.constants import COVERAGE_START, DETECTION_KEY, PANEL_COLUMNS, PERSISTENCE_THRESHOLD_DAYS, WEATHER_VARS
 from hazardpanel.functions.scalar import EXACT
 from hazardpanel.operators.dedup import dedup_keep_first
-from hazardpanel.operators.joins import dimension
 from hazardpanel.operators.panel import dense_grid, fixed_layout, fuse_panel
 from hazardpanel.operators.persistence import drop_recurring, persistent_cells, with_grid
 from hazardpanel.operators.spatial import assign_region
@@ -88,7 +87,7 @@ def detection_chain(detections: DataFrame, edges: DataFrame, dim: DataFrame,
                   F.coalesce(F.sum("frp_sum").cast("double"), F.lit(0.0)).alias("frp_total"),
                   F.max("frp_max").alias("frp_max"))
              .withColumn("fire_detected", F.lit(1)))
-    codes = dimension(dim.select(region_col, "wilaya_code"))
+    codes = dim.select(region_col, "wilaya_code")
     daily = daily.join(codes, region_col, "left").select(
         region_col, "wilaya_code", "date", "nb_detections", "frp_total", "frp_max", "fire_detected")
     kept = drop_recurring(matched, spots)

@@ -148,7 +148,6 @@ def lookback_daily(points: DataFrame, edges: DataFrame, dim: DataFrame, spots: D
     polygon (first match), stored spot list, (region, day) totals."""
     from hazardpanel.constants import DETECTION_KEY
     from hazardpanel.operators.dedup import dedup_keep_first
-    from hazardpanel.operators.joins import dimension
     from hazardpanel.operators.panel import daily_region_agg
     from hazardpanel.operators.persistence import drop_recurring, with_grid
     from hazardpanel.operators.spatial import assign_region
@@ -157,7 +156,7 @@ def lookback_daily(points: DataFrame, edges: DataFrame, dim: DataFrame, spots: D
     placed = assign_region(d, edges, region_col=region_col).filter(F.col(region_col).isNotNull())
     kept = drop_recurring(with_grid(placed), spots)
     daily = daily_region_agg(kept, (region_col,), "acq_date")
-    return daily.join(dimension(dim.select(region_col, "wilaya_code")), region_col, "left").select(
+    return daily.join(dim.select(region_col, "wilaya_code"), region_col, "left").select(
         region_col, "wilaya_code", "date", "nb_detections", "frp_total", "frp_max", "fire_detected")
 
 

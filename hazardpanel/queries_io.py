@@ -16,11 +16,11 @@ from hazardpanel.plans.rebuild import detection_chain
 from hazardpanel.plans.refresh import current_panel, next_period_start
 from hazardpanel.queries import DET_COLS, register
 from hazardpanel.queries_more import FIX_FROZEN_END
-from hazardpanel.schemas import FEED_SCHEMA, RECURRING_SPOTS
+from hazardpanel.schemas import FEED_SCHEMA, MULTI_POLYGON_RINGS, POLYGON_RINGS, RECURRING_SPOTS
 from hazardpanel.session import scratch_path
 from hazardpanel.sources import detections as src
 from hazardpanel.sources import sinks
-from hazardpanel.sources.geojson import edges_to_features, read_edges
+from hazardpanel.sources.geojson import edges_to_features, read_edges, write_features
 from hazardpanel.sources.payload import coverage, payload_to_rows, read_payloads
 
 TAGGED = DET_COLS + ", data_quality, source_satellite"
@@ -152,9 +152,27 @@ def q_edges_from_polygons(spark, sf):
     return read_edges(spark, root, collection=False)
 
 
-@register("features_json")
+@register("features_json", sql("""
+SELECT e.wilaya_id, e.pos, CASE WHEN max(part) > 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind,
+       CAST(max(part) + 1 AS INTEGER) AS n_parts, CAST(count(DISTINCT part * 10 + ring) AS INTEGER) AS n_rings,
+       CAST(count(*) + count(DISTINCT part * 10 + ring) AS INTEGER) AS n_vertices, min(x1) AS west, max(y1) AS north,
+       any_value(r.wilaya_code) AS wilaya_code, any_value(r.wilaya_name) AS wilaya_name
+FROM edges e JOIN region_dim r ON r.wilaya_id = e.wilaya_id GROUP BY e.wilaya_id, e.pos""", "edges", "region_dim"))
 def q_features_json(spark, sf):
-    return edges_to_features(fx.edges(spark, sf))
+    """Features written as text, parsed back by their declared type and measured."""
+    props = fx.region_dim(spark, sf).select("wilaya_id", "wilaya_code", "wilaya_name")
+    root = write_features(edges_to_features(fx.edges(spark, sf), props=props), scratch_path(spark, "features"))
+    text = spark.read.text(root)
+    kind = F.get_json_object("value", "$.geometry.type")
+    coords = F.get_json_object("value", "$.geometry.coordinates")
+    parts = F.when(kind == "MultiPolygon", F.from_json(coords, MULTI_POLYGON_RINGS)).otherwise(F.array(F.from_json(coords, POLYGON_RINGS)))
+    # the id must be a number in the text: a quoted one does not parse as this schema
+    prop = F.from_json(F.get_json_object("value", "$.properties"), "wilaya_id long, wilaya_code string, wilaya_name string", {"mode": "FAILFAST"})
+    vertices = F.flatten(F.flatten("parts"))
+    return text.select(kind.alias("kind"), parts.alias("parts"), prop.alias("p")).select(
+        "p.wilaya_id", F.col("p.wilaya_id").alias("pos"), "kind", F.size("parts").alias("n_parts"), F.size(F.flatten("parts")).alias("n_rings"),
+        F.size(vertices).alias("n_vertices"), F.array_min(F.transform(vertices, lambda v: v[0])).alias("west"),
+        F.array_max(F.transform(vertices, lambda v: v[1])).alias("north"), "p.wilaya_code", "p.wilaya_name")
 
 
 # ---------------------------------------------------------------- sinks

@@ -12,7 +12,6 @@ from hazardpanel.operators import metrics as M
 from hazardpanel.operators.dedup import dedup_keep_last
 from hazardpanel.operators.dims import flag_not_in, map_or_fail, semi_by_flag, surrogate_id
 from hazardpanel.operators.features import temporal_split, with_month_cyclic, with_weekday_cyclic
-from hazardpanel.operators.joins import dimension
 from hazardpanel.operators.panel import uncovered_days
 from hazardpanel.operators.windows import (dryness_features, lag_prev_day, prior_mean, prior_sum,
                                            topk_per_group, with_days_since)
@@ -65,7 +64,7 @@ FROM weather_panel w LEFT JOIN region_dim r ON r.wilaya_id = w.wilaya_id""", "we
 def q_dim_broadcast_join(spark, sf):
     dim = fx.region_dim(spark, sf).select("wilaya_id", "wilaya_name", "area_km2", "centroid_lat",
                                           "centroid_lon", "is_forest_zone")
-    return fx.weather_panel(spark, sf).join(dimension(dim), "wilaya_id", "left")
+    return fx.weather_panel(spark, sf).join(dim, "wilaya_id", "left")
 
 
 @register("map_or_fail", """

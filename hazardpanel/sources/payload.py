@@ -114,7 +114,7 @@ def weather_table(sources, dim: DataFrame, spark, batch_size: int = 29,
     for f in frames[1:]:
         union = union.unionByName(f)
     out = dedup_keep_first(union, [id_col, "date"], ["_src"]).drop("_src")
-    return out.join(dimension(dim.select(id_col, "wilaya_code")), id_col, "left") \
+    return out.join(dim.select(id_col, "wilaya_code"), id_col, "left") \
         if "wilaya_code" in dim.columns else out
 
 

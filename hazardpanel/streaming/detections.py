@@ -32,12 +32,10 @@ from pyspark.sql import functions as F
 
 from hazardpanel.constants import DETECTION_KEY, LOOKBACK_DAYS
 from hazardpanel.operators.dedup import dedup_keep_first
-from hazardpanel.operators.joins import dimension
 from hazardpanel.operators.panel import daily_region_agg
 from hazardpanel.operators.persistence import with_grid
 from hazardpanel.operators.spatial import assign_region, cell_index
 from hazardpanel.plans.refresh import current_panel, drop_partitions, partition_days, path_exists, remove_folders
-
 from hazardpanel.schemas import DAILY_DETECTIONS
 
 
@@ -54,8 +52,8 @@ class DetectionBatchWriter:
                  weather: DataFrame | None = None):
         self.root = root.rstrip("/")
         # built and stored once per query, reused by every micro-batch
-        self.cells = cell_index(edges, region_col, materialized=True)
-        self.codes = dimension(dim.select(region_col, "wilaya_code"))
+        self.cells = cell_index(edges, region_col)
+        self.codes = dim.select(region_col, "wilaya_code")
         self.dim = dim
         self.weather = weather          # dense (region, date) base: enables the panel sink
         self.spots = spots.select("lat_grid", "lon_grid", F.lit(True).alias("_spot"))
