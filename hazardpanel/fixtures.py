@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardpanel.constants import WEATHER_VARS
+from hazardpanel.constants import STATIC_FEATURES, WEATHER_VARS
 from hazardpanel.functions.scalar import zero_pad
 from hazardpanel.operators.joins import dimension
 from hazardpanel.operators.panel import dense_grid
@@ -185,6 +185,32 @@ def forecast_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def model_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A labelled panel in the published layout: all regions on every day between
+    the first and the last shipment, 13 variables from the day's line items, and a
+    label that the day's heat and rain decide (one label in ten is flipped)."""
+    li = table(spark, sf_dir, "lineitem")
+    day = F.to_date("l_shipdate")
+    bounds = li.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
+    calendar = F.sequence(F.lit(bounds["lo"]).cast("date"), F.lit(bounds["hi"]).cast("date"))
+    grid = region_dim(spark, sf_dir).select("wilaya_id", "centroid_lat", "centroid_lon", "area_km2", F.explode(calendar).alias("date"))
+    obs = li.groupBy((F.col("l_suppkey") % 25).alias("wilaya_id"), day.alias("date")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("v"), F.max("l_quantity").alias("hi"), F.min("l_quantity").alias("lo"))
+    n, v, hi, lo = (F.col(c) for c in ("n", "v", "hi", "lo"))
+    variables = {
+        "temperature_2m_max": hi, "temperature_2m_min": lo / 2, "temperature_2m_mean": (hi + lo) / 2,
+        "relative_humidity_2m_mean": n * 7 % 101, "wind_speed_10m_max": hi * 3 % 40, "wind_gusts_10m_max": hi * 5 % 60,
+        "wind_direction_10m_dominant": lo * 37 % 360, "precipitation_sum": v / 2, "rain_sum": v / 4, "sunshine_duration": hi * 600 % 43200,
+        "shortwave_radiation_sum": hi / 2, "et0_fao_evapotranspiration": lo / 5, "surface_pressure_mean": n % 100 + 900,
+    }
+    days = F.datediff("date", F.lit("1990-01-01").cast("date"))
+    flip = (days * 7919 + F.col("wilaya_id") * 104729) % 10 == 0
+    hot = F.coalesce((hi >= 30) & (v == 0), F.lit(False))
+    return grid.join(obs, ["wilaya_id", "date"], "left").select(
+        "wilaya_id", "date", *[variables[c].cast("double").alias(c) for c in WEATHER_VARS], *STATIC_FEATURES,
+        F.when(flip, ~hot).otherwise(hot).cast("int").alias("label"))
+
+
 def labelled_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather panel with a next-day label (precipitation >= 5 on the next row)."""
     from pyspark.sql import Window

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SEED = 42
+MIN_BINS = 64
 
 
 def feature_pipeline(numeric: Sequence[str], category: str | None = "wilaya_id",
@@ -42,7 +43,7 @@ def prepare(df: DataFrame, category: str | None = "wilaya_id") -> DataFrame:
 
 
 def gbt(max_iter: int = 400, step: float = 0.06, depth: int = 6, min_rows: int = 50,
-        max_bins: int = 64, weight_col: str | None = None, validation_col: str | None = "is_val",
+        max_bins: int = MIN_BINS, weight_col: str | None = None, validation_col: str | None = "is_val",
         label: str = "label", features: str = "features", seed: int = SEED,
         validation_tol: float = 1e-5) -> GBTClassifier:
     """Boosted trees with the published settings (400 rounds, rate 0.06, ≥ 50
@@ -70,7 +71,9 @@ def fit(train: DataFrame, numeric: Sequence[str], category: str | None = "wilaya
         label: str = "label", max_iter: int = 400, weight_col: str | None = None,
         key: Sequence[str] = ("wilaya_id", "date")) -> PipelineModel:
     data = with_validation_flag(prepare(train, category), key)
-    est = gbt(max_iter=max_iter, weight_col=weight_col, label=label)
+    # a nominal feature needs a bin per category, one for unseen ones and one to spare
+    bins = max(MIN_BINS, data.select(category).distinct().count() + 2) if category else MIN_BINS
+    est = gbt(max_iter=max_iter, weight_col=weight_col, label=label, max_bins=bins)
     return Pipeline(stages=feature_pipeline(numeric, category) + [est]).fit(data)
 
 
