@@ -31,6 +31,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazardpanel.llm.common import slices, texts
+from hazardpanel.llm.wordcache import WordCache
+from hazardpanel.llm.wordcache import pack as pack_ids
 from hazardpanel.session import materialize
 
 MAGIC, TRAILER = b"DAC1", b"1CAD"
@@ -180,15 +183,76 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return found.join(bases, "shard").select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32", "shard")
 
 
-def byte_level_encoder(tokenizer_path: str) -> Callable[[], Callable[[list[str]], list[np.ndarray]]]:
-    """Encoder over a byte-level tokenizer file of the tokenizers library."""
-    def make():
+class ByteLevel:
+    """Whole-text encoder over a byte-level tokenizer file of the tokenizers library."""
+
+    def __init__(self, path: str):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        space = self.tokenizer.encode(" x", add_special_tokens=False).tokens[0][0]     # how the vocabulary writes a space
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocab.values()) + 1, bool)        # tokens that begin with a space
+        self.opens[[i for t, i in vocab.items() if t[:1] == space]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tails: dict[str, bytes] = {}
+        self.words = WordCache(self.whole, self.after_space)
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [pack_ids(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def after_space(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that follow a space.  Letters and the punctuation after
+        them are always separate pre-tokens, so word and tail are looked up apart;
+        words are encoded many at a time, told apart by the tokens with a space."""
+        core: list[str] = []
+        tail: list[str] = []
+        for p in parts:
+            word = p.rstrip(PUNCTUATION)
+            cut = len(word) < len(p) and word.isalpha() and not any(s in p for s in self.special)
+            core.append(word if cut else p)
+            tail.append(p[len(word):] if cut else "")
+        if new := list({t for t in tail if t and t not in self.tails}):
+            self.tails.update(zip(new, self.whole(new)))
+        known = self.words.seen
+        ask = list({c for c in core if c not in known})
+        found = dict(zip(ask, self._words(ask)))
+        return [(known[c] if c in known else found[c]) + (self.tails[t] if t else b"") for c, t in zip(core, tail)]
+
+    def _words(self, words: list[str], at_once: int = 2000) -> list[bytes]:
+        out: list[bytes] = []
+        for a in range(0, len(words), at_once):
+            some = words[a:a + at_once]
+            # a word with white space inside, or a special token, is encoded by itself
+            odd = {i for i, w in enumerate(some) if len(w.split()) != 1 or any(s in w for s in self.special)}
+            plain = [w for i, w in enumerate(some) if i not in odd]
+            (joined,) = self.whole([" " + " ".join(plain)]) if plain else (b"",)
+            ids = np.frombuffer(joined, "<i4")
+            first = np.flatnonzero(self.opens[ids])
+            if len(first) != len(plain):
+                odd, plain, first = set(range(len(some))), [], first[:0]
+            edge = [*(4 * first).tolist(), len(joined)]
+            split = iter([joined[x:y] for x, y in zip(edge, edge[1:])])
+            single = iter(self.whole([" " + some[i] for i in sorted(odd)]) if odd else [])
+            out += [next(single) if i in odd else next(split) for i in range(len(some))]
+        return out
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.tails) > 10_000:
+            self.tails = {}
+        return self.words.encode(texts)
+
 
-        from hazardpanel.llm.wordcache import WordCache
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        return WordCache(lambda parts: [e.ids for e in tokenizer.encode_batch(parts, add_special_tokens=False)], " ").encode
+#: Ends of words that the byte-level pre-tokenizer separates from letters (an apostrophe may join them).
+PUNCTUATION = ".,;:!?%&$#*|()\"-"
 
-    return make
+
+@lru_cache(maxsize=2)
+def _byte_level(path: str) -> ByteLevel:
+    return ByteLevel(path)
+
+
+def byte_level_encoder(tokenizer_path: str) -> Callable[[], Callable[[list[str]], list[np.ndarray]]]:
+    """Encoder over a byte-level tokenizer file; one per worker, kept between tasks."""
+    return lambda: _byte_level(tokenizer_path).encode

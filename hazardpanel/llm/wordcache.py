@@ -11,26 +11,29 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from itertools import chain
 
 import numpy as np
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Parts kept per worker; the cache is emptied when it is full.
-ENTRIES = 300_000
+ENTRIES = 500_000
 LONGEST = 48
+Ids = bytes                 # ids as little-endian 32-bit integers
+
+
+def pack(ids: list[int]) -> Ids:
+    return np.array(ids, "<i4").tobytes()
 
 
 class WordCache:
-    def __init__(self, encode_batch: Callable[[list[str]], list[list[int]]], mark: str, whole: str = ""):
-        """``mark``: what a part after a space is given in front when it is
-        encoded (" " for byte-level models, "" where the library adds it).
-        ``whole``: a character whose texts are never cut."""
-        self.encode_batch, self.mark, self.whole = encode_batch, mark, whole
-        self.seen: dict[str, tuple[int, ...]] = {}
+    def __init__(self, whole_texts: Callable[[list[str]], list[Ids]], after_space: Callable[[list[str]], list[Ids]], never_cut: str = ""):
+        """``whole_texts`` encodes texts, ``after_space`` parts as they are encoded
+        after a space.  ``never_cut``: a character whose texts are never cut."""
+        self.whole_texts, self.after_space, self.never_cut = whole_texts, after_space, never_cut
+        self.seen: dict[str, Ids] = {}
 
     def _regular(self, part: str) -> bool:
-        return bool(part) and not part[0].isspace() and not part[-1].isspace() and not (self.whole and self.whole in part)
+        return bool(part) and not part[0].isspace() and not part[-1].isspace() and not (self.never_cut and self.never_cut in part)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.seen) > ENTRIES:
@@ -38,21 +41,16 @@ class WordCache:
         seen, cut, ask = self.seen, [], set()
         for t in texts:
             parts = t.split(" ")
-            new = {p for p in set(parts).difference(seen)}
-            if not all(map(self._regular, new)):
-                parts = [t] if self.whole and self.whole in t else CUT.split(t)
-                new = set(parts).difference(seen)
-            head, rest = parts[0], parts[1:]
-            cut.append((head, rest))
+            new = set(parts[1:]).difference(seen)
+            if not (self._regular(parts[0]) and all(map(self._regular, new))):
+                parts = [t] if self.never_cut and self.never_cut in t else CUT.split(t)
+                new = set(parts[1:]).difference(seen)
+            cut.append(parts)
             ask.update(new)
-        heads = [h for h, _ in cut]
         asked = list(ask)
-        extra: dict[str, tuple[int, ...]] = {}
-        for p, ids in zip(asked, self.encode_batch([self.mark + p for p in asked]) if asked else []):
-            (seen if len(p) <= LONGEST and self._regular(p) else extra)[p] = tuple(ids)
-        first = self.encode_batch(heads) if self.mark else [seen.get(h) if h in seen else extra[h] for h in heads]
-        out = []
-        for (_, rest), ids in zip(cut, first):
-            get = seen.__getitem__ if not extra else lambda p: seen[p] if p in seen else extra[p]
-            out.append(np.fromiter(chain(ids, chain.from_iterable(map(get, rest))), np.int32))
-        return out
+        rare: dict[str, Ids] = {}
+        for p, ids in zip(asked, self.after_space(asked) if asked else []):
+            (seen if len(p) <= LONGEST and self._regular(p) else rare)[p] = ids
+        get = seen.__getitem__ if not rare else lambda p: seen[p] if p in seen else rare[p]
+        heads = self.whole_texts([p[0] for p in cut])
+        return [np.frombuffer(b"".join([h, *map(get, parts[1:])]), "<i4") for h, parts in zip(heads, cut)]

@@ -30,7 +30,8 @@ def test_round_trip_and_random_access(ids):
 
 def test_word_cache_equals_the_library():
     t = Tokenizer.from_file(PATH)
-    source = TEXTS + random_texts() + ["it's 's 're they're", "a <|endoftext|> b<|endoftext|>c", "x y  z", "1 23 ,, .. a", "end "]
+    source = TEXTS + random_texts() + [f"a {w}{p} {p}{w} {w}{p}{w}, b" for w in ("word", "Été", "x1", "12", "日本", "don't", "a\nb", "é̂", "²", "w\u3000v")
+                                       for p in (".", "!!", "''", '."', "-", "%%%", "'s", "...", "|", "<|endoftext|>")] + ["it's 's 're they're", "a <|endoftext|> b<|endoftext|>c", "x y  z", "1 23 ,, .. a", "end "]
     got = dac.byte_level_encoder(PATH)()(source)
     for s, g, e in zip(source, got, t.encode_batch(source, add_special_tokens=False)):
         assert g.tolist() == e.ids, s
