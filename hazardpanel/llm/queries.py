@@ -108,7 +108,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A WARC record of every page, normalised to a member per record and read back by the index."""
     path = scratch_path(spark, "warc")
     warc.write_monolithic(table(spark, sf_dir, "pages"), f"{path}/monolithic")
-    warc.normalise(spark, f"{path}/monolithic", f"{path}/normal")
+    warc.normalise(spark, f"{path}/monolithic", f"{path}/normal", drop_source=True)
     return warc.read_records(spark, f"{path}/normal").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

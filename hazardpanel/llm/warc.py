@@ -24,62 +24,77 @@ other block-wise gzip formats use for an end mark.
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardpanel.llm.common import shuffle_width
-from hazardpanel.session import materialize
+from hazardpanel.llm.common import slices, texts
 
 LEAST = 100
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = bytes.fromhex("1f8b08000000000000ff0300" + "00" * 8)      # an empty gzip member
 CHUNK = 4 << 20
+UNSAFE = re.compile("[\x00-\x20\x7f]")
 RECORDS_PER_FILE = 20_000
 
 
+def packed_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(page_id, url, payload_bytes, payload_digest, packed): payloads compressed
+    before they are shuffled."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdCompressor(level=3)
+        for b in slices(batches, "html", 4 << 20):
+            payloads = [t.encode("utf-8") for t in texts(b, "html")]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(map(len, payloads), pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in payloads], pa.string()),
+                 pa.array(map(z.compress, payloads), pa.binary())], names=["page_id", "url", "payload_bytes", "payload_digest", "packed"])
+
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
+    return rows.mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, packed binary")
+
+
 def classify(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST) -> DataFrame:
-    """(page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to)."""
+    """``packed_pages`` with record_type and refers_to; revisits lose their payload."""
     payload = F.coalesce(F.col(html_col), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"),
-                        F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload.cast("binary"), 256).alias("payload_digest"))
-    first = (rows.filter(F.col("payload_bytes") >= least).groupBy(F.col("payload_digest").alias("d"))
-             .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1 and first is not null").select("d", "first"))
+    first = (pages.filter(F.octet_length(payload) >= least)
+             .groupBy(F.sha2(payload.cast("binary"), 256).alias("d")).agg(F.min(F.col(id_col).cast("long")).alias("first"), F.count(F.lit(1)).alias("n"))
+             .filter("n > 1 and first is not null").select("d", "first"))
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return rows.join(first, F.col("payload_digest") == F.col("d"), "left").select(
-        "page_id", "url", "payload", "payload_bytes", "payload_digest",
+    return packed_pages(pages, id_col, url_col, html_col).join(first, F.col("payload_digest") == F.col("d"), "left").select(
+        "page_id", "url", "payload_bytes", "payload_digest", F.when(~revisit, F.col("packed")).alias("packed"),
         F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("first")).alias("refers_to"))
 
 
-def _record(date: str) -> F.Column:
-    """Text of a record, without the two line ends after it."""
-    def line(name: str, value) -> F.Column:
-        return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
-
-    revisit = F.col("record_type") == "revisit"
-    own = F.concat(F.lit("urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.col("payload_digest")))
-    url = F.coalesce(F.regexp_replace("url", r"[\x00-\x20\x7f]", "%20"), own)
-    http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit("\r\n\r\n"))
-    block = F.concat(http, F.when(revisit, F.lit("")).otherwise(F.col("payload")))
-    head = F.concat(
-        F.lit("WARC/1.1\r\n"), line("WARC-Type", F.col("record_type")),
-        line("WARC-Record-ID", F.concat(F.lit("<"), own, F.lit(">"))), line("WARC-Date", F.lit(date)), line("WARC-Target-URI", url),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("payload_digest"))),
-        line("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
-        line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
-        line("X-Page-ID", F.col("page_id").cast("string")),
-        line("Content-Type", F.lit("application/http;msgtype=response")),
-        line("Content-Length", F.octet_length(block).cast("string")), F.lit("\r\n"))
-    return F.concat(head, block)
+def record(page: dict, date: str) -> bytes:
+    """A record without the two line ends after it."""
+    own = f"urn:page:{page['payload_digest'] if page['page_id'] is None else page['page_id']}"
+    revisit = page["record_type"] == "revisit"
+    payload = b"" if revisit else zstandard.ZstdDecompressor().decompress(page["packed"])
+    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {page['payload_bytes']}\r\n\r\n".encode() + payload
+    lines = ["WARC/1.1", f"WARC-Type: {page['record_type']}", f"WARC-Record-ID: <{own}>", f"WARC-Date: {date}",
+             f"WARC-Target-URI: {own if page['url'] is None else UNSAFE.sub('%20', page['url'])}", f"WARC-Payload-Digest: sha256:{page['payload_digest']}"]
+    if revisit:
+        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:page:{page['refers_to']}>"]
+    if page["page_id"] is not None:
+        lines.append(f"X-Page-ID: {page['page_id']}")
+    lines += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}", "", ""]
+    return "\r\n".join(lines).encode() + block
 
 
 def write_monolithic(pages: DataFrame, path: str, date: str = DATE, **columns) -> None:
     """A record per row of ``pages``; each file below ``path`` is one gzip stream."""
-    classify(pages, **columns).select(_record(date).alias("value")).write.mode("overwrite").options(
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 64):
+                yield pa.RecordBatch.from_arrays([pa.array([record(p, date) for p in b.slice(at, 64).to_pylist()], pa.binary())], names=["value"])
+
+    classify(pages, **columns).mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.mode("overwrite").options(
         compression="gzip", lineSep="\r\n\r\n", maxRecordsPerFile=RECORDS_PER_FILE).text(path)
 
 
@@ -151,43 +166,65 @@ def parse(record: bytes) -> dict:
     }
 
 
-INDEX = "offset long, length long, record_id string, record_type string, uri string, payload_digest string"
+def members(data: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, content) of each member of a normalised archive."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        z, used, out = zlib.decompressobj(31), at, []
+        while not z.eof:
+            if used >= len(view):
+                raise ValueError("gzip stream ends inside a member")
+            out.append(z.decompress(view[used:used + (1 << 16)]))
+            used = min(used + (1 << 16), len(view))
+        end = used - len(z.unused_data)
+        yield at, end - at, b"".join(out)
+        at = end
+
+
+INDEX = "archive string, offset long, length long, record_id string, record_type string, uri string, payload_digest string"
 
 
-def normalise(spark: SparkSession, source: str, target: str, chunk: int = CHUNK) -> None:
-    """Rewrite the archives below ``source`` as ``target``/archives (a member per
-    record) with the index ``target``/index."""
-    entry = pa.struct([("offset", pa.int64()), ("length", pa.int64()), ("record_id", pa.string()), ("record_type", pa.string()), ("uri", pa.string()), ("payload_digest", pa.string())])
+def _files(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).filter("length > 0").select(
+        F.regexp_extract("path", name, 1).alias("archive"), "content")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def normalise(spark: SparkSession, source: str, target: str, chunk: int = CHUNK, drop_source: bool = False) -> None:
+    """Rewrite the archives below ``source`` as ``target``/archives (a member per
+    record) with the index ``target``/index, which is read off the new files.
+    ``drop_source`` removes the source when both are written."""
+    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name, data in zip(b.column(0).to_pylist(), b.column(1)):
-                number = base = size = 0
-                members, index = [], []
-
-                def flush() -> pa.RecordBatch:
-                    return pa.RecordBatch.from_arrays(
-                        [pa.array([name]), pa.array([number], pa.int32()), pa.array([b"".join(members)], pa.binary()), pa.array([index], pa.list_(entry))],
-                        names=["archive", "chunk", "members", "entries"])
-                for record in split_records(inflate(data.as_py())):
-                    m, h = member(record), header(record[:record.find(b"\r\n\r\n")])
-                    index.append({"offset": base + size, "length": len(m), "record_id": h["warc-record-id"].strip("<>"), "record_type": h["warc-type"],
-                                  "uri": h["warc-target-uri"], "payload_digest": h["warc-payload-digest"]})
-                    members.append(m)
-                    size += len(m)
+                number, held, size = 0, [], 0
+                for record_ in split_records(inflate(data.as_py())):
+                    held.append(member(record_))
+                    size += len(held[-1])
                     if size >= chunk:
-                        yield flush()
-                        number, base, size, members, index = number + 1, base + size + len(END), 0, [], []
-                if members:
-                    yield flush()
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source).filter("length > 0").select(
-        F.regexp_extract("path", "([^/.]+)[^/]*$", 1).alias("archive"), "content")
-    chunks = materialize(files.mapInArrow(run, f"archive string, chunk int, members binary, entries array<struct<{INDEX.replace(' long', ':bigint').replace(' string', ':string')}>>"), "warc")
-    (chunks.select("archive", "chunk", F.col("members").cast("string").alias("value")).repartition(shuffle_width(spark), "archive")
-     .sortWithinPartitions("archive", "chunk").select("archive", "value").write.mode("overwrite").partitionBy("archive")
+                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([number], pa.int32()), pa.array([b"".join(held)], pa.binary())], names=["archive", "chunk", "value"])
+                        number, held, size = number + 1, [], 0
+                if held:
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([number], pa.int32()), pa.array([b"".join(held)], pa.binary())], names=["archive", "chunk", "value"])
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, data in zip(b.column(0).to_pylist(), b.column(1)):
+                rows = []
+                for offset, length, content in members(data.as_py()):
+                    if content:         # the empty member ends a chunk
+                        h = header(content[:content.find(b"\r\n\r\n")])
+                        rows.append((name, offset, length, h["warc-record-id"].strip("<>"), h["warc-type"], h["warc-target-uri"], h["warc-payload-digest"]))
+                kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 4]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[c.split()[0] for c in INDEX.split(", ")])
+
+    # a file is one task's, so its chunks are written in order without a shuffle
+    (_files(spark, source, "([^/.]+)[^/]*$").mapInArrow(rewrite, "archive string, chunk int, value binary").sortWithinPartitions("archive", "chunk")
+     .select(F.col("value").cast("string").alias("value"), "archive").write.mode("overwrite").partitionBy("archive")
      .options(encoding="ISO-8859-1", lineSep=END.decode("ISO-8859-1")).text(f"{target}/archives"))
-    chunks.select("archive", F.explode("entries").alias("e")).select("archive", "e.*").write.mode("overwrite").parquet(f"{target}/index")
+    _files(spark, f"{target}/archives", "archive=([^/]+)").mapInArrow(index, INDEX).write.mode("overwrite").parquet(f"{target}/index")
+    if drop_source:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def read_records(spark: SparkSession, target: str) -> DataFrame:
@@ -202,9 +239,7 @@ def read_records(spark: SparkSession, target: str) -> DataFrame:
                     ("archive", pa.string()), ("offset", pa.int64()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                     ("record_type", pa.string()), ("refers_to", pa.int64()), ("uri", pa.string())]))
 
-    index = spark.read.schema(f"archive string, {INDEX}").parquet(f"{target}/index")
+    index = spark.read.schema(INDEX).parquet(f"{target}/index")
     places = index.groupBy("archive").agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("places"))
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{target}/archives").select(
-        F.regexp_extract("path", "archive=([^/]+)", 1).alias("archive"), "content")
-    return files.join(places, "archive").select("archive", "content", "places").mapInArrow(
+    return _files(spark, f"{target}/archives", "archive=([^/]+)").join(places, "archive").select("archive", "content", "places").mapInArrow(
         run, "archive string, offset long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, uri string")
