@@ -28,10 +28,6 @@ PANEL_COLUMNS = (
 
 # --- fixed values: detection layout shared by all feeds ---------------------
 DETECTION_KEY = ["latitude", "longitude", "acq_date", "acq_time", "satellite"]
-COMMON_DETECTION_COLUMNS = [
-    "latitude", "longitude", "acq_date", "acq_time", "satellite",
-    "instrument", "confidence", "version", "frp", "daynight", "type",
-]
 
 # --- fixed values: thresholds and dates -------------------------------------
 PERSISTENCE_THRESHOLD_DAYS = 15          # a cell is recurring when seen on > 15 distinct days
@@ -41,7 +37,6 @@ ERA_START = "2015-01-01"                 # start of the homogeneous-label era
 TRAIN_END = "2023-12-31"                 # last training day of the temporal split
 LOOKBACK_DAYS = 14                       # detections re-read by each refresh
 FORECAST_RETENTION_DAYS = 60             # forecast archive retention
-ALERT_BUDGET = 8                         # regions alerted per day
 RAIN_THRESHOLD_MM = 1.0                  # a rainy day has >= 1 mm
 DAYS_SINCE_CAP = 90                      # days-since-rain is capped at 90
 WEEKEND_DAYS = [4, 5]                    # Friday, Saturday with Monday = 0

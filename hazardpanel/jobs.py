@@ -6,6 +6,7 @@
     python -m hazardpanel.jobs spots    --feeds-glob GLOB --out DIR
     python -m hazardpanel.jobs refresh  --frozen DIR --stored-daily DIR --feed PATH=QUALITY ...
                                         --weather DIR --regions DIR --spots DIR --out DIR
+                                        [--as-of YYYY-MM-DD] [--in-place]
     python -m hazardpanel.jobs train    --panel DIR --out DIR [--max-iter N] [--dryness]
     python -m hazardpanel.jobs archive  --forecasts DIR --regions DIR --archive DIR --as-of YYYY-MM-DD
 
@@ -60,21 +61,29 @@ def job_weather(spark: SparkSession, payloads, regions: str, out: str, batch_siz
     return table
 
 
-def job_regions(spark: SparkSession, polygons: str, out: str) -> DataFrame:
-    dim, edges = build_region_dim(read_features(spark, polygons), official_code_mapping(spark))
+def job_regions(spark: SparkSession, polygons: str, out: str, extra_props=()) -> DataFrame:
+    """Region dimension (``extra_props``: more feature properties to carry, as names
+    in other scripts), its edges, and the regions as a feature file with their
+    ids, codes and names."""
+    from hazardpanel.sources.geojson import edges_to_features, write_features
+    dim, edges = build_region_dim(read_features(spark, polygons), official_code_mapping(spark), extra_props=tuple(extra_props))
     dim.write.mode("overwrite").parquet(f"{out}/regions")
     edges.write.mode("overwrite").parquet(f"{out}/edges")
+    props = spark.read.parquet(f"{out}/regions").select("wilaya_id", "wilaya_code", "wilaya_name", *extra_props, "is_forest_zone")
+    write_features(edges_to_features(spark.read.parquet(f"{out}/edges"), props=props), f"{out}/features")
     return dim
 
 
 def job_rebuild(spark: SparkSession, feeds, regions: str, weather: str, out: str,
                 threshold: int = PERSISTENCE_THRESHOLD_DAYS, strict: bool = False,
                 coverage: bool = True, write_points: bool = False) -> DataFrame:
-    """Daily detections, dense panel, forest panel and their reports
+    """Daily detections, dense panel, forest panel and their reports: summary, top
+    regions, days without coverage, rows after each stage
     (``strict``: type 0 only, the first-generation rule; ``coverage=False``:
     no coverage flag column; ``write_points``: also every deduplicated
     detection with its region, a full extra pass over the feeds)."""
-    from hazardpanel.operators.panel import fixed_layout, fuse_panel, panel_summary, top_regions
+    from hazardpanel.operators.funnel import stage_funnel
+    from hazardpanel.operators.panel import fixed_layout, fuse_panel, panel_summary, top_regions, uncovered_days
     from hazardpanel.operators.spatial import assign_region
     from hazardpanel.plans.rebuild import detection_chain, panel_layout
     det = _feeds(spark, feeds)
@@ -95,6 +104,9 @@ def job_rebuild(spark: SparkSession, feeds, regions: str, weather: str, out: str
     covered = forest.filter(F.col("fire_data_coverage")) if coverage else forest
     panel_summary(written).write.mode("overwrite").json(f"{out}/reports/summary")
     top_regions(covered, 15).write.mode("overwrite").json(f"{out}/reports/top_regions")
+    stage_funnel(det, edges, threshold=threshold).write.mode("overwrite").json(f"{out}/reports/funnel")
+    if coverage:
+        uncovered_days(written).write.mode("overwrite").json(f"{out}/reports/uncovered_days")
     if write_points:
         assign_region(chain.deduped, edges).write.mode("overwrite").parquet(f"{out}/detections_with_region")
     return panel
@@ -105,26 +117,41 @@ def job_spots(spark: SparkSession, feeds_glob: str, out: str) -> DataFrame:
 
 
 def job_refresh(spark: SparkSession, frozen: str, stored_daily: str, feeds, weather: str,
-                regions: str, spots: str, out: str):
-    det = _feeds(spark, feeds)
+                regions: str, spots: str, out: str, as_of: str | None = None, in_place: bool = False):
+    """Refresh of the current period from the feeds' last ``LOOKBACK_DAYS`` days
+    before ``as_of`` (default: today); older rows of the feeds are not used, so
+    the replaced window never starts earlier.  Writes ``out``/daily and
+    ``out``/current_panel, or with ``in_place`` rewrites the changed days of a
+    ``stored_daily`` table that is partitioned by date."""
+    import datetime as dt
+
+    from hazardpanel.functions.dates import lookback_starts
+    from hazardpanel.plans.refresh import write_window_replace
+    today = F.to_date(F.lit(as_of or dt.date.today().isoformat()))
+    det = _feeds(spark, feeds).filter((F.col("acq_date") >= F.array_min(lookback_starts(today))) & (F.col("acq_date") <= today))
     res = daily_refresh(spark.read.parquet(frozen), spark.read.parquet(stored_daily), det,
                         spark.read.parquet(weather), spark.read.parquet(f"{regions}/edges"),
                         spark.read.parquet(f"{regions}/regions"), spark.read.parquet(spots))
-    # written to new folders: the inputs are read lazily by the same job
-    res.daily.write.mode("overwrite").parquet(f"{out}/daily")
     sinks.write_parquet_by_year(res.panel, f"{out}/current_panel")
+    if in_place:
+        write_window_replace(spark, stored_daily, res.new_daily)
+    else:
+        # a new folder: the stored table is read lazily by the same job
+        res.daily.write.mode("overwrite").parquet(f"{out}/daily")
     return res
 
 
 def job_train(spark: SparkSession, panel: str, out: str, max_iter: int = 400,
               era_start: str = ERA_START, train_end: str = TRAIN_END, dryness: bool = False,
-              importance_rows: int = 8000, repeats: int = 5):
+              importance_rows: int = 8000, repeats: int = 5, baseline: str | None = None):
     """Variant grid (± weekday, ± balanced weights) on the v1 features (or v2
-    with ``dryness``), best variant by PR-AUC, its calibration table and
-    permutation importance on a seeded test sample, all written below ``out``."""
+    with ``dryness``), best variant by PR-AUC, its card (features, rows, base
+    rates, train AUC, test metrics), differences to the reference variant and to an
+    earlier model (``baseline``), its calibration table and permutation importance
+    on a seeded test sample, all written below ``out``."""
     from hazardpanel.operators import metrics as M
     from hazardpanel.operators import model as ML
-    from hazardpanel.plans.training import DRYNESS, SEASON_FEATURES, model_table, variant_grid
+    from hazardpanel.plans.training import DRYNESS, SEASON_FEATURES, metric_delta, model_card, model_table, variant_grid
     p = spark.read.parquet(panel).withColumnRenamed("fire_detected", "label")
     if "year" in p.columns:
         p = p.drop("year")
@@ -136,7 +163,13 @@ def job_train(spark: SparkSession, panel: str, out: str, max_iter: int = 400,
     metrics.write.mode("overwrite").json(f"{out}/variant_metrics")
     best = M.best_by(spark.read.json(f"{out}/variant_metrics"), "variant", "pr_auc").first()["best_variant"]
     model = models[best]
-    ML.save(model, f"{out}/model", spark.createDataFrame([(best,)], "variant string"))
+    ML.save(model, f"{out}/model", model_card(model, best, train, test))
+    metric_delta(spark.read.json(f"{out}/variant_metrics"), "A_ref").write.mode("overwrite").json(f"{out}/delta")
+    if baseline:        # metrics of an earlier model, as this job wrote them
+        earlier = spark.read.json(f"{baseline}/variant_metrics").select(F.concat(F.lit("baseline "), "variant").alias("variant"), "roc_auc", "pr_auc", "brier")
+        both = spark.read.json(f"{out}/variant_metrics").select("variant", "roc_auc", "pr_auc", "brier").unionByName(earlier)
+        first = M.best_by(earlier, "variant", "pr_auc").first()["best_variant"]
+        metric_delta(both, first).write.mode("overwrite").json(f"{out}/delta_to_baseline")
     scored = ML.score(model, test)
     M.calibration_table(scored.withColumnRenamed("label", "y"), "proba", "y").write.mode("overwrite") \
         .json(f"{out}/calibration")
@@ -164,6 +197,7 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="hazardpanel.jobs")
     sub = ap.add_subparsers(dest="job", required=True)
     a = sub.add_parser("regions"); a.add_argument("--polygons", required=True); a.add_argument("--out", required=True)
+    a.add_argument("--extra-prop", action="append", default=[])
     b = sub.add_parser("rebuild"); b.add_argument("--feed", action="append", required=True)
     b.add_argument("--regions", required=True); b.add_argument("--weather", required=True)
     b.add_argument("--out", required=True); b.add_argument("--threshold", type=int, default=PERSISTENCE_THRESHOLD_DAYS)
@@ -178,8 +212,10 @@ def main(argv=None) -> None:
     for k in ("frozen", "stored-daily", "weather", "regions", "spots", "out"):
         d.add_argument(f"--{k}", required=True)
     d.add_argument("--feed", action="append", required=True)
+    d.add_argument("--as-of"); d.add_argument("--in-place", action="store_true")
     e = sub.add_parser("train"); e.add_argument("--panel", required=True); e.add_argument("--out", required=True)
     e.add_argument("--max-iter", type=int, default=400); e.add_argument("--dryness", action="store_true")
+    e.add_argument("--baseline")
     h = sub.add_parser("archive"); h.add_argument("--forecasts", required=True)
     h.add_argument("--regions", required=True); h.add_argument("--archive", required=True)
     h.add_argument("--as-of", required=True)
@@ -188,7 +224,7 @@ def main(argv=None) -> None:
     from hazardpanel.session import get_session
     spark = get_session()
     if args.job == "regions":
-        job_regions(spark, args.polygons, args.out)
+        job_regions(spark, args.polygons, args.out, args.extra_prop)
     elif args.job == "rebuild":
         job_rebuild(spark, args.feed, args.regions, args.weather, args.out, args.threshold,
                     strict=args.strict, coverage=not args.no_coverage, write_points=args.write_points)
@@ -198,9 +234,9 @@ def main(argv=None) -> None:
         job_spots(spark, args.feeds_glob, args.out)
     elif args.job == "refresh":
         job_refresh(spark, args.frozen, args.stored_daily, args.feed, args.weather, args.regions,
-                    args.spots, args.out)
+                    args.spots, args.out, args.as_of, args.in_place)
     elif args.job == "train":
-        job_train(spark, args.panel, args.out, args.max_iter, dryness=args.dryness)
+        job_train(spark, args.panel, args.out, args.max_iter, dryness=args.dryness, baseline=args.baseline)
     elif args.job == "archive":
         job_archive(spark, args.forecasts, args.regions, args.archive, args.as_of)
 

@@ -3,8 +3,8 @@
 All features of one call share a single ``partitionBy(entity).orderBy(date)``
 spec, so Spark plans one exchange and one sort for all of them.  The panel
 is dense (one row per entity and day), so every series has the same length
-and no entity can be hot; rolling windows count rows, which is why density
-is asserted by the callers that need it (``assert_dense``).
+and no entity can be hot; rolling windows count rows, so the model table
+checks density first (``assert_dense``).
 """
 
 from __future__ import annotations

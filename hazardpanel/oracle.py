@@ -180,7 +180,7 @@ SELECT *, CAST(CASE WHEN flip THEN NOT hot ELSE hot END AS INTEGER) AS label FRO
     lo*37%360 AS wind_direction_10m_dominant, CAST(v AS DOUBLE)/2 AS precipitation_sum, CAST(v AS DOUBLE)/4 AS rain_sum,
     hi*600%43200 AS sunshine_duration, hi/2 AS shortwave_radiation_sum, lo/5 AS et0_fao_evapotranspiration,
     CAST(n%100+900 AS DOUBLE) AS surface_pressure_mean, g.centroid_lat, g.centroid_lon, g.area_km2,
-    (date_diff('day', DATE '1990-01-01', g.date) * 7919 + g.wilaya_id * 104729) % 10 = 0 AS flip, coalesce(hi >= 30 AND v = 0, false) AS hot
+    (date_diff('day', DATE '1990-01-01', g.date) * 7919 + g.wilaya_id * 104729) % 50 = 0 AS flip, coalesce(hi >= 30 AND v = 0, false) AS hot
   FROM (SELECT r.wilaya_id, r.centroid_lat, r.centroid_lon, r.area_km2, CAST(d.d AS DATE) AS date FROM region_dim r CROSS JOIN (
           SELECT unnest(generate_series(min(CAST(l_shipdate AS DATE)), max(CAST(l_shipdate AS DATE)), INTERVAL 1 DAY)) AS d FROM lineitem) d) g
   LEFT JOIN (SELECT l_suppkey%25 AS wilaya_id, CAST(l_shipdate AS DATE) AS date, count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS v,

@@ -161,10 +161,11 @@ def lookback_daily(points: DataFrame, edges: DataFrame, dim: DataFrame, spots: D
 
 
 class RefreshResult:
-    def __init__(self, period_start, daily: DataFrame, panel: DataFrame):
+    def __init__(self, period_start, daily: DataFrame, panel: DataFrame, new_daily: DataFrame):
         self.period_start = period_start
         self.daily = daily
         self.panel = panel
+        self.new_daily = new_daily      # what the look-back found: the days that replace stored ones
 
 
 def daily_refresh(frozen: DataFrame, stored_daily: DataFrame, lookback_points: DataFrame,
@@ -179,4 +180,4 @@ def daily_refresh(frozen: DataFrame, stored_daily: DataFrame, lookback_points: D
     new = materialize(lookback_daily(lookback_points, edges, dim, spots, order, region_col), "refresh-daily")
     daily = window_replace(stored_daily, new, period_start=period_start)
     base = weather_current.filter(F.col("date") >= F.lit(period_start))
-    return RefreshResult(period_start, daily, current_panel(base, daily, dim, region_col))
+    return RefreshResult(period_start, daily, current_panel(base, daily, dim, region_col), new)

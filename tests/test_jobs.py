@@ -11,6 +11,7 @@ from hazardpanel.constants import OFFICIAL_REGION_CODES, WEATHER_VARS
 from hazardpanel.operators.panel import dense_grid
 from hazardpanel.queries import q_fused_panel
 from hazardpanel.session import scratch_path
+from hazardpanel.sources.geojson import edges_to_features
 from tests.conftest import SF_SMALL
 
 
@@ -19,15 +20,11 @@ def _local(path):
 
 
 def _feature_collection(spark, path):
-    rows = fx.edges(spark, SF_SMALL).orderBy("wilaya_id", "edge_no").collect()
-    polys = {}
-    for r in rows:
-        polys.setdefault(r.wilaya_id, []).append([r.x1, r.y1])
     feats = []
-    for rid in sorted(polys):
-        ring = polys[rid] + [polys[rid][0]]
-        feats.append({"type": "Feature", "properties": {"NAME_1": OFFICIAL_REGION_CODES[rid][0]},
-                      "geometry": {"type": "Polygon", "coordinates": [ring]}})
+    for row in edges_to_features(fx.edges(spark, SF_SMALL)).orderBy("pos").collect():
+        feature = json.loads(row.json)
+        feature["properties"] = {"NAME_1": OFFICIAL_REGION_CODES[row.wilaya_id][0]}
+        feats.append(feature)
     with open(path, "w") as f:
         json.dump({"type": "FeatureCollection", "features": feats}, f)
 
@@ -66,7 +63,8 @@ def test_jobs_end_to_end(spark):
                                        "frp_total double, frp_max double, fire_detected int")
     stored.write.parquet(f"{root}/stored_daily")
     res = jobs.job_refresh(spark, f"{root}/frozen", f"{root}/stored_daily", feeds, f"{root}/weather",
-                           f"{root}/dim", f"{root}/spots", f"{root}/refresh")
+                           f"{root}/dim", f"{root}/spots", f"{root}/refresh", as_of="2024-01-31")
+    assert res.new_daily.agg(F.min("date")).first()[0] >= __import__("datetime").date(2024, 1, 17)     # 14 days back
     assert str(res.period_start) == "2024-01-10"
     cur = spark.read.parquet(f"{root}/refresh/current_panel")
     assert cur.agg(F.min("date")).first()[0].isoformat() == "2024-01-10"
@@ -87,6 +85,37 @@ def test_jobs_end_to_end(spark):
         fx.detections(spark, SF_SMALL).dropDuplicates(["latitude", "longitude", "acq_date", "acq_time",
                                                         "satellite"]).count()
     assert spark.read.json(f"{root}/out/reports/summary").first()["n_rows"] == 25 * days.count()
+    funnel = {r.stage: r.n_rows for r in spark.read.json(f"{root}/out/reports/funnel").collect()}
+    assert funnel["raw"] == fx.detections(spark, SF_SMALL).count() >= funnel["dedup"] >= funnel["matched"] >= funnel["persistence_kept"] > 0
+    assert spark.read.json(f"{root}/out/reports/uncovered_days").first()["uncovered_days"] == 0
+    card = spark.read.json(f"{root}/model/model/metrics").first()
+    assert len(card.features) == (27 if "dow" in card.variant else 24) and card.n_train + card.n_test == 25 * days.count() and 0 <= card.train_base_rate <= 1
+    assert {r.metric for r in spark.read.json(f"{root}/model/delta").collect()} == {"roc_auc", "pr_auc", "brier"}
+    features = spark.read.text(f"{root}/dim/features").collect()
+    assert len(features) == 25 and json.loads(features[0].value)["properties"]["wilaya_id"] == 1
+
+
+def test_refresh_in_place_replaces_only_the_window(spark):
+    import datetime as dt
+
+    from hazardpanel.plans.refresh import partition_days
+    root = _local(scratch_path(spark, "test-in-place"))
+    fx.region_dim(spark, SF_SMALL).write.parquet(f"{root}/dim/regions")
+    fx.edges(spark, SF_SMALL).write.parquet(f"{root}/dim/edges")
+    fx.weather(spark, SF_SMALL).write.parquet(f"{root}/weather")
+    fx.weather(spark, SF_SMALL).filter("date < '2024-01-05'").write.parquet(f"{root}/frozen")
+    spark.createDataFrame([], "lat_grid double, lon_grid double, n_days_detected long").write.parquet(f"{root}/spots")
+    _, sources = landing.land_detection_feeds(spark, SF_SMALL)
+    feeds = [f"{p}={t['data_quality']}" for p, t in sources if "absent" not in p]
+    old = [(1, "01", dt.date(2024, 1, d), 99, 1.0, 1.0, 1) for d in (6, 7, 20, 31)]
+    schema = "wilaya_id long, wilaya_code string, date date, nb_detections long, frp_total double, frp_max double, fire_detected int"
+    spark.createDataFrame(old, schema).write.partitionBy("date").parquet(f"{root}/daily")
+    res = jobs.job_refresh(spark, f"{root}/frozen", f"{root}/daily", feeds, f"{root}/weather", f"{root}/dim", f"{root}/spots", f"{root}/out",
+                           as_of="2024-01-31", in_place=True)
+    new_days = {r.date for r in res.new_daily.select("date").distinct().collect()}
+    assert set(partition_days(spark, f"{root}/daily", "date")) == {dt.date(2024, 1, 6), dt.date(2024, 1, 7)} | new_days
+    kept = spark.read.parquet(f"{root}/daily").filter("nb_detections = 99")
+    assert {r.date.day for r in kept.collect()} == {6, 7}
 
 
 def test_archive_job(spark):
