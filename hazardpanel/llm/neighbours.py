@@ -9,9 +9,10 @@
    (a priority queue over the inner products with the nodes' centres) visits
    leaves.  The number of visits is widened until the wanted recall is reached; if
    the sample says that this takes all leaves, all are visited.
-4. Queries are sent to their leaves, candidates stand in blocks of at most
-   ``BLOCK``; each pair of a candidate block and a query block is a matrix product
-   in double precision that keeps the best per query, and these are merged.
+4. Candidates stand in blocks of about ``BLOCK`` of one leaf, queries in blocks of
+   about ``QUERIES``.  A query block meets the candidate blocks that any of its
+   queries visits; each meeting is a matrix product in double precision, and the
+   block keeps only the best found so far of each query.
 
 Nearness is the largest inner product.  Vectors (or ids) that are null, zero,
 empty, of another length than most, or hold a null or non-finite component take
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,8 +39,13 @@ from hazardpanel.session import materialize
 K = 20
 #: Bounds of the fit: vectors in the sample, exact searches, and what recall they ask for.
 SAMPLE, EXACT, RECALL = 20_000, 200, 0.97
-BRANCH, LEAF, ROUNDS, SEED = 8, 40, 8, 3
-BLOCK = 2048
+BRANCH, ROUNDS, SEED = 4, 8, 3
+#: Rows that a leaf is to hold, and the fewest sample rows that a leaf is cut from.
+ROWS_PER_LEAF, LEAF = 256, 40
+#: Candidates of a block (about), queries of a block (about).
+BLOCK, QUERIES = 2048, 256
+#: Rows (candidate blocks, of up to a MB) handed to a worker at a time.
+PAIRS_AT_ONCE = 8
 
 
 @dataclass
@@ -120,7 +127,7 @@ def clean(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0))
     sizes = fine.groupBy(size.alias("n")).count().orderBy(F.desc("count"), "n").first()
     return fine.filter(size == (sizes["n"] if sizes else 0)).select(
-        F.col(id_col).cast("long").alias("id"), v.alias("v"), F.sha2(F.array_join(v.cast("array<string>"), ",").cast("binary"), 256).alias("k")).distinct()
+        F.col(id_col).cast("long").alias("id"), v.alias("v"), F.substring(F.sha2(F.array_join(v.cast("array<string>"), ",").cast("binary"), 256), 1, 32).alias("k")).distinct()
 
 
 def distinct(rows: DataFrame, keep: int) -> DataFrame:
@@ -166,6 +173,21 @@ def calibrate(filed: DataFrame, tree: Tree, probes: np.ndarray, k: int, recall:
     return int(np.searchsorted(found, recall)) + 1
 
 
+@contextmanager
+def rows_at_once(spark, n: int):
+    """Rows per Arrow batch of the jobs run inside (their rows are large)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = K, recall: float = RECALL, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for every row of
     ``vectors`` with ``is_query`` (a condition on a column ``id``)."""
@@ -179,7 +201,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, recall: float = REC
     pick = F.pmod(F.xxhash64("k"), F.lit(1 << 30))
     some = every.filter(pick < int(min(1.0, 1.3 * SAMPLE / n) * (1 << 30))).orderBy(pick).limit(SAMPLE).select("v").collect()
     sample = np.array([r["v"] for r in some], float)
-    tree = grow(sample)
+    tree = grow(sample, leaf=max(LEAF, len(sample) * ROWS_PER_LEAF // n))
     shared = spark.sparkContext.broadcast(tree)         # bounded by the sample
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,37 +213,57 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, recall: float = REC
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([shared.value.visits(q, visits) for q in _matrix(b.column(1))], pa.list_(pa.int64()))], names=["k", "v", "leaves"])
+                at = {name: b.column(b.schema.get_field_index(name)) for name in ("block", "place", "v")}
+                leaves = pa.array([shared.value.visits(q, visits) for q in _matrix(at["v"])], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([at["block"], at["place"], leaves], names=["block", "place", "leaves"])
 
     kind = f"array<{every.schema['v'].dataType.elementType.simpleString()}>"
     filed = materialize(every.select("v", "ids").mapInArrow(file, f"leaf long, v {kind}, ids array<long>"), "vectors-filed")
     visits = calibrate(filed, tree, sample[:EXACT], k + 1, recall)
     members = rows.filter(is_query).select("id", "k")
     asked = rows.filter(is_query).select("k", "v").dropDuplicates(["k"])
-    sent = asked.mapInArrow(traverse, f"k string, v {kind}, leaves array<long>").select("k", "v", F.explode("leaves").alias("leaf"))
-
-    def blocks(df: DataFrame, order: str, *columns: str) -> DataFrame:
-        """Rows of a leaf in blocks of about BLOCK, one row per block."""
-        sized = df.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
-        dealt = df.join(sized, "leaf").withColumn("part", F.pmod(F.xxhash64(order), F.col("parts")))
-        return dealt.groupBy("leaf", "part").agg(F.collect_list(F.struct(*columns)).alias("rows"))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # queries in blocks, each with its place; a block's queries that visit a leaf are a list of places
+    blocks = -(-asked.count() // QUERIES)
+    placed = asked.withColumn("block", F.pmod(F.xxhash64("k"), F.lit(max(blocks, 1))))
+    placed = materialize(placed.withColumn("place", F.row_number().over(Window.partitionBy("block").orderBy("k")) - 1), "queries")
+    sent = (placed.mapInArrow(traverse, "block long, place int, leaves array<long>").select("block", "place", F.explode("leaves").alias("leaf"))
+            .groupBy("block", "leaf").agg(F.sort_array(F.collect_list("place")).alias("places")))
+    matrix = placed.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("place", "k", "v"))).alias("q"))
+    sized = filed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    candidates = (filed.join(sized, "leaf").withColumn("part", F.pmod(F.xxhash64("ids"), F.col("parts")))
+                  .groupBy("leaf", "part").agg(F.collect_list(F.struct("v", "ids")).alias("c")))
+    entry = pa.list_(pa.struct([("score", pa.float64()), ("id", pa.int64())]))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A block's queries come first, then each candidate block that some of them visit."""
+        keys, vectors, best, block = [], None, [], None
+
+        def result() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([[{"score": x, "id": i} for i, x in zip(*b)] for b in best], entry)], names=["k", "near"])
         for b in batches:
             for i in range(b.num_rows):
-                c, q = b.column(0).slice(i, 1).flatten(), b.column(1).slice(i, 1).flatten()
+                if b.column(0)[i].as_py() != block:
+                    if keys:
+                        yield result()
+                    block, q = b.column(0)[i].as_py(), b.column(1).slice(i, 1).flatten()
+                    keys, vectors, best = q.field("k").to_pylist(), _matrix(q.field("v")), [([], [])] * len(q)
+                    continue
+                c, places = b.column(2).slice(i, 1).flatten(), b.column(3)[i].as_py()
                 ids = c.field("ids").to_pylist()
-                s = _matrix(q.field("v")) @ _matrix(c.field("v")).T
-                found = [_best(row, ids, k + 1) for row in s]
-                entry = pa.list_(pa.struct([("score", pa.float64()), ("id", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([q.field("k"), pa.array([[{"score": x, "id": y} for y, x in zip(*f)] for f in found], entry)], names=["k", "near"])
-
-    pairs = blocks(filed, "ids", "v", "ids").withColumnRenamed("rows", "c").join(blocks(sent, "k", "k", "v").withColumnsRenamed({"rows": "q", "part": "other"}), "leaf")
-    near = pairs.repartition(shuffle_width(spark), "leaf", "part", "other").select("c", "q").mapInArrow(score, "k string, near array<struct<score: double, id: long>>")
-    # best of all blocks: each list has at most k + 1 entries, each query as many lists as blocks visited
-    flat = near.select("k", F.explode("near").alias("e")).select("k", "e.score", "e.id")
-    place = F.row_number().over(Window.partitionBy("k").orderBy(F.desc("score"), "id"))
-    top = flat.withColumn("r", place).filter(F.col("r") <= k + 1).groupBy("k").agg(F.sort_array(F.collect_list(F.struct("r", "id", "score"))).alias("near"))
+                scores = vectors[places] @ _matrix(c.field("v")).T
+                for p, own in zip(places, scores):
+                    old_ids, old = best[p]
+                    rows = np.flatnonzero(own >= old[-1]) if len(old) > k else np.arange(len(own))
+                    if len(rows):
+                        best[p] = _best(np.concatenate((own[rows], old)), [*[ids[r] for r in rows.tolist()], *[[x] for x in old_ids]], k + 1)
+        if keys:
+            yield result()
+
+    pairs = sent.join(candidates, "leaf").select("block", F.lit(None).cast(matrix.schema["q"].dataType).alias("q"), "c", "places", "leaf")
+    heads = matrix.select("block", "q", F.lit(None).cast(candidates.schema["c"].dataType).alias("c"), F.lit(None).cast("array<int>").alias("places"), F.lit(-1).cast("long").alias("leaf"))
+    dealt = heads.unionByName(pairs).repartition(shuffle_width(spark), "block").sortWithinPartitions("block", "leaf").drop("leaf")
+    with rows_at_once(spark, PAIRS_AT_ONCE):
+        top = materialize(dealt.mapInArrow(merge, "k string, near array<struct<score: double, id: long>>"), "vectors-near")
     own = members.join(top, "k").select(F.col("id").alias("query_id"), F.slice(F.filter("near", lambda e: e["id"] != F.col("id")), 1, k).alias("near"))
     return own.select("query_id", F.posexplode("near").alias("pos", "e")).select(
         "query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("e.id").alias("vec_id"), F.col("e.score").alias("score"))

@@ -42,6 +42,9 @@ def test_recall_on_the_table(spark):
 @pytest.mark.parametrize("block", [5, 2048])
 def test_all_leaves_are_exact_with_copies_and_ties(spark, block, monkeypatch):
     monkeypatch.setattr(N, "BLOCK", block)
+    monkeypatch.setattr(N, "QUERIES", min(block, 256))
+    monkeypatch.setattr(N, "ROWS_PER_LEAF", 20)
+    monkeypatch.setattr(N, "LEAF", 5)
     rng = np.random.default_rng(1)
     base = rng.integers(-3, 4, (60, 6)).astype(float)
     base = base[(base != 0).any(1)]
@@ -62,7 +65,7 @@ def test_few_and_none(spark):
 
 def test_tree_files_every_row_and_visits_every_leaf():
     x = np.random.default_rng(5).normal(size=(3000, 8))
-    t = N.grow(x)
+    t = N.grow(x, leaf=40)
     leaf = t.file(x)
     assert t.leaves > 60 and set(leaf) == set(range(t.leaves))
     order = t.visits(x[0], t.leaves)
