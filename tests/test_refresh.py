@@ -86,3 +86,24 @@ def test_lookback_request_starts(spark):
     df = spark.createDataFrame([(D(2024, 7, 20),)], "today date")
     got = df.select(lookback_starts(F.col("today")).alias("s")).first().s
     assert got == [D(2024, 7, 6), D(2024, 7, 11), D(2024, 7, 16)]
+
+
+def test_archive_of_another_layout_is_not_overwritten(spark):
+    import datetime as dt
+
+    import pytest
+    from hazardpanel.plans.refresh import write_rolling_archive
+    from hazardpanel.session import scratch_path
+    path = scratch_path(spark, "test-archive-layout")
+    day = dt.date(2024, 1, 1)
+    rows = [(day, day, r, 1.0, 1) for r in (1, 2)]
+    schema = "issued_date date, target_date date, wilaya_id int, temperature_2m_max double, arrival long"
+    write_rolling_archive(spark, path, spark.createDataFrame(rows, schema), day)
+    fewer = spark.createDataFrame([r[:3] + r[4:] for r in rows[:1]], "issued_date date, target_date date, wilaya_id int, arrival long")
+    with pytest.raises(ValueError):
+        write_rolling_archive(spark, path, fewer, day)
+    assert spark.read.parquet(path).count() == 2
+    again = spark.createDataFrame([(day, day, 1, 5.0, 2)], schema)
+    for _ in range(2):                                   # a second run changes nothing
+        write_rolling_archive(spark, path, again, day)
+        assert sorted((r.wilaya_id, r.temperature_2m_max) for r in spark.read.parquet(path).collect()) == [(1, 5.0), (2, 1.0)]

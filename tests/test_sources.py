@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from hazardpanel.constants import WEATHER_VARS
@@ -150,3 +151,68 @@ def test_weather_from_region_files(spark):
     dim = spark.createDataFrame([(i,) for i in range(1, 5)], "wilaya_id int")
     cov = coverage(t, dim, "wilaya_id").first()
     assert (cov.n_covered, cov.n_total) == (3, 4)
+
+
+def _land(root, files):
+    import os
+    for name, text in files.items():
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        with open(f"{root}/{name}", "w") as f:
+            f.write(text)
+
+
+def test_files_of_different_headers_are_read_by_name(spark, tmp_path):
+    from hazardpanel.sources.detections import read_csv_by_header, scan_glob, unreadable
+    head = "latitude,longitude,acq_date,acq_time,satellite"
+    _land(tmp_path, {
+        "sp/a.csv": f"{head},frp,type\n1.5,2.5,2024-01-01,10,N,7,2.0\n1.5,2.5,2024-01-02,10,N,8,0.0\n1.5,2.5,2024-01-03,10,N,9,\n1.5,2.5,2024-01-04,10,N,9,n.k.\n",
+        "sp/b.csv": f"type,{head},frp\n3,4.5,5.5,2024-01-01,10,N,1\n",
+        "nrt/c.csv": f"{head},bright,frp\n1.5,2.5,2024-01-01,10,N,300,7\n",
+        "nrt/d.csv": f"frp,{head}\n11,9.5,8.5,2024-01-01,10,N\n",
+        "nrt/empty.csv": ""})
+    got = sorted(((r.source, r.latitude, r.acq_date.day, r.frp, r.type) for r in scan_glob(spark, f"{tmp_path}/*/*.csv").collect()), key=str)
+    assert got == sorted([("sp", 1.5, 1, 7.0, 2), ("sp", 1.5, 2, 8.0, 0), ("sp", 1.5, 3, 9.0, None), ("sp", 1.5, 4, 9.0, -1), ("sp", 4.5, 1, 1.0, 3),
+                          ("nrt", 1.5, 1, 7.0, None), ("nrt", 9.5, 1, 11.0, None)], key=str)
+    assert unreadable(scan_glob(spark, f"{tmp_path}/*/*.csv"), ["source"]).filter("n_unreadable > 0").collect()[0].asDict() == {"source": "sp", "n_unreadable": 1}
+    from hazardpanel.schemas import DETECTION_CSV
+    assert read_csv_by_header(spark, f"{tmp_path}/nrt", DETECTION_CSV).filter("frp = 11").count() == 1
+
+
+def test_bodies_with_short_and_quoted_lines(spark):
+    head = "latitude,longitude,acq_date,acq_time,satellite,remark,frp"
+    bodies = spark.createDataFrame([
+        (f'{head}\n1.5,2.5,2024-01-01,10,N,"a, b",7\n1.5,2.5\n1.5,2.5,2024-01-02,10,N,x,8,9,10\n3.5,2.5,2024-01-03,11,N20,,\n', "s"),
+        (f"frp,{head[:-4]}\r\n4,9.5,8.5,2024-01-01,12,N,q\r\n", "t"), ("Invalid API call.", "s"), (f"{head}\n", "s"), (None, "s")], "value string, source string")
+    got = sorted((r.source, r.latitude, r.satellite, r.frp) for r in parse_bodies(bodies).fillna(-1.0).collect())
+    assert got == [("s", 1.5, "N", 7.0), ("s", 3.5, "N20", -1.0), ("t", 9.5, "N", 4.0)]
+    assert body_audit(bodies).first().asDict() == {"accepted": 2, "rejected": 3, "corrupt_lines": 2}
+
+
+def test_unreadable_payloads_stop_the_job_or_are_counted(spark):
+    from hazardpanel.schemas import weather_payload_schema
+    from hazardpanel.sources.payload import payload_audit, payload_to_rows
+    element = weather_payload_schema(["rain_sum"])
+    good = '[{"daily":{"time":["2024-01-01"],"rain_sum":[1.5]}}]'
+    requests = spark.createDataFrame([(7, 0, 0)], "wilaya_id int, batch int, pos int")
+    for bad in (good[:-20], '{"error":true,"reason":"limit"}', "[]", "", None):
+        bodies = spark.createDataFrame([(good, 0), (bad, 0)], "value string, batch int")
+        with pytest.raises(Exception, match="payload body cannot be read"):
+            payload_to_rows(bodies, requests, element, ["rain_sum"]).collect()
+        assert [(r.wilaya_id, r.rain_sum) for r in payload_to_rows(bodies, requests, element, ["rain_sum"], skip_unreadable=True).collect()] == [(7, 1.5)]
+        assert payload_audit(bodies, element).first().asDict() == {"accepted": 1, "rejected": 1}
+
+
+def test_multipolygons_and_holes_survive_a_round_trip(spark, tmp_path):
+    import json
+
+    from hazardpanel.sources.geojson import edges_to_features, features_to_edges, read_features, write_features
+    box = lambda part, ring, x, y, s: [(3, 0, part, ring, i, *a, *b) for i, (a, b) in enumerate(zip(
+        [(x, y), (x + s, y), (x + s, y + s), (x, y + s)], [(x + s, y), (x + s, y + s), (x, y + s), (x, y)]))]
+    rows = box(0, 0, 0.0, 0.0, 4.0) + box(0, 1, 1.0, 1.0, 1.0) + box(1, 0, 10.0, 0.0, 2.0) + [(4, 1, *r[2:]) for r in box(0, 0, 20.0, 20.0, 1.0)]
+    edges = spark.createDataFrame(rows, "wilaya_id int, pos int, part int, ring int, edge_no int, x1 double, y1 double, x2 double, y2 double")
+    write_features(edges_to_features(edges), f"{tmp_path}/f")
+    texts = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/f").collect()]
+    assert {t["properties"]["wilaya_id"]: t["geometry"]["type"] for t in texts} == {3: "MultiPolygon", 4: "Polygon"}
+    assert [len(p) for t in texts if t["properties"]["wilaya_id"] == 3 for p in t["geometry"]["coordinates"]] == [2, 1]
+    back = features_to_edges(read_features(spark, f"{tmp_path}/f", collection=False))
+    assert sorted(map(tuple, back.select(edges.columns).collect())) == sorted(rows)
