@@ -12,7 +12,7 @@ from hazardpanel.operators import metrics as M
 from hazardpanel.operators.dedup import dedup_keep_last
 from hazardpanel.operators.dims import flag_not_in, map_or_fail, semi_by_flag, surrogate_id
 from hazardpanel.operators.features import temporal_split, with_month_cyclic, with_weekday_cyclic
-from hazardpanel.operators.panel import uncovered_days
+from hazardpanel.operators.panel import fixed_layout, uncovered_days
 from hazardpanel.operators.windows import (dryness_features, lag_prev_day, prior_mean, prior_sum,
                                            topk_per_group, with_days_since)
 from hazardpanel.oracle import sql
@@ -124,8 +124,8 @@ SELECT wilaya_id, wilaya_code, wilaya_name, zone_name AS wilaya_zone, area_km2,
 FROM region_dim""", "region_dim"))
 def q_fixed_layout(spark, sf):
     d = fx.region_dim(spark, sf).withColumnRenamed("zone_name", "wilaya_zone").drop("is_forest_zone")
-    return d.select("wilaya_id", "wilaya_code", "wilaya_name", "wilaya_zone", "area_km2",
-                    "centroid_lat", "centroid_lon")
+    return fixed_layout(d, ["wilaya_id", "wilaya_code", "wilaya_name", "wilaya_zone", "area_km2",
+                            "centroid_lat", "centroid_lon"])
 
 
 @register("text_helpers", """
