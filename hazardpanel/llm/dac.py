@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazardpanel.llm.common import slices, texts
-from hazardpanel.llm.wordcache import WordCache
+from hazardpanel.llm.wordcache import EDGE, WordCache
 from hazardpanel.llm.wordcache import pack as pack_ids
 from hazardpanel.session import materialize
 
@@ -166,7 +166,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 d = Dac(blob.as_py())
                 n = len(d.ends)
                 size = np.diff(d.ends, prepend=0)
-                crc = [zlib.crc32(d.document(k).astype("<u4").tobytes()) for k in range(n)]
+                ids = memoryview(d.range(0, d.size).astype("<u4").tobytes())       # the whole shard is wanted here
+                edge = (4 * np.concatenate(([0], d.ends))).tolist()
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(edge, edge[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([shard] * n, pa.string()), pa.array(d.doc_ids, pa.int64(), mask=d.nulls), pa.array(d.ends - size),
                      pa.array(size), pa.array(crc, pa.int64())], names=["shard", "doc_id", "local", "n_tokens", "ids_crc32"])
@@ -200,19 +202,17 @@ class ByteLevel:
         self.words = WordCache(self.whole, self.after_space)
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [pack_ids(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [pack_ids(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def after_space(self, parts: list[str]) -> list[bytes]:
         """Ids of parts that follow a space.  Letters and the punctuation after
         them are always separate pre-tokens, so word and tail are looked up apart;
         words are encoded many at a time, told apart by the tokens with a space."""
-        core: list[str] = []
-        tail: list[str] = []
-        for p in parts:
-            word = p.rstrip(PUNCTUATION)
-            cut = len(word) < len(p) and word.isalpha() and not any(s in p for s in self.special)
-            core.append(word if cut else p)
-            tail.append(p[len(word):] if cut else "")
+        everything = "\n".join(parts)
+        special = any(s in everything for s in self.special)
+        core = [p.rstrip(PUNCTUATION) for p in parts]
+        core = [w if w.isalpha() and not (special and any(s in p for s in self.special)) else p for w, p in zip(core, parts)]
+        tail = [p[len(w):] for w, p in zip(core, parts)]
         if new := list({t for t in tail if t and t not in self.tails}):
             self.tails.update(zip(new, self.whole(new)))
         known = self.words.seen
@@ -220,13 +220,15 @@ class ByteLevel:
         found = dict(zip(ask, self._words(ask)))
         return [(known[c] if c in known else found[c]) + (self.tails[t] if t else b"") for c, t in zip(core, tail)]
 
-    def _words(self, words: list[str], at_once: int = 2000) -> list[bytes]:
+    def _words(self, words: list[str], at_once: int = 200) -> list[bytes]:
         out: list[bytes] = []
         for a in range(0, len(words), at_once):
             some = words[a:a + at_once]
-            # a word with white space inside, or a special token, is encoded by itself
-            odd = {i for i, w in enumerate(some) if len(w.split()) != 1 or any(s in w for s in self.special)}
-            plain = [w for i, w in enumerate(some) if i not in odd]
+            # a word with a space inside or white space at an end, or a special token, is encoded by itself
+            everything = "\n".join(some)
+            special = any(s in everything for s in self.special)
+            odd = {i for i, w in enumerate(some) if " " in w or w[:1] in EDGE or w[-1:] in EDGE or special and any(s in w for s in self.special)}
+            plain = [w for i, w in enumerate(some) if i not in odd] if odd else some
             (joined,) = self.whole([" " + " ".join(plain)]) if plain else (b"",)
             ids = np.frombuffer(joined, "<i4")
             first = np.flatnonzero(self.opens[ids])
@@ -235,7 +237,7 @@ class ByteLevel:
             edge = [*(4 * first).tolist(), len(joined)]
             split = iter([joined[x:y] for x, y in zip(edge, edge[1:])])
             single = iter(self.whole([" " + some[i] for i in sorted(odd)]) if odd else [])
-            out += [next(single) if i in odd else next(split) for i in range(len(some))]
+            out += [next(single) if i in odd else next(split) for i in range(len(some))] if odd else split
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:

@@ -16,8 +16,10 @@ import numpy as np
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Parts kept per worker; the cache is emptied when it is full.
-ENTRIES = 500_000
+ENTRIES = 1_200_000
 LONGEST = 48
+#: What a part must neither begin nor end with (an empty part does both).
+EDGE = frozenset(["", *(chr(i) for i in range(0x3001) if chr(i).isspace())])
 Ids = bytes                 # ids as little-endian 32-bit integers
 
 
@@ -32,25 +34,32 @@ class WordCache:
         self.whole_texts, self.after_space, self.never_cut = whole_texts, after_space, never_cut
         self.seen: dict[str, Ids] = {}
 
-    def _regular(self, part: str) -> bool:
-        return bool(part) and not part[0].isspace() and not part[-1].isspace() and not (self.never_cut and self.never_cut in part)
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.seen) > ENTRIES:
             self.seen = {}
-        seen, cut, ask = self.seen, [], set()
+        known = self.seen.get
+        cut, gaps, ask = [], [], set()
         for t in texts:
             parts = t.split(" ")
-            new = set(parts[1:]).difference(seen)
-            if not (self._regular(parts[0]) and all(map(self._regular, new))):
-                parts = [t] if self.never_cut and self.never_cut in t else CUT.split(t)
-                new = set(parts[1:]).difference(seen)
-            cut.append(parts)
-            ask.update(new)
+            ids = list(map(known, parts))
+            ids[0] = b""                        # what begins a text is encoded as such
+            gap = [i for i, x in enumerate(ids) if x is None] if None in ids else ()
+            if self.never_cut and self.never_cut in t:
+                parts, ids, gap = [t], [b""], ()
+            elif parts[0][-1:] in EDGE or any(parts[i][:1] in EDGE or parts[i][-1:] in EDGE for i in gap):
+                parts = CUT.split(t)
+                ids = [b"", *map(known, parts[1:])]
+                gap = [i for i, x in enumerate(ids) if x is None]
+            cut.append((parts, ids))
+            gaps.append(gap)
+            ask.update([parts[i] for i in gap])
         asked = list(ask)
-        rare: dict[str, Ids] = {}
-        for p, ids in zip(asked, self.after_space(asked) if asked else []):
-            (seen if len(p) <= LONGEST and self._regular(p) else rare)[p] = ids
-        get = seen.__getitem__ if not rare else lambda p: seen[p] if p in seen else rare[p]
-        heads = self.whole_texts([p[0] for p in cut])
-        return [np.frombuffer(b"".join([h, *map(get, parts[1:])]), "<i4") for h, parts in zip(heads, cut)]
+        found = dict(zip(asked, self.after_space(asked))) if asked else {}
+        self.seen.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST and " " not in p and p[:1] not in EDGE and p[-1:] not in EDGE)
+        out = []
+        for head, (parts, ids), gap in zip(self.whole_texts([parts[0] for parts, _ in cut]), cut, gaps):
+            for i in gap:
+                ids[i] = found[parts[i]]
+            ids[0] = head
+            out.append(np.frombuffer(b"".join(ids), "<i4"))
+        return out
