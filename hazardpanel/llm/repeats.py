@@ -58,10 +58,10 @@ _LOW, _HIGH = np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFF00000000)
 
 # ---------------------------------------------------------------- blobs
 
-def dump(*arrays: np.ndarray) -> bytes:
+def dump(*arrays: np.ndarray, level: int = 5) -> bytes:
     """Arrays as one compressed blob."""
     head = np.array([len(arrays), *[x for a in arrays for x in (len(a), np.dtype(a.dtype).num)]], "<i8")
-    return zstandard.ZstdCompressor(level=1).compress(head.tobytes() + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=level).compress(head.tobytes() + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
 
 
 _TYPES = {np.dtype(t).num: np.dtype(t) for t in (np.uint8, np.int32, np.int64, np.uint64, bool)}
