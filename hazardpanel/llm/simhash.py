@@ -63,15 +63,17 @@ def simhash(text: bytes, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """(doc_id, fp): fp is the unsigned fingerprint stored in a signed long."""
+    """(doc_id, h, fp): the hash of the text, and the unsigned fingerprint stored in
+    a signed long."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 8 << 20):
             fps = np.fromiter((simhash(t.encode("utf-8") if t else b"", words) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps.view(np.int64))], names=["doc_id", "h", "fp"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
+    return rows.mapInArrow(run, f"doc_id {kind}, h long, fp long")
 
 
 def _masks(radius: int) -> list[int]:
@@ -241,22 +243,33 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """One row per input row: (doc_id, fp, component_id), component_id the
-    smallest id whose fingerprint is reachable over links."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Every row as (doc_id, h, fp) with h the hash of its text, and (fp, rep, root)
+    of every fingerprint with the smallest id and the component's root."""
     fps = materialize(fingerprints(docs, id_col, text_col, words), "simhash")
     reps = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
     roots = components(links(reps.select("fp"), radius))
-    rooted = materialize(reps.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
-        "fp", "rep", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+    rooted = reps.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    return fps, materialize(rooted, "simhash-roots")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """One row per input row: (doc_id, fp, component_id), component_id the
+    smallest id whose fingerprint is reachable over links."""
+    fps, rooted = _grouped(docs, id_col, text_col, words, radius)
     first = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     classes = rooted.join(first, "root").select("fp", "component_id")
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the smallest id of each group; rows that
-    repeat an id count once.  A group without any id keeps one row."""
-    groups = near_duplicates(docs, id_col, text_col)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates([id_col])
+    """The row of ``docs`` with the smallest id of each group (of equal ids that
+    with the smallest hash of its text; a group without any id keeps one row as
+    well).  Texts are shuffled once, to meet the kept (id, hash) pairs."""
+    fps, rooted = _grouped(docs, id_col, text_col, WORDS, RADIUS)
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    # a fingerprint's first row, then a component's: a group of copies is one row per task after the first step
+    first = fps.groupBy("fp").agg(F.min(key).alias("first")).join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = first.select(F.col("first.h").alias("_h"), F.xxhash64("first.doc_id", "first.h").alias("_key"))
+    marked = docs.withColumn("_h", F.xxhash64(text_col)).withColumn("_key", F.xxhash64(id_col, "_h"))
+    return marked.join(kept, ["_h", "_key"], "left_semi").dropDuplicates(["_h", "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -92,6 +92,14 @@ def test_keep_one_keeps_the_smallest_id_of_each_group(spark):
     assert sorted(got) == sorted({c for _, _, c in brute_components(rows)})
 
 
+def test_groups_without_ids_keep_one_row_each(spark):
+    rows = [(None, "alpha beta gamma delta"), (None, "alpha beta gamma delta"), (None, "one two three four five"), (7, "one two three four five"),
+            (None, "un deux trois quatre"), (3, "x y z w"), (3, "p q r s t u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in S.keep_one(docs).collect()), key=str)
+    assert got == sorted([rows[0], rows[3], rows[4], rows[5], rows[6]], key=str)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert S.near_duplicates(docs).collect() == []
