@@ -8,8 +8,9 @@ bytes); all places where a window occurs therefore lie in frames that meet in th
 bucket of their k-gram.
 
 1. ``pack``: texts are written once as chunks of a few MB.
-2. Chunks report the k-gram hashes of their anchors to the hashes' buckets, which
-   answer with one bit each: does another chunk have it?
+2. Chunks report the k-gram hashes of their anchors and how many different frames
+   each has to the hashes' buckets, which answer with two bits each: does another
+   chunk have it, and do the chunks have more than ``HOT`` frames of it?
 3. Frames of k-grams that occur again, equal ones of a chunk merged, go to the
    buckets.  There the suffixes at the frames' windows are sorted, neighbours'
    common prefixes (LCP) computed, and a stack scan yields the tree of common-
@@ -20,8 +21,12 @@ bucket of their k-gram.
 4. In each group the earliest occurrence stays, the others are spans to remove;
    they go back to their chunks.
 
-Frames of a third of all documents merge chunk by chunk before they are sent, so
-a frequent passage costs its bucket one frame per chunk, not one per document.
+Equal frames merge chunk by chunk before they are sent: the inside of a frequent
+passage costs its bucket one frame per chunk.  At its ends frames hold the context
+of each document, too, and differ; such a k-gram soon has more than ``HOT`` frames.
+To remove repeats, those are taken apart into windows: equal windows of a chunk
+merge, and what is left is dealt by the hash of the window, one row per chunk and
+window, so that no task gets all documents of a passage.
 
 Positions are ordered by document id (null first), the hash of the text for equal
 ids, and start.  A null text is empty; texts under ``length`` bytes have no
@@ -48,6 +53,7 @@ LENGTH = 100
 GRAM = 32
 CHUNK = 8 << 20             # bytes of text in a chunk; also what a bucket is sized by
 STEP = 1 << 20              # windows handled at a time
+HOT = 4096                  # frames of one k-gram that a bucket takes; those of others are dealt window by window
 _RNG = np.random.default_rng(20240501)
 _BYTE = _RNG.integers(0, 2**64, (3, 256), dtype=np.uint64)          # random value of each byte, for three hashes
 _FOLD = _RNG.integers(0, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -289,6 +295,19 @@ _KEYED = pa.schema([("key", pa.int64()), ("source", pa.int64()), ("data", pa.bin
 _ADDRESSED = "key long, source long, data binary"
 
 
+def _frame_counts(found: Frames, raw: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+    """Different frames of each of the ``distinct`` k-grams in a chunk."""
+    order = np.argsort(distinct, kind="stable")
+    place = order[np.searchsorted(distinct[order], found.gram)]
+    count = np.bincount(place, minlength=len(distinct))
+    more = np.flatnonzero(count[place] > 1)                 # one frame is one
+    one, two = content_hashes(raw, found.start[more], found.size[more])
+    by = np.lexsort((two, one, place[more]))
+    same = np.zeros(len(by), bool)
+    same[1:] = (np.diff(place[more][by]) == 0) & (one[by][1:] == one[by][:-1]) & (two[by][1:] == two[by][:-1])
+    return (count - np.bincount(place[more][by][same], minlength=len(distinct))).astype("<i4")
+
+
 def _grams_of(chunk: list[np.ndarray], buckets: int) -> tuple[Frames, np.ndarray, np.ndarray, np.ndarray]:
     """Frames of a chunk, its distinct k-gram hashes by bucket, and where each bucket begins."""
     found = frames(chunk[4], chunk[3])
@@ -300,26 +319,41 @@ def _grams_of(chunk: list[np.ndarray], buckets: int) -> tuple[Frames, np.ndarray
 
 
 def recurring(chunks: DataFrame, buckets: int) -> DataFrame:
-    """(key = chunk, source = bucket, data): a bit for each distinct k-gram hash
-    of the chunk in the bucket, set if another chunk has it, too."""
+    """(key = chunk, source = bucket, data): two bits for each distinct k-gram hash
+    of the chunk in the bucket: another chunk has it, too; the chunks have more than
+    ``HOT`` different frames of it."""
+    most = HOT
+
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, data in _rows(batches):
-            _, distinct, _, edge = _grams_of(load(data), buckets)
-            rows = [(k, chunk, distinct[edge[k]:edge[k + 1]].tobytes()) for k in range(buckets) if edge[k] < edge[k + 1]]
+            held = load(data)
+            found, distinct, _, edge = _grams_of(held, buckets)
+            count = _frame_counts(found, held[4], distinct)
+            rows = [(k, chunk, distinct[edge[k]:edge[k + 1]].tobytes() + count[edge[k]:edge[k + 1]].tobytes()) for k in range(buckets) if edge[k] < edge[k + 1]]
             if rows:
                 yield _batch(_KEYED, rows)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _runs(batches):
-            parts = [np.frombuffer(r[2], np.uint64) for r in rows]
-            value, count = np.unique(np.concatenate(parts), return_counts=True)
-            value = value[count > 1]
-            yield _batch(_KEYED, [(r[1], bucket, np.packbits(np.isin(p, value, kind="sort")).tobytes()) for r, p in zip(rows, parts)])
+            sizes = [len(r[2]) // 12 for r in rows]
+            parts = [np.frombuffer(r[2], np.uint64, n) for r, n in zip(rows, sizes)]
+            frames_of = np.concatenate([np.frombuffer(r[2], "<i4", n, 8 * n) for r, n in zip(rows, sizes)])
+            value, inverse, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+            bits = (count > 1)[inverse], (np.bincount(inverse, weights=frames_of, minlength=len(value)) > most)[inverse]
+            edge = np.concatenate(([0], np.cumsum(sizes)))
+            yield _batch(_KEYED, [(r[1], bucket, b"".join(np.packbits(x[a:b]).tobytes() for x in bits)) for r, a, b in zip(rows, edge, edge[1:])])
 
     asked = chunks.select("chunk", "data").mapInArrow(report, _ADDRESSED).repartition(max(buckets, 1), "key").sortWithinPartitions("key")
     return asked.mapInArrow(answer, _ADDRESSED)
 
 
+def _rank(ids: np.ndarray, nulls: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Place of each text of a chunk in the order of positions."""
+    rank = np.empty(len(ids), np.int64)
+    rank[np.lexsort((np.arange(len(ids)), hashes, ids, ~nulls))] = np.arange(len(ids))
+    return rank
+
+
 def _kept_frames(found: Frames, chunk: list[np.ndarray], seen: np.ndarray):
     """Of a chunk's frames: those to send, and places (text, start, size) that
     an equal earlier frame of the chunk covers.  ``seen``: k-gram occurs in another chunk."""
@@ -328,8 +362,7 @@ def _kept_frames(found: Frames, chunk: list[np.ndarray], seen: np.ndarray):
     use = np.flatnonzero(seen | (count[inverse] > 1))
     gram, start, size, seen = found.gram[use], found.start[use], found.size[use], seen[use]
     doc = np.searchsorted(offsets, start, side="right") - 1
-    rank = np.empty(len(ids), np.int64)
-    rank[np.lexsort((np.arange(len(ids)), hashes, ids, ~nulls))] = np.arange(len(ids))
+    rank = _rank(ids, nulls, hashes)
     one, two = content_hashes(raw, start, size)
     order = np.lexsort((start, rank[doc], two, one))
     new = np.ones(len(order), bool)
@@ -342,9 +375,47 @@ def _kept_frames(found: Frames, chunk: list[np.ndarray], seen: np.ndarray):
     return (gram[kept], doc[kept], local[kept], size[kept], start[kept]), (doc[copies], local[copies], size[copies])
 
 
-def _send(chunks: DataFrame, bits: DataFrame, buckets: int) -> DataFrame:
-    """(key, source, data): frames to buckets (key >= 0), and spans that the
-    chunk itself has found to chunks (key = -1 - chunk)."""
+def _first_windows(chunk: list[np.ndarray], start: np.ndarray, size: np.ndarray):
+    """Of the windows of some frames of a chunk: hashes, text and start in the chunk
+    of the earliest of each content, and spans (text, start, size) of the others."""
+    ids, nulls, hashes, offsets, raw = chunk
+    count = size - LENGTH + 1
+    at = np.sort(np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum())))
+    doc = np.searchsorted(offsets, at, side="right") - 1
+    one, two = content_hashes(raw, at, np.full(len(at), LENGTH))
+    order = np.lexsort((at, _rank(ids, nulls, hashes)[doc], two, one))
+    new = np.ones(len(order), bool)
+    new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+    first, late = np.sort(order[new]), np.sort(order[~new])
+    return (one[first], two[first], doc[first], at[first]), _joined(doc[late], at[late] - offsets[doc[late]])
+
+
+def _joined(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, size) of the spans of windows in ascending order, those of
+    successive windows as one."""
+    begins = np.ones(len(doc), bool)
+    begins[1:] = (np.diff(doc) != 0) | (np.diff(start) != 1)
+    edge = np.flatnonzero(np.concatenate((begins, [True])))
+    return doc[edge[:-1]], start[edge[:-1]], np.diff(edge) + LENGTH - 1
+
+
+def _send_windows(chunk: list[np.ndarray], number: int, one: np.ndarray, two: np.ndarray, doc: np.ndarray, at: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Windows of a chunk, dealt by their hash."""
+    ids, nulls, hashes, offsets, _ = chunk
+    to = (one % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    edge = np.searchsorted(to[order], np.arange(buckets + 1))
+    for k in np.flatnonzero(np.diff(edge)):
+        r = order[edge[k]:edge[k + 1]]
+        texts, inverse = np.unique(doc[r], return_inverse=True)
+        yield _batch(_KEYED, [(buckets + int(k), number, dump(one[r], two[r], inverse.astype(np.int32), at[r] - offsets[doc[r]],
+                                                              texts.astype(np.int32), ids[texts], nulls[texts], hashes[texts]))])
+
+
+def _send(chunks: DataFrame, bits: DataFrame, buckets: int, split: bool = True) -> DataFrame:
+    """(key, source, data): frames to buckets (0 <= key < buckets), windows of the
+    frames of hot k-grams to theirs (key >= buckets; only if ``split``), and spans
+    that the chunk itself has found to chunks (key = -1 - chunk)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answers: dict[int, bytes] = {}
         for chunk, source, data in _rows(batches):      # a chunk comes after the answers to it
@@ -353,14 +424,20 @@ def _send(chunks: DataFrame, bits: DataFrame, buckets: int) -> DataFrame:
                 continue
             held = load(data)
             found, distinct, bucket, edge = _grams_of(held, buckets)
-            again = np.zeros(len(distinct), bool)
+            again, many = np.zeros(len(distinct), bool), np.zeros(len(distinct), bool)
             for k, packed in answers.items():
-                again[edge[k]:edge[k + 1]] = np.unpackbits(np.frombuffer(packed, np.uint8))[:edge[k + 1] - edge[k]]
+                n, both = int(edge[k + 1] - edge[k]), np.frombuffer(packed, np.uint8)
+                again[edge[k]:edge[k + 1]] = np.unpackbits(both[:len(both) // 2])[:n]
+                many[edge[k]:edge[k + 1]] = np.unpackbits(both[len(both) // 2:])[:n]
             answers = {}
-            hit = np.sort(distinct[again])
-            place = np.minimum(np.searchsorted(hit, found.gram), max(len(hit) - 1, 0))
-            seen = hit[place] == found.gram if len(hit) else np.zeros(len(found.gram), bool)
+            seen = np.isin(found.gram, distinct[again], kind="sort")
             (gram, doc, local, size, start), copies = _kept_frames(found, held, seen)
+            hot = np.isin(gram, distinct[many], kind="sort") if split else np.zeros(len(gram), bool)
+            if hot.any():
+                (one, two, text, at), spans = _first_windows(held, start[hot], size[hot])
+                copies = tuple(np.concatenate(x) for x in zip(copies, spans))
+                yield from _send_windows(held, chunk, one, two, text, at, buckets)
+                gram, doc, local, size, start = (x[~hot] for x in (gram, doc, local, size, start))
             if len(copies[0]):
                 yield _batch(_KEYED, [(-1 - chunk, -1, dump(copies[0].astype(np.int32), copies[1], copies[2].astype(np.int32)))])
             to = (gram % np.uint64(buckets)).astype(np.int64)
@@ -427,7 +504,24 @@ def groups(b: Bucket, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray
             yield depth, members, np.repeat(offset, sizes)
 
 
-def _spans(buckets_of: DataFrame) -> DataFrame:
+def _late_windows(rows: list[list]) -> list[tuple]:
+    """Of the windows that meet: spans of all but the earliest of each content, by chunk."""
+    parts = [load(r[2]) for r in rows]
+    one, two, start = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 3))
+    doc, ids, nulls, hashes = (np.concatenate([p[k][p[2]] for p in parts]) for k in (4, 5, 6, 7))
+    chunk = np.repeat([r[1] for r in rows], [len(p[0]) for p in parts])
+    order = np.lexsort((start, doc, chunk, hashes, ids, ~nulls, two, one))
+    late = order[1:][(one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])]
+    late = late[np.lexsort((start[late], doc[late], chunk[late]))]
+    edge = np.flatnonzero(np.concatenate(([True], np.diff(chunk[late]) != 0, [True]))) if len(late) else []
+    out = []
+    for x, y in zip(edge, edge[1:]):
+        text, at, size = _joined(doc[late[x:y]], start[late[x:y]])
+        out.append((int(chunk[late[x]]), 0, dump(text.astype(np.int32), at, size.astype(np.int32))))
+    return out
+
+
+def _spans(buckets_of: DataFrame, buckets: int) -> DataFrame:
     """(key = chunk, source, data): all but the earliest occurrence of each group,
     and the spans that chunks found themselves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -435,6 +529,10 @@ def _spans(buckets_of: DataFrame) -> DataFrame:
             if key < 0:
                 yield _batch(_KEYED, [(-1 - key, 0, r[2]) for r in rows])
                 continue
+            if key >= buckets:
+                if spans := _late_windows(rows):
+                    yield _batch(_KEYED, spans)
+                continue
             b = _bucket(rows)
             who, where, size = [], [], []
             for depth, members, offset in groups(b, LENGTH):
@@ -452,8 +550,8 @@ def _spans(buckets_of: DataFrame) -> DataFrame:
     return buckets_of.mapInArrow(run, _ADDRESSED)
 
 
-def _buckets(chunks: DataFrame, buckets: int) -> DataFrame:
-    sent = _send(chunks, recurring(chunks, buckets), buckets)
+def _buckets(chunks: DataFrame, buckets: int, split: bool = True) -> DataFrame:
+    sent = _send(chunks, recurring(chunks, buckets), buckets, split)
     return sent.repartition(buckets, "key").sortWithinPartitions("key")
 
 
@@ -478,14 +576,15 @@ def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 yield pa.RecordBatch.from_arrays([pa.array([f"{key}-{n}"] * len(members)), pa.array([depth] * len(members), pa.int64()),
                                                   pa.array(b.ids[members], pa.int64(), mask=b.nulls[members]), pa.array(b.start[members] + offset, pa.int64())], schema=schema)
 
-    return _buckets(chunks, bucket_count(chunks)).mapInArrow(run, "repeat_id string, n_bytes long, doc_id long, start long")
+    return _buckets(chunks, bucket_count(chunks), split=False).mapInArrow(run, "repeat_id string, n_bytes long, doc_id long, start long")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): every text
     without the bytes that a string of ``LENGTH`` bytes covers which starts earlier."""
     chunks = pack(docs, id_col, text_col)
-    spans = _spans(_buckets(chunks, bucket_count(chunks)))
+    buckets = bucket_count(chunks)
+    spans = _spans(_buckets(chunks, buckets), buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[bytes] = []

@@ -54,6 +54,29 @@ def test_removed_bytes_equal_brute_force(spark, seed, chunk, monkeypatch):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("seed,chunk,hot", [(1, 8 << 20, 0), (2, 3000, 0), (3, 500, 2), (4, 3000, 5)])
+def test_frames_of_hot_grams_are_dealt_by_window(spark, seed, chunk, hot, monkeypatch):
+    rows = corpus(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(R, "CHUNK", chunk)
+    monkeypatch.setattr(R, "HOT", hot)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in R.remove_repeats(docs).collect()), key=str)
+    assert got == brute(rows)
+
+
+def test_no_bucket_gets_all_frames_of_a_frequent_passage(spark, monkeypatch):
+    rng = random.Random(9)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    passage = some(300)
+    docs = spark.createDataFrame([(i, some(120) + passage + some(120)) for i in range(600)], "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(R, "HOT", 50, raising=False)
+    chunks = R.pack(docs)
+    most = 0
+    for r in R._buckets(chunks, 8).filter("key >= 0 and key < 8").collect():
+        most = max([most, *np.unique(R.load(r.data)[0], return_counts=True)[1].tolist()])
+    assert most <= 50
+
+
 def test_equal_ids_are_ordered_by_text_hash(spark):
     shared = "".join(random.Random(0).choices("abcdefgh", k=150))
     docs = spark.createDataFrame([(1, "A" + shared), (1, shared + "B"), (2, shared)], "doc_id long, text string")
