@@ -354,9 +354,11 @@ def _rank(ids: np.ndarray, nulls: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _kept_frames(found: Frames, chunk: list[np.ndarray], seen: np.ndarray):
+def _kept_frames(found: Frames, chunk: list[np.ndarray], seen: np.ndarray, links: bool = False):
     """Of a chunk's frames: those to send, and places (text, start, size) that
-    an equal earlier frame of the chunk covers.  ``seen``: k-gram occurs in another chunk."""
+    an equal earlier frame of the chunk covers.  ``seen``: k-gram occurs in another chunk.
+    With ``links`` frames with copies are always sent and marked, and each copy
+    (text, start) comes with the text and start of its kept frame."""
     ids, nulls, hashes, offsets, raw = chunk
     _, inverse, count = np.unique(found.gram, return_inverse=True, return_counts=True)
     use = np.flatnonzero(seen | (count[inverse] > 1))
@@ -370,8 +372,14 @@ def _kept_frames(found: Frames, chunk: list[np.ndarray], seen: np.ndarray):
     kept, copies = order[new], order[~new]
     # a k-gram that only this chunk has and that has one frame left meets nothing
     _, inverse, count = np.unique(gram[kept], return_inverse=True, return_counts=True)
-    kept = kept[seen[kept] | (count[inverse] > 1)]
     local = start - offsets[doc]
+    if links:
+        of = kept[(np.cumsum(new) - 1)[~new]]
+        copied = np.isin(kept, of)
+        sent = seen[kept] | (count[inverse] > 1) | copied
+        kept = kept[sent]
+        return (gram[kept], doc[kept], local[kept], size[kept], start[kept], copied[sent]), (doc[copies], local[copies], doc[of], local[of])
+    kept = kept[seen[kept] | (count[inverse] > 1)]
     return (gram[kept], doc[kept], local[kept], size[kept], start[kept]), (doc[copies], local[copies], size[copies])
 
 
@@ -412,10 +420,11 @@ def _send_windows(chunk: list[np.ndarray], number: int, one: np.ndarray, two: np
                                                               texts.astype(np.int32), ids[texts], nulls[texts], hashes[texts]))])
 
 
-def _send(chunks: DataFrame, bits: DataFrame, buckets: int, split: bool = True) -> DataFrame:
+def _send(chunks: DataFrame, bits: DataFrame, buckets: int, links: bool = False) -> DataFrame:
     """(key, source, data): frames to buckets (0 <= key < buckets), windows of the
-    frames of hot k-grams to theirs (key >= buckets; only if ``split``), and spans
-    that the chunk itself has found to chunks (key = -1 - chunk)."""
+    frames of hot k-grams to theirs (key >= buckets), and spans that the chunk itself
+    has found to chunks (key = -1 - chunk).  With ``links`` all frames go whole, and
+    instead of spans (source = chunk) each copy's place and that of its kept frame."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answers: dict[int, bytes] = {}
         for chunk, source, data in _rows(batches):      # a chunk comes after the answers to it
@@ -431,14 +440,19 @@ def _send(chunks: DataFrame, bits: DataFrame, buckets: int, split: bool = True)
                 many[edge[k]:edge[k + 1]] = np.unpackbits(both[len(both) // 2:])[:n]
             answers = {}
             seen = np.isin(found.gram, distinct[again], kind="sort")
-            (gram, doc, local, size, start), copies = _kept_frames(found, held, seen)
-            hot = np.isin(gram, distinct[many], kind="sort") if split else np.zeros(len(gram), bool)
-            if hot.any():
+            if links:
+                (gram, doc, local, size, start, copied), (copy, place, of, lead) = _kept_frames(found, held, seen, links)
+                if len(copy):
+                    yield _batch(_KEYED, [(-1 - chunk, chunk, dump(of.astype(np.int32), lead, held[0][copy], held[1][copy], place))])
+            else:
+                (gram, doc, local, size, start), copies = _kept_frames(found, held, seen)
+                copied, hot = None, np.isin(gram, distinct[many], kind="sort")
+            if not links and hot.any():
                 (one, two, text, at), spans = _first_windows(held, start[hot], size[hot])
                 copies = tuple(np.concatenate(x) for x in zip(copies, spans))
                 yield from _send_windows(held, chunk, one, two, text, at, buckets)
                 gram, doc, local, size, start = (x[~hot] for x in (gram, doc, local, size, start))
-            if len(copies[0]):
+            if not links and len(copies[0]):
                 yield _batch(_KEYED, [(-1 - chunk, -1, dump(copies[0].astype(np.int32), copies[1], copies[2].astype(np.int32)))])
             to = (gram % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
@@ -446,7 +460,8 @@ def _send(chunks: DataFrame, bits: DataFrame, buckets: int, split: bool = True)
             for k in np.flatnonzero(np.diff(edge)):
                 r = order[edge[k]:edge[k + 1]]
                 yield _batch(_KEYED, [(int(k), chunk, dump(gram[r], doc[r].astype(np.int32), local[r], size[r].astype(np.int32),
-                                                           held[0][doc[r]], held[1][doc[r]], held[2][doc[r]], gather(held[4], start[r], size[r])))])
+                                                           held[0][doc[r]], held[1][doc[r]], held[2][doc[r]], gather(held[4], start[r], size[r]),
+                                                           *([copied[r]] if links else [])))])
 
     rows = chunks.select(F.col("chunk").alias("key"), F.lit(-1).cast("long").alias("source"), "data").unionByName(bits)
     return rows.repartition("key").sortWithinPartitions("key", F.desc("source")).mapInArrow(run, _ADDRESSED)
@@ -454,7 +469,8 @@ def _send(chunks: DataFrame, bits: DataFrame, buckets: int, split: bool = True)
 
 @dataclass
 class Bucket:
-    """Frames that meet: k-gram, chunk, text in the chunk, start in the text, size, order, bytes."""
+    """Frames that meet: k-gram, chunk, text in the chunk, start in the text, size, order, bytes;
+    with links also which have copies in their chunk."""
     gram: np.ndarray
     chunk: np.ndarray
     doc: np.ndarray
@@ -465,16 +481,18 @@ class Bucket:
     nulls: np.ndarray
     text: np.ndarray
     begin: np.ndarray
+    copied: np.ndarray | None = None
 
 
 def _bucket(rows: list[list]) -> Bucket:
     parts = [load(r[2]) for r in rows]
-    gram, doc, start, size, ids, nulls, hashes, text = (np.concatenate(x) for x in zip(*parts))
+    gram, doc, start, size, ids, nulls, hashes, text = (np.concatenate(x) for x in list(zip(*parts))[:8])
+    copied = np.concatenate([p[8] for p in parts]) if len(parts[0]) > 8 else None
     chunk = np.repeat([r[1] for r in rows], [len(p[0]) for p in parts])
     rank = np.empty(len(gram), np.int64)
     rank[np.lexsort((start, doc, chunk, hashes, ids, ~nulls))] = np.arange(len(gram))
     size = size.astype(np.int64)
-    return Bucket(gram, chunk, doc, start, size, rank, ids, nulls, text, np.cumsum(size) - size)
+    return Bucket(gram, chunk, doc, start, size, rank, ids, nulls, text, np.cumsum(size) - size, copied)
 
 
 def groups(b: Bucket, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -489,9 +507,9 @@ def groups(b: Bucket, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray
     kind = np.cumsum(new) - 1
     first = np.flatnonzero(new)
     many = np.diff(np.concatenate((first, [len(order)])))
-    for k in np.flatnonzero(many > 1):
-        members = order[first[k]:first[k] + many[k]]
-        yield int(b.size[members[0]]), members, np.zeros(len(members), np.int64)
+    whole = many > 1
+    if b.copied is not None and len(first):
+        whole |= np.logical_or.reduceat(b.copied[order], first)
     # representatives of the k-grams that have different frames
     lead = order[first]
     _, inverse, count = np.unique(b.gram[lead], return_inverse=True, return_counts=True)
@@ -499,9 +517,14 @@ def groups(b: Bucket, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray
     if len(pick):
         rows = lead[pick]
         for depth, frame, offset in maximal_repeats(b.text, b.begin[rows], b.size[rows], length):
+            # the same string, and more places of it than the equal frames are
+            whole[pick[frame[(offset == 0) & (b.size[rows[frame]] == depth)]]] = False
             sizes = many[pick[frame]]
             members = order[np.repeat(first[pick[frame]], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)]
             yield depth, members, np.repeat(offset, sizes)
+    for k in np.flatnonzero(whole):
+        members = order[first[k]:first[k] + many[k]]
+        yield int(b.size[members[0]]), members, np.zeros(len(members), np.int64)
 
 
 def _late_windows(rows: list[list]) -> list[tuple]:
@@ -550,8 +573,8 @@ def _spans(buckets_of: DataFrame, buckets: int) -> DataFrame:
     return buckets_of.mapInArrow(run, _ADDRESSED)
 
 
-def _buckets(chunks: DataFrame, buckets: int, split: bool = True) -> DataFrame:
-    sent = _send(chunks, recurring(chunks, buckets), buckets, split)
+def _buckets(chunks: DataFrame, buckets: int) -> DataFrame:
+    sent = _send(chunks, recurring(chunks, buckets), buckets)
     return sent.repartition(buckets, "key").sortWithinPartitions("key")
 
 
@@ -563,20 +586,34 @@ def bucket_count(chunks: DataFrame) -> int:
 
 def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(repeat_id, n_bytes, doc_id, start): every maximal repeat with all its
-    occurrences that are first in their chunk."""
+    occurrences.  Buckets find the repeats over one of the equal frames of a chunk;
+    a join over the places of the frames adds those of their copies."""
     chunks = pack(docs, id_col, text_col)
+    buckets = bucket_count(chunks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("repeat_id", pa.string()), ("n_bytes", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64())])
         for key, rows in _runs(batches):
-            if key < 0:
-                continue
             b = _bucket(rows)
             for n, (depth, members, offset) in enumerate(groups(b, LENGTH)):
-                yield pa.RecordBatch.from_arrays([pa.array([f"{key}-{n}"] * len(members)), pa.array([depth] * len(members), pa.int64()),
-                                                  pa.array(b.ids[members], pa.int64(), mask=b.nulls[members]), pa.array(b.start[members] + offset, pa.int64())], schema=schema)
-
-    return _buckets(chunks, bucket_count(chunks), split=False).mapInArrow(run, "repeat_id string, n_bytes long, doc_id long, start long")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f"{key}-{n}"] * len(members)), pa.array([depth] * len(members), pa.int64()), pa.array(b.chunk[members], pa.int64()),
+                     pa.array(b.doc[members], pa.int32()), pa.array(b.start[members], pa.int64()), pa.array(offset, pa.int64()),
+                     pa.array(b.ids[members], pa.int64(), mask=b.nulls[members])],
+                    names=["repeat_id", "n_bytes", "chunk", "doc", "frame", "offset", "doc_id"])
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, chunk, data in _rows(batches):
+            doc, frame, ids, nulls, start = load(data)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(doc), pa.int64()), pa.array(doc), pa.array(frame), pa.array(ids, mask=nulls), pa.array(start)],
+                                             names=["chunk", "doc", "frame", "doc_id", "place"])
+
+    sent = materialize(_send(chunks, recurring(chunks, buckets), buckets, links=True), "repeats-frames")
+    met = sent.filter("key >= 0").repartition(buckets, "key").sortWithinPartitions("key")
+    found = materialize(met.mapInArrow(run, "repeat_id string, n_bytes long, chunk long, doc int, frame long, offset long, doc_id long"), "repeats-groups")
+    copies = sent.filter("key < 0").mapInArrow(places, "chunk long, doc int, frame long, doc_id long, place long")
+    more = found.drop("doc_id").join(copies, ["chunk", "doc", "frame"])
+    return found.select("repeat_id", "n_bytes", "doc_id", (F.col("frame") + F.col("offset")).alias("start")).unionByName(
+        more.select("repeat_id", "n_bytes", "doc_id", (F.col("place") + F.col("offset")).alias("start")))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

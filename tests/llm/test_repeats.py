@@ -143,6 +143,33 @@ def test_groups_have_all_occurrences(spark):
     assert covered == {(1, x) for x in range(150, 370)} | {(2, x) for x in range(160)} | {(3, x) for x in range(150, 330)}
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_groups_have_the_copies_of_a_chunk(spark, parts):
+    rng = random.Random(12)
+    some = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    p, twin = some(260), some(400)
+    texts = {1: twin, 2: twin, 3: "z" * 130, 20: some(90) + p[30:]}
+    texts |= {i: some(80) + p + some(80) for i in range(4, 16)} | {i: p for i in range(16, 20)}
+    docs = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string").repartition(parts)
+    found: dict[str, list] = {}
+    for r in R.repeat_groups(docs).collect():
+        found.setdefault(r.repeat_id, []).append((r.doc_id, r.start, r.n_bytes))
+    strings = set()
+    for occ in found.values():
+        d, at, n = occ[0]
+        s = texts[d][at:at + n]
+        strings.add(s)
+        assert sorted(occ) == sorted((i, x, n) for i, t in texts.items() for x in range(len(t) - n + 1) if t[x:x + n] == s) and len(occ) > 1
+    assert len(strings) == len(found)
+    places: dict[str, set] = {}
+    for i, t in texts.items():
+        for x in range(len(t) - 99):
+            places.setdefault(t[x:x + 100], set()).add((i, x))
+    want = {(i, x) for at in places.values() if len(at) > 1 for i, x in at}
+    got = {(i, x) for occ in found.values() for i, at, n in occ for x in range(at, at + n - 99)}
+    assert got == want
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert R.remove_repeats(docs).collect() == [] and R.repeat_groups(docs).collect() == []
