@@ -6,7 +6,7 @@ the text is cut greedily into the longest phrases that occur in the reference,
 and the language whose normalised phrase count (phrases x log2 of the reference
 length per symbol, an estimate of the cross entropy) is least wins.
 
-Symbols are lower-cased letters; all other characters are one separator symbol,
+Symbols are lower-cased letters, each letter of the sample its own; all other characters are one separator symbol,
 runs of which count once.  The parse restarts every ``SEGMENT`` symbols, so one
 text of any length is parsed as many lanes, all advanced in step by numpy.
 
@@ -34,24 +34,49 @@ from hazardpanel.llm.common import slices, texts
 #: Bound of the fit: rows sampled for each language, and characters taken from each of them.
 SAMPLE_ROWS = 96
 SAMPLE_CHARS = 400
-#: Letters that get a symbol of their own (the most frequent of the sample).
+#: Letters whose transitions are a dense table (the most frequent of the sample); those of others are looked up.
 ALPHABET = 62
 SEGMENT = 1024
 UNDETERMINED = "und"
 
 
+@dataclass
+class Steps:
+    """Transitions of an automaton.  States are multiplied by ``width``; -1 ends a phrase."""
+    width: int
+    dense: np.ndarray                   # state + symbol -> next state, for symbols below width
+    keys: np.ndarray                    # symbol << 32 | state in ascending order, for the other symbols
+    targets: np.ndarray                 # next state of each key
+    alone: int                          # state without exits
+
+    def take(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        if not symbol.dtype.itemsize > 1:               # the dense table has all
+            return self.dense.take(state + symbol)
+        rare = np.flatnonzero(symbol >= self.width)
+        to = self.dense.take(state + np.where(symbol < self.width, symbol, 0).astype(np.int32))
+        if len(rare):
+            at = state[rare].astype(np.int64)
+            found = np.where(at == 0, np.int32(self.alone), np.int32(-1))
+            if len(self.keys):
+                key = symbol[rare].astype(np.int64) << 32 | at
+                place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                found = np.where(self.keys[place] == key, self.targets[place], found)
+            to[rare] = found
+        return to
+
+
 @dataclass
 class Model:
     languages: list[str]
-    symbol: np.ndarray                  # code point -> symbol: 0 no letter, 1 other letter, 2.. learned letters
-    width: int                          # symbols
-    steps: list[np.ndarray]             # per language: state * width + symbol -> next state * width, -1 ends a phrase
+    symbol: np.ndarray                  # code point -> symbol: 0 no letter, 1 letter not in the sample, 2.. learned letters
+    width: int                          # symbols in the dense tables, the lowest
+    steps: list[Steps]                  # per language
     bits: list[float]                   # per language: log2 of the reference length
 
 
-def automaton(text: list[int], width: int) -> np.ndarray:
-    """Suffix automaton of a symbol string as one flat transition table.  A
-    symbol that never occurs leads from the root to a state without exits, so
+def automaton(text: list[int], width: int) -> Steps:
+    """Suffix automaton of a symbol string: one flat transition table of the symbols
+    below ``width``, and the single transitions of the others.  A symbol that never occurs leads from the root to a state without exits, so
     that it is a phrase of its own."""
     nxt, link, length, last = [{}], [-1], [0], 0
     for c in text:
@@ -74,11 +99,16 @@ def automaton(text: list[int], width: int) -> np.ndarray:
                 link[q] = link[cur] = clone
         last = cur
     table = np.full((len(nxt) + 1, width), -1, np.int32)
+    rare = []
     for s, edges in enumerate(nxt):
         for c, t in edges.items():
-            table[s, c] = t * width
+            if c < width:
+                table[s, c] = t * width
+            else:
+                rare.append((c << 32 | s * width, t * width))
     table[0, table[0] < 0] = len(nxt) * width
-    return table.ravel()
+    rare.sort()
+    return Steps(width, table.ravel(), np.array([k for k, _ in rare], np.int64), np.array([t for _, t in rare], np.int32), len(nxt) * width)
 
 
 def symbols(points: np.ndarray, lut: np.ndarray) -> np.ndarray:
@@ -114,13 +144,13 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", row
         chars: int = SAMPLE_CHARS, alphabet: int = ALPHABET) -> Model:
     pieces = sample(labelled, text_col, lang_col, rows, chars)
     letters = Counter(c for p in pieces.values() for t in p for c in t.lower() if c.isalpha())
-    rank = {c: i + 2 for i, (c, _) in enumerate(sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:alphabet])}
-    lut = np.zeros(0x110000, np.uint8 if alphabet < 250 else np.uint16)
+    rank = {c: i + 2 for i, (c, _) in enumerate(sorted(letters.items(), key=lambda x: (-x[1], x[0])))}
+    width = min(len(rank), alphabet) + 2
+    lut = np.zeros(0x110000, np.uint8 if len(rank) + 2 == width < 250 else np.int32)
     for point in range(0x110000):
         c = chr(point)
         if c.isalpha():
             lut[point] = rank.get(c.lower()[0], 1)
-    width = len(rank) + 2
     model = Model([], lut, width, [], [])
     for lang in sorted(pieces):
         ref = np.concatenate([symbols(_points(t + " "), lut) for t in pieces[lang]]) if pieces[lang] else np.zeros(0, lut.dtype)
@@ -150,10 +180,10 @@ def phrases(streams: list[np.ndarray], model: Model) -> np.ndarray:
         state, count = np.zeros(len(lanes), np.int32), np.ones(len(lanes), np.int64)
         for t, n in enumerate(active.tolist()):
             c = grid[t, :n]
-            to = step.take(state[:n] + c)
+            to = step.take(state[:n], c)
             miss = np.flatnonzero(to < 0)
             count[miss] += 1
-            to[miss] = step.take(c[miss])
+            to[miss] = step.take(np.zeros(len(miss), np.int32), c[miss])
             state[:n] = to
         result[:, j] = np.bincount(owner[order], weights=count, minlength=len(streams)).astype(np.int64)
     return result

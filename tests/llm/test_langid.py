@@ -32,6 +32,28 @@ def test_phrases_are_longest_matches(monkeypatch):
         assert got[:, j].tolist() == [brute_phrases(s.tolist(), grams, 50) for s in streams]
 
 
+def test_rare_symbols_parse_as_the_dense_ones():
+    rng = np.random.default_rng(3)
+    refs = [rng.integers(0, 9, 300).tolist(), rng.integers(0, 7, 200).tolist()]
+    streams = [rng.integers(0, 11, n) for n in (0, 1, 40, 500)]
+    dense = L.Model(["a", "b"], np.zeros(1, np.uint8), 11, [L.automaton(r, 11) for r in refs], [8.0, 8.0])
+    mixed = L.Model(["a", "b"], np.zeros(1, np.int32), 4, [L.automaton(r, 4) for r in refs], [8.0, 8.0])
+    want = L.phrases([s.astype(np.uint8) for s in streams], dense)
+    assert (L.phrases([s.astype(np.int32) for s in streams], mixed) == want).all()
+
+
+def test_scripts_of_many_letters_are_told_apart(spark):
+    rng = np.random.default_rng(5)
+    alphabets = {"el": (0x3B1, 17), "en": (0x61, 26), "ru": (0x430, 32), "x1": (0x4E00, 400), "x2": (0x5000, 400), "x3": (0x5200, 400)}
+    words = {lang: ["".join(chr(first + int(k)) for k in rng.integers(0, n, 3)) for _ in range(300)] for lang, (first, n) in alphabets.items()}
+    text = lambda lang, n: "".join(rng.choice(words[lang], n // 3))
+    labelled = spark.createDataFrame([(text(lang, 390), lang) for lang in alphabets for _ in range(20)], "text string, lang string")
+    model = L.fit(labelled)
+    docs = spark.createDataFrame([(i, text(lang, 40), lang) for i, lang in enumerate(list(alphabets) * 5)], "doc_id long, text string, want string")
+    got = {r.id: r.lang_pred for r in L.predict(docs, model).collect()}
+    assert got == {r.doc_id: r.want for r in docs.collect()}
+
+
 def test_held_out_accuracy(spark):
     docs = table(spark, SF_MID, "documents")
     rem = id_remainder("doc_id", 4)
