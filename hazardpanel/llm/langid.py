@@ -189,6 +189,21 @@ def phrases(streams: list[np.ndarray], model: Model) -> np.ndarray:
     return result
 
 
+def identify(found: list[str], m: Model) -> tuple[list[str], np.ndarray, list[float | None]]:
+    """Language, score and entropy of each text: the one decision of operator and stage."""
+    streams = [symbols(_points(t), m.symbol) for t in found]
+    lang, score, entropy = [UNDETERMINED] * len(streams), np.zeros(len(streams)), [None] * len(streams)
+    if m.languages:
+        bits = phrases(streams, m) * np.array(m.bits)
+        best = bits.argmin(1)
+        weight = np.exp2(bits.min(1, keepdims=True) - bits)
+        for i, s in enumerate(streams):
+            if s.any():
+                lang[i], score[i] = m.languages[best[i]], 1 / weight[i].sum()
+                entropy[i] = bits[i, best[i]] / len(s)
+    return lang, score, entropy
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score, entropy) for every row; ``entropy`` is the
     winner's bits per symbol (null for ``und``)."""
@@ -198,16 +213,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in slices(batches, "text", 4 << 20):
-            streams = [symbols(_points(t), m.symbol) for t in texts(b, "text")]
-            lang, score, entropy = [UNDETERMINED] * len(streams), np.zeros(len(streams)), [None] * len(streams)
-            if m.languages:
-                bits = phrases(streams, m) * np.array(m.bits)
-                best = bits.argmin(1)
-                weight = np.exp2(bits.min(1, keepdims=True) - bits)
-                for i, s in enumerate(streams):
-                    if s.any():
-                        lang[i], score[i] = m.languages[best[i]], 1 / weight[i].sum()
-                        entropy[i] = bits[i, best[i]] / len(s)
+            lang, score, entropy = identify(texts(b, "text"), m)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(entropy, pa.float64())],
                                              names=["id", "lang_pred", "score", "entropy"])
 
@@ -216,16 +222,14 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def keep_determined(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose text has a language; the others are rejected.
+    """Rows of ``docs`` to which ``predict`` gives a language; the others are rejected.
     One pass: the decision rides along with the row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in slices(batches, text_col, 4 << 20):
-            streams = [symbols(_points(t or ""), m.symbol) for t in b.column(at).to_pylist()]
-            found = phrases(streams, m).sum(1) > 0 if m.languages else np.zeros(len(streams), bool)
-            yield b.filter(pa.array(found & np.array([s.any() for s in streams], bool)))
+            lang, _, _ = identify(texts(b, text_col), m)
+            yield b.filter(pa.array([x != UNDETERMINED for x in lang], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -77,3 +77,13 @@ def test_edges(spark):
     none = L.fit(labelled.limit(0))
     assert {r.lang_pred for r in L.predict(docs, none).collect()} == {"und"}
     assert L.predict(docs.limit(0), model).collect() == [] and L.keep_determined(docs.limit(0), model).collect() == []
+
+
+def test_stage_follows_the_operators_decision(spark, monkeypatch):
+    labelled = spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de")], "text string, lang string")
+    model = L.fit(labelled)
+    docs = spark.createDataFrame([(1, "the dog"), (2, "die katze"), (3, "12"), (4, None)], "doc_id long, text string")
+    own = L.identify
+    monkeypatch.setattr(L, "identify", lambda found, m: ([L.UNDETERMINED if t == "die katze" else x for t, x in zip(found, own(found, m)[0])], *own(found, m)[1:]))
+    told = sorted(r.id for r in L.predict(docs, model).collect() if r.lang_pred != "und")
+    assert told == sorted(r.doc_id for r in L.keep_determined(docs, model).collect()) == [1]
