@@ -56,3 +56,26 @@ def texts(batch: pa.RecordBatch, column: str) -> list[str]:
 def id_remainder(column: str, modulus: int):
     """crc32 of the decimal text of an id, modulo ``modulus`` (null id: null)."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Maximal runs of the bytes with ``inside`` in each text of a buffer: the
+    row of every run, its first byte, and the runs themselves as an Arrow array.
+    ``inside`` is a table of 256 flags."""
+    within = inside[data]
+    begin = within.copy()
+    begin[1:] &= ~within[:-1]
+    heads = offsets[:-1][np.diff(offsets) > 0]
+    begin[heads] = within[heads]
+    first = np.flatnonzero(begin)
+    kept = data[within]
+    before = np.cumsum(within, dtype=np.int32)
+    bounds = np.append(before[first] - 1, len(kept)).astype(np.int32)
+    runs = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(kept)])
+    return np.searchsorted(offsets, first, side="right") - 1, first, runs
+
+
+def per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many bytes of each text have their flag set."""
+    total = np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))
+    return total[offsets[1:]] - total[offsets[:-1]]

@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardpanel.llm import dac, decontaminate, langid, neighbours, pieces, pii, quality, repeats, simhash, warc
+from hazardpanel.llm import boundaries, compression, dac, decontaminate, langid, neighbours, pieces, pii, quality, repeats, simhash, warc
 from hazardpanel.llm.common import id_remainder, table
 from hazardpanel.session import scratch_path
 
@@ -128,3 +128,42 @@ FROM firsts
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids, spans and decoding of every document, as digests."""
     return pieces.digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document transformed for fill-in-middle and restored from the output."""
+    done = boundaries.restore(boundaries.transform(table(spark, sf_dir, "documents")))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return done.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+                       digest("output").alias("output_sha256"), digest("restored").alias("restored_sha256"))
+
+
+ORACLE["op12_fill_in_middle"] = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+         sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, t, w, CAST(len(w) AS BIGINT) AS n,
+         CAST(('0x' || h[1:8]) AS BIGINT) % (len(w) + 1) AS a, CAST(('0x' || h[9:16]) AS BIGINT) % (len(w) + 1) AS b,
+         CASE WHEN t = '' OR h IS NULL OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR CAST(('0x' || h[17:24]) AS BIGINT) % 100 >= 90 THEN 'plain'
+              WHEN CAST(('0x' || h[25:32]) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut),
+parts AS (
+  SELECT doc_id, n, form, t, array_to_string(w[1:least(a, b)], '') AS p,
+         array_to_string(w[least(a, b) + 1:greatest(a, b)], '') AS m, array_to_string(w[greatest(a, b) + 1:], '') AS s
+  FROM drawn)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts, base rules and the verdict of the compression bands for every document."""
+    return compression.judge(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
