@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardpanel.llm import boundaries, compression, dac, decontaminate, langid, neighbours, pieces, pii, quality, repeats, simhash, warc
+from hazardpanel.llm import boundaries, compression, dac, decontaminate, langid, lexical, neighbours, pieces, pii, quality, repeats, simhash, warc
 from hazardpanel.llm.common import id_remainder, table
 from hazardpanel.session import scratch_path
 
@@ -130,6 +130,34 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item, from an index of all documents."""
+    return lexical.ranked(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op11_lexical_search"] = r"""
+WITH words AS (
+  SELECT doc_id, NULL AS item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+  UNION ALL
+  SELECT NULL, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) FROM benchmark),
+counted AS (SELECT doc_id, term, count(*) AS tf FROM words WHERE item_id IS NULL GROUP BY ALL),
+sized AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM counted GROUP BY doc_id),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sized),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counted, corpus GROUP BY term, docs),
+asked AS (SELECT item_id, term, count(*) AS times FROM words WHERE item_id IS NOT NULL GROUP BY ALL),
+scored AS (
+  SELECT a.item_id, c.doc_id, CAST(sum(a.times * g.w * ((1000000000 * c.tf) // (1000 * c.tf + 12 * (75 + (25 * s.n * docs) // total)))) AS BIGINT) AS score
+  FROM asked a JOIN weighed g USING (term) JOIN counted c USING (term) JOIN sized s ON s.doc_id = c.doc_id, corpus
+  GROUP BY a.item_id, c.doc_id),
+placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 20
+"""
+
+
 @query
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document transformed for fill-in-middle and restored from the output."""
