@@ -10,15 +10,17 @@ decoding a block.
 
 Layout of a shard (little endian)::
 
-    magic "DAC1", levels u32, ids u64, documents u64
+    magic "DAC1", part u32, number u32, levels u32, ids u64, documents u64
     document ids i64[documents], null flags u8[documents], ends u64[documents]
     per level: chunks u64, chunk bytes u8[chunks], bitmap u64[ceil(chunks / 64)],
                ranks u64[ceil(chunks / 512)]
     magic "1CAD"
 
-Shards close after a document that fills ``SHARD_IDS`` ids.  They are written and
-read by Spark's own file sources, in any store; a lost task is run again and its
-files are committed once.
+Shards close after a document that fills ``SHARD_IDS`` ids; a shard's part (the
+task that wrote it) and number give its place in the order.  ``FILE_SHARDS`` of
+them stand one after the other in a file, each telling its own length.  They are
+written and read by Spark's own file sources, in any store; a lost task is run
+again and its files are committed once.
 
 Defined results: a null text is empty; every document ends with the end id, so an
 empty text has one id; null document ids come first; rows that repeat an id stand
@@ -39,19 +41,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hazardpanel.llm.common import slices, texts
+from hazardpanel.llm.common import releasing, slices, text_buffers
 from hazardpanel.llm.wordcache import EDGE, WordCache
 from hazardpanel.llm.wordcache import pack as pack_ids
 from hazardpanel.session import materialize
 
 MAGIC, TRAILER = b"DAC1", b"1CAD"
-SHARD_IDS = 1 << 22
+SHARD_IDS, FILE_SHARDS = 1 << 20, 16
 RANK = 512
+SLICE_BYTES = 8 << 20
 
 
-def pack(ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray) -> bytes:
+HEAD = struct.Struct("<4sIIIQQ")
+
+
+def pack(ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray, part: int = 0, number: int = 0) -> bytes:
     """One shard without its trailer."""
-    out, rest = [], ids.astype(np.uint64)
+    out, rest = [], np.asarray(ids, np.uint32)
     while True:
         more = rest > 255
         bits = np.packbits(more, bitorder="little")
@@ -59,23 +65,23 @@ def pack(ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray) -> bytes:
         words.view(np.uint8)[:len(bits)] = bits
         ones = np.add.reduceat(more, np.arange(0, len(rest), RANK), dtype=np.int64) if len(rest) else np.zeros(0, np.int64)
         ranks = (np.cumsum(ones) - ones).astype("<u8")
-        out.append(struct.pack("<Q", len(rest)) + (rest & np.uint64(255)).astype(np.uint8).tobytes() + words.tobytes() + ranks.tobytes())
+        out += [struct.pack("<Q", len(rest)), rest.astype(np.uint8).tobytes(), words.tobytes(), ranks.tobytes()]
         if not more.any():
             break
-        rest = rest[more] >> np.uint64(8)
-    head = MAGIC + struct.pack("<IQQ", len(out), len(ids), len(doc_ids))
+        rest = rest[more] >> np.uint32(8)
+    head = HEAD.pack(MAGIC, part, number, len(out) // 4, len(ids), len(doc_ids))
     keys = np.array([d or 0 for d in doc_ids], "<i8").tobytes() + np.array([d is None for d in doc_ids], np.uint8).tobytes()
-    return head + keys + np.asarray(ends, "<u8").tobytes() + b"".join(out)
+    return b"".join([head, keys, np.asarray(ends, "<u8").tobytes(), *out])
 
 
 class Dac:
     """A shard, addressed in place."""
 
-    def __init__(self, blob: bytes):
-        if blob[:4] != MAGIC:
+    def __init__(self, blob, at: int = 0):
+        magic, self.part, self.number, levels, self.size, docs = HEAD.unpack_from(blob, at)
+        if magic != MAGIC:
             raise ValueError("not a shard of directly addressable codes")
-        levels, self.size, docs = struct.unpack_from("<IQQ", blob, 4)
-        at = 24
+        at += HEAD.size
         self.doc_ids, at = np.frombuffer(blob, "<i8", docs, at), at + 8 * docs
         self.nulls, at = np.frombuffer(blob, np.uint8, docs, at) > 0, at + docs
         self.ends, at = np.frombuffer(blob, "<u8", docs, at).astype(np.int64), at + 8 * docs
@@ -87,6 +93,8 @@ class Dac:
             bitmap, at = np.frombuffer(blob, np.uint8, 8 * -(-n // 64), at), at + 8 * -(-n // 64)
             ranks, at = np.frombuffer(blob, "<u8", -(-n // RANK), at), at + 8 * -(-n // RANK)
             self.levels.append((chunks, bitmap, ranks))
+        #: Where the shard ends in ``blob``, without its trailer.
+        self.stop = at
 
     def _rank(self, level: int, at: int) -> int:
         """Ones of a level's bitmap before position ``at``."""
@@ -123,66 +131,72 @@ class Dac:
         return self.range(start, int(self.ends[k]) - start)
 
 
-def write_tokens(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[np.ndarray]]], path: str,
+def write_tokens(docs: DataFrame, encoder: Callable[[], ByteLevel], path: str,
                  end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = SHARD_IDS) -> None:
-    """Encode and write all documents below ``path``.  ``encoder()`` makes, once
-    per task, the function from texts to arrays of ids.  One shuffle (by range
-    of the id), then encoding and packing in the same stage."""
+    """Encode and write all documents below ``path``.  ``encoder()`` gives, in a
+    task, the encoder of buffers of texts.  One shuffle (by range of the id), then
+    encoding and packing in the same stage."""
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, number = encoder(), TaskContext.get().partitionId(), 0
-        held, keys, size = [], [], 0
+        encode, part, number = encoder().encode_buffer, TaskContext.get().partitionId(), 0
+        held, sizes, keys, size = [], [], [], 0         # ids, their number by document, document ids, ids in all
 
         def close() -> pa.RecordBatch:
-            blob = pack(np.concatenate(held), keys, np.cumsum([len(h) for h in held]))
-            return pa.RecordBatch.from_arrays([pa.array([f"p{part:07d}-{number:07d}"]), pa.array([blob], pa.binary())], names=["shard", "blob"])
-        for b in slices(batches, "text", 4 << 20):
-            for key, ids in zip(b.column(0).to_pylist(), encode(texts(b, "text"))):
-                held.append(np.append(ids, end_id).astype(np.uint32))
-                keys.append(key)
-                size += len(held[-1])
+            return pa.RecordBatch.from_arrays([pa.array([pack(np.concatenate(held), keys, np.cumsum(np.concatenate(sizes)), part, number)], pa.binary())], names=["blob"])
+        for b in slices(batches, "text", SLICE_BYTES):
+            ids, ends = encode(*text_buffers(b.column(1)))
+            ids = np.insert(ids.astype(np.uint32), ends, np.uint32(end_id))
+            ends, own, at = ends + np.arange(1, len(ends) + 1), b.column(0).to_pylist(), 0
+            while at < len(own):
+                before = int(ends[at - 1]) if at else 0
+                stop = min(int(np.searchsorted(ends, before + shard_ids - size)) + 1, len(own))
+                held.append(ids[before:ends[stop - 1]])
+                sizes.append(np.diff(ends[at:stop], prepend=before))
+                keys += own[at:stop]
+                size, at = size + len(held[-1]), stop
                 if size >= shard_ids:
                     yield close()
-                    held, keys, size, number = [], [], 0, number + 1
+                    held, sizes, keys, size, number = [], [], [], 0, number + 1
         if held:
             yield close()
 
     order = F.xxhash64("text")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     ranged = rows.repartitionByRange("id", order).sortWithinPartitions("id", order, "text")
-    blobs = ranged.mapInArrow(shards, "shard string, blob binary")
     # the text writer puts a value's bytes as they are, and the trailer after each value
-    blobs.select("shard", F.col("blob").cast("string").alias("value")).write.partitionBy("shard").options(
-        encoding="ISO-8859-1", lineSep=TRAILER.decode()).mode("overwrite").text(path)
+    ranged.mapInArrow(releasing(shards), "blob binary").select(F.col("blob").cast("string")).write.options(
+        encoding="ISO-8859-1", lineSep=TRAILER.decode(), maxRecordsPerFile=FILE_SHARDS).mode("overwrite").text(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, shard) of every document in the
+    """(doc_id, start, n_tokens, ids_crc32, part, shard) of every document in the
     files: start counts the ids of all documents before it."""
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for shard, blob in zip(b.column(0).to_pylist(), b.column(1)):
-                d = Dac(blob.as_py())
-                n = len(d.ends)
-                size = np.diff(d.ends, prepend=0)
-                ids = memoryview(d.range(0, d.size).astype("<u4").tobytes())       # the whole shard is wanted here
-                edge = (4 * np.concatenate(([0], d.ends))).tolist()
-                crc = [zlib.crc32(ids[a:b]) for a, b in zip(edge, edge[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard] * n, pa.string()), pa.array(d.doc_ids, pa.int64(), mask=d.nulls), pa.array(d.ends - size),
-                     pa.array(size), pa.array(crc, pa.int64())], names=["shard", "doc_id", "local", "n_tokens", "ids_crc32"])
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
-        F.regexp_extract("path", "shard=([^/]+)", 1).alias("shard"), "content")
-    found = materialize(files.mapInArrow(documents, "shard string, doc_id long, local long, n_tokens long, ids_crc32 long"), "tokens")
-    # ids before a shard: shards of its part (few), and parts (as many as the writing tasks) before it
-    sized = found.groupBy("shard").agg(F.sum("n_tokens").alias("n")).withColumn("part", F.substring("shard", 1, 8))
+            for content in b.column(0):
+                blob, at = memoryview(content.as_buffer()), 0
+                while at < len(blob):
+                    d = Dac(blob, at)
+                    at = d.stop + len(TRAILER)
+                    n, size = len(d.ends), np.diff(d.ends, prepend=0)
+                    ids = memoryview(d.range(0, d.size).astype("<u4").tobytes())       # the whole shard is wanted here
+                    edge = (4 * np.concatenate(([0], d.ends))).tolist()
+                    crc = [zlib.crc32(ids[x:y]) for x, y in zip(edge, edge[1:])]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([d.part] * n, pa.int32()), pa.array([d.number] * n, pa.int32()), pa.array(d.doc_ids, pa.int64(), mask=d.nulls), pa.array(d.ends - size),
+                         pa.array(size), pa.array(crc, pa.int64())], names=["part", "shard", "doc_id", "local", "n_tokens", "ids_crc32"])
+
+    files = spark.read.format("binaryFile").load(path).select("content")
+    found = materialize(files.mapInArrow(releasing(documents), "part int, shard int, doc_id long, local long, n_tokens long, ids_crc32 long"), "tokens")
+    # ids before a shard: shards of its part (few), and parts before it; there are as many parts as writing
+    # tasks, so the window over all of them holds a row per task
+    sized = found.groupBy("part", "shard").agg(F.sum("n_tokens").alias("n"))
     inside = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     parts = sized.groupBy("part").agg(F.sum("n").alias("n")).select(
         "part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    bases = sized.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(parts, "part").select("shard", (F.col("before") + F.col("inside")).alias("base"))
-    return found.join(bases, "shard").select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32", "shard")
+    bases = sized.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(parts, "part").select("part", "shard", (F.col("before") + F.col("inside")).alias("base"))
+    return found.join(bases, ["part", "shard"]).select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32", "part", "shard")
 
 
 class ByteLevel:
@@ -198,7 +212,6 @@ class ByteLevel:
         self.opens = np.zeros(max(vocab.values()) + 1, bool)        # tokens that begin with a space
         self.opens[[i for t, i in vocab.items() if t[:1] == space]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.tails: dict[str, bytes] = {}
         self.words = WordCache(self.whole, self.after_space)
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -213,12 +226,12 @@ class ByteLevel:
         core = [p.rstrip(PUNCTUATION) for p in parts]
         core = [w if w.isalpha() and not (special and any(s in p for s in self.special)) else p for w, p in zip(core, parts)]
         tail = [p[len(w):] for w, p in zip(core, parts)]
-        if new := list({t for t in tail if t and t not in self.tails}):
-            self.tails.update(zip(new, self.whole(new)))
+        distinct = list({t for t in tail if t})
+        tails = dict(zip(distinct, self.whole(distinct)))
         known = self.words.seen
         ask = list({c for c in core if c not in known})
         found = dict(zip(ask, self._words(ask)))
-        return [(known[c] if c in known else found[c]) + (self.tails[t] if t else b"") for c, t in zip(core, tail)]
+        return [(found[c] if c in found else known[c]) + (tails[t] if t else b"") for c, t in zip(core, tail)]
 
     def _words(self, words: list[str], at_once: int = 200) -> list[bytes]:
         out: list[bytes] = []
@@ -240,9 +253,11 @@ class ByteLevel:
             out += [next(single) if i in odd else next(split) for i in range(len(some))] if odd else split
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.tails) > 10_000:
-            self.tails = {}
+    def encode_buffer(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a buffer, one after the other, and where each text's end."""
+        return self.words.encode_buffer(data, offsets)
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
         return self.words.encode(texts)
 
 
@@ -255,6 +270,6 @@ def _byte_level(path: str) -> ByteLevel:
     return ByteLevel(path)
 
 
-def byte_level_encoder(tokenizer_path: str) -> Callable[[], Callable[[list[str]], list[np.ndarray]]]:
+def byte_level_encoder(tokenizer_path: str) -> Callable[[], ByteLevel]:
     """Encoder over a byte-level tokenizer file; one per worker, kept between tasks."""
-    return lambda: _byte_level(tokenizer_path).encode
+    return lambda: _byte_level(tokenizer_path)

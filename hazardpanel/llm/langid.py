@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardpanel.llm.common import slices, texts
+from hazardpanel.llm.common import releasing, slices, texts
 
 #: Bound of the fit: rows sampled for each language, and characters taken from each of them.
 SAMPLE_ROWS = 96
@@ -218,7 +218,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                                              names=["id", "lang_pred", "score", "entropy"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind}, lang_pred string, score double, entropy double")
+        releasing(run), f"id {kind}, lang_pred string, score double, entropy double")
 
 
 def keep_determined(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -232,4 +232,4 @@ def keep_determined(docs: DataFrame, model: Model, text_col: str = "text") -> Da
             lang, _, _ = identify(texts(b, text_col), m)
             yield b.filter(pa.array([x != UNDETERMINED for x in lang], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)

@@ -47,11 +47,11 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hazardpanel.llm.common import per_text, text_buffers, word_spans
+from hazardpanel.llm.common import per_text, release_memory, releasing, text_buffers, word_spans
 from hazardpanel.session import materialize, scratch_path
 
 K = 20
-BLOCK_DOCS, BLOCK_BYTES, PIECE_BYTES = 1 << 14, 16 << 20, 4 << 20
+BLOCK_DOCS, BLOCK_BYTES, PIECE_BYTES = 1 << 13, 8 << 20, 2 << 20
 #: Term entries of the items that search all blocks together.
 BATCH_TERMS = 200_000
 #: States halved together.
@@ -259,7 +259,7 @@ def corpus_size(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
             n = starts(*text_buffers(b.column(0)))
             yield pa.RecordBatch.from_arrays([pa.array([int((n > 0).sum())], pa.int64()), pa.array([int(n.sum())], pa.int64())], names=["holders", "terms"])
 
-    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "holders long, terms long").agg(F.sum("holders"), F.sum("terms")).first()
+    found = docs.select(F.col(text_col).alias("text")).mapInArrow(releasing(run), "holders long, terms long").agg(F.sum("holders"), F.sum("terms")).first()
     return found[0] or 0, found[1] or 0
 
 
@@ -288,12 +288,13 @@ def build(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                 if opens and (len(block.ids) + len(edge) - 1 > BLOCK_DOCS or block.bytes + len(part) > BLOCK_BYTES):
                     yield from close()
                     block = Block()
+                    release_memory()
                 block.add(ids[row:row + len(edge) - 1], part, edge, opens)
                 opens = ends
         yield from close()
 
     schema = "ids array<long>, terms binary, grid binary"
-    _rows(docs, id_col, text_col).mapInArrow(run, schema).write.mode("overwrite").parquet(path)
+    _rows(docs, id_col, text_col).mapInArrow(releasing(run), schema).write.mode("overwrite").parquet(path)
     return Index(docs.sparkSession.read.schema(schema).parquet(path), count, total)
 
 
@@ -407,7 +408,7 @@ def _search(index: Index, asked: DataFrame, k: int, kind: str) -> DataFrame:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["n", "df"])
 
-    df = {r["n"]: r["df"] for r in index.blocks.select("terms").mapInArrow(held, "n long, df long").groupBy("n").agg(F.sum("df").alias("df")).collect()}
+    df = {r["n"]: r["df"] for r in index.blocks.select("terms").mapInArrow(releasing(held), "n long, df long").groupBy("n").agg(F.sum("df").alias("df")).collect()}
     weight = {n: math.floor(1000 * math.log((2 * index.documents + 2) / (2 * d + 1))) for n, d in df.items()}
     queries: dict = {}
     for r in rows:
@@ -430,7 +431,7 @@ def _search(index: Index, asked: DataFrame, k: int, kind: str) -> DataFrame:
         q, doc, score = zip(*entries) if entries else ((), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(doc, pa.int64()), pa.array(score, pa.int64())], names=["n", "doc_id", "score"])
 
-    part = materialize(index.blocks.mapInArrow(best_of_blocks, "n long, doc_id long, score long"), "lexical-found")
+    part = materialize(index.blocks.mapInArrow(releasing(best_of_blocks), "n long, doc_id long, score long"), "lexical-found")
     wanted.unpersist()
     shared.unpersist()
     named = spark.createDataFrame(list(enumerate(keys)), f"n long, item {kind}")

@@ -23,7 +23,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY = "pseudonym-key"
 ROUNDS = 10
 #: First day and number of days of the calendar cycle that dates are permuted in (1700-01-01 .. 2099-12-31).
 CYCLE_START, CYCLE_DAYS = -98615, (189, 773)
@@ -39,7 +38,8 @@ _DIGITS = {
     "iban": r"[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![\p{L}\p{N}])|[A-Z]{2}\d{2} [A-Z0-9]{4}(?: (?=[A-Z]*\d)[A-Z0-9]{4}){1,6}(?: (?=[A-Z]*\d)[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
 }
 NUMBERS = r"(?<![\p{L}\p{N}])(?<!\d\.)(?:" + "|".join(_DIGITS.values()) + ")"
-ADDRESS = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,}"
+#: A name has at most 127 labels; the bound keeps the matcher's recursion (one step a label) short on any text.
+ADDRESS = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.){1,127}\p{L}{2,}+"
 
 
 def _call(sql: str, **parts: str) -> str:
@@ -192,9 +192,10 @@ def _replace(text: str, pattern: str, made: str, when: str) -> str:
     return f"if({when}, {whole}, named_struct('t', {text}, 'n', 0))"
 
 
-def pseudonymise(docs: DataFrame, text_col: str = "text", count_col: str | None = "n_private", key: str = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, text_col: str = "text", count_col: str | None = "n_private", *, key: str) -> DataFrame:
     """``docs`` with pseudonyms in ``text_col``; ``count_col`` (unless None)
-    holds how many values were replaced."""
+    holds how many values were replaced.  ``key`` is the secret that links equal
+    values: keep it apart from the output, and the same for all of a corpus."""
     t = "`_text`"
     rest = [c for c in docs.columns if c not in (text_col, count_col)]
     held = docs.select(F.col(text_col).alias("_text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest") if rest else F.lit(None).alias("_rest"))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardpanel.llm.common import shuffle_width, slices
+from hazardpanel.llm.common import releasing, shuffle_width, slices
 from hazardpanel.session import materialize
 
 SEED = 42
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps.view(np.int64))], names=["doc_id", "h", "fp"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
-    return rows.mapInArrow(run, f"doc_id {kind}, h long, fp long")
+    return rows.mapInArrow(releasing(run), f"doc_id {kind}, h long, fp long")
 
 
 def _masks(radius: int) -> list[int]:
@@ -271,5 +271,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # a fingerprint's first row, then a component's: a group of copies is one row per task after the first step
     first = fps.groupBy("fp").agg(F.min(key).alias("first")).join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first"))
     kept = first.select(F.col("first.h").alias("_h"), F.xxhash64("first.doc_id", "first.h").alias("_key"))
-    marked = docs.withColumn("_h", F.xxhash64(text_col)).withColumn("_key", F.xxhash64(id_col, "_h"))
-    return marked.join(kept, ["_h", "_key"], "left_semi").dropDuplicates(["_h", "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the row travels as one struct, so that no name of its columns can clash
+    marked = docs.select(F.xxhash64(text_col).alias("_h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(id_col, F.xxhash64(text_col)).alias("_key"))
+    one = marked.join(kept, ["_h", "_key"], "left_semi").dropDuplicates(["_h", "_key"])
+    return one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -4,62 +4,158 @@ A single space between two characters that are no white space is a place where
 the tokenizers used here always cut: the byte-level one starts a pre-token at
 such a space, the piece model has no piece with the space mark after another
 character (checked when it is loaded).  So a text's ids are the ids of the parts
-between those spaces, and a part that was seen before need not be encoded again.
+between those spaces.  The parts of a whole buffer of texts are told apart by
+Arrow, each distinct one is looked up or encoded once, and the ids of all texts
+are put together from them by array operations.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
-CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Parts kept per worker; the cache is emptied when it is full.
-ENTRIES = 1_200_000
+from hazardpanel.llm.common import text_buffers
+
+#: Memory of the parts kept per worker; beyond it the cache starts anew.
+CACHE_BYTES = 32 << 20
+#: What a kept part takes beside its characters and ids.
+ENTRY_BYTES = 200
 LONGEST = 48
+#: Bytes of text that are put together at once.
+WINDOW = 8 << 20
 #: What a part must neither begin nor end with (an empty part does both).
 EDGE = frozenset(["", *(chr(i) for i in range(0x3001) if chr(i).isspace())])
 Ids = bytes                 # ids as little-endian 32-bit integers
 
+SOLID = np.zeros(256, bool)             # bytes that may stand beside a cut
+SOLID[[*range(0x21, 0x7F), *range(0x80, 0x100)]] = True
+#: First and second bytes of the white space outside ASCII (and of other characters, where a text is then not cut).
+OPENS, GOES_ON, TWO = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+OPENS[[0xE1, 0xE2, 0xE3]] = GOES_ON[[0x80, 0x81, 0x9A]] = TWO[[0x85, 0xA0]] = True
+
 
 def pack(ids: list[int]) -> Ids:
     return np.array(ids, "<i4").tobytes()
 
 
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Places of the spaces at which the texts of a buffer are cut, ascending."""
+    at = np.flatnonzero(data == 0x20)
+    if not len(at):
+        return at
+    padded = np.concatenate((np.zeros(3, np.uint8), data, np.zeros(2, np.uint8)))
+    before3, before2, before, after, after2 = (padded[at + k] for k in (0, 1, 2, 4, 5))
+    wide_before = (OPENS[before3] & GOES_ON[before2]) | ((before2 == 0xC2) & TWO[before])
+    wide_after = (OPENS[after] & GOES_ON[after2]) | ((after == 0xC2) & TWO[after2])
+    text = np.searchsorted(offsets, at, side="right")
+    inner = (at > offsets[text - 1]) & (at + 1 < offsets[text])
+    return at[inner & SOLID[before] & SOLID[after] & ~wide_before & ~wide_after]
+
+
 class WordCache:
-    def __init__(self, whole_texts: Callable[[list[str]], list[Ids]], after_space: Callable[[list[str]], list[Ids]], never_cut: str = ""):
+    def __init__(self, whole_texts: Callable[[list[str]], list[Ids]], after_space: Callable[[list[str]], list[Ids]], never_cut: str = "", limit: int = CACHE_BYTES):
         """``whole_texts`` encodes texts, ``after_space`` parts as they are encoded
         after a space.  ``never_cut``: a character whose texts are never cut."""
-        self.whole_texts, self.after_space, self.never_cut = whole_texts, after_space, never_cut
+        self.whole_texts, self.after_space, self.never_cut, self.limit = whole_texts, after_space, never_cut.encode(), limit
         self.seen: dict[str, Ids] = {}
+        self.held = 0
+
+    def keep(self, parts: list[str], ids: list[Ids]) -> None:
+        for p, x in zip(parts, ids):
+            if len(p) > LONGEST:
+                continue
+            self.held += ENTRY_BYTES + len(p) + len(x)
+            if self.held > self.limit:
+                self.seen, self.held = {}, ENTRY_BYTES + len(p) + len(x)
+            self.seen[p] = x
+
+    def lookup(self, parts: list[str]) -> list[Ids]:
+        """Ids of distinct parts that follow a space."""
+        ids = list(map(self.seen.get, parts))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            asked = [parts[i] for i in missing]
+            found = self.after_space(asked)
+            for i, x in zip(missing, found):
+                ids[i] = x
+            self.keep(asked, found)
+        return ids
+
+    def encode_buffer(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a buffer, one after the other, and where each text's
+        end.  A text longer than a window is encoded in pieces that begin at cuts."""
+        if len(data) <= WINDOW:
+            return self._encode(data, offsets)
+        row, rows, out, ends, done = 0, len(offsets) - 1, [], [], 0
+        while row < rows:
+            stop = max(int(np.searchsorted(offsets, offsets[row] + WINDOW, side="right")) - 1, row + 1)
+            if stop > row + 1 or offsets[stop] - offsets[row] <= WINDOW:
+                ids, own = self._encode(data[offsets[row]:offsets[stop]], offsets[row:stop + 1] - offsets[row])
+                out.append(ids)
+                ends.append(own + done)
+                done += len(ids)
+            else:
+                for goes_on, piece in self._pieces(data[offsets[row]:offsets[stop]]):
+                    out.append(self._encode(piece, np.array([0, len(piece)]), goes_on)[0])
+                    done += len(out[-1])
+                ends.append(np.array([done]))
+            row = stop
+        return np.concatenate(out), np.concatenate(ends)
+
+    def _pieces(self, text: np.ndarray) -> Iterator[tuple[bool, np.ndarray]]:
+        if self.never_cut and self.never_cut in text.tobytes():
+            yield False, text
+            return
+        at = 0
+        while at < len(text):
+            stop, size = len(text), WINDOW
+            while at + size < len(text):
+                found = cuts(text[at:at + size], np.array([0, size]))
+                if len(found):
+                    stop = at + int(found[-1])
+                    break
+                size *= 2
+            yield at > 0, text[at:stop]
+            at = stop + 1
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray, goes_on: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """``goes_on``: the first text begins after a cut."""
+        n = len(offsets) - 1
+        if not n:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        cut = cuts(data, offsets)
+        if self.never_cut and self.never_cut in (raw := data.tobytes()):
+            whole = np.array([self.never_cut in raw[a:b] for a, b in zip(offsets.tolist(), offsets[1:].tolist())])
+            cut = cut[~whole[np.searchsorted(offsets, cut, side="right") - 1]]
+        # parts in order: a text's first begins where it does, the others after a cut
+        heads = np.searchsorted(cut, offsets[:-1]) + np.arange(n)
+        last = np.append(heads[1:], n + len(cut)) - 1
+        opens, closes = np.zeros(n + len(cut), bool), np.zeros(n + len(cut), bool)
+        opens[heads] = closes[last] = True
+        begin, end = np.empty(len(opens), np.int64), np.empty(len(opens), np.int64)
+        begin[opens], begin[~opens], end[closes], end[~closes] = offsets[:-1], cut + 1, offsets[1:], cut
+        solid = np.ones(len(data), bool)
+        solid[cut] = False
+        edge = np.concatenate(([0], np.cumsum(end - begin))).astype(np.int32)
+        parts = pa.Array.from_buffers(pa.string(), len(opens), [None, pa.py_buffer(edge), pa.py_buffer(data[solid])])
+        if goes_on:
+            opens[0] = False
+        coded = parts.filter(pa.array(~opens)).dictionary_encode()
+        blobs = self.whole_texts(parts.filter(pa.array(opens)).to_pylist())
+        which = np.empty(len(opens), np.int64)
+        which[opens], which[~opens] = np.arange(len(blobs)), len(blobs) + coded.indices.to_numpy()
+        blobs += self.lookup(coded.dictionary.to_pylist())
+        length = np.array([len(b) // 4 for b in blobs], np.int64)
+        source = np.cumsum(length) - length
+        put = length[which]
+        done = np.cumsum(put)
+        place = np.arange(done[-1]) + np.repeat(source[which] - (done - put), put)
+        return np.frombuffer(b"".join(blobs), "<i4")[place], done[last]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.seen) > ENTRIES:
-            self.seen = {}
-        known = self.seen.get
-        cut, gaps, ask = [], [], set()
-        for t in texts:
-            parts = t.split(" ")
-            ids = list(map(known, parts))
-            ids[0] = b""                        # what begins a text is encoded as such
-            gap = [i for i, x in enumerate(ids) if x is None] if None in ids else ()
-            if self.never_cut and self.never_cut in t:
-                parts, ids, gap = [t], [b""], ()
-            elif parts[0][-1:] in EDGE or any(parts[i][:1] in EDGE or parts[i][-1:] in EDGE for i in gap):
-                parts = CUT.split(t)
-                ids = [b"", *map(known, parts[1:])]
-                gap = [i for i, x in enumerate(ids) if x is None]
-            cut.append((parts, ids))
-            gaps.append(gap)
-            ask.update([parts[i] for i in gap])
-        asked = list(ask)
-        found = dict(zip(asked, self.after_space(asked))) if asked else {}
-        self.seen.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST and " " not in p and p[:1] not in EDGE and p[-1:] not in EDGE)
-        out = []
-        for head, (parts, ids), gap in zip(self.whole_texts([parts[0] for parts, _ in cut]), cut, gaps):
-            for i in gap:
-                ids[i] = found[parts[i]]
-            ids[0] = head
-            out.append(np.frombuffer(b"".join(ids), "<i4"))
-        return out
+        if not texts:
+            return []
+        ids, ends = self.encode_buffer(*text_buffers(pa.array(texts, pa.string())))
+        return np.split(ids, ends[:-1])

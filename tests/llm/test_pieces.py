@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import subprocess
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -73,3 +75,29 @@ def test_operator(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert P.encode(docs, PATH).collect() == [] and P.digests(docs, PATH).collect() == []
+
+
+@pytest.mark.parametrize("limit, window", [(2000, 1 << 20), (1 << 20, 64)])
+def test_small_caches_and_windows_equal_the_library(monkeypatch, limit, window):
+    from hazardpanel.llm import dac, wordcache
+    from tokenizers import Tokenizer
+    byte_path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(wordcache, "WINDOW", window)
+    source = TEXTS + random_texts() + ["wide\u3000 a \u2003b c\u0085 d \xa0e f\u2028 g “q” h", "word, été x  " * 300, "x" * 400 + " y", "", "▁ " * 50 + "a b"]
+    c, b = P.Codec(PATH), dac.ByteLevel(byte_path)
+    c.words.limit = b.words.limit = limit
+    t = Tokenizer.from_file(byte_path)
+    for _ in range(2):
+        assert [x.tolist() for x in c.encode(source)] == c.sp.encode(source)
+        assert [x.tolist() for x in b(source)] == [e.ids for e in t.encode_batch(source, add_special_tokens=False)]
+        assert c.words.held <= limit and b.words.held <= limit
+
+
+def test_memory_of_a_long_text():
+    """20 MB of text in one row; a process of its own, as peaks last."""
+    code = ("import resource, sys; sys.path.insert(0, '.');"
+            "from hazardpanel.llm import pieces; c = pieces.Codec(%r); t = ' '.join('w%%d,' %% (i %% 50021) for i in range(2_700_000));"
+            "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss; (x,) = c.encode([t]); a, b = c.spans(t, x);"
+            "assert b[-1] == len(t) and (a[1:] == b[:-1]).all(); print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)") % PATH
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert int(done.stdout) < 450_000, done.stdout

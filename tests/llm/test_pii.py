@@ -145,5 +145,56 @@ def test_edges(spark):
     rows = sorted(out.collect(), key=lambda r: (r.doc_id or 0, len(r.text or "")))
     assert [(r.text, r.n_private, r._text) for r in rows[:2]] == [(None, 0, "x"), ("", 0, "y")]
     assert [r.text for r in rows[2:4]] == [ip("10.1.2.3")] * 2 and rows[4].text == long.replace("4379362835490466", card("4379362835490466")) and rows[4].n_private == 1
-    assert pii.pseudonymise(df.limit(0)).collect() == []
-    assert pii.pseudonymise(df.select("text"), count_col=None).columns == ["text"]
+    assert pii.pseudonymise(df.limit(0), key=KEY).collect() == []
+    assert pii.pseudonymise(df.select("text"), count_col=None, key=KEY).columns == ["text"]
+
+
+def mod97(s):
+    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97
+
+
+def iban(m):
+    x = m.replace(" ", "")
+    own = re.sub(r"\D", "", x[4:])
+    if not 15 <= len(x) <= 34 or not own or mod97(x) != 1:
+        return m
+    new = digits(own[:15], "iban") + (digits(own[15:], "iban rest") if own[15:] else "")
+    body = refill(x[4:], new)
+    made = iter(f"{x[:2]}{98 - mod97(x[:2] + '00' + body):02d}{body}")
+    return "".join(c if c == " " else next(made) for c in m)
+
+
+def line(m):
+    x = re.sub(r"\D", "", m)
+    group = re.match(r"\+(\d{1,3})\D", m)
+    head = len(group[1]) if group else 2
+    return refill(m, x[:head] + digits(x[head:], "line")) if 8 <= len(x) <= 15 else m
+
+
+def test_iban_and_international_against_the_independent_version(spark):
+    rng = random.Random(4)
+    codes = []
+    for country, n in (("DE", 18), ("NO", 11), ("FR", 23), ("MT", 27)):
+        for _ in range(5):
+            body = "".join(rng.choices("0123456789" if country != "MT" else "0123456789AB", k=n))
+            codes.append(f"{country}{98 - mod97(country + '00' + body):02d}{body}")
+    codes += [" ".join(re.findall(".{1,4}", c)) for c in codes if c[:2] != "MT"] + [c[:-1] + str((int(c[-1], 36) + 1) % 10) for c in codes]
+    lines = [f"+{cc}{sep}{a}{sep}{b}" for cc in (49, 7, 381) for sep in (" ", "-", ".") for a, b in ((rng.randint(10, 9999), rng.randint(100, 9999)), (rng.randint(100, 999), rng.randint(1000, 9999)))]
+    lines += [f"+{rng.randint(10**9, 10**12)}" for _ in range(10)]
+    got = run(spark, [f"an {v}; und" for v in codes + lines])
+    assert got == [f"an {iban(v)}; und" for v in codes] + [f"an {line(v)}; und" for v in lines]
+    assert sum(iban(c) != c for c in codes) > 30 and sum(line(v) != v for v in lines) > 15
+
+
+def test_long_runs_finish(spark):
+    """Texts whose match would need a step of recursion a label."""
+    n = 100_000
+    runs = ["x@" + "a." * n, "x@" + "a." * n + "com", "a" * n + "@b.org", "1" * n, "1." * n, "1-" * n, "@" * n, "x@" * n, "+" * n, "+1 " * n, "a-" * n + "@",
+            "DE12 " + "A1B2 " * n, "(" * n, "x@" + "b" * n + ".org", "é@ü." * n]
+    got = run(spark, [f"{r} 10.1.2.3" for r in runs])
+    assert all(g.endswith(" " + ip("10.1.2.3")) for g in got)
+    keep = {3, 4, 6, 7, 8, 10, 12}
+    assert all(got[i] == f"{runs[i]} {ip('10.1.2.3')}" for i in keep)
+    # an address's name has at most 127 labels: what follows is text
+    hundred = "a" + ".bb" * 126 + ".org"
+    assert re.fullmatch(r"u[0-9a-f]{16}@example\.invalid", run(spark, [f"x@{hundred}"])[0])

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hazardpanel.llm.queries import ORACLE, QUERIES
@@ -45,3 +46,17 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     for t in ("documents", "benchmark"):
         spark.read.parquet(f"{SF_SMALL}/{t}.parquet").limit(0).coalesce(1).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_keep_columns_with_the_names_they_use_themselves(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
+    for name in ("_h", "_key", "_replaced", "_replaced_", "id", "h", "row", "fp", "_text", "_bad", "item_id", "text_hash"):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} "), F.col("doc_id")))
+    own = [c for c in docs.columns if c not in ("text", "n_chars", "lang", "source", "doc_id")]
+    docs = docs.checkpoint()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.schema.simpleString() == docs.schema.simpleString(), name
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c} {r.doc_id}" for r in rows for c in own), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() == 60
