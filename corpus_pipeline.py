@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from hazardpanel.llm import decontaminate, langid, pieces, pii, simhash
 from hazardpanel.llm.common import id_remainder, table
-from hazardpanel.llm.queries import vocabulary
+from hazardpanel.llm.queries import PSEUDONYM_KEY, vocabulary
 from hazardpanel.session import materialize
 
 
@@ -36,11 +36,14 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data get pseudonyms; the length follows the text."""
-    out = pii.pseudonymise(docs, count_col="_replaced")
+    count = "_replaced"
+    while count in docs.columns:
+        count += "_"
+    out = pii.pseudonymise(docs, count_col=count, key=PSEUDONYM_KEY)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_replaced") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(F.col(count) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.drop(count)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
