@@ -42,8 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazardpanel.llm.common import releasing, slices, text_buffers
-from hazardpanel.llm.wordcache import EDGE, WordCache
-from hazardpanel.llm.wordcache import pack as pack_ids
+from hazardpanel.llm.wordcache import EDGE, Ids, WordCache, flat, gather
 from hazardpanel.session import materialize
 
 MAGIC, TRAILER = b"DAC1", b"1CAD"
@@ -212,46 +211,38 @@ class ByteLevel:
         self.opens = np.zeros(max(vocab.values()) + 1, bool)        # tokens that begin with a space
         self.opens[[i for t, i in vocab.items() if t[:1] == space]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words = WordCache(self.whole, self.after_space)
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [pack_ids(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def after_space(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts that follow a space.  Letters and the punctuation after
-        them are always separate pre-tokens, so word and tail are looked up apart;
-        words are encoded many at a time, told apart by the tokens with a space."""
-        everything = "\n".join(parts)
-        special = any(s in everything for s in self.special)
-        core = [p.rstrip(PUNCTUATION) for p in parts]
-        core = [w if w.isalpha() and not (special and any(s in p for s in self.special)) else p for w, p in zip(core, parts)]
-        tail = [p[len(w):] for w, p in zip(core, parts)]
-        distinct = list({t for t in tail if t})
-        tails = dict(zip(distinct, self.whole(distinct)))
-        known = self.words.seen
-        ask = list({c for c in core if c not in known})
-        found = dict(zip(ask, self._words(ask)))
-        return [(found[c] if c in found else known[c]) + (tails[t] if t else b"") for c, t in zip(core, tail)]
-
-    def _words(self, words: list[str], at_once: int = 200) -> list[bytes]:
-        out: list[bytes] = []
-        for a in range(0, len(words), at_once):
-            some = words[a:a + at_once]
-            # a word with a space inside or white space at an end, or a special token, is encoded by itself
-            everything = "\n".join(some)
-            special = any(s in everything for s in self.special)
-            odd = {i for i, w in enumerate(some) if " " in w or w[:1] in EDGE or w[-1:] in EDGE or special and any(s in w for s in self.special)}
-            plain = [w for i, w in enumerate(some) if i not in odd] if odd else some
-            (joined,) = self.whole([" " + " ".join(plain)]) if plain else (b"",)
-            ids = np.frombuffer(joined, "<i4")
+        self.words = WordCache(self.whole, self.after_space, split_tails=True)
+
+    def whole(self, texts: list[str]) -> Ids:
+        return flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def after_space(self, words: list[str], at_once: int = 200) -> Ids:
+        """Ids of parts that follow a space.  Many are encoded at a time, told apart
+        by the tokens with a space; a part with a space inside or white space at an
+        end, or with a special token, is encoded by itself."""
+        alone = np.fromiter((" " in w or w[:1] in EDGE or w[-1:] in EDGE for w in words), bool, len(words))
+        everything = "\n".join(words)
+        if any(s in everything for s in self.special):
+            alone |= np.fromiter((any(s in w for s in self.special) for w in words), bool, len(words))
+        plain = np.flatnonzero(~alone)
+        groups = [plain[a:a + at_once] for a in range(0, len(plain), at_once)]
+        joined, sizes = self.whole([" " + " ".join([words[i] for i in g.tolist()]) for g in groups])
+        found, at = [], 0
+        for g, n in zip(groups, sizes.tolist()):
+            ids = joined[at:at + n]
             first = np.flatnonzero(self.opens[ids])
-            if len(first) != len(plain):
-                odd, plain, first = set(range(len(some))), [], first[:0]
-            edge = [*(4 * first).tolist(), len(joined)]
-            split = iter([joined[x:y] for x, y in zip(edge, edge[1:])])
-            single = iter(self.whole([" " + some[i] for i in sorted(odd)]) if odd else [])
-            out += [next(single) if i in odd else next(split) for i in range(len(some))] if odd else split
-        return out
+            if len(first) == len(g):
+                found.append((g, ids, np.diff(first, append=n)))
+            else:
+                alone[g] = True
+            at += n
+        single = np.flatnonzero(alone)
+        found.append((single, *self.whole([" " + words[i] for i in single.tolist()])))
+        which, ids, size = (np.concatenate(x) for x in zip(*found))
+        start = np.cumsum(size) - size
+        back = np.empty(len(words), np.int64)
+        back[which] = np.arange(len(which))
+        return gather(ids, start[back], size[back]), size[back]
 
     def encode_buffer(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a buffer, one after the other, and where each text's end."""
@@ -261,10 +252,6 @@ class ByteLevel:
         return self.words.encode(texts)
 
 
-#: Ends of words that the byte-level pre-tokenizer separates from letters (an apostrophe may join them).
-PUNCTUATION = ".,;:!?%&$#*|()\"-"
-
-
 @lru_cache(maxsize=2)
 def _byte_level(path: str) -> ByteLevel:
     return ByteLevel(path)

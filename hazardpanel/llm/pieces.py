@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 from hazardpanel.llm.common import releasing, slices, texts
-from hazardpanel.llm.wordcache import WordCache, pack
+from hazardpanel.llm.wordcache import WordCache, flat
 
 SPACE = "▁".encode()       # the mark that stands for a space in normalised text
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6     # piece types of the model format
@@ -156,7 +156,7 @@ class Codec:
         self.cuts = (self.normalise.plain and spec.add_dummy_prefix and spec.escape_whitespaces
                      and not any(mark in p.piece.lstrip(mark) for p in pieces))
         # a part after a space is encoded like a text: the library puts the mark in front of both
-        parts = lambda x: [pack(i) for i in self.sp.encode(x, num_threads=1)]
+        parts = lambda x: flat(self.sp.encode(x, num_threads=1) if x else [])
         self.words = WordCache(parts, parts, mark) if self.cuts else None
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:

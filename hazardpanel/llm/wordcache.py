@@ -6,38 +6,56 @@ such a space, the piece model has no piece with the space mark after another
 character (checked when it is loaded).  So a text's ids are the ids of the parts
 between those spaces.  The parts of a whole buffer of texts are told apart by
 Arrow, each distinct one is looked up or encoded once, and the ids of all texts
-are put together from them by array operations.
+are put together from them by array operations.  For the byte-level tokenizer,
+which never joins a letter with the punctuation after it, the punctuation at the
+end of a part is a part of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from hazardpanel.llm.common import text_buffers
 
 #: Memory of the parts kept per worker; beyond it the cache starts anew.
 CACHE_BYTES = 32 << 20
 #: What a kept part takes beside its characters and ids.
-ENTRY_BYTES = 200
+ENTRY_BYTES = 12
 LONGEST = 48
+#: Punctuation split off at most.
+LONGEST_TAIL = 16
+HEAD, CORE, TAIL_PART = 0, 1, 2
 #: Bytes of text that are put together at once.
 WINDOW = 8 << 20
 #: What a part must neither begin nor end with (an empty part does both).
 EDGE = frozenset(["", *(chr(i) for i in range(0x3001) if chr(i).isspace())])
-Ids = bytes                 # ids as little-endian 32-bit integers
+Ids = tuple[np.ndarray, np.ndarray]         # ids of several texts one after the other, and how many each has
 
 SOLID = np.zeros(256, bool)             # bytes that may stand beside a cut
 SOLID[[*range(0x21, 0x7F), *range(0x80, 0x100)]] = True
 #: First and second bytes of the white space outside ASCII (and of other characters, where a text is then not cut).
 OPENS, GOES_ON, TWO = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+#: ASCII letters, and punctuation that the byte-level tokenizer separates from a letter before it (an apostrophe may join).
+LETTER, TAIL = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+TAIL[list(b".,;:!?%&$#*|()\"-")] = True
 OPENS[[0xE1, 0xE2, 0xE3]] = GOES_ON[[0x80, 0x81, 0x9A]] = TWO[[0x85, 0xA0]] = True
 
 
-def pack(ids: list[int]) -> Ids:
-    return np.array(ids, "<i4").tobytes()
+def flat(lists: list[list[int]]) -> Ids:
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum())), sizes
+
+
+def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` with these starts and sizes, one after the other."""
+    done = np.cumsum(size)
+    return values[np.arange(done[-1]) + np.repeat(start - (done - size), size)] if len(done) else values[:0]
 
 
 def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -54,34 +72,59 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return at[inner & SOLID[before] & SOLID[after] & ~wide_before & ~wide_after]
 
 
+def tails(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Where the punctuation after a letter begins that ends each part [begin, end);
+    ``end`` where there is none."""
+    at = end.copy()
+    for _ in range(LONGEST_TAIL):
+        back = (at > begin) & TAIL[data[np.maximum(at - 1, 0)]]
+        if not back.any():
+            break
+        at -= back
+    before, before2 = data[np.maximum(at - 1, 0)], data[np.maximum(at - 2, 0)]
+    # a letter of the Latin-1 block is 0xC3 and a byte that is not that of the times or division sign
+    letter = LETTER[before] | ((before2 == 0xC3) & (before >= 0x80) & (before != 0x97) & (before != 0xB7) & (at - begin > 1))
+    return np.where((at > begin) & (at < end) & letter, at, end)
+
+
 class WordCache:
-    def __init__(self, whole_texts: Callable[[list[str]], list[Ids]], after_space: Callable[[list[str]], list[Ids]], never_cut: str = "", limit: int = CACHE_BYTES):
+    def __init__(self, whole_texts: Callable[[list[str]], Ids], after_space: Callable[[list[str]], Ids], never_cut: str = "",
+                 split_tails: bool = False, limit: int = CACHE_BYTES):
         """``whole_texts`` encodes texts, ``after_space`` parts as they are encoded
-        after a space.  ``never_cut``: a character whose texts are never cut."""
-        self.whole_texts, self.after_space, self.never_cut, self.limit = whole_texts, after_space, never_cut.encode(), limit
-        self.seen: dict[str, Ids] = {}
-        self.held = 0
-
-    def keep(self, parts: list[str], ids: list[Ids]) -> None:
-        for p, x in zip(parts, ids):
-            if len(p) > LONGEST:
-                continue
-            self.held += ENTRY_BYTES + len(p) + len(x)
-            if self.held > self.limit:
-                self.seen, self.held = {}, ENTRY_BYTES + len(p) + len(x)
-            self.seen[p] = x
-
-    def lookup(self, parts: list[str]) -> list[Ids]:
-        """Ids of distinct parts that follow a space."""
-        ids = list(map(self.seen.get, parts))
-        missing = [i for i, x in enumerate(ids) if x is None]
-        if missing:
-            asked = [parts[i] for i in missing]
-            found = self.after_space(asked)
-            for i, x in zip(missing, found):
-                ids[i] = x
-            self.keep(asked, found)
-        return ids
+        after a space.  ``never_cut``: a character whose texts are never cut.
+        ``split_tails``: punctuation at the end of a part is encoded like a text."""
+        self.whole_texts, self.after_space, self.never_cut, self.split_tails, self.limit = whole_texts, after_space, never_cut.encode(), split_tails, limit
+        self._empty()
+
+    def _empty(self) -> None:
+        self.parts, self.ids, self.start, self.size = pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    @property
+    def held(self) -> int:
+        return self.parts.nbytes + self.ids.nbytes + self.start.nbytes + self.size.nbytes
+
+    def lookup(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct parts that follow a space: all ids, and each part's first and number of them."""
+        at = pc.index_in(parts, value_set=self.parts)
+        known = at.is_valid().to_numpy(zero_copy_only=False)
+        missing = parts.filter(pa.array(~known))
+        fresh, sizes = self.after_space(missing.to_pylist())
+        ids = np.concatenate((self.ids, fresh))
+        start, size = np.empty(len(parts), np.int64), np.empty(len(parts), np.int64)
+        place = at.drop_null().to_numpy()
+        start[known], size[known] = self.start[place], self.size[place]
+        start[~known], size[~known] = len(self.ids) + np.cumsum(sizes) - sizes, sizes
+        short = pc.less_equal(pc.binary_length(missing), LONGEST).to_numpy(zero_copy_only=False)
+        kept = missing.filter(pa.array(short))
+        kept_ids = gather(fresh, np.cumsum(sizes)[short] - sizes[short], sizes[short])
+        if self.held + kept.nbytes + kept_ids.nbytes + ENTRY_BYTES * len(kept) > self.limit:
+            self._empty()
+        if kept.nbytes + kept_ids.nbytes + ENTRY_BYTES * len(kept) <= self.limit:
+            own = sizes[short]
+            self.start = np.concatenate((self.start, len(self.ids) + np.cumsum(own) - own)).astype(np.int32)
+            self.size = np.concatenate((self.size, own)).astype(np.int32)
+            self.parts, self.ids = pa.concat_arrays([self.parts, kept]), np.concatenate((self.ids, kept_ids))
+        return ids, start, size
 
     def encode_buffer(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a buffer, one after the other, and where each text's
@@ -136,23 +179,36 @@ class WordCache:
         opens[heads] = closes[last] = True
         begin, end = np.empty(len(opens), np.int64), np.empty(len(opens), np.int64)
         begin[opens], begin[~opens], end[closes], end[~closes] = offsets[:-1], cut + 1, offsets[1:], cut
+        if goes_on:
+            opens[0] = False
+        kind = np.where(opens, HEAD, CORE).astype(np.uint8)
+        if self.split_tails and len(data):
+            tail = np.where(opens, end, tails(data, begin, end))
+            split = tail < end
+            place = np.repeat(np.arange(len(begin)), 1 + split)
+            second = np.concatenate(([False], place[1:] == place[:-1]))
+            last = np.cumsum(1 + split)[last] - 1
+            begin, end, kind = np.where(second, tail[place], begin[place]), np.where(second, end[place], tail[place]), np.where(second, TAIL_PART, kind[place])
         solid = np.ones(len(data), bool)
         solid[cut] = False
         edge = np.concatenate(([0], np.cumsum(end - begin))).astype(np.int32)
-        parts = pa.Array.from_buffers(pa.string(), len(opens), [None, pa.py_buffer(edge), pa.py_buffer(data[solid])])
-        if goes_on:
-            opens[0] = False
-        coded = parts.filter(pa.array(~opens)).dictionary_encode()
-        blobs = self.whole_texts(parts.filter(pa.array(opens)).to_pylist())
-        which = np.empty(len(opens), np.int64)
-        which[opens], which[~opens] = np.arange(len(blobs)), len(blobs) + coded.indices.to_numpy()
-        blobs += self.lookup(coded.dictionary.to_pylist())
-        length = np.array([len(b) // 4 for b in blobs], np.int64)
-        source = np.cumsum(length) - length
-        put = length[which]
-        done = np.cumsum(put)
-        place = np.arange(done[-1]) + np.repeat(source[which] - (done - put), put)
-        return np.frombuffer(b"".join(blobs), "<i4")[place], done[last]
+        parts = pa.Array.from_buffers(pa.string(), len(begin), [None, pa.py_buffer(edge), pa.py_buffer(data[solid])])
+        del solid, edge
+        start, size = np.empty(len(begin), np.int64), np.empty(len(begin), np.int64)
+        coded = parts.filter(pa.array(kind == CORE)).dictionary_encode()
+        ids, first, count = self.lookup(coded.dictionary)
+        code = coded.indices.to_numpy()
+        start[kind == CORE], size[kind == CORE] = first[code], count[code]
+        own, count = self.whole_texts(parts.filter(pa.array(kind == HEAD)).to_pylist())
+        start[kind == HEAD], size[kind == HEAD] = len(ids) + np.cumsum(count) - count, count
+        ids = np.concatenate((ids, own))
+        if self.split_tails:
+            coded = parts.filter(pa.array(kind == TAIL_PART)).dictionary_encode()
+            own, count = self.whole_texts(coded.dictionary.to_pylist())
+            code = coded.indices.to_numpy()
+            start[kind == TAIL_PART], size[kind == TAIL_PART] = (len(ids) + np.cumsum(count) - count)[code], count[code]
+            ids = np.concatenate((ids, own))
+        return gather(ids, start, size), np.cumsum(size)[last]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
