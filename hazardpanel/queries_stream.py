@@ -13,7 +13,8 @@ from hazardpanel.queries import DET_COLS, register
 from hazardpanel.queries_io import _stored_spots
 from hazardpanel.session import scratch_path
 from hazardpanel.streaming.detections import (DayUpsert, DetectionBatchWriter, daily_event_counts_stream,
-                                              detection_stream, read_daily, run_available_now)
+                                              detection_stream, run_available_now)
+from hazardpanel.streaming.keyed import DeltaWriter, run_changes, winner_changes
 
 VIEWS["stream_enriched"] = (f"""
 SELECT d.*, a.wilaya_id, {rd('d.latitude')} AS lat_grid, {rd('d.longitude')} AS lon_grid
@@ -24,7 +25,7 @@ WHERE (d.type = 0 OR d.type IS NULL)
                             ["ded", "pt_assigned", "spots_static"])
 
 
-_SINKS: dict[tuple[str, str], DetectionBatchWriter] = {}
+_SINKS: dict[tuple, DetectionBatchWriter | DeltaWriter] = {}
 
 
 def _run_detection_stream(spark, sf):
@@ -44,6 +45,22 @@ def _run_detection_stream(spark, sf):
     return _SINKS[key]
 
 
+def _run_keyed_stream(spark, sf):
+    """The same slices through registers in the state store and signed deltas; two
+    queries read its tables."""
+    key = (spark.sparkContext.applicationId, sf, "keyed")
+    if key not in _SINKS:
+        root = scratch_path(spark, "stream-keyed")
+        writers, schema = landing.stream_feed_writers(spark, sf, f"{root}/landing")
+        sink = DeltaWriter(f"{root}/sinks", fx.edges(spark, sf), fx.region_dim(spark, sf), _stored_spots(spark, sf))
+        for land in writers:
+            land()
+            raw = spark.readStream.schema(schema).parquet(f"{root}/landing")
+            run_changes(winner_changes(fx.detections_from_events(raw)), sink, f"{root}/checkpoint")
+        _SINKS[key] = sink
+    return _SINKS[key]
+
+
 @register("stream_dedup", sql(f"SELECT {DET_COLS} FROM ded", "ded"))
 def q_stream_dedup(spark, sf):
     sink = _run_detection_stream(spark, sf)
@@ -63,9 +80,12 @@ SELECT k.wilaya_id, r.wilaya_code, k.acq_date AS date, count(k.frp) AS nb_detect
 FROM stream_enriched k LEFT JOIN region_dim r ON r.wilaya_id = k.wilaya_id
 GROUP BY k.wilaya_id, r.wilaya_code, k.acq_date""", "stream_enriched", "region_dim"))
 def q_stream_daily_agg(spark, sf):
-    sink = _run_detection_stream(spark, sf)
-    return read_daily(spark, sink.daily_path).select(
-        "wilaya_id", "wilaya_code", "date", "nb_detections", "frp_total", "frp_max", "fire_detected")
+    return _run_keyed_stream(spark, sf).daily(spark)
+
+
+@register("stream_dedup_state", sql(f"SELECT {DET_COLS} FROM ded", "ded"))
+def q_stream_dedup_state(spark, sf):
+    return _run_keyed_stream(spark, sf).deduplicated(spark).select(*DET_COLS.split(", "))
 
 
 # copies that arrive with the last slice count only inside the 14 days before what came earlier
