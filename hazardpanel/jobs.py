@@ -82,7 +82,6 @@ def job_rebuild(spark: SparkSession, feeds, regions: str, weather: str, out: str
     (``strict``: type 0 only, the first-generation rule; ``coverage=False``:
     no coverage flag column; ``write_points``: also every deduplicated
     detection with its region, a full extra pass over the feeds)."""
-    from hazardpanel.operators.funnel import stage_funnel
     from hazardpanel.operators.panel import fixed_layout, fuse_panel, panel_summary, top_regions, uncovered_days
     from hazardpanel.operators.spatial import assign_region
     from hazardpanel.plans.rebuild import detection_chain, panel_layout
@@ -92,7 +91,7 @@ def job_rebuild(spark: SparkSession, feeds, regions: str, weather: str, out: str
     base = spark.read.parquet(weather)
     if "year" in base.columns:
         base = base.drop("year")
-    chain = detection_chain(det, edges, dim, strict_type=strict, threshold=threshold)
+    chain = detection_chain(det, edges, dim, strict_type=strict, threshold=threshold, report=True)
     chain.daily.write.mode("overwrite").parquet(f"{out}/daily")
     daily = spark.read.parquet(f"{out}/daily")
     panel = fixed_layout(fuse_panel(base, daily, dim, coverage_start=COVERAGE_START if coverage else None),
@@ -104,7 +103,7 @@ def job_rebuild(spark: SparkSession, feeds, regions: str, weather: str, out: str
     covered = forest.filter(F.col("fire_data_coverage")) if coverage else forest
     panel_summary(written).write.mode("overwrite").json(f"{out}/reports/summary")
     top_regions(covered, 15).write.mode("overwrite").json(f"{out}/reports/top_regions")
-    stage_funnel(det, edges, threshold=threshold).write.mode("overwrite").json(f"{out}/reports/funnel")
+    chain.funnel.write.mode("overwrite").json(f"{out}/reports/funnel")
     if coverage:
         uncovered_days(written).write.mode("overwrite").json(f"{out}/reports/uncovered_days")
     if write_points:

@@ -115,6 +115,7 @@ def land_features(spark: SparkSession, sf: str) -> str:
     return root
 
 
+SLICE_FILES = 4                      # files of a landed slice
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 LATE_OFFSET = 1_000_000_000          # ids of copies that arrive late under a new id
 LATE_EVERY = 9
@@ -146,7 +147,7 @@ def stream_feed_writers(spark: SparkSession, sf: str, root: str, n_slices: int =
             out = parts[0]
             for p in parts[1:]:
                 out = out.unionByName(p)
-            out.write.mode("append").parquet(root)
+            out.coalesce(SLICE_FILES).write.mode("append").parquet(root)
         return land
     return [writer(k) for k in range(n_slices + 1)], ev.withColumn("pri", F.lit(0)).schema
 

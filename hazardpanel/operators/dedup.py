@@ -16,26 +16,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _pick(df: DataFrame, key: Sequence[str], order: Sequence[str], first: bool) -> DataFrame:
+def _pick(df: DataFrame, key: Sequence[str], order: Sequence[str], first: bool, copies: str | None = None) -> DataFrame:
     key = list(key)
     order = list(order)
     rest = [c for c in df.columns if c not in key]
-    if not rest:
+    if not rest and not copies:
         return df.select(*key).distinct()
     payload = F.struct(*[F.col(c) for c in rest])
     ordering = F.struct(*[F.col(c) for c in order])
     chooser = F.min_by if first else F.max_by
-    picked = df.groupBy(*key).agg(chooser(payload, ordering).alias("_kept"))
-    return picked.select(*key, *[F.col(f"_kept.{c}").alias(c) for c in rest]).select(*df.columns)
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
+    picked = df.groupBy(*key).agg(chooser(payload, ordering).alias("_kept"), *counted)
+    flat = picked.select(*key, *[F.col(f"_kept.{c}").alias(c) for c in rest], *([copies] if copies else []))
+    return flat.select(*df.columns, *([copies] if copies else []))
 
 
-def dedup_keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per ``key``: the row with the smallest ``order`` tuple.
+def dedup_keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str], copies: str | None = None) -> DataFrame:
+    """One row per ``key``: the row with the smallest ``order`` tuple; with ``copies``
+    a column of that name tells how many rows it stands for.
 
     ``order`` must be unique within a key (e.g. source priority plus a row id)
     for the result to be deterministic.
     """
-    return _pick(df, key, order, first=True)
+    return _pick(df, key, order, True, copies)
 
 
 def dedup_keep_last(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

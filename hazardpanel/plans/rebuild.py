@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from hazardpanel.constants import COVERAGE_START, DETECTION_KEY, PANEL_COLUMNS, PERSISTENCE_THRESHOLD_DAYS, WEATHER_VARS
 from hazardpanel.functions.scalar import EXACT
 from hazardpanel.operators.dedup import dedup_keep_first
+from hazardpanel.operators.funnel import COPIES, funnel_of, placed_summary
 from hazardpanel.operators.panel import dense_grid, fixed_layout, fuse_panel
 from hazardpanel.operators.persistence import drop_recurring, persistent_cells, with_grid
 from hazardpanel.operators.spatial import assign_region
@@ -47,6 +48,7 @@ class Chain:
     spots: DataFrame
     kept: DataFrame         # row level, recurring cells removed
     daily: DataFrame
+    funnel: DataFrame | None = None     # rows after each stage, when a report is wanted
 
 
 def cell_day_summary(matched: DataFrame, region_col: str = "wilaya_id") -> DataFrame:
@@ -64,8 +66,10 @@ def cell_day_summary(matched: DataFrame, region_col: str = "wilaya_id") -> DataF
 def detection_chain(detections: DataFrame, edges: DataFrame, dim: DataFrame,
                     order=("pri", "event_id"), strict_type: bool = False,
                     threshold: int = PERSISTENCE_THRESHOLD_DAYS,
-                    region_col: str = "wilaya_id", materialize: bool = True) -> Chain:
+                    region_col: str = "wilaya_id", materialize: bool = True, report: bool = False) -> Chain:
     """Dedup → type → polygon (first match) → persistence → daily aggregate.
+    ``report`` adds the stage funnel from the same pass; as it counts matches of
+    all types, the points of other types are then placed as well.
 
     With ``materialize`` the (cell, region, day) summary is written as a
     Parquet table in the shared checkpoint folder: it is orders of magnitude
@@ -73,13 +77,20 @@ def detection_chain(detections: DataFrame, edges: DataFrame, dim: DataFrame,
     read it, so the shuffle of the raw detections runs once, survives
     executor loss, and downstream joins are sized from real file statistics.
     """
-    deduped = dedup_keep_first(detections, DETECTION_KEY, list(order))
-    typed = vegetation_strict(deduped) if strict_type else vegetation_or_unknown(deduped)
-    assigned = assign_region(typed, edges, region_col=region_col).drop("n_matches")
-    matched = with_grid(assigned.filter(F.col(region_col).isNotNull()))
-    summary = cell_day_summary(matched, region_col)
-    if materialize:
-        summary = materialize_table(summary, "cell-day-summary")
+    deduped = dedup_keep_first(detections, DETECTION_KEY, list(order), COPIES if report else None)
+    kind = vegetation_strict if strict_type else vegetation_or_unknown
+    assigned = assign_region(deduped if report else kind(deduped), edges, region_col=region_col)
+    funnel = None
+    if report:
+        whole = materialize_table(placed_summary(assigned, strict_type, region_col), "placed-summary")
+        funnel = funnel_of(whole, threshold, region_col)
+        summary = whole.filter(F.col(region_col).isNotNull() & F.col("type_ok")).drop("n_raw", "pairs", "type_ok")
+        assigned, deduped = kind(assigned).drop(COPIES), deduped.drop(COPIES)
+    matched = with_grid(assigned.drop("n_matches").filter(F.col(region_col).isNotNull()))
+    if not report:
+        summary = cell_day_summary(matched, region_col)
+        if materialize:
+            summary = materialize_table(summary, "cell-day-summary")
     spots = persistent_cells(summary, threshold)
     kept_cells = drop_recurring(summary, spots)
     daily = (kept_cells.groupBy(region_col, F.col("acq_date").alias("date"))
@@ -91,7 +102,7 @@ def detection_chain(detections: DataFrame, edges: DataFrame, dim: DataFrame,
     daily = daily.join(codes, region_col, "left").select(
         region_col, "wilaya_code", "date", "nb_detections", "frp_total", "frp_max", "fire_detected")
     kept = drop_recurring(matched, spots)
-    return Chain(deduped, matched, summary, spots, kept, daily)
+    return Chain(deduped, matched, summary, spots, kept, daily, funnel)
 
 
 def panel_layout(base_columns, coverage: bool = True) -> list[str]:

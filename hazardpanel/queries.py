@@ -160,6 +160,21 @@ def q_stage_funnel(spark, sf):
     return stage_funnel(fx.detections(spark, sf), fx.edges(spark, sf))
 
 
+@register("rebuild_funnel_strict", sql("""
+SELECT 'raw' AS stage, 0 AS step, count(*) AS n_rows FROM detections
+UNION ALL SELECT 'dedup', 1, count(*) FROM ded
+UNION ALL SELECT 'overlap_pairs', 2, count(*) FROM hits_all
+UNION ALL SELECT 'matched', 3, count(*) FROM assigned WHERE wilaya_id IS NOT NULL
+UNION ALL SELECT 'type_kept', 4, count(*) FROM matched_strict
+UNION ALL SELECT 'recurring_spots', 5, count(*) FROM spots_strict
+UNION ALL SELECT 'persistence_kept', 6, count(*) FROM matched_strict m
+  WHERE NOT EXISTS (SELECT 1 FROM spots_strict s WHERE s.lat_grid = m.lat_grid AND s.lon_grid = m.lon_grid)""",
+    "detections", "ded", "hits_all", "assigned", "matched_strict", "spots_strict"))
+def q_rebuild_funnel_strict(spark, sf):
+    chain = detection_chain(fx.detections(spark, sf), fx.edges(spark, sf), fx.region_dim(spark, sf), strict_type=True, report=True)
+    return chain.funnel
+
+
 @register("panel_left_join", sql("""
 SELECT g.wilaya_id, g.date, d.nb_detections, d.frp_total, d.frp_max, d.fire_detected
 FROM event_grid g LEFT JOIN daily d ON d.wilaya_id = g.wilaya_id AND d.date = g.date""",

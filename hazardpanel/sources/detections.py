@@ -57,20 +57,33 @@ def _project(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
+def _names_two(line: Column, names: Sequence[str]) -> Column:
+    """A cheap test that every header line passes and hardly a data line does: at least
+    two names of the schema stand in it.  No splitting, no pattern."""
+    hits = [line.contains(n) for n in names]
+    some = hits[0]
+    for h in hits[1:]:
+        some = some | h
+    return some & (sum(h.cast("int") for h in hits[1:]) + hits[0].cast("int") >= 2)
+
+
 def read_by_own_header(spark: SparkSession, path: str, schema: T.StructType, file_glob: str = "*.csv") -> DataFrame:
     """All CSV files matching ``path``, each read by *its own* header, projected
     by name onto ``schema``, with the file's path in ``_file``.
 
     Spark's CSV reader takes the header of one file for all of them.  So header
     lines (they name at least two columns of ``schema``; data lines name none) are
-    looked up first, and files of one layout are read together: as many scans as
-    there are layouts.  Files without a header line (empty ones) hold no rows.
+    looked up first, in the first split of each file and with a plain substring test
+    before any line is taken apart, and files of one layout are read together: each
+    file by one scan.  Files without a header line (empty ones) hold no rows.
     """
     names = F.array(*[F.lit(n) for n in schema.names])
-    lines = spark.read.option("pathGlobFilter", file_glob).text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    lines = spark.read.option("pathGlobFilter", file_glob).text(path).filter((F.col("_metadata.file_block_start") == 0) & _names_two(F.col("value"), schema.names))
+    lines = lines.select("value", F.col("_metadata.file_path").alias("_file"))
     fields = F.transform(F.split("value", ","), lambda x: F.trim(F.regexp_replace(x, '["\r\ufeff]', "")))
     headers = lines.select("_file", fields.alias("h")).filter(F.size(F.array_intersect("h", names)) >= 2).distinct()
-    # file names reach the driver, where Spark's own file listing holds them as well
+    # file names reach the driver, where Spark's own file listing holds them as well; joining every line
+    # with its file's header instead would shuffle all lines once that table is too large to broadcast
     layouts = headers.groupBy("h").agg(F.collect_set("_file").alias("files")).collect()
     out = None
     for row in sorted(layouts, key=lambda r: r["h"]):
