@@ -11,19 +11,23 @@
    the sample says that this takes all leaves, all are visited.
 4. Candidates stand in blocks of about ``BLOCK`` of one leaf, queries in blocks of
    about ``QUERIES``.  A query block meets the candidate blocks that any of its
-   queries visits; each meeting is a matrix product in double precision, and the
-   block keeps only the best found so far of each query.
+   queries visits, ``MEETINGS`` of them (about) in one task; each meeting is a matrix
+   product in double precision, and the task keeps only the best found so far of
+   each query.  The tasks' partial bests are ranked by query at the end.
 
 Nearness is the largest inner product.  Vectors (or ids) that are null, zero,
 empty, of another length than most, or hold a null or non-finite component take
 no part; a row that repeats another's id and vector counts once; rows with the
-query's id are its own; fewer candidates than asked for are all returned; an empty
+query's id are its own.  An id that several vectors carry is a candidate with each
+of them, and each of them is a query with a rank series of its own that holds
+none of the others.  Fewer candidates than asked for are all returned; an empty
 table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -44,6 +48,8 @@ BRANCH, ROUNDS, SEED = 4, 8, 3
 ROWS_PER_LEAF, LEAF = 256, 40
 #: Candidates of a block (about), queries of a block (about).
 BLOCK, QUERIES = 2048, 256
+#: Candidate blocks (about) that a query block meets in one task.
+MEETINGS = 128
 #: Rows (candidate blocks, of up to a MB) handed to a worker at a time.
 PAIRS_AT_ONCE = 8
 
@@ -136,15 +142,23 @@ def distinct(rows: DataFrame, keep: int) -> DataFrame:
     return best.groupBy("k").agg(F.first("v").alias("v"), F.sort_array(F.collect_list("id")).alias("ids"))
 
 
-def _best(scores: np.ndarray, ids: list[list], k: int) -> tuple[list, list[float]]:
-    """The k best (id, score) of one query, ties to the smaller id."""
-    if len(scores) > k:
+def _best(scores: np.ndarray, ids: list[list], k: int, each: int | None = None) -> tuple[list, list[float]]:
+    """The k best (id, score) of one query, ties to the smaller id; of one id at
+    most ``each``."""
+    if each is None and len(scores) > k:
         cut = np.partition(scores, len(scores) - k)[len(scores) - k]
         rows = np.flatnonzero(scores >= cut)
     else:
         rows = np.arange(len(scores))
-    pairs = sorted((-s, i) for r, s in zip(rows.tolist(), scores[rows].tolist()) for i in ids[r])[:k]
-    return [i for _, i in pairs], [-s for s, _ in pairs]
+    pairs = sorted((-s, i) for r, s in zip(rows.tolist(), scores[rows].tolist()) for i in ids[r])
+    if each is not None:
+        held, kept = Counter(), []
+        for pair in pairs:
+            held[pair[1]] += 1
+            if held[pair[1]] <= each:
+                kept.append(pair)
+        pairs = kept
+    return [i for _, i in pairs[:k]], [-s for s, _ in pairs[:k]]
 
 
 def exact(filed: DataFrame, queries: np.ndarray, k: int) -> list[tuple[int, int]]:
@@ -198,6 +212,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, recall: float = REC
     n = every.count()
     if not n:
         return spark.createDataFrame([], schema)
+    # a query drops the rows of its own id: of its k + own best none that it needs is missing,
+    # own being the most vectors of an id, or k where an id's best k are all that is kept of it
+    most = rows.groupBy("id").count().agg(F.max("count")).first()[0]
+    keep, each = k + min(k, most), k if most > k else None
     pick = F.pmod(F.xxhash64("k"), F.lit(1 << 30))
     some = every.filter(pick < int(min(1.0, 1.3 * SAMPLE / n) * (1 << 30))).orderBy(pick).limit(SAMPLE).select("v").collect()
     sample = np.array([r["v"] for r in some], float)
@@ -232,38 +250,48 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, recall: float = REC
     sized = filed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
     candidates = (filed.join(sized, "leaf").withColumn("part", F.pmod(F.xxhash64("ids"), F.col("parts")))
                   .groupBy("leaf", "part").agg(F.collect_list(F.struct("v", "ids")).alias("c")))
-    entry = pa.list_(pa.struct([("score", pa.float64()), ("id", pa.int64())]))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A block's queries come first, then each candidate block that some of them visit."""
-        keys, vectors, best, block = [], None, [], None
+        """A block's queries come first, then the candidate blocks of one slot that some of them visit."""
+        keys, vectors, best, at = [], None, [], None
 
         def result() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([[{"score": x, "id": i} for i, x in zip(*b)] for b in best], entry)], names=["k", "near"])
+            held = [len(ids) for ids, _ in best]
+            ids, scores = [i for ids, _ in best for i in ids], [x for _, scores in best for x in scores]
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()).take(pa.array(np.repeat(np.arange(len(keys)), held))), pa.array(scores, pa.float64()), pa.array(ids, pa.int64())], names=["k", "score", "id"])
         for b in batches:
             for i in range(b.num_rows):
-                if b.column(0)[i].as_py() != block:
+                if (b.column(0)[i].as_py(), b.column(1)[i].as_py()) != at:
                     if keys:
                         yield result()
-                    block, q = b.column(0)[i].as_py(), b.column(1).slice(i, 1).flatten()
+                    at, q = (b.column(0)[i].as_py(), b.column(1)[i].as_py()), b.column(2).slice(i, 1).flatten()
                     keys, vectors, best = q.field("k").to_pylist(), _matrix(q.field("v")), [([], [])] * len(q)
                     continue
-                c, places = b.column(2).slice(i, 1).flatten(), b.column(3)[i].as_py()
+                c, places = b.column(3).slice(i, 1).flatten(), b.column(4)[i].as_py()
                 ids = c.field("ids").to_pylist()
                 scores = vectors[places] @ _matrix(c.field("v")).T
                 for p, own in zip(places, scores):
                     old_ids, old = best[p]
-                    rows = np.flatnonzero(own >= old[-1]) if len(old) > k else np.arange(len(own))
+                    rows = np.flatnonzero(own >= old[-1]) if len(old) >= keep else np.arange(len(own))
                     if len(rows):
-                        best[p] = _best(np.concatenate((own[rows], old)), [*[ids[r] for r in rows.tolist()], *[[x] for x in old_ids]], k + 1)
+                        best[p] = _best(np.concatenate((own[rows], old)), [*[ids[r] for r in rows.tolist()], *[[x] for x in old_ids]], keep, each)
         if keys:
             yield result()
 
-    pairs = sent.join(candidates, "leaf").select("block", F.lit(None).cast(matrix.schema["q"].dataType).alias("q"), "c", "places", "leaf")
-    heads = matrix.select("block", "q", F.lit(None).cast(candidates.schema["c"].dataType).alias("c"), F.lit(None).cast("array<int>").alias("places"), F.lit(-1).cast("long").alias("leaf"))
-    dealt = heads.unionByName(pairs).repartition(shuffle_width(spark), "block").sortWithinPartitions("block", "leaf").drop("leaf")
+    # a block's meetings are dealt over slots by candidate block, its queries go to each of them
+    slots = -(-int(sized.agg(F.sum("parts")).first()[0]) // MEETINGS)
+    slot = F.pmod(F.xxhash64("leaf", "part"), F.lit(slots))
+    pairs = sent.join(candidates, "leaf").select("block", slot.alias("slot"), F.lit(None).cast(matrix.schema["q"].dataType).alias("q"), "c", "places", "leaf")
+    heads = matrix.select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))).alias("slot"), "q", F.lit(None).cast(candidates.schema["c"].dataType).alias("c"),
+                          F.lit(None).cast("array<int>").alias("places"), F.lit(-1).cast("long").alias("leaf"))
+    dealt = heads.unionByName(pairs).repartition(shuffle_width(spark), "block", "slot").sortWithinPartitions("block", "slot", "leaf").drop("leaf")
     with rows_at_once(spark, PAIRS_AT_ONCE):
-        top = materialize(dealt.mapInArrow(merge, "k string, near array<struct<score: double, id: long>>"), "vectors-near")
+        found = materialize(dealt.mapInArrow(merge, "k string, score double, id long"), "vectors-near")
+    nearest_first = lambda *key: F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("score"), "id"))
+    if each is not None:
+        found = found.withColumn("r", nearest_first("k", "id")).filter(F.col("r") <= each).drop("r")
+    top = (found.withColumn("r", nearest_first("k")).filter(F.col("r") <= keep)
+           .groupBy("k").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "score", "id"))), lambda e: F.struct(e["score"].alias("score"), e["id"].alias("id"))).alias("near")))
     own = members.join(top, "k").select(F.col("id").alias("query_id"), F.slice(F.filter("near", lambda e: e["id"] != F.col("id")), 1, k).alias("near"))
     return own.select("query_id", F.posexplode("near").alias("pos", "e")).select(
         "query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("e.id").alias("vec_id"), F.col("e.score").alias("score"))

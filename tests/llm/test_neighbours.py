@@ -56,6 +56,28 @@ def test_all_leaves_are_exact_with_copies_and_ties(spark, block, monkeypatch):
     assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
 
 
+@pytest.mark.parametrize("copies", [2, 7])
+def test_ids_that_several_vectors_carry(spark, copies, monkeypatch):
+    """Every vector of a repeated id finds all of its k, in tasks of one meeting each."""
+    monkeypatch.setattr(N, "BLOCK", 5)
+    monkeypatch.setattr(N, "MEETINGS", 3)
+    monkeypatch.setattr(N, "ROWS_PER_LEAF", 20)
+    monkeypatch.setattr(N, "LEAF", 5)
+    v = np.random.default_rng(8).integers(1, 50, (60, 4)).astype(float)
+    rows = [(int(i), v[i].tolist()) for i in range(60)] + [(20, (v[20] + n).tolist()) for n in range(1, copies)] + [(33, (v[33] * n).tolist()) for n in range(2, copies + 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in N.search(df, F.col("id") % 20 == 0, k=5, recall=1.0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    want = {}
+    for q, a in rows:
+        if q % 20 == 0:
+            near = sorted((-float(np.dot(a, b)), i) for i, b in rows if i != q)[:5]
+            want.setdefault(q, []).extend((n + 1, i, -s) for n, (s, i) in enumerate(near))
+    assert {q: sorted(x) for q, x in got.items()} == {q: sorted(x) for q, x in want.items()}
+    assert len(got[20]) == 5 * copies
+
+
 def test_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert collect(N.search(df, F.col("id") % 20 == 0)) == {0: [(1, 0.5), (2, 0.0)]}
