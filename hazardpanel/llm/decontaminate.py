@@ -15,10 +15,13 @@ Everything is DataFrame expressions.  The sketches are written to the shared
 folder first, so that the optimizer knows their size: a small benchmark is
 broadcast under the session's threshold, a large one is joined by hash.
 
-Words are runs of letters, marks and digits of the lower-cased text.  Null or
-shorter texts and items under five words have no shingle and take no part;
-repeated rows give one pair for the id; an empty table on either side gives an
-empty result; other columns are ignored.
+Words are runs of letters, marks and digits of the lower-cased text; in scripts
+written without spaces (``UNSPACED``) each character is a word.  An item under
+five words is one shingle, its whole sequence, and is looked up among the
+documents' word sequences of that length; the lengths that the items have (four
+at most) decide which of them documents are cut into.  Texts and items without
+any word take no part; repeated rows give one pair for the id; an empty table on
+either side gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,14 +35,19 @@ WORDS = 5
 THRESHOLD = 0.8
 
 
+# fixed values: Unicode scripts written without spaces between words
+UNSPACED = ["Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"]
+
+
 def words(text):
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))
+    apart = F.regexp_replace(F.lower(text), "([" + "".join(rf"\p{{Is{s}}}" for s in UNSPACED) + "])", " $1 ")
+    return F.regexp_extract_all(apart, F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))
 
 
 def _shingled(w: str, n: int, build) -> F.Column:
-    """Array of ``build`` applied to each n successive words of column ``w``."""
-    at = F.sequence(F.lit(0), F.size(w) - n)
-    return F.when(F.size(w) >= n, F.transform(at, lambda i: build([F.get(F.col(w), i + k) for k in range(n)])))
+    """Array of ``build`` applied to each n successive words of column ``w``, empty for fewer words."""
+    at = F.when(F.size(w) >= n, F.sequence(F.lit(0), F.size(w) - n)).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: build([F.get(F.col(w), i + k) for k in range(n)]))
 
 
 def hashes(w: str, n: int = WORDS):
@@ -50,6 +58,18 @@ def shingles(w: str, n: int = WORDS):
     return F.array_distinct(_shingled(w, n, lambda x: F.concat_ws(" ", *x)))
 
 
+def _whole_if_short(w: str, cut) -> F.Column:
+    """``cut`` (hashes or shingles) of an item: one of its whole sequence under five words."""
+    out = cut(w)
+    for n in range(1, WORDS):
+        out = F.when(F.size(w) == n, cut(w, n)).otherwise(out)
+    return out
+
+
+def _of_lengths(w: str, cut, lengths: list[int]) -> F.Column:
+    return F.concat(*[cut(w, n) for n in lengths])
+
+
 def sketch(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(item_id, h): per item the smallest hashes that its partition asks for."""
     sized = items.withColumn("n", F.size("shingles")).withColumn("upper", F.pow(F.lit(2), F.floor(F.log2("n")) + 1) - 1)
@@ -63,18 +83,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """(doc_id, text_hash, item_id, n_shingles, n_shared, containment) of every document
     that holds at least ``threshold`` of an item's shingles."""
     items = materialize(
-        benchmark.select(F.col(item_id).alias("item_id"), words(F.col(item_text)).alias("w")).filter(F.size("w") >= WORDS)
-        .select("item_id", hashes("w").alias("hashes"), shingles("w").alias("shingles")), "benchmark-items")
+        benchmark.select(F.col(item_id).alias("item_id"), words(F.col(item_text)).alias("w")).filter(F.size("w") > 0)
+        .select("item_id", F.least(F.size("w"), F.lit(WORDS)).alias("length"), _whole_if_short("w", hashes).alias("hashes"), _whole_if_short("w", shingles).alias("shingles")), "benchmark-items")
+    lengths = sorted({WORDS, *(r[0] for r in items.select("length").distinct().collect())})     # five values at most
     sketches = materialize(sketch(items, threshold), "benchmark-sketches")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
     found = (rows.select("doc_id", "text_hash", words(F.col("text")).alias("w"))
-             .select("doc_id", "text_hash", F.explode(hashes("w")).alias("h")).join(sketches, "h")
+             .select("doc_id", "text_hash", F.explode(_of_lengths("w", hashes, lengths)).alias("h")).join(sketches, "h")
              .select("doc_id", "text_hash", "item_id").distinct())
     pairs = materialize(found, "benchmark-candidates")
     asked = pairs.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).distinct()
     texts = (rows.join(asked, rows["doc_id"].eqNullSafe(asked["d"]) & (rows["text_hash"] == asked["t"]), "left_semi")
              .select("doc_id", "text_hash", words(F.col("text")).alias("w"))
-             .select("doc_id", "text_hash", shingles("w").alias("held")).dropDuplicates(["doc_id", "text_hash"]))
+             .select("doc_id", "text_hash", _of_lengths("w", shingles, lengths).alias("held")).dropDuplicates(["doc_id", "text_hash"]))
     joined = (pairs.withColumnsRenamed({"doc_id": "d", "text_hash": "t"})
               .join(texts, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_hash")))
               .join(items.select(F.col("item_id").alias("i"), "shingles"), F.col("item_id").eqNullSafe(F.col("i"))))

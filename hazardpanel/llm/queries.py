@@ -56,12 +56,15 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op4_decontaminate"] = r"""
-WITH words AS (
-  SELECT doc_id, NULL AS item_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS w FROM documents
-  UNION ALL
-  SELECT NULL, item_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') FROM benchmark),
-places AS (SELECT doc_id, item_id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5),
-shingles AS (SELECT DISTINCT doc_id, item_id, array_to_string(w[i:i + 4], ' ') AS s FROM places),
+WITH texts AS (SELECT doc_id, NULL AS item_id, text FROM documents UNION ALL SELECT NULL, item_id, text FROM benchmark),
+words AS (
+  SELECT doc_id, item_id, regexp_extract_all(regexp_replace(lower(text),
+         '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'), '[\p{L}\p{M}\p{N}]+') AS w FROM texts),
+lengths AS (SELECT DISTINCT least(len(w), 5) AS n FROM words WHERE doc_id IS NULL AND len(w) > 0),
+places AS (
+  SELECT doc_id, item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words JOIN lengths ON len(w) >= n
+  WHERE doc_id IS NOT NULL OR n = least(len(w), 5)),
+shingles AS (SELECT DISTINCT doc_id, item_id, array_to_string(w[i:i + n - 1], ' ') AS s FROM places),
 items AS (SELECT item_id, s, count(*) OVER (PARTITION BY item_id) AS n_shingles FROM shingles WHERE doc_id IS NULL),
 shared AS (
   SELECT d.doc_id, i.item_id, i.n_shingles, count(*) AS n_shared
