@@ -8,8 +8,6 @@ sums keep ROC-AUC exact; other metrics are rounded at ``digits``.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +15,7 @@ from pyspark.sql import functions as F
 from hazardpanel.functions.scalar import round_half_even
 from hazardpanel.operators.joins import dimension
 from hazardpanel.operators.prefix import running_totals
+from hazardpanel.operators.quantiles import exact_quantiles
 from hazardpanel.operators.windows import topk_per_group
 
 
@@ -70,34 +69,6 @@ def base_metrics(df: DataFrame, label: str = "y") -> DataFrame:
                   (F.sum(F.col(label).cast("long")).cast("double") / F.count(F.lit(1))).alias("base_rate"))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float]:
-    """Exact linear-interpolation quantiles (the pandas/DuckDB ``quantile_cont``).
-
-    Distinct values with counts are accumulated in order (distributed), and
-    only the few rows holding the needed order statistics reach the driver.
-    """
-    g = df.filter(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).groupBy(F.col(col).cast("double").alias("_v")) \
-          .agg(F.count(F.lit(1)).alias("c"))
-    n = g.agg(F.sum("c")).first()[0]
-    if not n:
-        return []
-    pos = [(n - 1) * float(q) for q in probs]
-    need = sorted({int(math.floor(p)) for p in pos} | {int(math.ceil(p)) for p in pos})
-    r = running_totals(g, "_v", ["c"])
-    arr = F.array(*[F.lit(i).cast("long") for i in need])
-    hit = r.select("_v", F.explode(F.filter(arr, lambda i: ((F.col("cum_c") - F.col("c")) <= i)
-                                            & (i < F.col("cum_c")))).alias("i"))
-    at = {int(row["i"]): float(row["_v"]) for row in hit.collect()}
-    out = []
-    for p in pos:
-        lo, hi = int(math.floor(p)), int(math.ceil(p))
-        if lo == hi:
-            out.append(at[lo])
-        else:
-            out.append(at[lo] + (at[hi] - at[lo]) * (p - lo))
-    return out
-
-
 def quantile_bins(df: DataFrame, col: str, q: int = 10, out: str = "bin") -> DataFrame:
     """``qcut(x, q, labels=False, duplicates='drop')``: right-closed bins on
     exact quantile edges, duplicate edges dropped, lowest value in bin 0."""
