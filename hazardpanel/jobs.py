@@ -28,7 +28,7 @@ from hazardpanel.operators.dims import official_code_mapping
 from hazardpanel.plans.rebuild import forest_panel, refresh_spot_list
 from hazardpanel.plans.refresh import daily_refresh
 from hazardpanel.plans.regions import build_region_dim
-from hazardpanel.sources import sinks
+from hazardpanel.sources import committed, sinks
 from hazardpanel.sources.detections import read_detections
 from hazardpanel.sources.geojson import read_features
 
@@ -115,25 +115,45 @@ def job_spots(spark: SparkSession, feeds_glob: str, out: str) -> DataFrame:
     return refresh_spot_list(spark, feeds_glob, out, source_regex=r"([^/]+)/[^/]+$")
 
 
+def job_add_feed(spark: SparkSession, store: str, feed: str, name: str) -> int:
+    """Take one landed feed into the stored spot list below ``store``."""
+    from hazardpanel.plans.spots import update_spot_list
+    return update_spot_list(spark, store, name, _feeds(spark, [feed]))
+
+
+def stored_table(spark: SparkSession, path: str):
+    """A stored table, committed or plain Parquet."""
+    return committed.read(spark, path) if committed.versions(spark, path) else spark.read.parquet(path)
+
+
+def replace_in_place(spark: SparkSession, path: str, new) -> None:
+    """Replace the stored days from the first new one on: one commit on a committed table."""
+    from hazardpanel.plans.refresh import commit_window_replace, write_window_replace
+    if committed.versions(spark, path):
+        commit_window_replace(spark, path, new)
+        committed.vacuum(spark, path)
+    else:
+        write_window_replace(spark, path, new)
+
+
 def job_refresh(spark: SparkSession, frozen: str, stored_daily: str, feeds, weather: str,
                 regions: str, spots: str, out: str, as_of: str | None = None, in_place: bool = False):
     """Refresh of the current period from the feeds' last ``LOOKBACK_DAYS`` days
     before ``as_of`` (default: today); older rows of the feeds are not used, so
     the replaced window never starts earlier.  Writes ``out``/daily and
     ``out``/current_panel, or with ``in_place`` rewrites the changed days of a
-    ``stored_daily`` table that is partitioned by date."""
+    ``stored_daily`` table: a committed one, or plain Parquet partitioned by date."""
     import datetime as dt
 
     from hazardpanel.functions.dates import lookback_starts
-    from hazardpanel.plans.refresh import write_window_replace
     today = F.to_date(F.lit(as_of or dt.date.today().isoformat()))
     det = _feeds(spark, feeds).filter((F.col("acq_date") >= F.array_min(lookback_starts(today))) & (F.col("acq_date") <= today))
-    res = daily_refresh(spark.read.parquet(frozen), spark.read.parquet(stored_daily), det,
+    res = daily_refresh(spark.read.parquet(frozen), stored_table(spark, stored_daily), det,
                         spark.read.parquet(weather), spark.read.parquet(f"{regions}/edges"),
-                        spark.read.parquet(f"{regions}/regions"), spark.read.parquet(spots))
+                        spark.read.parquet(f"{regions}/regions"), stored_table(spark, spots))
     sinks.write_parquet_by_year(res.panel, f"{out}/current_panel")
     if in_place:
-        write_window_replace(spark, stored_daily, res.new_daily)
+        replace_in_place(spark, stored_daily, res.new_daily)
     else:
         # a new folder: the stored table is read lazily by the same job
         res.daily.write.mode("overwrite").parquet(f"{out}/daily")
@@ -207,6 +227,9 @@ def main(argv=None) -> None:
     w.add_argument("--regions", required=True); w.add_argument("--out", required=True)
     w.add_argument("--batch-size", type=int, default=29)
     c = sub.add_parser("spots"); c.add_argument("--feeds-glob", required=True); c.add_argument("--out", required=True)
+    f = sub.add_parser("add-feed")
+    for k in ("store", "feed", "name"):
+        f.add_argument(f"--{k}", required=True)
     d = sub.add_parser("refresh")
     for k in ("frozen", "stored-daily", "weather", "regions", "spots", "out"):
         d.add_argument(f"--{k}", required=True)
@@ -231,6 +254,8 @@ def main(argv=None) -> None:
         job_weather(spark, args.payloads, args.regions, args.out, args.batch_size, args.region_files)
     elif args.job == "spots":
         job_spots(spark, args.feeds_glob, args.out)
+    elif args.job == "add-feed":
+        job_add_feed(spark, args.store, args.feed, args.name)
     elif args.job == "refresh":
         job_refresh(spark, args.frozen, args.stored_daily, args.feed, args.weather, args.regions,
                     args.spots, args.out, args.as_of, args.in_place)

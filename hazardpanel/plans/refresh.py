@@ -5,6 +5,8 @@
   the first new day on; older rows stay; rows before the period start go (H1);
 * ``write_window_replace``: the same on a date-partitioned table, touching
   only the partitions from the window start on (dynamic overwrite);
+* ``commit_window_replace``: the same on a committed table, where readers see the
+  days before or after the change and nothing between;
 * ``current_panel``: the period's dense panel with coverage constant true (H7);
 * ``rolling_archive``: append, keep the last issue per key, retain N days (H8).
 """
@@ -20,6 +22,7 @@ from hazardpanel.constants import FORECAST_RETENTION_DAYS
 from hazardpanel.operators.dedup import dedup_keep_last
 from hazardpanel.operators.panel import fixed_layout, fuse_panel
 from hazardpanel.session import materialize
+from hazardpanel.sources import committed
 
 
 def next_period_start(frozen: DataFrame, date_col: str = "date") -> DataFrame:
@@ -71,6 +74,25 @@ def write_window_replace(spark: SparkSession, path: str, new: DataFrame,
     return path
 
 
+def commit_window_replace(spark: SparkSession, path: str, new: DataFrame, window_start: dt.date | None = None,
+                          period_start: dt.date | None = None, date_col: str = "date") -> int | None:
+    """``window_replace`` on a committed table (created by the first call): the new days
+    are staged, then one commit puts them in place of all stored days from the window
+    start on and drops those before ``period_start``.  Without new rows (and no
+    ``window_start``) nothing is replaced.  Returns the commit's number."""
+    new = materialize(new, "window-replace")       # computed once, read by the minimum and the write
+    if window_start is None:
+        window_start = _scalar_min(new, date_col)
+        if window_start is None:
+            return committed.latest(spark, path)[0] or None
+    if period_start is not None:
+        new = new.filter(F.col(date_col) >= F.lit(period_start).cast("date"))
+
+    def gone(day: str) -> bool:
+        return not day[:1].isdigit() or dt.date.fromisoformat(day) >= window_start or (period_start is not None and dt.date.fromisoformat(day) < period_start)
+    return committed.replace(spark, path, new, date_col, drop=gone)
+
+
 def current_panel(weather: DataFrame, daily: DataFrame, dim: DataFrame,
                   region_col: str = "wilaya_id") -> DataFrame:
     """Current-period panel: left join, zero-fill, dimension, coverage true."""

@@ -224,6 +224,28 @@ def q_recurring_spot_table(spark, sf):
     return refresh_spot_list(spark, f"{root}/*/feed=*", scratch_path(spark, "spot-list"), schema=FEED_SCHEMA)
 
 
+@register("spot_list_incremental", sql("""
+SELECT s.step, lat_grid, lon_grid, count(DISTINCT acq_date) AS n_days_detected
+FROM (SELECT *, """ + rd("latitude") + """ AS lat_grid, """ + rd("longitude") + """ AS lon_grid,
+             2 * CASE satellite WHEN 'N' THEN 0 WHEN 'N20' THEN 1 ELSE 2 END + pri + 1 AS place FROM detections) d
+JOIN (SELECT CAST(unnest(range(1, 7)) AS INTEGER) AS step) s ON d.place <= s.step
+WHERE type = 0 OR type IS NULL
+GROUP BY s.step, lat_grid, lon_grid HAVING count(DISTINCT acq_date) > 15""", "detections"))
+def q_spot_list_incremental(spark, sf):
+    """The list after each of the feeds, every feed read once."""
+    from hazardpanel.plans.spots import read_spot_list, update_spot_list
+    root, sources = landing.land_detection_feeds(spark, sf)
+    store, after = scratch_path(spark, "spot-store"), []
+    for step, (feed, _) in enumerate(sources[:6], 1):
+        raw = src.scan_glob(spark, feed, FEED_SCHEMA, source_regex=r"feed=([^/]+)/")
+        version = update_spot_list(spark, store, feed.rpartition("=")[2], raw)
+        after.append(read_spot_list(spark, store, version).withColumn("step", F.lit(step)))
+    out = after[0]
+    for df in after[1:]:
+        out = out.unionByName(df)
+    return out
+
+
 @register("spot_anti_join_static", sql(f"""
 SELECT {DET_COLS}, wilaya_id, lat_grid, lon_grid FROM matched m
 WHERE NOT EXISTS (SELECT 1 FROM spots_static s WHERE s.lat_grid = m.lat_grid AND s.lon_grid = m.lon_grid)""",
@@ -261,6 +283,20 @@ def q_window_replace(spark, sf):
     return _replaced(spark, sf).daily
 
 
+@register("window_replace_atomic", sql("SELECT * FROM replaced", "replaced"))
+def q_window_replace_atomic(spark, sf):
+    """The same on a stored table: staged days and one commit."""
+    from hazardpanel.plans.refresh import commit_window_replace, lookback_daily
+    from hazardpanel.sources import committed
+    det, edges, dim, as_of = _refresh_inputs(spark, sf)
+    frozen = fx.weather(spark, sf).filter(F.col("date") < F.lit(as_of - dt.timedelta(days=20)))
+    spots, path = _stored_spots(spark, sf), scratch_path(spark, "committed-daily")
+    commit_window_replace(spark, path, lookback_daily(det.filter(F.col("pri") == 1), edges, dim, spots, ["event_id"]))
+    new = lookback_daily(det.filter(F.col("acq_date") >= F.lit(as_of - dt.timedelta(days=14))), edges, dim, spots)
+    commit_window_replace(spark, path, new, period_start=next_period_start(frozen).first()[0])
+    return committed.read(spark, path)
+
+
 @register("daily_refresh", sql(panel_sql("replaced", "true", "WHERE w.date >= (SELECT period_start FROM params)"),
                                "weather", "replaced", "region_dim", "params"))
 def q_daily_refresh(spark, sf):
