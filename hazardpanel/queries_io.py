@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from hazardpanel import fixtures as fx
 from hazardpanel import landing
+from hazardpanel.operators.panel import dense_grid
 from hazardpanel.operators.persistence import drop_recurring, recurring_spot_table
 from hazardpanel.operators.spatial import polygon_measures
 from hazardpanel.oracle import VIEWS, panel_sql, rd, sql
@@ -198,6 +199,23 @@ def q_union_frozen_current(spark, sf):
                                       sinks.read_parquet_table(spark, current))
 
 
+@register("panel_left_join_bucketed", sql("""
+SELECT g.wilaya_id, g.date, d.nb_detections, d.frp_total, d.frp_max, d.fire_detected
+FROM event_grid g LEFT JOIN daily d ON d.wilaya_id = g.wilaya_id AND d.date = g.date""",
+    "event_grid", "daily"))
+def q_panel_left_join_bucketed(spark, sf):
+    """The dense grid and the daily table stored alike, then joined without a shuffle."""
+    det, edges, dim = fx.detections(spark, sf), fx.edges(spark, sf), fx.region_dim(spark, sf)
+    keys, buckets = ["wilaya_id", "date"], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = {"grid": dense_grid(dim, "wilaya_id", det.select(F.col("acq_date").alias("date"))),
+              "daily": detection_chain(det, edges, dim).daily.drop("wilaya_code")}
+    for name, df in stored.items():
+        path = scratch_path(spark, f"bucketed-{name}")
+        stored[name] = sinks.write_bucketed(df, path.rpartition("/")[2].replace("-", "_"), path, keys, buckets)
+    return sinks.join_bucketed(stored["grid"], stored["daily"], keys).select(
+        "wilaya_id", "date", "nb_detections", "frp_total", "frp_max", "fire_detected")
+
+
 # ---------------------------------------------------------------- geometry
 @register("polygon_area", sql("SELECT wilaya_id, area_km2 FROM measures", "measures"))
 def q_polygon_area(spark, sf):

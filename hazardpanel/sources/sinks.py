@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,3 +42,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def union_frozen_current(frozen: DataFrame, current: DataFrame) -> DataFrame:
     """Frozen history and the current period as one table (same columns)."""
     return frozen.unionByName(current, allowMissingColumns=True)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int, mode: str = "overwrite") -> DataFrame:
+    """Store ``df`` as a table bucketed and sorted by ``keys``, one file per bucket and write.
+
+    The one shuffle is paid here: joins and groupings by all of ``keys`` between
+    tables of the same keys and number of buckets need none.  Rows appended later
+    (``mode="append"``, same keys and buckets) keep that."""
+    (df.repartition(buckets, *keys).sortWithinPartitions(*keys).write.format("parquet").mode(mode)
+       .bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
+def join_bucketed(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join two tables of ``write_bucketed`` bucket by bucket; the hint keeps a side
+    that is small today from being copied to every task instead."""
+    return left.join(right.hint("merge"), list(keys), how)
