@@ -40,7 +40,9 @@ UNSPACED = ["Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"]
 
 
 def words(text):
-    apart = F.regexp_replace(F.lower(text), "([" + "".join(rf"\p{{Is{s}}}" for s in UNSPACED) + "])", " $1 ")
+    # all of these scripts begin at U+0E00: one comparison settles most characters
+    unspaced = r"([[^\x{0}-\x{DFF}]&&[" + "".join(rf"\p{{Is{s}}}" for s in UNSPACED) + "]])"
+    apart = F.regexp_replace(F.lower(text), unspaced, " $1 ")
     return F.regexp_extract_all(apart, F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))
 
 

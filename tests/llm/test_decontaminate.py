@@ -22,7 +22,7 @@ def sh(t):
 def held(t, of):
     """Those of an item's shingles that a document holds."""
     w = cut(t)
-    return {s for s in of if any(tuple(w[i:i + len(s)]) == s for i in range(len(w) - len(s) + 1))}
+    return of & {tuple(w[i:i + n]) for n in {len(s) for s in of} for i in range(len(w) - n + 1)}
 
 
 def make(rng):
@@ -67,7 +67,8 @@ def test_twin_on_short_items(spark, tmp_path):
     import duckdb
     from hazardpanel.llm.queries import ORACLE, QUERIES
     docs, items = make(random.Random(6))
-    docs, items = [d for d in dict(docs).items() if d[0] is not None], [i for i in dict(items).items() if i[0] is not None]
+    # without the very long text: the twin copies a text's words for each of its places
+    docs, items = [d for d in dict(docs).items() if d[0] not in (None, 202)], [i for i in dict(items).items() if i[0] is not None]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     con = duckdb.connect()
