@@ -53,6 +53,7 @@ LENGTH = 100
 GRAM = 32
 CHUNK = 8 << 20             # bytes of text in a chunk; also what a bucket is sized by
 STEP = 1 << 20              # windows handled at a time
+SUFFIXES = 1 << 15          # suffixes compared at a time
 HOT = 4096                  # frames of one k-gram that a bucket takes; those of others are dealt window by window
 _RNG = np.random.default_rng(20240501)
 _BYTE = _RNG.integers(0, 2**64, (3, 256), dtype=np.uint64)          # random value of each byte, for three hashes
@@ -210,39 +211,53 @@ def intervals(lcp: list[int], left: list[int], least: int) -> Iterator[tuple[int
             raise AssertionError("the stack holds only intervals of at least the least length")
 
 
+def _whole_keys(key: np.ndarray, weight: np.ndarray, most: int) -> Iterator[slice]:
+    """Successive parts of rows sorted by ``key`` of at most ``most`` in weight, no
+    key cut in two (one heavier key is a part of its own)."""
+    end = np.flatnonzero(np.concatenate((key[1:] != key[:-1], [True]))) + 1
+    total = np.concatenate((np.cumsum(weight), [0]))[end - 1]
+    at = done = 0
+    while at < len(key):
+        k = max(int(np.searchsorted(total, done + most, side="right")) - 1, int(np.searchsorted(end, at, side="right")))
+        yield slice(at, int(end[k]))
+        at, done = int(end[k]), int(total[k])
+
+
 def maximal_repeats(text: np.ndarray, begin: np.ndarray, size: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(length, frame, offset in the frame) of the occurrences of each maximal
     repeat of different frames."""
     count = size - length + 1
-    frame = np.repeat(np.arange(len(size)), count)
-    offset = np.arange(len(frame)) - np.repeat(np.cumsum(count) - count, count)
-    start = begin[frame] + offset
-    # a suffix whose first bytes occur once is in no interval
-    first, _ = content_hashes(text, start, np.full(len(start), length))
+    frame = np.repeat(np.arange(len(size), dtype=np.int32), count)
+    offset = (np.arange(len(frame)) - np.repeat(np.cumsum(count) - count, count)).astype(np.int32)
+    # a suffix whose first bytes occur once is in no interval, and only those of equal first bytes share one
+    first, _ = content_hashes(text, begin[frame] + offset, np.full(len(frame), length))
     order = np.argsort(first, kind="stable")
-    same = first[order][1:] == first[order][:-1]
-    again = np.zeros(len(start), bool)
-    again[order[1:][same]] = again[order[:-1][same]] = True
-    frame, offset, start = frame[again], offset[again], start[again]
-    if not len(start):
-        return
+    first = first[order]
+    same = first[1:] == first[:-1]
+    again = np.zeros(len(order), bool)
+    again[1:] = same
+    again[:-1] |= same
+    order, first = order[again], first[again]
+    padded = np.concatenate((text, np.zeros(int(size.max()) if len(size) else 0, np.uint8)))
+    for part in _whole_keys(first, np.ones(len(first), np.int64), SUFFIXES):
+        rows = order[part]
+        yield from _repeats_of(padded, begin, size, frame[rows], offset[rows], length)
+
+
+def _repeats_of(padded: np.ndarray, begin: np.ndarray, size: np.ndarray, frame: np.ndarray, offset: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Maximal repeats among some suffixes: sorted, compared with their neighbours, scanned."""
     rest = size[frame] - offset
     wide = int(rest.max())
     reach = np.arange(wide)
-    padded = np.concatenate((text, np.zeros(wide, np.uint8)))
-    suffix = padded[start[:, None] + reach]
+    suffix = padded[(begin[frame] + offset)[:, None] + reach]
     suffix[reach >= rest[:, None]] = 0
     order = np.argsort(suffix.view(f"V{wide}").ravel(), kind="stable")
     suffix, rest, frame, offset = suffix[order], rest[order], frame[order], offset[order]
-    lcp = np.zeros(len(order), np.int64)
-    for a in range(1, len(order), 1 << 16):
-        b = min(a + (1 << 16), len(order))
-        differ = suffix[a:b] != suffix[a - 1:b - 1]
-        common = np.where(differ.any(1), differ.argmax(1), wide)
-        lcp[a:b] = np.minimum(common, np.minimum(rest[a:b], rest[a - 1:b - 1]))
-    del suffix
-    left = np.where(offset > 0, text[begin[frame] + offset - 1].astype(np.int64), -1)
+    differ = suffix[1:] != suffix[:-1]
+    common = np.where(differ.any(1), differ.argmax(1), wide)
+    lcp = np.concatenate(([0], np.minimum(common, np.minimum(rest[1:], rest[:-1]))))
     lcp[lcp < length] = 0
+    left = np.where(offset > 0, padded[begin[frame] + offset - 1].astype(np.int64), -1)
     for depth, lo, hi in intervals(lcp.tolist(), left.tolist(), length):
         yield depth, frame[lo:hi + 1], offset[lo:hi + 1]
 
@@ -329,7 +344,7 @@ def recurring(chunks: DataFrame, buckets: int) -> DataFrame:
             held = load(data)
             found, distinct, _, edge = _grams_of(held, buckets)
             count = _frame_counts(found, held[4], distinct)
-            rows = [(k, chunk, distinct[edge[k]:edge[k + 1]].tobytes() + count[edge[k]:edge[k + 1]].tobytes()) for k in range(buckets) if edge[k] < edge[k + 1]]
+            rows = [(k, chunk, distinct[edge[k]:edge[k + 1]].tobytes() + count[edge[k]:edge[k + 1]].tobytes()) for k in np.flatnonzero(np.diff(edge)).tolist()]
             if rows:
                 yield _batch(_KEYED, rows)
 
@@ -514,13 +529,16 @@ def groups(b: Bucket, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray
     lead = order[first]
     _, inverse, count = np.unique(b.gram[lead], return_inverse=True, return_counts=True)
     pick = np.flatnonzero(count[inverse] > 1)
-    if len(pick):
-        rows = lead[pick]
-        for depth, frame, offset in maximal_repeats(b.text, b.begin[rows], b.size[rows], length):
+    for part in _whole_keys(b.gram[lead[pick]], b.size[lead[pick]], STEP):
+        kinds = pick[part]
+        rows = lead[kinds]
+        size = b.size[rows]
+        text = gather(b.text, b.begin[rows], size)
+        for depth, frame, offset in maximal_repeats(text, np.cumsum(size) - size, size, length):
             # the same string, and more places of it than the equal frames are
-            whole[pick[frame[(offset == 0) & (b.size[rows[frame]] == depth)]]] = False
-            sizes = many[pick[frame]]
-            members = order[np.repeat(first[pick[frame]], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)]
+            whole[kinds[frame[(offset == 0) & (size[frame] == depth)]]] = False
+            sizes = many[kinds[frame]]
+            members = order[np.repeat(first[kinds[frame]], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)]
             yield depth, members, np.repeat(offset, sizes)
     for k in np.flatnonzero(whole):
         members = order[first[k]:first[k] + many[k]]

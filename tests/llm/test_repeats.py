@@ -1,7 +1,10 @@
 """Repeats against brute force over all windows."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -173,3 +176,44 @@ def test_groups_have_the_copies_of_a_chunk(spark, parts):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert R.remove_repeats(docs).collect() == [] and R.repeat_groups(docs).collect() == []
+
+
+def test_slices_of_suffixes_and_grams_change_nothing(monkeypatch):
+    rng = np.random.default_rng(6)
+    b = near_copies(rng, passages=12, variants=9)
+    found = lambda: sorted((d, tuple(sorted(zip(m.tolist(), o.tolist())))) for d, m, o in R.groups(b, 100))
+    whole = found()
+    assert len(whole) > 50
+    monkeypatch.setattr(R, "SUFFIXES", 5)
+    assert found() == whole
+    monkeypatch.setattr(R, "STEP", 2000)
+    assert found() == whole
+
+
+def near_copies(rng, passages, variants):
+    """A bucket of frames: variants of passages around one anchor each, few bytes changed."""
+    text, gram = [], []
+    for p in range(passages):
+        base = rng.integers(97, 123, 168).astype(np.uint8)
+        for _ in range(variants):
+            own = base.copy()
+            at = rng.integers(0, 60, 2)
+            own[at] = rng.integers(97, 123, 2)
+            text.append(own)
+            gram.append(p)
+    n, size = len(gram), np.full(len(gram), 168, np.int64)
+    return R.Bucket(np.array(gram, np.uint64), np.zeros(n, np.int64), np.arange(n), np.zeros(n, np.int64), size, np.arange(n), np.arange(n),
+                    np.zeros(n, bool), np.concatenate(text), np.cumsum(size) - size)
+
+
+def test_memory_of_a_bucket_of_near_copies():
+    code = """
+import resource, numpy as np
+from tests.llm.test_repeats import R, near_copies
+b = near_copies(np.random.default_rng(1), 1600, 30)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+n = sum(1 for _ in R.groups(b, 100))
+print(n, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=os.path.dirname(R.__file__) + "/../..").stdout.split()
+    assert int(out[0]) > 1600 and int(out[1]) < 250
