@@ -39,9 +39,12 @@ LEAST = 100
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = bytes.fromhex("1f8b08000000000000ff0300" + "00" * 8)      # an empty gzip member
+LINES = b"\r\n\r\n"         # what stands after each record
 CHUNK = 4 << 20
 UNSAFE = re.compile("[\x00-\x20\x7f]")
-RECORDS_PER_FILE = 20_000
+ROW_BYTES = 1 << 20         # records that the writer gets as one row
+ROWS_PER_FILE = 128         # an archive closes after 128 MB of records (or as many longer ones)
+RECORDS_AT_ONCE = 4096
 
 
 def packed_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -87,18 +90,28 @@ def record(page: dict, date: str) -> bytes:
     return "\r\n".join(lines).encode() + block
 
 
-def write_monolithic(pages: DataFrame, path: str, date: str = DATE, **columns) -> None:
-    """A record per row of ``pages``; each file below ``path`` is one gzip stream."""
+def write_monolithic(pages: DataFrame, path: str, date: str = DATE, rows_per_file: int = ROWS_PER_FILE, row_bytes: int = ROW_BYTES, **columns) -> None:
+    """A record per row of ``pages``; each file below ``path`` is one gzip stream.
+    The writer counts rows, so records are joined to rows of about ``row_bytes`` and a
+    file closes by the bytes it holds, however many records these are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for b in batches:
             for at in range(0, b.num_rows, 64):
-                yield pa.RecordBatch.from_arrays([pa.array([record(p, date) for p in b.slice(at, 64).to_pylist()], pa.binary())], names=["value"])
+                for page in b.slice(at, 64).to_pylist():
+                    held.append(record(page, date))
+                    size += len(held[-1])
+                    if size >= row_bytes:
+                        yield pa.RecordBatch.from_arrays([pa.array([LINES.join(held)], pa.binary())], names=["value"])
+                        held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([LINES.join(held)], pa.binary())], names=["value"])
 
     classify(pages, **columns).mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.mode("overwrite").options(
-        compression="gzip", lineSep="\r\n\r\n", maxRecordsPerFile=RECORDS_PER_FILE).text(path)
+        compression="gzip", lineSep=LINES.decode(), maxRecordsPerFile=rows_per_file).text(path)
 
 
-def inflate(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+def inflate(data: bytes | pa.Buffer, step: int = 1 << 16) -> Iterator[bytes]:
     """The content of a gzip file of one or many members, in pieces."""
     view, at = memoryview(data), 0
     while at < len(view):
@@ -166,7 +179,7 @@ def parse(record: bytes) -> dict:
     }
 
 
-def members(data: bytes) -> Iterator[tuple[int, int, bytes]]:
+def members(data: bytes | pa.Buffer) -> Iterator[tuple[int, int, bytes]]:
     """(offset, length, content) of each member of a normalised archive."""
     view, at = memoryview(data), 0
     while at < len(view):
@@ -197,7 +210,7 @@ def normalise(spark: SparkSession, source: str, target: str, chunk: int = CHUNK,
         for b in batches:
             for name, data in zip(b.column(0).to_pylist(), b.column(1)):
                 number, held, size = 0, [], 0
-                for record_ in split_records(inflate(data.as_py())):
+                for record_ in split_records(inflate(data.as_buffer())):
                     held.append(member(record_))
                     size += len(held[-1])
                     if size >= chunk:
@@ -210,7 +223,7 @@ def normalise(spark: SparkSession, source: str, target: str, chunk: int = CHUNK,
         for b in batches:
             for name, data in zip(b.column(0).to_pylist(), b.column(1)):
                 rows = []
-                for offset, length, content in members(data.as_py()):
+                for offset, length, content in members(data.as_buffer()):
                     if content:         # the empty member ends a chunk
                         h = header(content[:content.find(b"\r\n\r\n")])
                         rows.append((name, offset, length, h["warc-record-id"].strip("<>"), h["warc-type"], h["warc-target-uri"], h["warc-payload-digest"]))
@@ -232,12 +245,14 @@ def read_records(spark: SparkSession, target: str) -> DataFrame:
     refers_to, uri) of every indexed record, each read at its own offset."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for name, data, places in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
-                view = memoryview(data.as_py())
-                out = [{"archive": name, "offset": p["offset"]} | parse(zlib.decompress(view[p["offset"]:p["offset"] + p["length"]], 31)) for p in places]
-                yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
-                    ("archive", pa.string()), ("offset", pa.int64()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-                    ("record_type", pa.string()), ("refers_to", pa.int64()), ("uri", pa.string())]))
+            for name, data, places in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                view = memoryview(data.as_buffer())
+                for at in range(0, len(places), RECORDS_AT_ONCE):
+                    out = [{"archive": name, "offset": p["offset"]} | parse(zlib.decompress(view[p["offset"]:p["offset"] + p["length"]], 31))
+                           for p in places.values.slice(at, RECORDS_AT_ONCE).to_pylist()]
+                    yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
+                        ("archive", pa.string()), ("offset", pa.int64()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
+                        ("record_type", pa.string()), ("refers_to", pa.int64()), ("uri", pa.string())]))
 
     index = spark.read.schema(INDEX).parquet(f"{target}/index")
     places = index.groupBy("archive").agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("places"))

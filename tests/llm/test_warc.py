@@ -66,3 +66,16 @@ def test_streams_of_any_members_and_damage():
 
 def test_empty_table(spark, tmp_path):
     assert round_trip(spark, spark.createDataFrame([], "page_id long, url string, html string"), tmp_path).collect() == []
+
+
+def test_archives_close_by_bytes(spark, tmp_path, monkeypatch):
+    """A file holds at most rows_per_file rows of row_bytes and the record that fills one."""
+    monkeypatch.setattr(warc, "RECORDS_AT_ONCE", 7)
+    rows = [(i, f"u{i}", chr(97 + i % 26) * (i % 50) + str(i) * (2000 if i % 40 == 0 else 40)) for i in range(1500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_monolithic(pages, f"{tmp_path}/mono", rows_per_file=4, row_bytes=5000)
+    sizes = [len(gzip.decompress(p.read_bytes())) for p in tmp_path.glob("mono/*.gz")]
+    assert len(sizes) > 10 and max(sizes) < 4 * (5000 + 9000)
+    warc.normalise(spark, f"{tmp_path}/mono", f"{tmp_path}/out", chunk=3000)
+    got = warc.read_records(spark, f"{tmp_path}/out").collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == brute(rows)
