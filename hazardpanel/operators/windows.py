@@ -16,7 +16,7 @@ from hazardpanel.constants import DAYS_SINCE_CAP, RAIN_THRESHOLD_MM
 from hazardpanel.functions.scalar import EXACT
 
 
-def _spec(by: str, order: str):
+def _spec(by: str | list[str], order: str):
     return Window.partitionBy(by).orderBy(order)
 
 
@@ -25,7 +25,7 @@ def lag_prev_day(df: DataFrame, col: str, by: str = "wilaya_id", order: str = "d
     return df.withColumn(out or f"{col}_prev", F.lag(col, 1).over(_spec(by, order)))
 
 
-def prior_sum(col: str, rows: int, min_count: int, by: str, order: str):
+def prior_sum(col: str, rows: int, min_count: int, by: str | list[str], order: str):
     """Sum of the ``rows`` previous rows (not the current one), null below ``min_count``."""
     w = _spec(by, order).rowsBetween(-rows, -1)
     c = F.col(col)
@@ -33,7 +33,7 @@ def prior_sum(col: str, rows: int, min_count: int, by: str, order: str):
     return F.when(F.count(c).over(w) >= min_count, exact)
 
 
-def prior_mean(col: str, rows: int, min_count: int, by: str, order: str):
+def prior_mean(col: str, rows: int, min_count: int, by: str | list[str], order: str):
     w = _spec(by, order).rowsBetween(-rows, -1)
     c = F.col(col)
     n = F.count(c).over(w)

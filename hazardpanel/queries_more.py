@@ -9,6 +9,7 @@ from hazardpanel import fixtures as fx
 from hazardpanel.fixtures import FIXTURE_NON_FOREST
 from hazardpanel.functions.scalar import coverage_flag, round_half_even, source_name, zero_pad
 from hazardpanel.operators import metrics as M
+from hazardpanel.operators.blocks import dryness_in_blocks
 from hazardpanel.operators.dedup import dedup_keep_last
 from hazardpanel.operators.dims import flag_not_in, map_or_fail, semi_by_flag, surrogate_id
 from hazardpanel.operators.features import temporal_split, with_month_cyclic, with_weekday_cyclic
@@ -154,11 +155,14 @@ def q_lag_prev_day(spark, sf):
     return lag_prev_day(wp, "precipitation")
 
 
-@register("rolling_prior", sql(f"""
+ROLLING_SQL = f"""
 SELECT wilaya_id, date, {_psum('precipitation', W7, 4)} AS precip_sum_7d,
        {_psum('precipitation', W30, 15)} AS precip_sum_30d,
        {_pmean('temp_max', W7, 4)} AS temp_max_mean_7d, {_psum('et0', W30, 15)} AS et0_sum_30d
-FROM weather_panel""", "weather_panel"))
+FROM weather_panel"""
+
+
+@register("rolling_prior", sql(ROLLING_SQL, "weather_panel"))
 def q_rolling_prior(spark, sf):
     wp = fx.weather_panel(spark, sf)
     return wp.select("wilaya_id", "date",
@@ -168,13 +172,15 @@ def q_rolling_prior(spark, sf):
                      prior_sum("et0", 30, 15, "wilaya_id", "date").alias("et0_sum_30d"))
 
 
-@register("days_since_event", sql("""
+DAYS_SINCE_SQL = """
 SELECT wilaya_id, date, CAST(least(rn - coalesce(max(CASE WHEN coalesce(prev >= 1.0, false) THEN rn END) OVER
         (PARTITION BY wilaya_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 1), 90)
        AS INTEGER) AS days_since_rain
 FROM (SELECT *, row_number() OVER (PARTITION BY wilaya_id ORDER BY date) AS rn,
-             lag(precipitation) OVER (PARTITION BY wilaya_id ORDER BY date) AS prev FROM weather_panel) t""",
-    "weather_panel"))
+             lag(precipitation) OVER (PARTITION BY wilaya_id ORDER BY date) AS prev FROM weather_panel) t"""
+
+
+@register("days_since_event", sql(DAYS_SINCE_SQL, "weather_panel"))
 def q_days_since_event(spark, sf):
     wp = fx.weather_panel(spark, sf).select("wilaya_id", "date", "precipitation")
     prev = F.lag("precipitation", 1).over(Window.partitionBy("wilaya_id").orderBy("date"))
@@ -183,6 +189,23 @@ def q_days_since_event(spark, sf):
         "wilaya_id", "date", F.col("days_since_rain").cast("int"))
 
 
+BLOCKS_IN_QUERIES = 365     # rows: several blocks in each of the panel's series
+
+
+@register("rolling_prior_blocked", sql(ROLLING_SQL, "weather_panel"))
+def q_rolling_prior_blocked(spark, sf):
+    out = dryness_in_blocks(fx.weather_panel(spark, sf), precip="precipitation", temp="temp_max", et0="et0",
+                            block_rows=BLOCKS_IN_QUERIES)
+    return out.select("wilaya_id", "date", "precip_sum_7d", "precip_sum_30d", "temp_max_mean_7d", "et0_sum_30d")
+
+
+@register("days_since_blocked", sql(DAYS_SINCE_SQL, "weather_panel"))
+def q_days_since_blocked(spark, sf):
+    out = dryness_in_blocks(fx.weather_panel(spark, sf), precip="precipitation", temp="temp_max", et0="et0",
+                            block_rows=BLOCKS_IN_QUERIES)
+    return out.select("wilaya_id", "date", F.col("days_since_rain").cast("int"))
+
+
 @register("dryness_features", sql(DRYNESS_SQL, "weather_panel"))
 def q_dryness_features(spark, sf):
     wp = fx.weather_panel(spark, sf)
