@@ -115,12 +115,18 @@ def land_features(spark: SparkSession, sf: str) -> str:
     return root
 
 
-SLICE_FILES = 4                      # files of a landed slice
+SLICE_FILES = 4                      # files of a landed slice, at least
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 LATE_OFFSET = 1_000_000_000          # ids of copies that arrive late under a new id
 LATE_EVERY = 9
 
 
+def slice_files(spark: SparkSession) -> int:
+    """Files of a landed slice: one per core, as few files keep the other cores idle
+    when a slice is written and when the stream reads it."""
+    return max(SLICE_FILES, spark.sparkContext.defaultParallelism)
+
+
 def _id_slices(ev: DataFrame, n_slices: int) -> list[int]:
     lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
     span = hi - lo + 1
@@ -147,7 +153,7 @@ def stream_feed_writers(spark: SparkSession, sf: str, root: str, n_slices: int =
             out = parts[0]
             for p in parts[1:]:
                 out = out.unionByName(p)
-            out.coalesce(SLICE_FILES).write.mode("append").parquet(root)
+            out.repartition(slice_files(spark), "event_id").write.mode("append").parquet(root)
         return land
     return [writer(k) for k in range(n_slices + 1)], ev.withColumn("pri", F.lit(0)).schema
 

@@ -57,7 +57,7 @@ def _run_keyed_stream(spark, sf):
         for some in (writers[:3], writers[3:]):
             for land in some:
                 land()
-            raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", landing.SLICE_FILES).parquet(f"{root}/landing")
+            raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", landing.slice_files(spark)).parquet(f"{root}/landing")
             run_changes(winner_changes(fx.detections_from_events(raw), buckets=4), sink, f"{root}/checkpoint")
         _SINKS[key] = sink
     return _SINKS[key]

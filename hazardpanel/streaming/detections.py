@@ -16,8 +16,9 @@ Source: a file stream of landed detection batches.  Event time is cast to
 4. with a weather base, the current-period panel rows of those days (left join,
    zero-fill, dimension, coverage true) are replaced as well.
 
-The merge is first written below ``staging/batch=N`` (all of it, or nothing is
-committed) and the sinks are rewritten from there.  A retried micro-batch finds
+The batch's placed rows are written once below ``staging/fresh=N``; the merge is
+written below ``staging/batch=N`` (all of it, or nothing is committed) and the sinks
+are rewritten from there.  A retried micro-batch finds
 its finished staging table and rewrites the same partitions from it, so the sinks
 stay exactly-once under the streaming checkpoint, even if the first try stopped
 between two partitions.  Staging folders of earlier batches are removed.
@@ -39,6 +40,10 @@ from hazardpanel.plans.refresh import current_panel, drop_partitions, partition_
 from hazardpanel.schemas import DAILY_DETECTIONS
 
 
+#: Rows of a merge task.
+TASK_ROWS = 1_000_000
+
+
 def _overwrite(df: DataFrame, path: str, *partition_cols: str) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols).parquet(path))
@@ -90,32 +95,62 @@ class DetectionBatchWriter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         staging = f"{self.root}/staging/batch={batch_id}"
-        if not path_exists(spark, f"{staging}/_SUCCESS"):
-            fresh = self._place(dedup_keep_first(batch, DETECTION_KEY, self.order))
-            if path_exists(spark, self.placed_path):
-                # a late copy may change any stored row of its day (the key holds the day)
-                days = batch.select("acq_date").distinct()
-                stored = spark.read.parquet(self.placed_path).join(days, "acq_date", "left_semi")
-                fresh = dedup_keep_first(stored.unionByName(fresh), DETECTION_KEY, self.order)
-            fresh.write.mode("overwrite").parquet(staging)
-        merged = spark.read.parquet(staging)
-        day_list = sorted(r[0] for r in merged.select("acq_date").distinct().collect())     # the batch's days
-        if day_list:
-            self._publish(spark, merged, day_list)
+        if path_exists(spark, f"{staging}/_SUCCESS"):
+            days = [r[0] for r in spark.read.parquet(staging).select("acq_date").distinct().collect()]
+        else:
+            days = self._stage(spark, batch, f"{self.root}/staging/fresh={batch_id}", staging)
+        if days:
+            self._publish(spark, spark.read.parquet(staging), days)
         remove_folders(spark, f"{self.root}/staging", lambda name: name != f"batch={batch_id}")
 
+    def _stage(self, spark: SparkSession, batch: DataFrame, arrived: str, staging: str) -> list:
+        """Write the batch merged with the stored rows of its days; those days."""
+        # the batch is evaluated here and nowhere else: it holds the stream's state
+        self._place(dedup_keep_first(batch, DETECTION_KEY, self.order)).write.mode("overwrite").parquet(arrived)
+        fresh = spark.read.parquet(arrived)
+        counted = fresh.groupBy("acq_date").count().collect()                   # the batch's days
+        days, n_rows = [r[0] for r in counted], sum(r[1] for r in counted)
+        if days and path_exists(spark, self.placed_path):
+            # a late copy may change any stored row of its day (the key holds the day)
+            known = [d for d in days if d is not None]
+            of_days = F.col("acq_date").isin(known) if known else F.lit(False)
+            if len(known) < len(days):
+                of_days = of_days | F.col("acq_date").isNull()
+            stored = spark.read.parquet(self.placed_path).filter(of_days)       # other days' folders are not read
+            n_rows += stored.count()                                            # from the files' footers
+            both = self._by_day(spark, stored.unionByName(fresh), len(days), n_rows)
+            merged = dedup_keep_first(both, [*DETECTION_KEY, "_slot"], self.order)
+        else:
+            merged = self._by_day(spark, fresh, len(days), n_rows)
+        merged.drop("_slot").write.mode("overwrite").parquet(staging)
+        return days
+
+    def _by_day(self, spark: SparkSession, rows: DataFrame, n_days: int, n_rows: int) -> DataFrame:
+        """``rows`` dealt by (day, ``_slot``), copies of a key together: few days share a
+        file, so that a day's folder gets a few files and not one of every task.  The
+        merge needs no further shuffle."""
+        cores = spark.sparkContext.defaultParallelism
+        tasks = max(cores, -(-n_rows // TASK_ROWS))
+        slots = -(-4 * tasks // max(n_days, 1))        # enough pieces to spread evenly
+        slot = F.pmod(F.xxhash64(*DETECTION_KEY), F.lit(slots)).cast("int")
+        return rows.withColumn("_slot", slot).repartition(tasks, "acq_date", "_slot")
+
     def _publish(self, spark: SparkSession, merged: DataFrame, days: list) -> None:
         _overwrite(merged, self.placed_path, "acq_date")
         daily = daily_region_agg(merged.filter("kept"), (self.region_col,), "acq_date")
-        daily = daily.join(self.codes, self.region_col, "left")
-        _overwrite(daily.withColumn("acq_date", F.col("date")).drop("date"), self.daily_path, "acq_date")
-        left = {r[0] for r in merged.filter("kept").select("acq_date").distinct().collect()}
-        drop_partitions(spark, self.daily_path, "acq_date", [d for d in days if d not in left])
-        if self.weather is not None:
-            # current-period panel rows of the batch's days, rebuilt from the day totals
-            touched = spark.createDataFrame([(d,) for d in days], "date date")
-            base = self.weather.join(touched, "date", "left_semi")
-            _overwrite(current_panel(base, daily, self.dim, self.region_col), self.panel_path, "date")
+        # a few rows per day, computed once for the two tables and the days that have any
+        daily = daily.join(self.codes, self.region_col, "left").repartition("date").persist()
+        try:
+            _overwrite(daily.withColumn("acq_date", F.col("date")).drop("date"), self.daily_path, "acq_date")
+            left = {r[0] for r in daily.select("date").distinct().collect()}
+            drop_partitions(spark, self.daily_path, "acq_date", [d for d in days if d is not None and d not in left])
+            if self.weather is not None:
+                # current-period panel rows of the batch's days, rebuilt from the day totals
+                touched = spark.createDataFrame([(d,) for d in days], "date date")
+                base = self.weather.join(touched, "date", "left_semi")
+                _overwrite(current_panel(base, daily, self.dim, self.region_col), self.panel_path, "date")
+        finally:
+            daily.unpersist()
 
 
 def event_time(col: str):

@@ -158,3 +158,28 @@ def test_first_batch_with_nothing_enriched(spark):
     sink(det.filter("type = 2"), 1)                      # industrial only: nothing survives the type filter
     sink(det.filter("type = 0").limit(50), 2)
     assert spark.read.parquet(sink.daily_path).count() > 0
+
+
+def test_batch_is_evaluated_once_and_days_get_few_files(spark):
+    """Of a stream, a batch holds the stateful operators: each evaluation reads and
+    commits their state again."""
+    from pyspark.sql import functions as F
+
+    from hazardpanel import fixtures as fx
+    from tests.conftest import SF_SMALL
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("date")
+    def counted(day):
+        seen.add(1)
+        return day
+    det = fx.detections(spark, SF_SMALL)
+    sink = _writer(spark, "test-once")
+    sink(det, 0)
+    some = det.filter("event_id < 300")
+    sink(some.withColumn("acq_date", counted.asNondeterministic()("acq_date")), 1)
+    assert seen.value == some.count()
+    stored = spark.read.parquet(sink.placed_path)
+    days, cores = stored.select("acq_date").distinct().count(), spark.sparkContext.defaultParallelism
+    assert len(stored.inputFiles()) <= 4 * max(cores, days) < cores * days
