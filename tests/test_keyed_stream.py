@@ -125,3 +125,50 @@ def test_nothing_yet(spark, det, inputs):
     assert sink.daily(spark).count() == 0
     sink(det.limit(0).withColumn("n", F.lit(1)), 0)
     assert sink.daily(spark).count() == 0 and sink.deduplicated(spark).count() == 0
+
+
+class _Handle:
+    """One state value and the timers set, as the engine's handle offers them."""
+
+    def __init__(self):
+        self.value, self.timers = None, []
+
+    def getValueState(self, *_):
+        return self
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_registers_compare_keys_and_not_hashes_alone(spark, det, collide):
+    """Rows that share no hash are never compared; rows that share one are, by key."""
+    from hazardpanel.streaming.keyed import Registers
+    day = det.agg(F.min("acq_date")).first()[0]
+    rows_of_day = det.filter(F.col("acq_date") == F.lit(day)).withColumn("key_hash", F.lit(7).cast("long") if collide else F.xxhash64(*DETECTION_KEY)).toPandas()
+    handle = _Handle()
+    registers = Registers(DETECTION_KEY, ["pri", "event_id"], det.schema, "acq_date")
+    registers.init(handle)
+    total = {}
+    for part in (rows_of_day[rows_of_day["pri"] == 1], rows_of_day, rows_of_day[rows_of_day["event_id"] % 2 == 0]):
+        for out in registers.handleInputRows((day, 0), iter([part]), None):
+            for r in out.itertuples():
+                total[(r.event_id, r.pri)] = total.get((r.event_id, r.pri), 0) + r.n
+    want = dedup_keep_first(det.filter(F.col("acq_date") == F.lit(day)), DETECTION_KEY, ["pri", "event_id"]).collect()
+    assert {k for k, n in total.items() if n} == {(r.event_id, r.pri) for r in want} and set(total.values()) <= {0, 1}
+    assert len(handle.timers) == 1
+
+
+def test_slice_lands_in_a_file_per_core(spark):
+    from hazardpanel import landing
+    root = scratch_path(spark, "test-slices")
+    writers, schema = landing.stream_feed_writers(spark, SF_SMALL, f"{root}/landing")
+    for k, land in enumerate(writers[:2]):
+        land()
+        assert len(spark.read.schema(schema).parquet(f"{root}/landing").inputFiles()) == (k + 1) * landing.slice_files(spark)
