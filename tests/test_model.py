@@ -54,3 +54,12 @@ def test_save_load_roundtrip(spark):
     b = [r.proba for r in ML.score(ML.load(path), df).orderBy("date", "wilaya_id").collect()]
     assert a == b
     assert spark.read.json(f"{path}/metrics").count() == 1
+
+
+def test_model_panel_reads_line_items_once(spark):
+    """What is joined to the calendar are the stored day totals, not a second scan."""
+    from hazardpanel import fixtures as fx
+    from tests.conftest import SF_SMALL
+    panel = fx.model_panel(spark, SF_SMALL)
+    assert not [f for f in panel.inputFiles() if "lineitem" in f]
+    assert panel.filter("surface_pressure_mean is not null").count() > 0
